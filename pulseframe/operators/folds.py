@@ -283,14 +283,20 @@ def fold_by_key(
     )
 
 
-_RUN_COLUMNS = "_part STRING, _run INT, _first_key STRING, _last_key STRING, _summary STRING"
+_RUN_COLUMNS = [
+    T.StructField("_part", T.StringType()),
+    T.StructField("_run", T.IntegerType()),
+    T.StructField("_first_key", T.StringType()),
+    T.StructField("_last_key", T.StringType()),
+    T.StructField("_summary", T.StringType()),
+]
 
 
 def _key_text(key: tuple) -> str:
     return json.dumps([str(k) if k is not None else None for k in key])
 
 
-def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold, empty_schema: pa.Schema):
+def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold):
     """First pass over one run: finished rows, rows set aside, and one closing row."""
     run = TaskContext.get().partitionId()
     (name, arrow_type, _), = fold.output
@@ -304,10 +310,11 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold, empty_schema: pa.Sc
             extra[c] = pa.nulls(n, pa.string())
         return _with_columns(batch, None, extra)
 
-    first = key = state = opened = None
+    first = key = state = opened = schema = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
+        schema = batch.schema
         columns = fold.prepare(batch)
         starts = [0, *_starts(batch, keys)]
         waiting, results = 0, []
@@ -343,8 +350,8 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold, empty_schema: pa.Sc
             "_last_key": [_key_text(key)],
             "_summary": [None if summary is None else json.dumps(summary)],
         }
-        arrays = [pa.nulls(1, f.type) for f in empty_schema]
-        names = list(empty_schema.names)
+        arrays = [pa.nulls(1, f.type) for f in schema]
+        names = list(schema.names)
         arrays.append(pa.nulls(1, arrow_type))
         names.append(name)
         for c, v in closing.items():
@@ -370,18 +377,15 @@ def _enter_runs(closings, fold, replay) -> dict[int, object]:
 
 
 def _fold_in_runs(df: DataFrame, keys, order, fold, runs: int) -> DataFrame:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     spark = df.sparkSession
-    empty = to_arrow_schema(df.schema, timezone="UTC")
     staged_schema = T.StructType(
-        [*_output_schema(df, fold).fields, *T.StructType.fromDDL(_RUN_COLUMNS).fields]
+        [*_output_schema(df, fold).fields, *_RUN_COLUMNS]
     )
     path = scratch_path(spark, "fold")
     (
         df.repartitionByRange(runs, *keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .mapInArrow(lambda batches: _walk_run(batches, keys, fold, empty), staged_schema)
+        .mapInArrow(lambda batches: _walk_run(batches, keys, fold), staged_schema)
         .write.partitionBy("_part").parquet(path)
     )
     staged = spark.read.schema(staged_schema).parquet(path)

@@ -23,14 +23,27 @@ VITAL_ALIASES = {
 MEASUREMENT = "vital_signs"
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "STRING": T.StringType(),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "VARIANT": T.VariantType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from "name TYPE, ..."; unlike DDL parsing it needs no running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind.upper()]) for name, kind in pairs])
 
 
 READING = _struct(
-    "patient_id STRING, timestamp STRING, vital_signs VARIANT, device_id STRING, "
-    "profile STRING, producer_metadata STRUCT<sent_at: STRING, topic: STRING>"
-)
+    "patient_id STRING, timestamp STRING, vital_signs VARIANT, device_id STRING, profile STRING"
+).add("producer_metadata", _struct("sent_at STRING, topic STRING"))
 
 POINT = _struct(
     "measurement STRING, patient_id STRING, device_id STRING, risk_level STRING, "
