@@ -47,6 +47,8 @@ def half_even(value: Column, digits: int = 0) -> Column:
     The scaled fraction of a vital (magnitude 8 or more, at most two digits) is
     exact in a double, so this agrees with correctly rounded printing.
     """
+    if digits == 0:
+        return F.rint(value)
     whole, scale = F.floor(value), F.lit(float(10**digits))
     return whole + F.rint((value - whole) * scale) / scale
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,15 @@ NAN_TEXT = r"(?i)^[+-]?nan$"
 INFINITE_TEXT = r"(?i)^[+-]?inf(inity)?$"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used.
+
+    Binding inside the expression keeps it small where the optimizer copies it,
+    for instance when it pushes a filter below the projection that computes it.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def finite_or_null(value: Column) -> Column:
     """NaN becomes NULL: Spark orders NaN above every number, so thresholds would fire on it."""
     return F.when(~F.isnan(value), value)
@@ -27,12 +38,13 @@ def plain_decimal(text: Column) -> Column:
 
 def general_float(text: Column) -> Column:
     """Text as double by the wider float syntax; rejects suffixes such as ``12d``."""
-    trimmed = F.trim(text)
-    infinite = F.when(trimmed.startswith("-"), F.lit(float("-inf"))).otherwise(
-        F.lit(float("inf"))
-    )
-    return (
-        F.when(trimmed.rlike(GENERAL_FLOAT), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(trimmed.rlike(NAN_TEXT), F.lit(float("nan")))
-        .when(trimmed.rlike(INFINITE_TEXT), infinite)
-    )
+
+    def read(trimmed: Column) -> Column:
+        infinite = F.when(trimmed.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+        return (
+            F.when(trimmed.rlike(GENERAL_FLOAT), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
+            .when(trimmed.rlike(NAN_TEXT), F.lit(float("nan")))
+            .when(trimmed.rlike(INFINITE_TEXT), infinite)
+        )
+
+    return let(F.trim(text), read)

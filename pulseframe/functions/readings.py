@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pulseframe.functions.numbers import general_float, plain_decimal
+from pulseframe.functions.numbers import general_float, let, plain_decimal
 from pulseframe.schemas import VITAL_ALIASES
 
 UNKNOWN_PATIENT = "Unknown"
@@ -21,91 +23,91 @@ def patient_or_unknown(patient_id: Column) -> Column:
     return F.coalesce(patient_id, F.lit(UNKNOWN_PATIENT))
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _text(value: Column, path: str = "$") -> Column:
-    return F.try_variant_get(value, path, "string")
+def vital_texts(vitals: Column) -> Column:
+    """MAP<STRING, STRING>: each entry of a VARIANT object as JSON text, so its kind stays visible."""
+    entries = F.try_variant_get(vitals, "$", "map<string,variant>")
+    return F.transform_values(entries, lambda _, v: F.to_json(v))
 
 
-def _number(value: Column, path: str = "$") -> Column:
-    """A JSON number, a boolean as 1/0, or general float text."""
-    return general_float(
-        F.when(_text(value, path) == "true", "1").when(_text(value, path) == "false", "0").otherwise(_text(value, path))
-    )
+def _unquoted(text: Column) -> Column:
+    return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
-def split_pressure(pressure: Column) -> Column:
-    """STRUCT<systolic, diastolic> from ``"120/80"`` text or a systolic/diastolic object."""
-    parts = F.split(_text(pressure), "/")
-    from_text = (_kind(pressure) == "STRING") & (F.size(parts) == 2)
-    is_object = _kind(pressure).startswith("OBJECT")
-    pick = lambda i, path: F.when(from_text, general_float(F.get(parts, i))).when(
-        is_object, _number(pressure, path)
+def _loose_number(text: Column) -> Column:
+    """A number or boolean taken out of an object, or general float text."""
+    return let(
+        text, lambda t: F.when(t == "true", 1.0).when(t == "false", 0.0).otherwise(general_float(t))
     )
-    return F.struct(pick(0, "$.systolic").alias("systolic"), pick(1, "$.diastolic").alias("diastolic"))
 
 
-def _entry_value(value: Column) -> Column:
-    """One vital as double: number, boolean, plain decimal text, or an object's ``value``."""
-    kind = _kind(value)
+def _entry_number(text: Column, text_rule: Callable[[Column], Column]) -> Column:
+    """One vital as double: text by ``text_rule``, boolean as 1/0, an object's ``value``, else a number."""
     return (
-        F.when(kind == "STRING", plain_decimal(_text(value)))
-        .when(kind == "BOOLEAN", F.when(F.try_variant_get(value, "$", "boolean"), 1.0).otherwise(0.0))
-        .when(kind.startswith("OBJECT"), _number(value, "$.value"))
-        .when(~kind.startswith("ARRAY"), F.try_variant_get(value, "$", "double"))
+        F.when(text.startswith('"'), text_rule(_unquoted(text)))
+        .when(text == "true", 1.0)
+        .when(text == "false", 0.0)
+        .when(text.startswith("{"), _loose_number(F.get_json_object(text, "$.value")))
+        .otherwise(text.try_cast("double"))
     )
 
 
-def _numeric_value(value: Column) -> Column:
-    """One vital by the cleaner's own rule, which also reads ``"-5"`` and ``"1e3"``."""
-    kind = _kind(value)
-    return (
-        F.when(kind == "STRING", general_float(_text(value)))
-        .when(kind.startswith("OBJECT"), _number(value, "$.value"))
-        .when(~kind.startswith("ARRAY"), _number(value))
-    )
+def split_pressure(text: Column) -> Column:
+    """STRUCT<systolic, diastolic> from JSON text: ``"120/80"`` or a systolic/diastolic object."""
 
+    def pick(t: Column, i: int, name: str) -> Column:
+        parts = F.split(_unquoted(t), "/")
+        return F.when(t.startswith('"'), F.when(F.size(parts) == 2, general_float(F.get(parts, i)))).when(
+            t.startswith("{"), _loose_number(F.get_json_object(t, f"$.{name}"))
+        )
 
-def _merge(preferred: Column, other: Column) -> Column:
-    """Union of two maps; the first wins on a shared key."""
-    extra = F.map_filter(other, lambda k, _: ~F.map_contains_key(preferred, k))
-    return F.map_concat(preferred, extra)
+    return let(
+        text,
+        lambda t: F.struct(
+            pick(t, 0, "systolic").alias("systolic"), pick(t, 1, "diastolic").alias("diastolic")
+        ),
+    )
 
 
 def flatten_vitals(vitals: Column, for_cleaning: bool = False) -> Column:
     """MAP<STRING, DOUBLE> of the vitals in a VARIANT object.
 
     Nested blood pressure becomes its two canonical fields, short aliases are
-    renamed, entries without a number are dropped. ``for_cleaning`` applies the
-    cleaner's wider text rule to scalars.
+    renamed, entries without a number are dropped. On a clash the canonical entry
+    wins over the alias and both over the nested one. ``for_cleaning`` reads text
+    by the cleaner's wider rule.
     """
-    entries = F.try_variant_get(vitals, "$", "map<string,variant>")
-    read = _numeric_value if for_cleaning else _entry_value
-    scalars = F.map_filter(
-        F.transform_values(
-            F.map_filter(entries, lambda k, _: k != "blood_pressure"), lambda _, v: read(v)
-        ),
-        lambda _, v: v.isNotNull(),
-    )
-    pressure = split_pressure(F.try_variant_get(vitals, "$.blood_pressure", "variant"))
-    nested = F.map_filter(
-        F.create_map(
-            F.lit("blood_pressure_systolic"),
-            pressure["systolic"],
-            F.lit("blood_pressure_diastolic"),
-            pressure["diastolic"],
-        ),
-        lambda _, v: v.isNotNull(),
-    )
-    short_names = F.array(*(F.lit(a) for a in VITAL_ALIASES))
+    text_rule = general_float if for_cleaning else plain_decimal
+    short_of = {canonical: short for short, canonical in VITAL_ALIASES.items()}
     rename = F.create_map(*(F.lit(x) for pair in VITAL_ALIASES.items() for x in pair))
-    plain = F.map_filter(scalars, lambda k, _: ~F.array_contains(short_names, k))
-    renamed = F.transform_keys(
-        F.map_filter(scalars, lambda k, _: F.array_contains(short_names, k)),
-        lambda k, _: F.element_at(rename, k),
-    )
-    return F.coalesce(
-        _merge(_merge(plain, renamed), nested), nested, F.create_map().cast(_VITAL_MAP)
-    )
+    empty = F.create_map().cast(_VITAL_MAP)
+    is_short = lambda k: k.isin(*VITAL_ALIASES)
+
+    def numbers(texts: Column) -> Column:
+        plain = F.map_filter(texts, lambda k, _: k != "blood_pressure")
+        read = F.transform_values(plain, lambda _, text: _entry_number(text, text_rule))
+        return F.coalesce(F.map_filter(read, lambda _, v: v.isNotNull()), empty)
+
+    def merged(scalars: Column, pressure: Column) -> Column:
+        def unless_given(field: str, value: Column) -> Column:
+            given = F.map_contains_key(scalars, field) | F.map_contains_key(scalars, short_of[field])
+            entry = F.map_from_arrays(F.array(F.lit(field)), F.array(value))
+            return F.when(value.isNotNull() & ~given, entry).otherwise(empty)
+
+        renamed = F.transform_keys(
+            F.map_filter(scalars, lambda k, _: is_short(k)), lambda k, _: F.element_at(rename, k)
+        )
+        return F.map_concat(
+            F.map_filter(scalars, lambda k, _: ~is_short(k)),
+            F.map_filter(renamed, lambda k, _: ~F.map_contains_key(scalars, k)),
+            unless_given("blood_pressure_systolic", pressure["systolic"]),
+            unless_given("blood_pressure_diastolic", pressure["diastolic"]),
+        )
+
+    def both(texts: Column) -> Column:
+        pair = F.struct(
+            numbers(texts).alias("scalars"),
+            split_pressure(F.try_element_at(texts, F.lit("blood_pressure"))).alias("pressure"),
+        )
+        return let(pair, lambda p: merged(p["scalars"], p["pressure"]))
+
+    return let(vital_texts(vitals), both)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulseframe.functions.readings import flatten_vitals, split_pressure
-from pulseframe.functions.scoring import scored_records
+from pulseframe.functions.readings import parse_time, split_pressure
+from pulseframe.functions.scoring import score_readings, scored_records
 from pulseframe.operators.alerts import build_alerts
-from pulseframe.functions.scoring import score_readings
 from pulseframe.sources import tables as tb
 from pulseframe.sources import topics, tracks
 from pulseframe.sources.points import to_points
@@ -120,7 +119,7 @@ def pressure_split(spark, sf_dir):
         .when(kind == "view", F.concat(F.lit('{"systolic":'), high, F.lit(',"diastolic":'), low, F.lit("}")))
         .otherwise(F.concat(F.lit('"'), high, F.lit("/"), low, F.lit('"')))
     )
-    both = t.load(spark, sf_dir, "events").select("event_id", split_pressure(F.parse_json(text)).alias("bp"))
+    both = t.load(spark, sf_dir, "events").select("event_id", split_pressure(text).alias("bp"))
     return both.select("event_id", "bp.systolic", "bp.diastolic")
 
 
@@ -129,8 +128,6 @@ def pressure_split(spark, sf_dir):
     "SELECT event_id, CASE event_type WHEN 'error' THEN NULL WHEN 'signup' THEN date_trunc('second', ts) ELSE ts END AS ts FROM events",
 )
 def iso_times(spark, sf_dir):
-    from pulseframe.functions.readings import parse_time
-
     micro, second = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss"
     kind = F.col("event_type")
     text = (

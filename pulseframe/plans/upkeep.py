@@ -237,7 +237,7 @@ SELECT {_TEXT_ID} AS patient_id, patient_id AS case_id, admission_id,
   CASE WHEN no_diagnosis THEN coalesce(opname, dx) ELSE initial_diagnosis END AS initial_diagnosis,
   CASE WHEN no_diagnosis AND (department IS NULL OR department = '' OR contains(department, 'ICU')) THEN case_department ELSE department END AS department,
   CASE WHEN no_blood THEN 'set' ELSE blood_type END AS blood_type,
-  CASE WHEN no_device THEN 'MON-' || lpad(CAST(patient_id AS VARCHAR), greatest(4, length(CAST(patient_id AS VARCHAR))), '0') ELSE device_id END AS device_id,
+  CASE WHEN no_device THEN 'MON-' || lpad(CAST(patient_id AS VARCHAR), CAST(greatest(4, length(CAST(patient_id AS VARCHAR))) AS INTEGER), '0') ELSE device_id END AS device_id,
   no_gender OR no_diagnosis OR no_blood OR no_device AS changed
 FROM joined""",
 )

@@ -238,10 +238,10 @@ def threshold_alerts(spark, sf_dir):
     return df.filter(model.threshold_alert(F.col("heart_rate"), F.col("spo2"))).select(*KEYS)
 
 
-_ROLL_SQL = f"""SELECT *, {", ".join(
-    f"avg({v}) OVER w AS {v}_mean, stddev_samp({v}) OVER w AS {v}_std, regr_slope({v}, epoch_us(timestamp) / 3.6e9) OVER w AS {v}_trend"
+_ROLL_SQL = f"""SELECT *, {", ".join(f"CASE WHEN NOT isnan({v}_slope) THEN {v}_slope END AS {v}_trend" for v in ("heart_rate", "spo2"))} FROM (SELECT *, {", ".join(
+    f"avg({v}) OVER w AS {v}_mean, stddev_samp({v}) OVER w AS {v}_std, regr_slope({v}, epoch_us(timestamp) / 3.6e9) OVER w AS {v}_slope"
     for v in ("heart_rate", "spo2"))}
-FROM ({t.READINGS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY timestamp ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""
+FROM ({t.READINGS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY timestamp ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))"""
 
 
 @query(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.functions.numbers import let
 from pulseframe.functions.readings import flatten_vitals, parse_time, patient_or_unknown
 
 # Message key of a reading without patient, reasons for quarantine.
@@ -35,16 +36,20 @@ def decode(messages: DataFrame, value: str = "value", for_cleaning: bool = True)
 
     Other message columns (offset, partition, ...) are kept.
     """
-    body = F.try_parse_json(F.col(value).cast("string"))
-    parsed = messages.withColumn("body", F.when(F.schema_of_variant(body).startswith("OBJECT"), body))
+    body = let(
+        F.try_parse_json(F.col(value).cast("string")),
+        lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v),
+    )
+    parsed = messages.withColumn("body", body)
     text = lambda path: F.try_variant_get("body", path, "string")
+    vitals = flatten_vitals(F.try_variant_get("body", "$.vital_signs", "variant"), for_cleaning)
     return parsed.withColumns(
         {
             "patient_id": patient_or_unknown(text("$.patient_id")),
             "timestamp": text("$.timestamp"),
             "ts": parse_time(text("$.timestamp")),
             "device_id": text("$.device_id"),
-            "vitals": flatten_vitals(F.try_variant_get("body", "$.vital_signs", "variant"), for_cleaning),
+            "vitals": vitals,
         }
     )
 

@@ -6,6 +6,7 @@ import datetime as dt
 import glob
 import math
 import os
+import time
 
 import duckdb
 
@@ -33,8 +34,11 @@ def _sorted_rows(columns, rows):
     )
 
 
-def compare(df, con, sql: str) -> None:
+def compare(df, con, sql: str, timing: list | None = None) -> None:
+    timing = [] if timing is None else timing
+    start = time.time()
     rows = df.collect()
+    timing.append(time.time() - start)
     found = con.execute(sql)
     expected_columns = [d[0] for d in found.description]
     expected_rows = found.fetchall()

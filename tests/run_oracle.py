@@ -21,8 +21,9 @@ if __name__ == "__main__":
         try:
             df = queries[name](spark, sf_dir)
             if name in sql:
-                compare(df, con, sql[name])
-                note = "ok"
+                timing = []
+                compare(df, con, sql[name], timing)
+                note = f"ok (query {timing[0]:.2f}s)"
             else:
                 note = f"rows only: {df.count()}"
         except Exception as e:
