@@ -33,8 +33,10 @@ def _pressure(systolic: Column, diastolic: Column) -> Column:
     )
 
 
-def build_alerts(scored: DataFrame, levels: Iterable[str] = ALERT_LEVELS) -> DataFrame:
-    """One alert per scored reading at an alerting level. Narrow."""
+def build_alerts(
+    scored: DataFrame, levels: Iterable[str] = ALERT_LEVELS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One alert per scored reading at an alerting level, with the ``keep`` columns. Narrow."""
     first = F.get(F.col("anomalies"), 0)["type"]
     return alert_levels(scored, levels).select(
         "patient_id",
@@ -52,6 +54,7 @@ def build_alerts(scored: DataFrame, levels: Iterable[str] = ALERT_LEVELS) -> Dat
             _pressure(F.col("blood_pressure_systolic"), F.col("blood_pressure_diastolic")).alias("blood_pressure"),
         ).alias("vital_signs"),
         "warnings",
+        *keep,
     )
 
 

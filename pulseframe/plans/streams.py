@@ -1 +1,114 @@
-"""Streaming queries (filled in with the monitoring query)."""
+"""Streaming queries, run over everything available and returned as a batch result."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulseframe.plans import tables as t
+from pulseframe.plans.registry import query
+from pulseframe.plans.states import CLEANED_SQL, COOLDOWN_SQL, TWO_DAYS
+from pulseframe.plans.vitals import _bands_sql
+from pulseframe.functions.scoring import MEWS_BANDS
+from pulseframe.session import scratch_path
+from pulseframe.streaming.monitor import start_monitoring
+from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
+
+# A row this late moves the watermark past all events; it is not part of any result.
+CLOSING_TIME = "2100-01-01 00:00:00"
+CLOSING_USER = -1
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream, plus one closing row so that the last events are complete."""
+    schema = t.load(spark, sf_dir, "events").schema
+    closing = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), t.ntz(CLOSING_TIME).alias("ts"),
+        F.lit(CLOSING_USER).cast("bigint").alias("user_id"), F.lit("click").alias("event_type"),
+        F.lit(50.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    path = scratch_path(spark, "closing")
+    closing.write.parquet(path)
+    stream = spark.readStream.schema(schema)
+    # A file stream takes a folder or a pattern, not a single file.
+    return stream.parquet(f"{sf_dir}/events.parque[t]").unionByName(stream.parquet(path)).withColumn(
+        "ts", F.col("ts").cast("timestamp")
+    )
+
+
+def run_available(stream: DataFrame, label: str) -> DataFrame:
+    """Run a stream over all available input into files, and read them."""
+    spark, path = stream.sparkSession, scratch_path(stream.sparkSession, label)
+    done = (
+        stream.writeStream.format("parquet").outputMode("append").option("path", f"{path}/out")
+        .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    )
+    done.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+def _vital_map():
+    field, value = F, F
+    for kind, (vital, scale, offset) in t.EVENT_VITALS.items():
+        mine = F.col("event_type") == kind
+        field = field.when(mine, F.lit(vital))
+        value = value.when(mine, F.col("value") * F.lit(scale) + F.lit(offset))
+    return F.create_map(field, value)
+
+
+@query("cleaned_vitals_stream", f"SELECT CAST(patient_id AS VARCHAR) AS patient_id, field, ts, event_id, cleaned FROM ({CLEANED_SQL})")
+def cleaned_vitals_stream(spark, sf_dir):
+    readings = event_stream(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("patient_id"), "ts", F.col("event_id").alias("reading_id"),
+        _vital_map().alias("vitals"),
+    )
+    cleaned = run_available(clean_readings_stream(readings, "1 hour"), "cleaned")
+    return cleaned.filter(F.col("patient_id") != str(CLOSING_USER)).select(
+        "patient_id", F.explode("vitals").alias("field", "cleaned"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("reading_id").alias("event_id"),
+    )
+
+
+@query("alert_cooldown_stream", f"SELECT CAST(patient_id AS VARCHAR) AS patient_id, alert_type, ts, event_id, passed FROM ({COOLDOWN_SQL})")
+def alert_cooldown_stream(spark, sf_dir):
+    alerts = event_stream(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("patient_id"), F.col("event_type").alias("alert_type"), "ts",
+        F.col("event_id").alias("alert_id"), F.col("props").alias("body"),
+    )
+    marked = run_available(cool_down_stream(alerts, "1 hour", TWO_DAYS), "cooldown")
+    return marked.filter(F.col("patient_id") != str(CLOSING_USER)).select(
+        "patient_id", "alert_type", F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.col("alert_id").alias("event_id"), "passed",
+    )
+
+
+_POINTS = "(CASE field " + " ".join(
+    f"WHEN '{v}' THEN {_bands_sql(v, 'cleaned')}" for v in MEWS_BANDS
+) + " ELSE 0 END)"
+_BONUS = """CASE WHEN field = 'heart_rate' AND (cleaned < 40 OR cleaned > 140) THEN 10 WHEN field = 'spo2' AND cleaned < 85 THEN 10
+  WHEN field = 'spo2' AND cleaned < 90 THEN 5 ELSE 0 END"""
+
+
+@query(
+    "monitoring_stream",
+    f"""SELECT patient_id, event_id, mews_score, risk_score,
+  CASE WHEN risk_score >= 75 OR mews_score >= 5 THEN 'CRITICAL' WHEN risk_score >= 50 OR mews_score >= 4 THEN 'HIGH'
+       WHEN risk_score >= 20 OR mews_score >= 2 THEN 'MODERATE' ELSE 'STABLE' END AS risk_level
+FROM (SELECT 'ICU-' || lpad(CAST(patient_id AS VARCHAR), 6, '0') AS patient_id, event_id, CAST({_POINTS} AS INTEGER) AS mews_score,
+        round({_POINTS} / 14.0::DOUBLE * 70 + {_BONUS}, 2) AS risk_score FROM ({CLEANED_SQL}))""",
+)
+def monitoring_stream(spark, sf_dir):
+    """JSON messages through decode, cleanup, scoring and the batch sinks."""
+    events = event_stream(spark, sf_dir)
+    body = F.struct(
+        F.format_string("ICU-%06d", "user_id").alias("patient_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        _vital_map().alias("vital_signs"),
+    )
+    messages = events.select("event_id", F.to_json(body).alias("value"))
+    root = scratch_path(spark, "monitoring")
+    for running in start_monitoring(messages, root, F.col("event_id"), "1 hour", availableNow=True):
+        running.awaitTermination()
+    return spark.read.parquet(f"{root}/scored").filter(F.col("reading_id") >= 0).select(
+        "patient_id", F.col("reading_id").alias("event_id"), "mews_score", "risk_score", "risk_level"
+    )
