@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pulseframe.functions.numbers import general_float, let, plain_decimal
 from pulseframe.schemas import VITAL_ALIASES
 
 UNKNOWN_PATIENT = "Unknown"
+PRESSURE = "blood_pressure"
 _VITAL_MAP = "map<string,double>"
 
 
@@ -82,10 +85,8 @@ def flatten_vitals(vitals: Column, for_cleaning: bool = False) -> Column:
     empty = F.create_map().cast(_VITAL_MAP)
     is_short = lambda k: k.isin(*VITAL_ALIASES)
 
-    def numbers(texts: Column) -> Column:
-        plain = F.map_filter(texts, lambda k, _: k != "blood_pressure")
-        read = F.transform_values(plain, lambda _, text: _entry_number(text, text_rule))
-        return F.coalesce(F.map_filter(read, lambda _, v: v.isNotNull()), empty)
+    def number(key: Column, text: Column) -> Column:
+        return F.when(key != PRESSURE, _entry_number(text, text_rule))
 
     def merged(scalars: Column, pressure: Column) -> Column:
         def unless_given(field: str, value: Column) -> Column:
@@ -103,11 +104,14 @@ def flatten_vitals(vitals: Column, for_cleaning: bool = False) -> Column:
             unless_given("blood_pressure_diastolic", pressure["diastolic"]),
         )
 
-    def both(texts: Column) -> Column:
+    def from_texts(texts: Column) -> Column:
+        scalars = F.map_filter(F.transform_values(texts, number), lambda _, v: v.isNotNull())
         pair = F.struct(
-            numbers(texts).alias("scalars"),
-            split_pressure(F.try_element_at(texts, F.lit("blood_pressure"))).alias("pressure"),
+            scalars.alias("scalars"),
+            split_pressure(F.try_element_at(texts, F.lit(PRESSURE))).alias("pressure"),
         )
-        return let(pair, lambda p: merged(p["scalars"], p["pressure"]))
+        # Most readings use canonical flat names and need no merging.
+        odd = [F.map_contains_key(texts, k) for k in (PRESSURE, *VITAL_ALIASES)]
+        return F.when(reduce(or_, odd), let(pair, lambda p: merged(p["scalars"], p["pressure"]))).otherwise(scalars)
 
-    return let(vital_texts(vitals), both)
+    return F.coalesce(let(vital_texts(vitals), from_texts), empty)

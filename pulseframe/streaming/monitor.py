@@ -35,9 +35,13 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
 
 
 def cleaned_messages(messages: DataFrame, reading_id: Column, delay: str, idle_days: float | None = None) -> DataFrame:
-    """Decoded and cleaned readings of a message stream; messages without a time are left out."""
-    valid, _ = split_valid(decode(messages.withColumn("reading_id", reading_id)))
-    return clean_readings_stream(valid.filter(F.col("ts").isNotNull()), delay, idle_days)
+    """Decoded and cleaned readings of a message stream; messages without a time are left out.
+
+    Readings without a usable vital pass through as empty ones: testing for them
+    here would make Spark compute the vitals twice, once for the pushed-down filter.
+    """
+    timed = decode(messages.withColumn("reading_id", reading_id)).filter(F.col("ts").isNotNull())
+    return clean_readings_stream(timed, delay, idle_days)
 
 
 def score_batch(cleaned: DataFrame, mode: str = "parity") -> DataFrame:
