@@ -145,7 +145,8 @@ def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Count and share of all rows per value, ordered by value; NULL is not listed but counts in the total."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
+    # Summed from the counts, so that the grouped shuffle is shared.
+    total = counts.agg(F.sum("n").alias("total")).scalar()
     return (
         counts.filter(F.col(column).isNotNull())
         .withColumn("percent", F.col("n") * F.lit(100.0) / total)

@@ -392,10 +392,10 @@ def _fold_in_runs(df: DataFrame, keys, order, fold, runs: int) -> DataFrame:
     columns = _output_schema(df, fold).names
     inputs = df.columns
     waiting = staged.filter(F.col("_part") == "waiting")
-    # One row per run: the run count, not the data, bounds what the driver sees.
+    # One row per run, read piece by piece: the run count bounds it, not the data.
     closings = (
         staged.filter(F.col("_part") == "closing")
-        .select("_run", "_first_key", "_last_key", "_summary").orderBy("_run").collect()
+        .select("_run", "_first_key", "_last_key", "_summary").orderBy("_run").toLocalIterator()
     )
 
     def replay(run: int, incoming):
@@ -424,7 +424,7 @@ def _fold_in_runs(df: DataFrame, keys, order, fold, runs: int) -> DataFrame:
     )
     finished = (
         waiting.select(*inputs, "_run")
-        .repartition(F.col("_run"))
+        .repartition(runs, "_run")
         .sortWithinPartitions("_run", *order)
         .mapInArrow(finish, finished_schema)
     )
@@ -445,6 +445,20 @@ def clean_points(
     return fold_by_key(numeric, keys, order, Cleanup(field, value), max_rows_per_task)
 
 
+def clean_readings(readings: DataFrame, max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+    """Readings (patient_id, ts, reading_id, vitals map) with cleaned vitals.
+
+    Readings that keep no vital are left out. Each vital is its own series, so the
+    fold runs on one row per vital; the vitals of a reading, a handful, are
+    gathered again afterwards.
+    """
+    keys = ["patient_id", "ts", "reading_id"]
+    tall = readings.select(*keys, F.explode("vitals").alias("field", "value"))
+    cleaned = clean_points(tall, order=("ts", "reading_id"), max_rows_per_task=max_rows_per_task)
+    entries = F.collect_list(F.struct("field", "cleaned"))
+    return cleaned.groupBy(*keys).agg(F.map_from_entries(entries).alias("vitals"))
+
+
 def cool_down(
     alerts: DataFrame,
     keys: Sequence[str] = ("patient_id", "alert_type"),

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from pulseframe.session import scratch_path
 
-MAX_ROWS_PER_TASK = 5_000_000
+MAX_ROWS_PER_TASK = 20_000_000
+# One row per run is broadcast or read by the driver, so the number of runs is bounded.
+MAX_RUNS = 100_000
 _RUN_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -32,7 +34,7 @@ def key_volumes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
 
 
 def run_count(total_rows: int, rows_per_run: int) -> int:
-    return max(1, -(-total_rows // rows_per_run))
+    return min(MAX_RUNS, max(1, -(-total_rows // rows_per_run)))
 
 
 def with_ordinal(df: DataFrame, order: Sequence[str], runs: int, name: str = "ordinal") -> DataFrame:
@@ -69,16 +71,19 @@ def trailing_window(
     frame_rows: int,
     columns: Callable[[Window], dict[str, Column]],
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    volumes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Columns over the last ``frame_rows`` rows (this one included) of the key.
 
     ``columns`` maps a window to the new columns. Where a key is too large for
     one task, rows are cut into equal stretches of the total order and each
     stretch also gets the ``frame_rows - 1`` rows before it, so every frame is whole.
+    ``volumes`` may give known upper bounds for (all rows, rows of the largest key);
+    otherwise they are counted.
     """
     keys, order = list(keys), list(order)
     reach = frame_rows - 1
-    total, top = key_volumes(df, keys)
+    total, top = volumes or key_volumes(df, keys)
     if top <= max_rows_per_task:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-reach, 0)
         return df.withColumns(columns(window))

@@ -21,6 +21,7 @@ def rolling_features(
     order: Sequence[str] = ("ts",),
     rows: int = TREND_WINDOW,
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    volumes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Mean, sample deviation and slope per hour of each vital over the last rows.
 
@@ -36,7 +37,7 @@ def rolling_features(
             out[f"{v}_trend"] = F.regr_slope(F.col(v), hours).over(window)
         return out
 
-    return trailing_window(readings, keys, order, rows, columns, max_rows_per_task)
+    return trailing_window(readings, keys, order, rows, columns, max_rows_per_task, volumes)
 
 
 def rolling_times(
@@ -46,6 +47,7 @@ def rolling_times(
     order: Sequence[str] = ("ts", "event_id"),
     rows: int = METRIC_WINDOW,
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    volumes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Average, least and greatest processing time over the last ``rows`` messages of a consumer."""
     return trailing_window(
@@ -59,4 +61,5 @@ def rolling_times(
             "max_ms": F.max(value).over(w),
         },
         max_rows_per_task,
+        volumes,
     )

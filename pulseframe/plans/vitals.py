@@ -8,6 +8,7 @@ from pulseframe.functions import display, model, weighted
 from pulseframe.functions.scoring import MEWS_BANDS, score_readings, scored_records
 from pulseframe.operators.aggregates import level_counts
 from pulseframe.operators.inference import score_model
+from pulseframe.operators.ordered import key_volumes
 from pulseframe.operators.rolling import rolling_features
 from pulseframe.operators.timeseries import to_tall, to_wide
 from pulseframe.plans import tables as t
@@ -244,6 +245,12 @@ _ROLL_SQL = f"""SELECT *, {", ".join(f"CASE WHEN NOT isnan({v}_slope) THEN {v}_s
 FROM ({t.READINGS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY timestamp ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))"""
 
 
+def _rolled(spark, sf_dir):
+    # A patient has no more daily readings than points, and points are cheaper to count.
+    bounds = key_volumes(t.points(spark, sf_dir), ["patient_id"])
+    return rolling_features(t.readings(spark, sf_dir), order=("timestamp",), volumes=bounds)
+
+
 @query(
     "rolling_features",
     "SELECT patient_id, day, "
@@ -251,8 +258,7 @@ FROM ({t.READINGS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY timestamp
     + f" FROM ({_ROLL_SQL})",
 )
 def rolling(spark, sf_dir):
-    rolled = rolling_features(t.readings(spark, sf_dir), order=("timestamp",))
-    return rolled.select(
+    return _rolled(spark, sf_dir).select(
         *KEYS, *(steady(F.col(f"{v}_{s}")).alias(f"{v}_{s}") for v in ("heart_rate", "spo2") for s in ("mean", "std", "trend"))
     )
 
@@ -285,6 +291,5 @@ _LINEAR_SQL = (
 FROM (SELECT *, {_LINEAR_SQL} AS score FROM ({_ROLL_SQL}))""",
 )
 def feature_vector_scored(spark, sf_dir):
-    featured = rolling_features(t.readings(spark, sf_dir), order=("timestamp",))
-    scored = score_model(featured, _linear_model)
+    scored = score_model(_rolled(spark, sf_dir), _linear_model)
     return scored.select(*KEYS, steady(F.col("risk_score")).alias("risk_score"), "risk_level")

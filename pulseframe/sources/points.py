@@ -30,9 +30,18 @@ def to_points(readings: DataFrame, default_time: Column) -> DataFrame:
     ).select("measurement", "patient_id", "device_id", "risk_level", "field", "value", "ts")
 
 
+def by_day(points: DataFrame) -> DataFrame:
+    """Points with their day, laid out for a write into day folders.
+
+    Rebalancing gathers each day's rows into few files and still splits a day
+    that holds most of the rows.
+    """
+    return points.withColumn(PARTITION, F.to_date("ts")).hint("rebalance", PARTITION)
+
+
 def append_points(points: DataFrame, path: str) -> None:
     """Append, one folder per day, so that time ranges prune folders."""
-    points.withColumn(PARTITION, F.to_date("ts")).write.mode("append").partitionBy(PARTITION).parquet(path)
+    by_day(points).write.mode("append").partitionBy(PARTITION).parquet(path)
 
 
 def append_points_stream(points: DataFrame, path: str, checkpoint: str):

@@ -20,7 +20,7 @@ from pulseframe.operators.folds import COOLDOWN_SECONDS
 from pulseframe.operators.maintain import latest_risk, update_risk
 from pulseframe.operators.timeseries import latest_per_key
 from pulseframe.schemas import VITALS
-from pulseframe.sources.points import PARTITION, to_points
+from pulseframe.sources.points import PARTITION, by_day, to_points
 from pulseframe.sources.tables import audit_alerts, audit_readings, audit_trail
 from pulseframe.sources.topics import decode, split_valid
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
@@ -69,24 +69,27 @@ def write_batch(
             scored = scored.transform(hook)
         scored = scored.persist()
         try:
-            usable = scored.filter(F.size("vitals") > 0)
-            record = usable.drop("vitals")
+            usable = F.size("vitals") > 0
+            counts = scored.agg(
+                F.max("ts").alias("timestamp"),
+                F.count_if(usable).alias("messages_processed"),
+                F.count_if(~usable).alias("messages_failed"),
+            )
+            summary = counts.first()
+            if not summary["messages_processed"] + summary["messages_failed"]:
+                return
+            kept = scored.filter(usable)
+            record = kept.drop("vitals")
             _replace(record, root, "scored", batch_id)
-            with_risk = usable.withColumn(
+            with_risk = kept.withColumn(
                 "vitals", F.map_concat("vitals", F.create_map(F.lit("risk_score"), F.col("risk_score")))
             )
-            points = to_points(with_risk, F.current_timestamp()).withColumn(PARTITION, F.to_date("ts"))
+            points = by_day(to_points(with_risk, F.current_timestamp()))
             _replace(points, root, "points", batch_id, PARTITION)
-            _replace(latest_risk(usable, ["ts", "reading_id"]), root, "risk", batch_id)
-            alerts = build_alerts(usable, keep=("reading_id", "ts"))
+            _replace(latest_risk(kept, ["ts", "reading_id"]), root, "risk", batch_id)
+            alerts = build_alerts(kept, keep=("reading_id", "ts"))
             _replace(alerts, root, "alerts", batch_id)
             _replace(audit_trail(audit_readings(record), audit_alerts(alerts)), root, "audit", batch_id)
-            counts = scored.agg(
-                F.count(F.lit(1)).alias("messages_read"),
-                F.count_if(F.size("vitals") > 0).alias("messages_processed"),
-                F.count_if(F.size("vitals") == 0).alias("messages_failed"),
-                F.max("ts").alias("timestamp"),
-            )
             elapsed = F.lit((time.monotonic() - started) * 1000.0)
             _replace(counts.withColumn("processing_time_ms", elapsed), root, "metrics", batch_id)
         finally:

@@ -8,6 +8,7 @@ per key and micro-batch is enough: it fires once everything buffered is complete
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,9 +29,13 @@ def require_rocksdb(spark: SparkSession) -> None:
 
 
 class _OrderedProcessor(StatefulProcessor):
-    """Buffers rows per key and hands complete ones, in order, to ``walk``."""
+    """Buffers rows per key and hands complete ones, in order, to ``walk``.
 
-    buffer_schema: str
+    The rows of one key and micro-batch are one buffer entry (JSON text): a state
+    call costs far more than reading a few rows.
+    """
+
+    buffer_schema = "rows STRING"
     state_schema: str
 
     def __init__(self, idle_days: float | None = None):
@@ -45,25 +50,20 @@ class _OrderedProcessor(StatefulProcessor):
         pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = None
-        for frame in rows:
-            if not len(frame):
-                continue
-            self.buffer.appendList(self.pack(frame))
-            top = int(frame["ts_us"].max())
-            last = top if last is None else max(last, top)
-        if last is not None:
-            self.handle.registerTimer(-(-last // _MS))
+        arrived = [row for frame in rows for row in self.pack(frame)]
+        if arrived:
+            self.buffer.appendValue((json.dumps(arrived),))
+            self.handle.registerTimer(-(-max(row[0] for row in arrived) // _MS))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         complete = timerValues.getCurrentWatermarkInMs() * _MS
-        waiting = list(self.buffer.get())
-        ready = sorted((tuple(r) for r in waiting if r[0] <= complete), key=lambda r: (r[0], r[1]))
+        waiting = [row for (rows,) in self.buffer.get() for row in json.loads(rows)]
+        ready = sorted((r for r in waiting if r[0] <= complete), key=lambda r: (r[0], r[1]))
         if ready:
-            rest = [tuple(r) for r in waiting if r[0] > complete]
+            rest = [r for r in waiting if r[0] > complete]
             if rest:
-                self.buffer.put(rest)
+                self.buffer.put([(json.dumps(rest),)])
             else:
                 self.buffer.clear()
             yield self.walk(key, ready)
@@ -77,7 +77,6 @@ class _OrderedProcessor(StatefulProcessor):
 class CleanupProcessor(_OrderedProcessor):
     """Cleans whole readings of one patient; the state is the last value per vital."""
 
-    buffer_schema = "ts_us BIGINT, reading_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
     state_schema = "seen_us BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
     output_schema = (
         "patient_id STRING, ts_us BIGINT, reading_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
@@ -116,7 +115,6 @@ class CleanupProcessor(_OrderedProcessor):
 class CooldownProcessor(_OrderedProcessor):
     """Marks each alert of one patient and kind as sent or muted."""
 
-    buffer_schema = "ts_us BIGINT, alert_id BIGINT, body STRING"
     state_schema = "sent_us BIGINT"
     output_schema = (
         "patient_id STRING, alert_type STRING, ts_us BIGINT, alert_id BIGINT, body STRING, passed BOOLEAN"

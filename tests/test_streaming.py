@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pulseframe.operators.folds import clean_points, cool_down
+from pulseframe.operators.folds import clean_points, clean_readings, cool_down
 from pulseframe.sources.topics import decode
 from pulseframe.streaming.monitor import apply_risk, score_batch, start_dispatch, start_monitoring, write_batch
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
@@ -155,11 +155,8 @@ def test_monitoring_sinks_agree(spark, monitored):
 def test_monitoring_matches_batch(spark, monitored):
     root, rows = monitored
     decoded = decode(spark.createDataFrame(rows, "event_id BIGINT, value STRING")).filter("event_id < 120")
-    tall = decoded.select("patient_id", "ts", "event_id", F.explode("vitals").alias("field", "value"))
-    cleaned = clean_points(tall).groupBy("patient_id", "ts", "event_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "cleaned"))).alias("vitals")
-    )
-    expected = {r["event_id"]: (r["mews_score"], r["risk_score"], r["risk_level"]) for r in score_batch(cleaned).collect()}
+    cleaned = clean_readings(decoded.withColumnRenamed("event_id", "reading_id"))
+    expected = {r["reading_id"]: (r["mews_score"], r["risk_score"], r["risk_level"]) for r in score_batch(cleaned).collect()}
     got = {r["reading_id"]: (r["mews_score"], r["risk_score"], r["risk_level"]) for r in spark.read.parquet(f"{root}/scored").filter("reading_id < 120").collect()}
     assert got == expected
 
@@ -185,3 +182,18 @@ def test_dispatch_and_risk_updates(spark, monitored):
     patients, admissions = apply_risk(spark, root, none, no_adm, F.lit("2024-03-02").cast("timestamp"))
     assert {r["patient_id"] for r in patients.collect()} >= {f"ICU-00000{i}" for i in range(4)}
     assert {r["department"] for r in admissions.collect()} == {"ICU-Emergency"}
+
+
+def test_progress_rows():
+    from pulseframe.streaming.progress import consumer_rows
+
+    progress = {
+        "timestamp": "2024-03-01T10:00:00.000Z", "numInputRows": 30, "durationMs": {"triggerExecution": 1500},
+        "sources": [{"endOffset": '{"vitals": {"0": 100, "1": 40}}', "latestOffset": '{"vitals": {"0": 110, "1": 40}}'}],
+        "observedMetrics": {},
+    }
+    rows = {r["partition"]: r for r in consumer_rows(progress)}
+    assert rows[0]["offset"] == 100 and rows[0]["lag"] == 10 and rows[1]["lag"] == 0
+    assert rows[0]["messages_processed"] == 30 and rows[0]["processing_time_ms"] == 1500.0
+    files = dict(progress, sources=[{"endOffset": {"logOffset": 3}, "latestOffset": None}])
+    assert [(r["partition"], r["offset"]) for r in consumer_rows(files)] == [(None, None)]
