@@ -60,7 +60,8 @@ _SUMMARY_LIMIT = 4096  # entries of a run's summary kept; longer ones are replay
 class Cleanup:
     """Range check, imputation and smoothing of one (patient, vital) series.
 
-    The state is the last kept value, or None before there is one.
+    The state is the last kept value, or None before there is one. The vital's name
+    must be part of the fold's key.
     """
 
     output = (("cleaned", pa.float64(), T.DoubleType()),)
@@ -68,42 +69,54 @@ class Cleanup:
     def __init__(self, field: str = "field", value: str = "value"):
         self.inputs = (field, value)
 
-    def prepare(self, batch: pa.RecordBatch) -> list[list]:
+    def prepare(self, batch: pa.RecordBatch) -> list:
         field, value = (batch.column(batch.schema.get_field_index(c)) for c in self.inputs)
-        return [field.to_pylist(), value.to_numpy(zero_copy_only=False).tolist()]
+        return [field, value.to_numpy(zero_copy_only=False).tolist()]
+
+    def rules(self, field: str) -> tuple[float, float, float]:
+        """(low, high, jump limit); an unlisted vital has no range, only infinities are useless."""
+        low, high = PLAUSIBLE_RANGES.get(field, (None, None))
+        return low, high, JUMP_LIMITS.get(field, DEFAULT_JUMP_LIMIT)
+
+    def fold(self, state, values, low, high, jump):
+        """(outputs, None where the value is dropped; state after the last value)."""
+        out = []
+        for value in values:
+            if low is None:
+                if math.isinf(value):
+                    out.append(None)
+                    continue
+            elif not low <= value <= high:
+                out.append(state)
+                continue
+            if state is not None and abs(value - state) > jump:
+                value = state * OLD_WEIGHT + value * NEW_WEIGHT
+            out.append(value)
+            state = value
+        return out, state
 
     def step(self, state, field, value):
-        """(output or None to drop, next state)."""
-        limits = PLAUSIBLE_RANGES.get(field)
-        if limits is None:
-            if math.isinf(value):
-                return None, state
-        elif not limits[0] <= value <= limits[1]:
-            return state, state
-        if state is not None and abs(value - state) > JUMP_LIMITS.get(field, DEFAULT_JUMP_LIMIT):
-            value = state * OLD_WEIGHT + value * NEW_WEIGHT
-        return value, value
+        """(output or None to drop, next state) for a single value."""
+        out, state = self.fold(state, (value,), *self.rules(field))
+        return out[0], state
 
     def walk(self, state, columns, start, stop):
-        """Outputs of rows start..stop (None drops the row) and the state after them."""
+        """Outputs of rows start..stop of one series and the state after them."""
         fields, values = columns
-        out = []
-        for i in range(start, stop):
-            result, state = self.step(state, fields[i], values[i])
-            out.append(result)
-        return out, state
+        return self.fold(state, values[start:stop], *self.rules(fields[start].as_py()))
 
     def unknown(self, columns, start):
-        edges = PLAUSIBLE_RANGES.get(columns[0][start], (-_WIDEST, _WIDEST))
-        return {"edges": edges, "low": edges[0], "high": edges[1]}
+        field = columns[0][start].as_py()
+        edges = PLAUSIBLE_RANGES.get(field, (-_WIDEST, _WIDEST))
+        return {"rules": self.rules(field), "edges": edges, "low": edges[0], "high": edges[1]}
 
     def walk_unknown(self, open_state, columns, start, stop):
         """Rows set aside, and the state if it became certain (else None)."""
-        fields, values = columns
+        values, rules = columns[1], open_state["rules"]
         low, high = open_state["low"], open_state["high"]
         for i in range(start, stop):
-            _, low = self.step(low, fields[i], values[i])
-            _, high = self.step(high, fields[i], values[i])
+            _, low = self.fold(low, values[i : i + 1], *rules)
+            _, high = self.fold(high, values[i : i + 1], *rules)
             if low == high or (math.isnan(low) and math.isnan(high)):
                 return i + 1 - start, low
         open_state["low"], open_state["high"] = low, high
@@ -221,20 +234,24 @@ def _key_at(batch: pa.RecordBatch, keys: Sequence[str], row: int) -> tuple:
     return tuple(batch.column(batch.schema.get_field_index(k))[row].as_py() for k in keys)
 
 
-def _with_columns(batch: pa.RecordBatch, rows, extra: dict[str, pa.Array]) -> pa.RecordBatch:
-    taken = batch.take(pa.array(rows, pa.int64())) if rows is not None else batch
-    arrays = [*taken.columns, *extra.values()]
-    return pa.RecordBatch.from_arrays(arrays, names=[*taken.schema.names, *extra])
+def _with_columns(batch: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, *extra.values()], names=[*batch.schema.names, *extra]
+    )
+
+
+def _kept(batch: pa.RecordBatch, results: pa.Array) -> tuple[pa.RecordBatch, pa.Array]:
+    """Rows the fold did not drop, with their results."""
+    if not results.null_count:
+        return batch, results
+    mask = pc.is_valid(results)
+    return batch.filter(mask), results.filter(mask)
 
 
-def _emit(batch, results, fold):
-    """Input rows plus the fold's output, without the rows it dropped."""
+def _emit(batch: pa.RecordBatch, results: list, fold) -> pa.RecordBatch:
     (name, arrow_type, _), = fold.output
-    values = pa.array(results, arrow_type, from_pandas=False)
-    if values.null_count:
-        mask = pc.is_valid(values)
-        return _with_columns(batch.filter(mask), None, {name: values.filter(mask)})
-    return _with_columns(batch, None, {name: values})
+    kept, values = _kept(batch, pa.array(results, arrow_type))
+    return _with_columns(kept, {name: values})
 
 
 def _walk_batches(batches: Iterator[pa.RecordBatch], keys, fold, entering=None):
@@ -303,12 +320,12 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold):
 
     def tagged(batch, results, part):
         n = batch.num_rows
-        extra = {name: pa.array(results, arrow_type) if results is not None else pa.nulls(n, arrow_type)}
+        extra = {name: results if results is not None else pa.nulls(n, arrow_type)}
         extra["_part"] = pa.array([part] * n, pa.string())
         extra["_run"] = pa.array([run] * n, pa.int32())
         for c in ("_first_key", "_last_key", "_summary"):
             extra[c] = pa.nulls(n, pa.string())
-        return _with_columns(batch, None, extra)
+        return _with_columns(batch, extra)
 
     first = key = state = opened = schema = None
     for batch in batches:
@@ -338,9 +355,7 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold):
         if waiting:
             yield tagged(batch.slice(0, waiting), None, "waiting")
         if results:
-            done = batch.slice(waiting)
-            keep = [i for i, r in enumerate(results) if r is not None]
-            yield tagged(done.take(pa.array(keep, pa.int64())), [results[i] for i in keep], "done")
+            yield tagged(*_kept(batch.slice(waiting), pa.array(results, arrow_type)), "done")
     if first is not None:
         summary = fold.certain_summary(state) if opened is None else fold.summary(opened)
         closing = {

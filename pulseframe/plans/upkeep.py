@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.patients import patient_key
 from pulseframe.functions.scoring import score_readings
 from pulseframe.operators import maintain as m
+from pulseframe.operators.relate import lookup_case
 from pulseframe.plans import tables as t
 from pulseframe.plans.people import CURRENT_SQL
 from pulseframe.plans.registry import query, steady, steady_sql
@@ -252,3 +253,33 @@ def enrich_patients(spark, sf_dir):
         rich.join(old, "patient_id")
         .withColumn("blood_type", F.when(filled, known).otherwise(F.col("blood_type"))).drop("_old")
     )
+
+
+@query(
+    "enriched_admissions",
+    f"""WITH cur AS ({CURRENT_SQL}), adm AS ({t.ADMISSIONS_SQL}), fix AS (
+  SELECT c.admission_id, coalesce(CASE WHEN k.p_retailprice >= 1000 THEN k.p_name END, k.p_type) AS new_dx,
+    CASE WHEN c.department IS NULL OR c.department = '' OR contains(c.department, 'ICU') THEN k.p_brand ELSE c.department END AS new_dept
+  FROM cur c JOIN ({t.PATIENTS_SQL}) p ON p.patient_id = c.patient_id JOIN part k ON c.patient_id = k.p_partkey
+  WHERE contains(c.initial_diagnosis, 'Auto-') OR c.initial_diagnosis = 'Observation')
+SELECT a.admission_id, coalesce(f.new_dx, a.initial_diagnosis) AS initial_diagnosis, coalesce(f.new_dept, a.department) AS department
+FROM adm a LEFT JOIN fix f ON a.admission_id = f.admission_id""",
+)
+def enriched_admissions(spark, sf_dir):
+    patients, admissions = _with_text_ids(t.patients(spark, sf_dir)), _with_text_ids(t.admissions(spark, sf_dir))
+    rich = m.enrich_active(patients, admissions, _clinical(spark, sf_dir))
+    _, after = m.apply_enrichment(patients, admissions, rich)
+    return after.select("admission_id", "initial_diagnosis", "department")
+
+
+@query(
+    "case_lookup",
+    f"""SELECT p.patient_id, p.full_name, k.p_partkey IS NOT NULL AS found, k.p_type AS dx, k.p_brand AS department
+FROM ({t.PATIENTS_SQL}) p LEFT JOIN part k ON p.patient_id = k.p_partkey""",
+)
+def case_lookup(spark, sf_dir):
+    people = t.patients(spark, sf_dir).select("patient_id", "full_name", F.col("patient_id").alias("case_id"))
+    clinical = _clinical(spark, sf_dir).withColumn("found", F.lit(True))
+    return lookup_case(people, clinical).select(
+        "patient_id", "full_name", F.coalesce("found", F.lit(False)).alias("found"), "dx", "department"
+    )
