@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -19,6 +21,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         if name in _QUERIES:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -49,3 +51,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever they run.
+
+    Once per application; a package installed on the cluster needs no shipping but
+    is not disturbed by it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_pulseframe_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="pulseframe-"), "pulseframe")
+    root, name = os.path.split(package)
+    context.addPyFile(shutil.make_archive(target, "zip", root, name))
+    # The process that sets up streaming state runs next to the driver and sees no shipped files.
+    paths = [root, context.environment.get("PYTHONPATH", "")]
+    context.environment["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)
+    context._pulseframe_shipped = True

@@ -36,7 +36,7 @@ def by_day(points: DataFrame) -> DataFrame:
     Rebalancing gathers each day's rows into few files and still splits a day
     that holds most of the rows.
     """
-    return points.withColumn(PARTITION, F.to_date("ts")).hint("rebalance", PARTITION)
+    return points.withColumn(PARTITION, F.to_date("ts")).hint("REBALANCE", F.col(PARTITION))
 
 
 def append_points(points: DataFrame, path: str) -> None:

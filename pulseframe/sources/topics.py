@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.functions.numbers import let
 from pulseframe.functions.readings import flatten_vitals, parse_time, patient_or_unknown
 
 # Message key of a reading without patient, reasons for quarantine.
@@ -36,11 +35,10 @@ def decode(messages: DataFrame, value: str = "value", for_cleaning: bool = True)
 
     Other message columns (offset, partition, ...) are kept.
     """
-    body = let(
-        F.try_parse_json(F.col(value).cast("string")),
-        lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v),
+    message = F.col(value).cast("string")
+    parsed = messages.withColumn(
+        "body", F.when(F.ltrim(message).startswith("{"), F.try_parse_json(message))
     )
-    parsed = messages.withColumn("body", body)
     text = lambda path: F.try_variant_get("body", path, "string")
     vitals = flatten_vitals(F.try_variant_get("body", "$.vital_signs", "variant"), for_cleaning)
     return parsed.withColumns(
@@ -60,11 +58,16 @@ def rejection(decoded: DataFrame) -> Column:
 
 
 def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readings with at least one vital, quarantined messages with a reason)."""
+    """(readings with at least one vital, quarantined messages with a reason).
+
+    The tests are generators rather than filters: Spark would push a filter below
+    the decoding and so decode every message twice.
+    """
     reason = rejection(decoded)
+    passed = F.explode(F.when(reason.isNull(), F.array(F.lit(True))))
     return (
-        decoded.filter(reason.isNull()),
-        decoded.withColumn("reason", reason).filter(F.col("reason").isNotNull()),
+        decoded.withColumn("_passed", passed).drop("_passed"),
+        decoded.withColumn("reason", F.explode(F.array_compact(F.array(reason)))),
     )
 
 

@@ -20,7 +20,7 @@ from pulseframe.operators.folds import COOLDOWN_SECONDS
 from pulseframe.operators.maintain import latest_risk, update_risk
 from pulseframe.operators.timeseries import latest_per_key
 from pulseframe.schemas import VITALS
-from pulseframe.sources.points import PARTITION, by_day, to_points
+from pulseframe.sources.points import PARTITION, to_points
 from pulseframe.sources.tables import audit_alerts, audit_readings, audit_trail
 from pulseframe.sources.topics import decode, split_valid
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
@@ -84,7 +84,8 @@ def write_batch(
             with_risk = kept.withColumn(
                 "vitals", F.map_concat("vitals", F.create_map(F.lit("risk_score"), F.col("risk_score")))
             )
-            points = by_day(to_points(with_risk, F.current_timestamp()))
+            # A live batch spans a day or two, and adaptive rebalancing is off in streams.
+            points = to_points(with_risk, F.current_timestamp()).withColumn(PARTITION, F.to_date("ts"))
             _replace(points, root, "points", batch_id, PARTITION)
             _replace(latest_risk(kept, ["ts", "reading_id"]), root, "risk", batch_id)
             alerts = build_alerts(kept, keep=("reading_id", "ts"))

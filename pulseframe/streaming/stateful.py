@@ -31,8 +31,8 @@ def require_rocksdb(spark: SparkSession) -> None:
 class _OrderedProcessor(StatefulProcessor):
     """Buffers rows per key and hands complete ones, in order, to ``walk``.
 
-    The rows of one key and micro-batch are one buffer entry (JSON text): a state
-    call costs far more than reading a few rows.
+    Each Arrow batch of a key is one buffer entry (JSON text): a state call costs
+    far more than reading a few rows, and no entry grows without limit.
     """
 
     buffer_schema = "rows STRING"
@@ -50,10 +50,15 @@ class _OrderedProcessor(StatefulProcessor):
         pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [row for frame in rows for row in self.pack(frame)]
-        if arrived:
-            self.buffer.appendValue((json.dumps(arrived),))
-            self.handle.registerTimer(-(-max(row[0] for row in arrived) // _MS))
+        last = None
+        for frame in rows:
+            arrived = self.pack(frame)
+            if arrived:
+                self.buffer.appendValue((json.dumps(arrived),))
+                top = max(row[0] for row in arrived)
+                last = top if last is None else max(last, top)
+        if last is not None:
+            self.handle.registerTimer(-(-last // _MS))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
