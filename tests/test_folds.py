@@ -144,3 +144,25 @@ def test_cooldown_replays_runs_with_long_summaries(spark, monkeypatch):
     monkeypatch.setattr(folds.Cooldown, "summary", lambda self, state: None)
     rows = [("hot", "a", i, i) for i in range(1200)]
     assert run_cooldown(spark, rows, max_rows_per_task=300) == brute_cooldown(rows, 300)
+
+
+def test_known_vitals_stay_in_range_and_ignore_the_partition_count(spark):
+    rows = hot_rows(21, 1500, VALUES["wild"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append(run_clean(spark, rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    field = {r[3]: r[1] for r in rows}
+    for event, value in results[0].items():
+        low, high = LIMITS.get(field[event], (-math.inf, math.inf))
+        assert low <= value <= high
+
+
+def test_empty_input(spark):
+    assert run_clean(spark, []) == {}
+    assert run_cooldown(spark, []) == {}
