@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulseframe.llm import exact_dedup, mixing, near_dedup, packing, quality, tokens
+from pulseframe.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, substrings, tokens, topk
 from pulseframe.llm.common import table
 from pulseframe.session import ship_package
 
@@ -108,3 +109,41 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM numbered
 """)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_chat_format")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id LONG, turn LONG, role STRING, text STRING")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(probe)
+    record = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"})
+    turns = chat.canonical_turns(rows.select("conv_id", "turn", record.alias("record")))
+    return chat.conversation_digests(chat.format_turns(turns))
+
+
+@query("op10_exact_top_k", """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id,
+         CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(p.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable q JOIN usable p ON q.vec_id % 20 = 0 AND q.vec_id <> p.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(topk.integer_vectors(table(spark, sf_dir, "embeddings"), scale=64, query_every=20), k=20)
+
+
+@query("op8_surrogates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents"))
+
+
+@query("op1_repeated_substrings")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=400)
