@@ -72,7 +72,10 @@ def test_covered(pairs, total):
 
 @pytest.mark.parametrize("seed, letters, window, gram, group_rows", [
     (1, "ab", 20, 4, 512), (2, "ab", 20, 4, 2), (3, "abcdefgh", 30, 8, 3), (4, "abé", 25, 5, 4), (5, "a b\n", 40, 3, 1)])
-def test_spans(spark, seed, letters, window, gram, group_rows):
+@pytest.mark.parametrize("heavy", [2, 0.01])
+def test_spans(spark, monkeypatch, seed, letters, window, gram, group_rows, heavy):
+    monkeypatch.setattr(substrings, "HEAVY_SHARE", heavy)
+    monkeypatch.setattr(substrings, "LEAST_HEAVY", 1)
     texts = made(seed, 60, letters, 60)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(5)
     got = substrings.remove_repeats(docs, window, gram, group_rows, keep_text=True).orderBy("doc_id").collect()
@@ -85,11 +88,11 @@ def test_long_texts_in_chunks(spark, monkeypatch):
     texts = made(9, 10, "abc", 200)
     for text in texts:
         data = (text or "").encode()
-        place, key, around = substrings.anchors(data, 20, 4)
+        parts = substrings.anchors(data, 20, 4)
         monkeypatch.setattr(substrings, "CHUNK", 1 << 20)
         whole = substrings.anchors(data, 20, 4)
         monkeypatch.setattr(substrings, "CHUNK", 64)
-        assert place.tolist() == whole[0].tolist() and key.tolist() == whole[1].tolist() and around.tolist() == whole[2].tolist()
+        assert [p.tolist() for p in parts] == [p.tolist() for p in whole]
 
 
 def test_repeated_rows_nulls_and_names(spark):
