@@ -166,17 +166,19 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     are treated each; a null doc_id stays null.
     """
     text = F.col("text").cast("string")
-    base = docs.select("doc_id", text.alias("text"))
-    rows = base.withColumn("row", F.monotonically_increasing_id())
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     has = F.coalesce(F.col("text"), F.lit("")).rlike("[@0-9]|\\b(?:Mr|Mrs|Ms|Mme|Miss|Herr|Frau|Sra?|Señora?|Madame|Monsieur|г-н|г-жа)\\b")
-    found = saved(rows.filter(has).select("row", F.posexplode(entities(F.col("text"))).alias("place", "e")).select("row", "place", "e.*"), "mentions")
+    found = rows.filter(has).select("doc_id", "h", F.posexplode(entities(F.col("text"))).alias("place", "e"))
+    found = saved(found.select("doc_id", "h", "place", "e.*"), "mentions")
     table = surrogate_table(found, key)
     dressed = found.join(table, ["kind", "key"]).select(
-        "row", "place", _dressed(F.col("kind"), F.col("value"), F.col("surrogate")).alias("surrogate"))
-    by_row = dressed.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("new"))
+        F.col("doc_id").alias("d"), F.col("h").alias("g"), "place",
+        _dressed(F.col("kind"), F.col("value"), F.col("surrogate")).alias("surrogate"))
+    # Rows that repeat a text under one doc_id tell the same entities.
+    by_doc = dressed.groupBy("d", "g").agg(F.sort_array(F.collect_set(F.struct("place", "surrogate"))).alias("new"))
     between = F.split(F.col("text"), _ANY, -1)
     rebuilt = F.concat_ws("", F.transform(between, lambda part, i: F.concat(
         part, F.coalesce(F.get(F.col("new"), i)["surrogate"], F.lit("")))))
-    return rows.join(by_row, "row", "left").select(
+    return rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left").select(
         "doc_id", F.when(F.col("new").isNull(), F.col("text")).otherwise(rebuilt).alias("text"),
         F.coalesce(F.size("new"), F.lit(0)).cast("long").alias("n_entities"))
