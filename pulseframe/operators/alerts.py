@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.model import threshold_alert
 from pulseframe.functions.patients import name_from_id
 from pulseframe.operators.filters import ALERT_LEVELS, alert_levels
-from pulseframe.operators.ordered import MAX_ROWS_PER_TASK, following_min
+from pulseframe.operators.ordered import following_min
 
 # Texts, channels, display time and history lengths.
 DEFAULT_REASON = "Risk threshold exceeded"
@@ -85,7 +85,7 @@ def acknowledge(
     alerts: DataFrame,
     acks: DataFrame,
     keys: Sequence[str] = ("patient_id",),
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    runs: int | None = None,
 ) -> DataFrame:
     """Alerts with the first acknowledgement of their patient at or after the alert.
 
@@ -104,7 +104,7 @@ def acknowledge(
     both = left.unionByName(right, allowMissingColumns=True).withColumn(
         "_order", F.coalesce(F.col("alert_id"), F.lit(-1))
     )
-    marked = following_min(both, keys, ("ts", "_side", "_order"), "_ack", "_next", max_rows_per_task)
+    marked = following_min(both, keys, ("ts", "_side", "_order"), "_ack", "_next", runs)
     return marked.filter(F.col("_side") == 0).select(
         *keys,
         "ts",

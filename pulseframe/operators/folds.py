@@ -5,7 +5,7 @@ next state depends on whether the previous one let the row through. Rows are
 shuffled and sorted by Spark; a task walks them once, in Arrow batches, with one
 small state at a time.
 
-A key that is too large for a task is cut into runs by range partitioning. A run
+A key that is too large for a task can be cut into runs by range partitioning. A run
 that starts inside a key does not know the state it starts from, so it is walked
 for every start at once until the start no longer matters:
 
@@ -17,7 +17,7 @@ for every start at once until the start no longer matters:
   enough, and these merge into one.
 
 Rows walked before that point are set aside, and finished in a second, equally
-parallel pass once the state entering each run is known.
+parallel pass, in which a run that never settled is continued by the next one's rows.
 """
 
 from __future__ import annotations
@@ -31,11 +31,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulseframe.operators.ordered import MAX_ROWS_PER_TASK, key_volumes, run_count
 from pulseframe.session import scratch_path
 
 # Plausible range per vital, jump limits, smoothing weights.
@@ -54,7 +53,6 @@ OLD_WEIGHT, NEW_WEIGHT = 0.7, 0.3
 COOLDOWN_SECONDS = 300
 
 _WIDEST = float(np.finfo(np.float64).max)
-_SUMMARY_LIMIT = 4096  # entries of a run's summary kept; longer ones are replayed instead
 
 
 class Cleanup:
@@ -107,8 +105,8 @@ class Cleanup:
 
     def unknown(self, columns, start):
         field = columns[0][start].as_py()
-        edges = PLAUSIBLE_RANGES.get(field, (-_WIDEST, _WIDEST))
-        return {"rules": self.rules(field), "edges": edges, "low": edges[0], "high": edges[1]}
+        low, high = PLAUSIBLE_RANGES.get(field, (-_WIDEST, _WIDEST))
+        return {"rules": self.rules(field), "low": low, "high": high}
 
     def walk_unknown(self, open_state, columns, start, stop):
         """Rows set aside, and the state if it became certain (else None)."""
@@ -122,18 +120,6 @@ class Cleanup:
         open_state["low"], open_state["high"] = low, high
         return stop - start, None
 
-    def summary(self, open_state):
-        """Effect of a run that never became certain; None asks for a replay."""
-        if (open_state["low"], open_state["high"]) == open_state["edges"]:
-            return {"same": True}  # a usable value would have moved at least one edge
-        return None
-
-    def certain_summary(self, state):
-        return {"state": state}
-
-    def enter(self, summary, state):
-        return state if summary.get("same") else summary["state"]
-
 
 class Cooldown:
     """Lets an alert pass if none of its kind passed within the cooldown.
@@ -193,29 +179,6 @@ class Cooldown:
                 return i + 1 - start, groups[0][0]
         return stop - start, None
 
-    def summary(self, open_state):
-        bounds = sorted((b, g[0]) for g in open_state["groups"] for b in g[1])
-        if not bounds:
-            return {"bounds": [], "after": []}
-        # Neighbouring starts with the same outcome need only the larger bound.
-        merged = [
-            pair for pair, nxt in zip(bounds, [*bounds[1:], (None, None)]) if pair[1] != nxt[1]
-        ]
-        if len(merged) > _SUMMARY_LIMIT:
-            return None
-        return {"bounds": [b for b, _ in merged], "after": [a for _, a in merged]}
-
-    def certain_summary(self, state):
-        return {"bounds": [], "after": [], "state": state}
-
-    def enter(self, summary, state):
-        if "state" in summary:
-            return summary["state"]
-        for bound, after in zip(summary["bounds"], summary["after"]):
-            if state is None or state <= bound:
-                return after
-        return state
-
 
 def _starts(batch: pa.RecordBatch, keys: Sequence[str]) -> list[int]:
     """Row numbers at which the key differs from the row before."""
@@ -266,7 +229,7 @@ def _walk_batches(batches: Iterator[pa.RecordBatch], keys, fold, entering=None):
         for start, stop in zip(starts, [*starts[1:], batch.num_rows]):
             this = _key_at(batch, keys, start)
             if this != key:
-                key, state = this, None if entering is None else entering(this)
+                key, state = this, None if entering is None else entering(batch, start)
             out, state = fold.walk(state, columns, start, stop)
             results.extend(out)
         yield _emit(batch, results, fold)
@@ -278,21 +241,17 @@ def _output_schema(df: DataFrame, fold) -> T.StructType:
 
 
 def fold_by_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    fold,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fold, runs: int | None = None
 ) -> DataFrame:
     """Walk each key's rows in ``order`` and add the fold's output column.
 
-    ``order`` must be total within a key. The result does not depend on the
-    number of partitions nor on which of the two plans is taken.
+    ``order`` must be total within a key. Without ``runs`` a key is one task's stream;
+    with ``runs`` all rows are cut into that many pieces, whatever their keys. The result
+    depends neither on that nor on the number of partitions.
     """
     keys, order = list(keys), list(order)
-    total, top = key_volumes(df, keys)
-    if top > max_rows_per_task:
-        return _fold_in_runs(df, keys, order, fold, run_count(total, max_rows_per_task))
+    if runs is not None:
+        return _fold_in_runs(df, keys, order, fold, runs)
     return (
         df.repartition(*keys)
         .sortWithinPartitions(*keys, *order)
@@ -305,7 +264,7 @@ _RUN_COLUMNS = [
     T.StructField("_run", T.IntegerType()),
     T.StructField("_first_key", T.StringType()),
     T.StructField("_last_key", T.StringType()),
-    T.StructField("_summary", T.StringType()),
+    T.StructField("_end", T.StringType()),
 ]
 
 
@@ -323,7 +282,7 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold):
         extra = {name: results if results is not None else pa.nulls(n, arrow_type)}
         extra["_part"] = pa.array([part] * n, pa.string())
         extra["_run"] = pa.array([run] * n, pa.int32())
-        for c in ("_first_key", "_last_key", "_summary"):
+        for c in ("_first_key", "_last_key", "_end"):
             extra[c] = pa.nulls(n, pa.string())
         return _with_columns(batch, extra)
 
@@ -357,13 +316,13 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold):
         if results:
             yield tagged(*_kept(batch.slice(waiting), pa.array(results, arrow_type)), "done")
     if first is not None:
-        summary = fold.certain_summary(state) if opened is None else fold.summary(opened)
         closing = {
             "_part": ["closing"],
             "_run": [run],
             "_first_key": [_key_text(first)],
             "_last_key": [_key_text(key)],
-            "_summary": [None if summary is None else json.dumps(summary)],
+            # The state after the run, if it is known; [] keeps a state of None apart.
+            "_end": [None if opened is not None else json.dumps([state])],
         }
         arrays = [pa.nulls(1, f.type) for f in schema]
         names = list(schema.names)
@@ -375,20 +334,21 @@ def _walk_run(batches: Iterator[pa.RecordBatch], keys, fold):
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def _enter_runs(closings, fold, replay) -> dict[int, object]:
-    """State entering each run that starts inside a key, from one closing row per run."""
-    entering, key, state = {}, None, None
-    for row in closings:
-        incoming = state if row["_first_key"] == key else None
-        entering[row["_run"]] = incoming
-        if row["_summary"] is None:
-            state = replay(row["_run"], incoming)
-        elif row["_first_key"] != row["_last_key"]:
-            state = fold.enter(json.loads(row["_summary"]), None)
-        else:
-            state = fold.enter(json.loads(row["_summary"]), incoming)
-        key = row["_last_key"]
-    return entering
+def _chains(closings: DataFrame) -> DataFrame:
+    """(_run, _chain, _entering): which run's set-aside rows come first, and the state before them.
+
+    One row per run. A run that starts inside a key and follows one that never settled
+    continues that one's chain.
+    """
+    by_run = Window.orderBy("_run")
+    before = lambda c: F.lag(c).over(by_run)
+    inside = F.coalesce(before("_last_key") == F.col("_first_key"), F.lit(False))
+    told = closings.withColumns({"_inside": inside, "_before": before("_end")})
+    starts = ~F.col("_inside") | F.col("_before").isNotNull()
+    chain = F.max(F.when(starts, F.col("_run"))).over(by_run.rowsBetween(Window.unboundedPreceding, 0))
+    return told.select(
+        "_run", chain.alias("_chain"), F.when(F.col("_inside"), F.col("_before")).alias("_entering")
+    )
 
 
 def _fold_in_runs(df: DataFrame, keys, order, fold, runs: int) -> DataFrame:
@@ -404,43 +364,26 @@ def _fold_in_runs(df: DataFrame, keys, order, fold, runs: int) -> DataFrame:
         .write.partitionBy("_part").parquet(path)
     )
     staged = spark.read.schema(staged_schema).parquet(path)
-    columns = _output_schema(df, fold).names
-    inputs = df.columns
-    waiting = staged.filter(F.col("_part") == "waiting")
-    # One row per run, read piece by piece: the run count bounds it, not the data.
-    closings = (
-        staged.filter(F.col("_part") == "closing")
-        .select("_run", "_first_key", "_last_key", "_summary").orderBy("_run").toLocalIterator()
-    )
-
-    def replay(run: int, incoming):
-        """End state of a run that depends on its start in too many ways to summarise."""
-        rows = waiting.filter(F.col("_run") == run).select(*inputs).coalesce(1)
+    columns, inputs = _output_schema(df, fold).names, df.columns
+    closings = staged.filter(F.col("_part") == "closing").select("_run", "_first_key", "_last_key", "_end")
+    waiting = staged.filter(F.col("_part") == "waiting").select(*inputs, "_run")
 
-        def last_state(batches):
-            state = incoming
-            for batch in batches:
-                if batch.num_rows:
-                    _, state = fold.walk(state, fold.prepare(batch), 0, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array([json.dumps(state)])], names=["state"])
-
-        found = rows.sortWithinPartitions(*order).mapInArrow(last_state, "state STRING").first()
-        return json.loads(found["state"])
-
-    entering = _enter_runs(closings, fold, replay)
+    def entering(batch, row):
+        text = batch.column(batch.schema.get_field_index("_entering"))[row].as_py()
+        return None if text is None else json.loads(text)[0]
 
     def finish(batches):
-        # Rows arrive sorted by run, and the rows a run set aside belong to one key.
-        yield from _walk_batches(batches, ["_run"], fold, lambda key: entering[key[0]])
+        # A chain's rows are of one key and come in its order, the first run's first.
+        yield from _walk_batches(batches, ["_chain"], fold, entering)
 
-    finished_schema = T.StructType(
-        [*(T.StructField(f.name, f.dataType, True) for f in df.schema.fields), T.StructField("_run", T.IntegerType()),
-         *(T.StructField(n, t) for n, _, t in fold.output)]
-    )
+    known = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
+    more = [T.StructField("_run", T.IntegerType()), T.StructField("_chain", T.IntegerType()), T.StructField("_entering", T.StringType())]
+    finished_schema = T.StructType([*known, *more, *(T.StructField(n, t) for n, _, t in fold.output)])
     finished = (
-        waiting.select(*inputs, "_run")
-        .repartition(runs, "_run")
-        .sortWithinPartitions("_run", *order)
+        waiting.join(F.broadcast(_chains(closings)), "_run")  # ``runs`` rows at most
+        .select(*inputs, "_run", "_chain", "_entering")
+        .repartition(runs, "_chain")
+        .sortWithinPartitions("_chain", "_run", *order)
         .mapInArrow(finish, finished_schema)
     )
     done = staged.filter(F.col("_part") == "done").select(*columns)
@@ -453,23 +396,24 @@ def clean_points(
     order: Sequence[str] = ("ts", "event_id"),
     field: str = "field",
     value: str = "value",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    runs: int | None = None,
 ) -> DataFrame:
     """Cleaned value per tall point; points without a number or a usable history are dropped."""
     numeric = points.filter(F.col(value).isNotNull())
-    return fold_by_key(numeric, keys, order, Cleanup(field, value), max_rows_per_task)
+    return fold_by_key(numeric, keys, order, Cleanup(field, value), runs)
 
 
-def clean_readings(readings: DataFrame, max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+def clean_readings(readings: DataFrame, runs: int | None = None) -> DataFrame:
     """Readings (patient_id, ts, reading_id, vitals map) with cleaned vitals.
 
-    Readings that keep no vital are left out. Each vital is its own series, so the
+    Delivery may repeat a message: of readings with the same patient, time and id one
+    counts. Readings that keep no vital are left out. Each vital is its own series, so the
     fold runs on one row per vital; the vitals of a reading, a handful, are
     gathered again afterwards.
     """
     keys = ["patient_id", "ts", "reading_id"]
-    tall = readings.select(*keys, F.explode("vitals").alias("field", "value"))
-    cleaned = clean_points(tall, order=("ts", "reading_id"), max_rows_per_task=max_rows_per_task)
+    tall = readings.select(*keys, F.explode("vitals").alias("field", "value")).dropDuplicates([*keys, "field"])
+    cleaned = clean_points(tall, order=("ts", "reading_id"), runs=runs)
     entries = F.collect_list(F.struct("field", "cleaned"))
     return cleaned.groupBy(*keys).agg(F.map_from_entries(entries).alias("vitals"))
 
@@ -479,10 +423,10 @@ def cool_down(
     keys: Sequence[str] = ("patient_id", "alert_type"),
     order: Sequence[str] = ("ts", "event_id"),
     seconds: float = COOLDOWN_SECONDS,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    runs: int | None = None,
 ) -> DataFrame:
     """Alerts with ``passed``: whether each is sent or muted."""
-    return fold_by_key(alerts, keys, order, Cooldown(order[0], seconds), max_rows_per_task)
+    return fold_by_key(alerts, keys, order, Cooldown(order[0], seconds), runs)
 
 
 def plausible(field: Column, value: Column) -> Column:

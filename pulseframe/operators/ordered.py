@@ -1,11 +1,12 @@
 """Work that needs rows of a key in order, without giving a key to one task.
 
-Spark's window and grouped operators send a whole key to one task. That is the
-right plan while every key fits a task, and the helpers here measure the largest
-key first. When one key is too large they range-partition on (key, order), which
-cuts a key wherever the volume asks for it, and write the sorted runs to the
-shared scratch folder so that later steps see the same cuts even if executors
-are lost in between.
+Spark's window and grouped operators send a whole key to one task, which sorts it on
+disk and streams it. That is the plan without ``runs``. A caller whose keys are too
+large for that names the number of ``runs``: rows are then range-partitioned on (key,
+order), which cuts a key wherever the volume asks for it, and the sorted runs are written
+to the shared scratch folder so that later steps see the same cuts even if executors
+are lost in between. Nothing is counted to choose a plan. What is kept per run is a row of
+a table with ``runs`` rows, a number that the caller sets.
 """
 
 from __future__ import annotations
@@ -17,28 +18,11 @@ from pyspark.sql import functions as F
 
 from pulseframe.session import scratch_path
 
-MAX_ROWS_PER_TASK = 20_000_000
-# One row per run is broadcast or read by the driver, so the number of runs is bounded.
-MAX_RUNS = 100_000
 _RUN_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def key_volumes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(all rows, rows of the largest key); one map-side-combined count."""
-    row = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.max("n"), F.lit(0)).alias("top"))
-        .first()
-    )
-    return row["total"], row["top"]
-
-
-def run_count(total_rows: int, rows_per_run: int) -> int:
-    return min(MAX_RUNS, max(1, -(-total_rows // rows_per_run)))
-
-
-def with_ordinal(df: DataFrame, order: Sequence[str], runs: int, name: str = "ordinal") -> DataFrame:
-    """Dense 0-based position of every row in the total order ``order``.
+def with_ordinal(df: DataFrame, order: Sequence[str], runs: int, name: str = "ordinal") -> tuple[DataFrame, int]:
+    """Dense 0-based position of every row in the total order ``order``, and the number of rows.
 
     Each sorted run numbers its own rows; the rows in earlier runs are added from
     a table with one row per run, which is why that table may be broadcast.
@@ -57,11 +41,12 @@ def with_ordinal(df: DataFrame, order: Sequence[str], runs: int, name: str = "or
         F.col("_run").alias("_start_run"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
     position = F.col("_start") + F.col("_slot") - F.shiftleft(F.col("_run"), _RUN_SHIFT)
-    return (
+    placed = (
         staged.join(F.broadcast(starts), F.col("_run") == F.col("_start_run"))
         .withColumn(name, position)
         .drop("_slot", "_run", "_start_run", "_start")
     )
+    return placed, staged.count()
 
 
 def trailing_window(
@@ -70,25 +55,21 @@ def trailing_window(
     order: Sequence[str],
     frame_rows: int,
     columns: Callable[[Window], dict[str, Column]],
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
-    volumes: tuple[int, int] | None = None,
+    runs: int | None = None,
 ) -> DataFrame:
     """Columns over the last ``frame_rows`` rows (this one included) of the key.
 
-    ``columns`` maps a window to the new columns. Where a key is too large for
-    one task, rows are cut into equal stretches of the total order and each
-    stretch also gets the ``frame_rows - 1`` rows before it, so every frame is whole.
-    ``volumes`` may give known upper bounds for (all rows, rows of the largest key);
-    otherwise they are counted.
+    ``columns`` maps a window to the new columns. With ``runs``, rows are cut into that
+    many equal stretches of the total order and each stretch also gets the
+    ``frame_rows - 1`` rows before it, so every frame is whole.
     """
     keys, order = list(keys), list(order)
     reach = frame_rows - 1
-    total, top = volumes or key_volumes(df, keys)
-    if top <= max_rows_per_task:
+    if runs is None:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-reach, 0)
         return df.withColumns(columns(window))
-    stretch = max(max_rows_per_task, frame_rows)
-    placed = with_ordinal(df, keys + order, run_count(total, max_rows_per_task))
+    placed, total = with_ordinal(df, keys + order, runs)
+    stretch = max(-(-total // runs), frame_rows)
     own = F.floor(F.col("ordinal") / stretch)
     in_reach = F.col("ordinal") % stretch >= stretch - reach
     copied = placed.withColumn(
@@ -108,23 +89,21 @@ def following_min(
     order: Sequence[str],
     value: str,
     name: str,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    runs: int | None = None,
 ) -> DataFrame:
     """Smallest ``value`` among this row and all later rows of the key.
 
     The order is walked backwards, so the frame only grows and the cost is linear.
-    A key too large for one task is cut into stretches, and the minimum of each
-    stretch is carried to the earlier ones through a table of one row per stretch.
+    With ``runs``, rows are cut into that many stretches, and the minimum of each
+    stretch is carried to the earlier ones through a table of one row per stretch and key.
     """
     keys, order = list(keys), list(order)
     backwards = [F.col(c).desc() for c in order]
-    total, top = key_volumes(df, keys)
-    if top <= max_rows_per_task:
+    if runs is None:
         window = Window.partitionBy(*keys).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.min(value).over(window))
-    placed = with_ordinal(df, keys + order, run_count(total, max_rows_per_task)).withColumn(
-        "_stretch", F.floor(F.col("ordinal") / max_rows_per_task)
-    )
+    placed, total = with_ordinal(df, keys + order, runs)
+    placed = placed.withColumn("_stretch", F.floor(F.col("ordinal") / max(1, -(-total // runs))))
     inside = Window.partitionBy("_stretch", *keys).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
     later = Window.partitionBy(*keys).orderBy(F.col("_stretch").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = (

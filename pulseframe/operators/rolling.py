@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.operators.ordered import MAX_ROWS_PER_TASK, trailing_window
+from pulseframe.operators.ordered import trailing_window
 
 # Fixed value: measurements kept for rolling processing times.
 METRIC_WINDOW = 100
@@ -20,12 +20,12 @@ def rolling_features(
     keys: Sequence[str] = ("patient_id",),
     order: Sequence[str] = ("ts",),
     rows: int = TREND_WINDOW,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
-    volumes: tuple[int, int] | None = None,
+    runs: int | None = None,
 ) -> DataFrame:
     """Mean, sample deviation and slope per hour of each vital over the last rows.
 
     NULL vitals are skipped; a deviation or slope of fewer than two values is NULL.
+    ``runs`` cuts keys that are too large for a task.
     """
     hours = F.unix_micros(F.col(order[0]).cast("timestamp")) / F.lit(3.6e9)
 
@@ -37,7 +37,7 @@ def rolling_features(
             out[f"{v}_trend"] = F.regr_slope(F.col(v), hours).over(window)
         return out
 
-    return trailing_window(readings, keys, order, rows, columns, max_rows_per_task, volumes)
+    return trailing_window(readings, keys, order, rows, columns, runs)
 
 
 def rolling_times(
@@ -46,10 +46,12 @@ def rolling_times(
     keys: Sequence[str] = ("consumer",),
     order: Sequence[str] = ("ts", "event_id"),
     rows: int = METRIC_WINDOW,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
-    volumes: tuple[int, int] | None = None,
+    runs: int | None = None,
 ) -> DataFrame:
-    """Average, least and greatest processing time over the last ``rows`` messages of a consumer."""
+    """Average, least and greatest processing time over the last ``rows`` messages of a consumer.
+
+    A consumer's messages may be a large share of all; ``runs`` cuts them.
+    """
     return trailing_window(
         metrics,
         keys,
@@ -60,6 +62,5 @@ def rolling_times(
             "min_ms": F.min(value).over(w),
             "max_ms": F.max(value).over(w),
         },
-        max_rows_per_task,
-        volumes,
+        runs,
     )

@@ -87,21 +87,21 @@ def test_cleanup_in_runs_equals_brute_force(spark, kind):
     rows = hot_rows(11, 3000, VALUES[kind])
     expected = brute_clean(rows)
     assert same(run_clean(spark, rows), expected)
-    assert same(run_clean(spark, rows, max_rows_per_task=150), expected)
+    assert same(run_clean(spark, rows, runs=20), expected)
 
 
-def test_cleanup_replays_runs_that_never_settle(spark):
+def test_cleanup_of_runs_that_never_settle(spark):
     # An alternating series whose two extreme starts come close but need not meet.
     rows = [("hot", "heart_rate", i, i, 40.0 if i % 2 else 190.0) for i in range(400)]
     rows += [("hot2", "unlisted", i, 1000 + i, 40.0 if i % 2 else 190.0) for i in range(400)]
     expected = brute_clean(rows)
-    assert same(run_clean(spark, rows, max_rows_per_task=25), expected)
+    assert same(run_clean(spark, rows, runs=32), expected)
 
 
 def test_cleanup_of_a_hot_key_at_one_instant(spark):
     rng = random.Random(3)
     rows = [("hot", "spo2", 7, i, rng.uniform(40, 100)) for i in range(900)]
-    assert same(run_clean(spark, rows, max_rows_per_task=100), brute_clean(rows))
+    assert same(run_clean(spark, rows, runs=9), brute_clean(rows))
 
 
 def alerts(spark, rows):
@@ -126,8 +126,8 @@ def times(kind, rng, i):
 
 
 @pytest.mark.parametrize("kind", ["dense", "sparse", "bursts", "instant"])
-@pytest.mark.parametrize("rows_per_task", [40, 500])
-def test_cooldown_in_runs_equals_brute_force(spark, kind, rows_per_task):
+@pytest.mark.parametrize("runs", [60, 5])
+def test_cooldown_in_runs_equals_brute_force(spark, kind, runs):
     rng = random.Random(5)
     rows = [
         ("hot" if rng.random() < 0.7 else f"p{rng.randrange(5)}", "a", times(kind, rng, i), i)
@@ -135,15 +135,15 @@ def test_cooldown_in_runs_equals_brute_force(spark, kind, rows_per_task):
     ]
     expected = brute_cooldown(rows, 300)
     assert run_cooldown(spark, rows) == expected
-    assert run_cooldown(spark, rows, max_rows_per_task=rows_per_task) == expected
+    assert run_cooldown(spark, rows, runs=runs) == expected
 
 
-def test_cooldown_replays_runs_with_long_summaries(spark, monkeypatch):
+def test_cooldown_of_runs_that_never_settle(spark, monkeypatch):
     from pulseframe.operators import folds
 
-    monkeypatch.setattr(folds.Cooldown, "summary", lambda self, state: None)
-    rows = [("hot", "a", i, i) for i in range(1200)]
-    assert run_cooldown(spark, rows, max_rows_per_task=300) == brute_cooldown(rows, 300)
+    monkeypatch.setattr(folds.Cooldown, "walk_unknown", lambda self, opened, columns, start, stop: (stop - start, None))
+    rows = [("hot", "a", i, i) for i in range(1200)] + [("hot2", "a", i, 5000 + i) for i in range(700)]
+    assert run_cooldown(spark, rows, runs=9) == brute_cooldown(rows, 300)
 
 
 def test_known_vitals_stay_in_range_and_ignore_the_partition_count(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators.alerts import acknowledge
-from pulseframe.operators.ordered import key_volumes, with_ordinal
+from pulseframe.operators.ordered import with_ordinal
 from pulseframe.operators.rolling import rolling_features, rolling_times
 
 
@@ -25,16 +25,10 @@ def hot_frame(spark, n=2000, same_time=False):
     return rows, df.withColumn("ts", F.timestamp_seconds("sec")).repartition(6)
 
 
-def test_key_volumes(spark):
-    rows, df = hot_frame(spark)
-    assert key_volumes(df, ["consumer"]) == (len(rows), sum(r[0] == "hot" for r in rows))
-    assert key_volumes(df.limit(0), ["consumer"]) == (0, 0)
-
-
 @pytest.mark.parametrize("same_time", [False, True])
 def test_ordinal_is_dense_and_ordered(spark, same_time):
     rows, df = hot_frame(spark, same_time=same_time)
-    got = {r["event_id"]: r["ordinal"] for r in with_ordinal(df, ["consumer", "ts", "event_id"], 9).collect()}
+    got = {r["event_id"]: r["ordinal"] for r in with_ordinal(df, ["consumer", "ts", "event_id"], 9)[0].collect()}
     expected = sorted(rows, key=lambda r: (r[0], r[1], r[2]))
     assert [r[2] for r in expected] == sorted(got, key=got.get)
     assert sorted(got.values()) == list(range(len(rows)))
@@ -51,8 +45,8 @@ def test_rolling_times_in_stretches(spark, frame, same_time):
         kept.append(value)
         window = [v for v in kept[-frame:] if v is not None]
         expected[eid] = (min(window), max(window), sum(window) / len(window)) if window else (None,) * 3
-    for limit in (10_000, 60):
-        got = rolling_times(df, rows=frame, max_rows_per_task=limit).collect()
+    for runs in (None, 30):
+        got = rolling_times(df, rows=frame, runs=runs).collect()
         assert len(got) == len(rows)
         for r in got:
             low, high, mean = expected[r["event_id"]]
@@ -83,7 +77,7 @@ def test_acknowledge_in_stretches(spark):
     for pid, sec, i in alerts:
         later = [(s, by) for p, s, by in acks if p == pid and s >= sec]
         expected[i] = min(later, default=(None, None))
-    for limit in (10_000, 50):
-        got = acknowledge(a, k, max_rows_per_task=limit).withColumn("at", F.unix_seconds("acknowledged_at")).collect()
+    for runs in (None, 19):
+        got = acknowledge(a, k, runs=runs).withColumn("at", F.unix_seconds("acknowledged_at")).collect()
         assert {r["alert_id"]: (r["at"], r["acknowledged_by"]) for r in got} == expected
         assert all(r["acknowledged"] == (r["at"] is not None) for r in got)
