@@ -151,12 +151,16 @@ _PAIRS = {
 }
 
 
-def samples(spark, sf_dir):
-    """Samples with days as seconds, so that a grid row holds several tracks."""
+def _candidate_track():
     track = F
     for kind, (first, second) in _PAIRS.items():
         mine = F.col("event_type") == kind
         track = track.when(mine & (F.col("value") < 40), F.lit(first)).when(mine, F.lit(second))
+    return track
+
+
+def samples(spark, sf_dir, track):
+    """Samples with days as seconds, so that a grid row holds several tracks."""
     absent = F.lit(float("nan"))
     return t.load(spark, sf_dir, "events").select(
         F.col("user_id").alias("case_id"),
@@ -181,27 +185,38 @@ FROM ({_GRID_SQL})"""
 
 @query("track_grid", f"""SELECT case_id, second, {', '.join(f'CASE WHEN NOT isnan("{k}") THEN "{k}" END AS c{i}' for i, k in enumerate(tracks.all_tracks()))} FROM ({_GRID_SQL})""")
 def track_grid(spark, sf_dir):
-    grid = tracks.to_grid(samples(spark, sf_dir), tracks.all_tracks())
+    grid = tracks.to_grid(samples(spark, sf_dir, _candidate_track()), tracks.all_tracks())
     cols = [F.when(~F.isnan(F.col(f"`{k}`")), F.col(f"`{k}`")).alias(f"c{i}") for i, k in enumerate(tracks.all_tracks())]
     return grid.select("case_id", "second", *cols)
 
 
 @query("coalesced_tracks", f"SELECT * FROM ({_COALESCED_SQL}) WHERE heart_rate IS NOT NULL AND spo2 IS NOT NULL")
 def coalesced_tracks(spark, sf_dir):
-    grid = tracks.to_grid(samples(spark, sf_dir), tracks.all_tracks())
+    grid = tracks.to_grid(samples(spark, sf_dir, _candidate_track()), tracks.all_tracks())
     return tracks.replayable(tracks.coalesce_tracks(grid))
 
 
-_SHORT = {k: v for k, v in tracks.SHORT_TRACKS.items() if v in ("heart_rate", "spo2", "bp_systolic")}
+# Samples of all five short tracks: the grid of the given events lacks one, so all fill it in turn.
+_SHORT_SQL = """SELECT user_id AS case_id, CAST(floor(epoch_us(ts) / 86400000000.0::DOUBLE / 20) AS BIGINT) AS second,
+  epoch_us(ts) / 86400000000.0::DOUBLE / 20 AS t,
+  CASE event_type WHEN 'click' THEN 'hr' WHEN 'view' THEN 'spo2' WHEN 'purchase' THEN 'sbp' WHEN 'signup' THEN 'dbp' ELSE 'co2' END AS track,
+  CASE WHEN value < 4 THEN 'NaN'::DOUBLE ELSE value END AS value FROM events"""
 
 
 @query(
     "renamed_tracks",
-    "SELECT * FROM (SELECT case_id, second, " + ", ".join(f'"{k}" AS {v}' for k, v in _SHORT.items())
-    + f" FROM ({_GRID_SQL})) WHERE " + " AND ".join(f"{v} IS NOT NULL AND NOT isnan({v})" for v in _SHORT.values()),
+    f"""SELECT * FROM (SELECT case_id, second, arg_max(value, t) FILTER (WHERE track = 'hr') AS heart_rate, arg_max(value, t) FILTER (WHERE track = 'spo2') AS spo2,
+  arg_max(value, t) FILTER (WHERE track = 'sbp') AS bp_systolic, arg_max(value, t) FILTER (WHERE track = 'dbp') AS bp_diastolic,
+  arg_max(value, t) FILTER (WHERE track = 'co2') AS etco2 FROM ({_SHORT_SQL}) GROUP BY 1, 2)
+WHERE NOT isnan(heart_rate) AND NOT isnan(spo2) AND NOT isnan(bp_systolic) AND NOT isnan(bp_diastolic) AND NOT isnan(etco2)""",
 )
 def renamed_tracks(spark, sf_dir):
-    return tracks.rename_tracks(tracks.to_grid(samples(spark, sf_dir), list(_SHORT)), _SHORT)
+    names = dict(zip(("click", "view", "purchase", "signup", "error"), tracks.SHORT_TRACKS))
+    track = F
+    for kind, name in names.items():
+        track = track.when(F.col("event_type") == kind, F.lit(name))
+    made = samples(spark, sf_dir, track).withColumn("t", F.col("t") / 20)
+    return tracks.rename_tracks(tracks.to_grid(made, list(tracks.SHORT_TRACKS)))
 
 
 @query(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseframe.functions.scoring import score_readings
-from pulseframe.operators.folds import PLAUSIBLE_RANGES, clean_points, cool_down, plausible
-from pulseframe.operators.timeseries import to_wide
+from pulseframe.operators.folds import clean_points, cool_down, plausible
+from pulseframe.operators.rolling import rolling_times
 from pulseframe.plans import tables as t
 from pulseframe.plans.registry import query
 from pulseframe.plans.vitals import _mews_sql
@@ -14,9 +14,10 @@ from pulseframe.schemas import VITALS
 
 TWO_DAYS = 2 * 86_400
 
-_IN_RANGE = "(CASE " + " ".join(
-    f"WHEN s.field = '{f}' THEN s.value BETWEEN {lo} AND {hi}" for f, (lo, hi) in PLAUSIBLE_RANGES.items()
-) + " ELSE TRUE END)"
+_IN_RANGE = """(CASE s.field WHEN 'heart_rate' THEN s.value BETWEEN 30 AND 200 WHEN 'spo2' THEN s.value BETWEEN 50 AND 100
+  WHEN 'temperature' THEN s.value BETWEEN 30 AND 45 WHEN 'respiratory_rate' THEN s.value BETWEEN 4 AND 60
+  WHEN 'blood_pressure_systolic' THEN s.value BETWEEN 50 AND 250 WHEN 'blood_pressure_diastolic' THEN s.value BETWEEN 20 AND 150
+  ELSE TRUE END)"""
 _NEXT = f"""CASE WHEN NOT {_IN_RANGE} THEN {{prev}}
   WHEN {{prev}} IS NOT NULL AND abs(s.value - {{prev}}) > CASE WHEN s.field = 'heart_rate' THEN 20 ELSE 5 END
     THEN {{prev}} * 0.7::DOUBLE + s.value * 0.3::DOUBLE ELSE s.value END"""
@@ -76,11 +77,39 @@ _FIVE = [v for v in VITALS if v != "blood_pressure_diastolic"]
 
 @query(
     "cleaned_and_scored",
-    f"""SELECT patient_id, day, {_mews_sql()} AS mews_score FROM (
-  SELECT patient_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {', '.join(f"arg_max(cleaned, ts) FILTER (WHERE field = '{v}') AS {v}" for v in _FIVE)}
-  FROM ({CLEANED_SQL}) GROUP BY 1, 2)""",
+    f"""SELECT patient_id, event_id, {_mews_sql()} AS mews_score FROM (
+  SELECT patient_id, event_id, {t.carried_sql(_FIVE)} FROM (SELECT * REPLACE (cleaned AS value) FROM ({CLEANED_SQL})) {t.SO_FAR_SQL})""",
 )
 def cleaned_and_scored(spark, sf_dir):
-    cleaned = clean_points(t.points(spark, sf_dir)).withColumn("day", F.to_date("ts").cast("string"))
-    wide = to_wide(cleaned.withColumn("value", F.col("cleaned")), ["patient_id", "day"], _FIVE, ["ts"])
-    return score_readings(wide).select("patient_id", "day", "mews_score")
+    cleaned = clean_points(t.points(spark, sf_dir)).withColumn("value", F.col("cleaned"))
+    return score_readings(t.carried(cleaned, _FIVE)).select("patient_id", "event_id", "mews_score")
+
+
+# One patient has all events: no task may need the whole key.
+HOT_POINTS_SQL = f"SELECT event_id, 0::BIGINT AS patient_id, ts, field, value FROM ({t.POINTS_SQL})"
+RUNS = 16
+
+
+def _hot_points(spark, sf_dir):
+    return t.points(spark, sf_dir).withColumn("patient_id", F.lit(0).cast("bigint"))
+
+
+@query("cleaned_hot_key", CLEANED_SQL.replace(t.POINTS_SQL, HOT_POINTS_SQL))
+def cleaned_hot_key(spark, sf_dir):
+    cleaned = clean_points(_hot_points(spark, sf_dir), runs=RUNS)
+    return cleaned.select("patient_id", "field", "ts", "event_id", "value", "cleaned")
+
+
+@query("cooldown_hot_key", COOLDOWN_SQL.replace("user_id AS patient_id", "0::BIGINT AS patient_id").replace("PARTITION BY user_id", "PARTITION BY 0"))
+def cooldown_hot_key(spark, sf_dir):
+    alerts = _alerts(spark, sf_dir).withColumn("patient_id", F.lit(0).cast("bigint"))
+    return cool_down(alerts, seconds=TWO_DAYS, runs=RUNS).select("patient_id", "alert_type", "ts", "event_id", "passed")
+
+
+@query(
+    "rolling_hot_key",
+    f"SELECT event_id, min(value) OVER w AS least, max(value) OVER w AS most FROM ({HOT_POINTS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)",
+)
+def rolling_hot_key(spark, sf_dir):
+    rolled = rolling_times(_hot_points(spark, sf_dir), "value", ["patient_id"], runs=RUNS)
+    return rolled.select("event_id", F.col("min_ms").alias("least"), F.col("max_ms").alias("most"))

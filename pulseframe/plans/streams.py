@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from pulseframe.plans import tables as t
 from pulseframe.plans.registry import query
 from pulseframe.plans.states import CLEANED_SQL, COOLDOWN_SQL, TWO_DAYS
-from pulseframe.plans.vitals import _bands_sql
-from pulseframe.functions.scoring import MEWS_BANDS
+from pulseframe.plans.vitals import _BANDS_SQL, _bands_sql
 from pulseframe.session import scratch_path
 from pulseframe.streaming.monitor import start_monitoring
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
@@ -83,7 +82,7 @@ def alert_cooldown_stream(spark, sf_dir):
 
 
 _POINTS = "(CASE field " + " ".join(
-    f"WHEN '{v}' THEN {_bands_sql(v, 'cleaned')}" for v in MEWS_BANDS
+    f"WHEN '{v}' THEN {_bands_sql(v, 'cleaned')}" for v in _BANDS_SQL
 ) + " ELSE 0 END)"
 _BONUS = """CASE WHEN field = 'heart_rate' AND (cleaned < 40 OR cleaned > 140) THEN 10 WHEN field = 'spo2' AND cleaned < 85 THEN 10
   WHEN field = 'spo2' AND cleaned < 90 THEN 5 ELSE 0 END"""

@@ -7,7 +7,7 @@ for clinical cases.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # event type -> (vital, scale, offset): value * scale + offset
@@ -42,36 +42,46 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _case(of: str, arms: dict[str, str]) -> str:
-    return f"CASE {of} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in arms.items()) + " END"
-
-
-POINTS_SQL = f"""
+POINTS_SQL = """
 SELECT event_id, user_id AS patient_id, ts,
-       {_case("event_type", {k: f"'{v[0]}'" for k, v in EVENT_VITALS.items()})} AS field,
-       {_case("event_type", {k: f"value * CAST({v[1]} AS DOUBLE) + CAST({v[2]} AS DOUBLE)" for k, v in EVENT_VITALS.items()})} AS value
+       CASE event_type WHEN 'click' THEN 'heart_rate' WHEN 'view' THEN 'spo2' WHEN 'purchase' THEN 'temperature'
+                       WHEN 'signup' THEN 'respiratory_rate' WHEN 'error' THEN 'blood_pressure_systolic' END AS field,
+       CASE event_type WHEN 'click' THEN value * 1.0::DOUBLE + 30.0::DOUBLE WHEN 'view' THEN value * -0.2::DOUBLE + 100.0::DOUBLE
+                       WHEN 'purchase' THEN value * 0.05::DOUBLE + 34.0::DOUBLE WHEN 'signup' THEN value * 0.25::DOUBLE + 4.0::DOUBLE
+                       WHEN 'error' THEN value * 1.0::DOUBLE + 60.0::DOUBLE END AS value
 FROM events"""
 
 
+def carried(df: DataFrame, fields: list[str]) -> DataFrame:
+    """Each point of a patient with the last value of every vital up to it, one column per vital."""
+    so_far = Window.partitionBy("patient_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumns(
+        {v: F.last(F.when(F.col("field") == v, F.col("value")), ignorenulls=True).over(so_far) for v in fields}
+    )
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One wide reading per patient and day: last value per vital, time of the last point."""
-    daily = points(spark, sf_dir).withColumn("day", F.to_date("ts").cast("string"))
-    last = F.max("ts").alias("timestamp")
-    wide = daily.groupBy("patient_id", "day").agg(
-        last,
-        *(
-            F.max_by("value", F.when(F.col("field") == v[0], F.col("ts"))).alias(v[0])
-            for v in EVENT_VITALS.values()
-        ),
+    """One wide reading per point: the patient's vitals as they stand then, the day and the time."""
+    vitals = [v[0] for v in EVENT_VITALS.values()]
+    wide = carried(points(spark, sf_dir), vitals)
+    return wide.select(
+        "patient_id", F.to_date("ts").cast("string").alias("day"), F.col("ts").alias("timestamp"), *vitals,
+        (F.col("blood_pressure_systolic") / 2 + 15).alias("blood_pressure_diastolic"),
+    )
+
+
+def carried_sql(fields: list[str]) -> str:
+    return ", ".join(
+        f"last_value(CASE WHEN field = '{v}' THEN value END IGNORE NULLS) OVER so_far AS {v}" for v in fields
     )
-    return wide.withColumn("blood_pressure_diastolic", F.col("blood_pressure_systolic") / 2 + 15)
 
 
+SO_FAR_SQL = "WINDOW so_far AS (PARTITION BY patient_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"
 READINGS_SQL = f"""
 SELECT *, blood_pressure_systolic / 2 + 15 AS blood_pressure_diastolic FROM (
-  SELECT patient_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, max(ts) AS timestamp,
-         {", ".join(f"arg_max(value, ts) FILTER (WHERE field = '{v[0]}') AS {v[0]}" for v in EVENT_VITALS.values())}
-  FROM ({POINTS_SQL}) GROUP BY 1, 2)"""
+  SELECT patient_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, ts AS timestamp,
+         {carried_sql(["heart_rate", "spo2", "temperature", "respiratory_rate", "blood_pressure_systolic"])}
+  FROM ({POINTS_SQL}) {SO_FAR_SQL})"""
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:

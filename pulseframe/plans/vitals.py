@@ -1,14 +1,13 @@
-"""Scoring queries over daily readings."""
+"""Scoring queries over the readings, one per point."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from pulseframe.functions import display, model, weighted
-from pulseframe.functions.scoring import MEWS_BANDS, score_readings, scored_records
+from pulseframe.functions.scoring import score_readings, scored_records
 from pulseframe.operators.aggregates import level_counts
 from pulseframe.operators.inference import score_model
-from pulseframe.operators.ordered import key_volumes
 from pulseframe.operators.rolling import rolling_features
 from pulseframe.operators.timeseries import to_tall, to_wide
 from pulseframe.plans import tables as t
@@ -18,21 +17,24 @@ from pulseframe.schemas import VITALS
 KEYS = ["patient_id", "day"]
 
 
+# The SQL states bands, weights and limits anew as literals, so that a wrong one in the code shows.
+_BANDS_SQL = {
+    "heart_rate": """CASE WHEN {v} <= 40 THEN 2 WHEN {v} BETWEEN 41 AND 50 THEN 1 WHEN {v} BETWEEN 101 AND 110 THEN 1
+        WHEN {v} BETWEEN 111 AND 129 THEN 2 WHEN {v} >= 130 THEN 3 ELSE 0 END""",
+    "respiratory_rate": "CASE WHEN {v} < 9 THEN 2 WHEN {v} BETWEEN 15 AND 20 THEN 1 WHEN {v} BETWEEN 21 AND 29 THEN 2 WHEN {v} >= 30 THEN 3 ELSE 0 END",
+    "temperature": "CASE WHEN {v} < 35 THEN 2 WHEN {v} >= 38.5 THEN 2 ELSE 0 END",
+    "blood_pressure_systolic": "CASE WHEN {v} <= 70 THEN 3 WHEN {v} BETWEEN 71 AND 80 THEN 2 WHEN {v} BETWEEN 81 AND 100 THEN 1 WHEN {v} >= 200 THEN 2 ELSE 0 END",
+    "spo2": "CASE WHEN {v} < 85 THEN 3 WHEN {v} BETWEEN 85 AND 89 THEN 2 WHEN {v} BETWEEN 90 AND 93 THEN 1 ELSE 0 END",
+}
+
+
 def _bands_sql(name: str, value: str) -> str:
-    arms = []
-    for b in MEWS_BANDS[name]:
-        tests = [
-            f"{value} {op} {edge}"
-            for op, edge in ((">=", b.at_least), ("<=", b.at_most), ("<", b.below))
-            if edge is not None
-        ]
-        arms.append(f"WHEN {' AND '.join(tests)} THEN {b.points}")
-    return f"CASE {' '.join(arms)} ELSE 0 END"
+    return _BANDS_SQL[name].replace("{v}", value)
 
 
 def _mews_sql(contiguous: bool = False) -> str:
     parts = [
-        _bands_sql(n, f"floor({n})" if contiguous and n != "temperature" else n) for n in MEWS_BANDS
+        _bands_sql(n, f"floor({n})" if contiguous and n != "temperature" else n) for n in _BANDS_SQL
     ]
     return f"CAST(least({' + '.join(parts)}, 14) AS INTEGER)"
 
@@ -116,21 +118,31 @@ def scored_record_rows(spark, sf_dir):
     )
 
 
+# vital: normal low and high, critical low and high, weight
+_WEIGHTS_SQL = {
+    "heart_rate": ("60.0", "100.0", "40", "120", "0.25"),
+    "spo2": ("95.0", "100.0", "90", "100", "0.2"),
+    "temperature": ("36.5", "37.5", "35", "38.5", "0.15"),
+    "respiratory_rate": ("12.0", "20.0", "8", "25", "0.2"),
+    "blood_pressure_systolic": ("90.0", "140.0", "80", "160", "0.15"),
+    "blood_pressure_diastolic": ("60.0", "90.0", "50", "100", "0.05"),
+}
+
+
 def _weighted_sql() -> str:
     risks, weights = [], []
-    for name, w in weighted.VITAL_WEIGHTS.items():
-        d = f"(CASE WHEN {name} < {w.normal_low} THEN ({w.normal_low} - {name}) / {w.normal_low} ELSE ({name} - {w.normal_high}) / {w.normal_high} END)"
-        scaled = f"CASE WHEN {name} <= {w.critical_low} OR {name} >= {w.critical_high} THEN {d} * 2 ELSE {d} END"
-        risk = f"CASE WHEN {name} BETWEEN {w.normal_low} AND {w.normal_high} THEN 0 ELSE least(1.0, {scaled}) END"
-        risks.append(f"CASE WHEN {name} IS NULL THEN 0.0::DOUBLE ELSE ({risk}) * {w.weight}::DOUBLE END")
-        weights.append(f"CASE WHEN {name} IS NULL THEN 0.0::DOUBLE ELSE {w.weight}::DOUBLE END")
+    for name, (low, high, least, most, weight) in _WEIGHTS_SQL.items():
+        d = f"(CASE WHEN {name} < {low} THEN ({low} - {name}) / {low} ELSE ({name} - {high}) / {high} END)"
+        scaled = f"CASE WHEN {name} <= {least} OR {name} >= {most} THEN {d} * 2 ELSE {d} END"
+        risk = f"CASE WHEN {name} BETWEEN {low} AND {high} THEN 0 ELSE least(1.0, {scaled}) END"
+        risks.append(f"CASE WHEN {name} IS NULL THEN 0.0::DOUBLE ELSE ({risk}) * {weight}::DOUBLE END")
+        weights.append(f"CASE WHEN {name} IS NULL THEN 0.0::DOUBLE ELSE {weight}::DOUBLE END")
     total = " + ".join(weights)
     return f"CASE WHEN {total} > 0 THEN least(1.0::DOUBLE, ({' + '.join(risks)}) / ({total})) ELSE 0.0::DOUBLE END"
 
 
 def _weighted_level_sql(score: str) -> str:
-    arms = " ".join(f"WHEN {score} >= {floor} THEN '{level}'" for level, floor in weighted.WEIGHTED_LEVELS)
-    return f"CASE {arms} ELSE 'LOW' END"
+    return f"CASE WHEN {score} >= 0.8 THEN 'CRITICAL' WHEN {score} >= 0.6 THEN 'HIGH' WHEN {score} >= 0.3 THEN 'MEDIUM' ELSE 'LOW' END"
 
 
 WEIGHTED_SQL = f"SELECT *, {_weighted_sql()} AS score FROM ({t.READINGS_SQL})"
@@ -179,19 +191,17 @@ def event_boosted_risk(spark, sf_dir):
     )
 
 
-def _flag_sql(name: str) -> str:
-    if name == "spo2":
-        return "CASE WHEN spo2 >= 95 THEN 'green' WHEN spo2 < 90 THEN 'red' ELSE 'yellow' END"
-    low, high = display.NORMAL_RANGES[name]
-    return f"CASE WHEN {name} BETWEEN {low} AND {high} THEN 'green' ELSE 'red' END"
-
-
+_FLAGS_SQL = """CASE WHEN heart_rate BETWEEN 60 AND 100 THEN 'green' ELSE 'red' END AS heart_rate_flag,
+  CASE WHEN spo2 >= 95 THEN 'green' WHEN spo2 < 90 THEN 'red' ELSE 'yellow' END AS spo2_flag,
+  CASE WHEN temperature BETWEEN 36.5 AND 37.5 THEN 'green' ELSE 'red' END AS temperature_flag,
+  CASE WHEN respiratory_rate BETWEEN 12 AND 20 THEN 'green' ELSE 'red' END AS respiratory_rate_flag,
+  CASE WHEN blood_pressure_systolic BETWEEN 90 AND 140 THEN 'green' ELSE 'red' END AS blood_pressure_systolic_flag"""
 _FLAGGED = ("heart_rate", "spo2", "temperature", "respiratory_rate", "blood_pressure_systolic")
 
 
 @query(
     "vital_flags",
-    f"SELECT patient_id, day, {', '.join(f'{_flag_sql(v)} AS {v}_flag' for v in _FLAGGED)} FROM ({t.READINGS_SQL})",
+    f"SELECT patient_id, day, {_FLAGS_SQL} FROM ({t.READINGS_SQL})",
 )
 def vital_flags(spark, sf_dir):
     return t.readings(spark, sf_dir).select(
@@ -199,13 +209,11 @@ def vital_flags(spark, sf_dir):
     )
 
 
-def _danger_sql(name: str) -> str:
-    low, high = display.DANGER_LIMITS[name]
-    test = f"{name} < {low}" + (f" OR {name} > {high}" if high is not None else "")
-    return f"CASE WHEN {name} <> 0 THEN {test} END AS {name}_danger"
-
-
-@query("danger_flags", f"SELECT patient_id, day, {', '.join(map(_danger_sql, display.DANGER_LIMITS))} FROM ({t.READINGS_SQL})")
+@query("danger_flags", f"""SELECT patient_id, day, CASE WHEN heart_rate <> 0 THEN heart_rate < 50 OR heart_rate > 120 END AS heart_rate_danger,
+  CASE WHEN spo2 <> 0 THEN spo2 < 90 END AS spo2_danger,
+  CASE WHEN temperature <> 0 THEN temperature < 36 OR temperature > 38 END AS temperature_danger,
+  CASE WHEN blood_pressure_systolic <> 0 THEN blood_pressure_systolic < 90 OR blood_pressure_systolic > 180 END AS blood_pressure_systolic_danger
+FROM ({t.READINGS_SQL})""")
 def danger_flags(spark, sf_dir):
     return t.readings(spark, sf_dir).select(
         *KEYS, *(display.danger_flag(v, F.col(v)).alias(f"{v}_danger") for v in display.DANGER_LIMITS)
@@ -246,9 +254,7 @@ FROM ({t.READINGS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY timestamp
 
 
 def _rolled(spark, sf_dir):
-    # A patient has no more daily readings than points, and points are cheaper to count.
-    bounds = key_volumes(t.points(spark, sf_dir), ["patient_id"])
-    return rolling_features(t.readings(spark, sf_dir), order=("timestamp",), volumes=bounds)
+    return rolling_features(t.readings(spark, sf_dir), order=("timestamp",))
 
 
 @query(
