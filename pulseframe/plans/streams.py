@@ -10,29 +10,15 @@ from pulseframe.plans.registry import query
 from pulseframe.plans.states import CLEANED_SQL, COOLDOWN_SQL, TWO_DAYS
 from pulseframe.plans.vitals import _BANDS_SQL, _bands_sql
 from pulseframe.session import scratch_path
-from pulseframe.streaming.monitor import start_monitoring
+from pulseframe.streaming.monitor import accounting, audit_log, start_dispatch, start_monitoring
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
-# A row this late moves the watermark past all events; it is not part of any result.
-CLOSING_TIME = "2100-01-01 00:00:00"
-CLOSING_USER = -1
-
-
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream, plus one closing row so that the last events are complete."""
+    """The events table as a file stream."""
     schema = t.load(spark, sf_dir, "events").schema
-    closing = spark.range(1).select(
-        F.lit(-1).cast("bigint").alias("event_id"), t.ntz(CLOSING_TIME).alias("ts"),
-        F.lit(CLOSING_USER).cast("bigint").alias("user_id"), F.lit("click").alias("event_type"),
-        F.lit(50.0).alias("value"), F.lit("{}").alias("props"),
-    )
-    path = scratch_path(spark, "closing")
-    closing.write.parquet(path)
-    stream = spark.readStream.schema(schema)
     # A file stream takes a folder or a pattern, not a single file.
-    return stream.parquet(f"{sf_dir}/events.parque[t]").unionByName(stream.parquet(path)).withColumn(
-        "ts", F.col("ts").cast("timestamp")
-    )
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def run_available(stream: DataFrame, label: str) -> DataFrame:
@@ -61,8 +47,8 @@ def cleaned_vitals_stream(spark, sf_dir):
         F.col("user_id").cast("string").alias("patient_id"), "ts", F.col("event_id").alias("reading_id"),
         _vital_map().alias("vitals"),
     )
-    cleaned = run_available(clean_readings_stream(readings, "1 hour"), "cleaned")
-    return cleaned.filter(F.col("patient_id") != str(CLOSING_USER)).select(
+    cleaned = run_available(clean_readings_stream(readings), "cleaned")
+    return cleaned.select(
         "patient_id", F.explode("vitals").alias("field", "cleaned"),
         F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("reading_id").alias("event_id"),
     )
@@ -74,8 +60,8 @@ def alert_cooldown_stream(spark, sf_dir):
         F.col("user_id").cast("string").alias("patient_id"), F.col("event_type").alias("alert_type"), "ts",
         F.col("event_id").alias("alert_id"), F.col("props").alias("body"),
     )
-    marked = run_available(cool_down_stream(alerts, "1 hour", TWO_DAYS), "cooldown")
-    return marked.filter(F.col("patient_id") != str(CLOSING_USER)).select(
+    marked = run_available(cool_down_stream(alerts, TWO_DAYS), "cooldown")
+    return marked.select(
         "patient_id", "alert_type", F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.col("alert_id").alias("event_id"), "passed",
     )
@@ -88,26 +74,89 @@ _BONUS = """CASE WHEN field = 'heart_rate' AND (cleaned < 40 OR cleaned > 140) T
   WHEN field = 'spo2' AND cleaned < 90 THEN 5 ELSE 0 END"""
 
 
-@query(
-    "monitoring_stream",
-    f"""SELECT patient_id, event_id, mews_score, risk_score,
+_SCORED_STREAM_SQL = f"""SELECT patient_id, event_id, ts, mews_score, risk_score,
   CASE WHEN risk_score >= 75 OR mews_score >= 5 THEN 'CRITICAL' WHEN risk_score >= 50 OR mews_score >= 4 THEN 'HIGH'
-       WHEN risk_score >= 20 OR mews_score >= 2 THEN 'MODERATE' ELSE 'STABLE' END AS risk_level
-FROM (SELECT 'ICU-' || lpad(CAST(patient_id AS VARCHAR), 6, '0') AS patient_id, event_id, CAST({_POINTS} AS INTEGER) AS mews_score,
-        round({_POINTS} / 14.0::DOUBLE * 70 + {_BONUS}, 2) AS risk_score FROM ({CLEANED_SQL}))""",
-)
-def monitoring_stream(spark, sf_dir):
-    """JSON messages through decode, cleanup, scoring and the batch sinks."""
-    events = event_stream(spark, sf_dir)
+       WHEN risk_score >= 20 OR mews_score >= 2 THEN 'MODERATE' ELSE 'STABLE' END AS risk_level, field, cleaned
+FROM (SELECT 'ICU-' || lpad(CAST(patient_id AS VARCHAR), 6, '0') AS patient_id, event_id, ts, field, cleaned, CAST({_POINTS} AS INTEGER) AS mews_score,
+        round({_POINTS} / 14.0::DOUBLE * 70 + {_BONUS}, 2) AS risk_score FROM ({CLEANED_SQL}))"""
+
+
+def _messages(events):
     body = F.struct(
         F.format_string("ICU-%06d", "user_id").alias("patient_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         _vital_map().alias("vital_signs"),
     )
-    messages = events.select("event_id", F.to_json(body).alias("value"))
+    return events.select("event_id", "ts", F.to_json(body).alias("value"))
+
+
+def _monitored(spark, messages) -> str:
+    """Folder of the sinks after all messages went through decode, cleanup, scoring and the batch sinks."""
     root = scratch_path(spark, "monitoring")
-    for running in start_monitoring(messages, root, F.col("event_id"), "1 hour", availableNow=True):
+    started = start_monitoring(messages, root, F.col("event_id"), F.col("ts"), watch=False, availableNow=True)
+    for running in started:
         running.awaitTermination()
-    return spark.read.parquet(f"{root}/scored").filter(F.col("reading_id") >= 0).select(
+    return root
+
+
+@query("monitoring_stream", f"SELECT patient_id, event_id, mews_score, risk_score, risk_level FROM ({_SCORED_STREAM_SQL})")
+def monitoring_stream(spark, sf_dir):
+    root = _monitored(spark, _messages(event_stream(spark, sf_dir)))
+    return spark.read.parquet(f"{root}/scored").select(
         "patient_id", F.col("reading_id").alias("event_id"), "mews_score", "risk_score", "risk_level"
     )
+
+
+@query(
+    "monitoring_sinks",
+    f"""WITH scored AS ({_SCORED_STREAM_SQL}), alerts AS (SELECT * FROM scored WHERE risk_level IN ('MODERATE', 'HIGH', 'CRITICAL'))
+SELECT 'points' AS sink, count(*) * 2 AS n, CAST(round(sum(cleaned + risk_score)) AS BIGINT) AS total FROM scored
+UNION ALL SELECT 'risk', count(*), CAST(round(sum(risk_score)) AS BIGINT) FROM (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY ts DESC, event_id DESC) = 1)
+UNION ALL SELECT 'alerts', count(*), CAST(round(sum(risk_score)) AS BIGINT) FROM alerts
+UNION ALL SELECT 'audit', count(*) + (SELECT count(*) FROM alerts) + (SELECT count(*) FROM ({t.POINTS_SQL})) - count(*),
+  CAST(round(sum(risk_score) + (SELECT sum(risk_score) FROM alerts)) AS BIGINT) FROM scored
+UNION ALL SELECT 'metrics', (SELECT count(*) FROM ({t.POINTS_SQL})), count(*) FROM scored
+UNION ALL SELECT 'dispatched', sum(CASE risk_level WHEN 'CRITICAL' THEN 3 WHEN 'HIGH' THEN 2 ELSE 1 END), sum(event_id)::BIGINT FROM alerts""",
+)
+def monitoring_sinks(spark, sf_dir):
+    """Row counts and sums of the other sinks; with no wait at all every alert is dispatched."""
+    root = _monitored(spark, _messages(event_stream(spark, sf_dir)))
+    start_dispatch(spark, root, seconds=0, availableNow=True).awaitTermination()
+    sink = lambda name: spark.read.parquet(f"{root}/{name}")
+    made = lambda name, df, n, total: df.agg(n.cast("bigint").alias("n"), F.round(total).cast("bigint").alias("total")).select(F.lit(name).alias("sink"), "n", "total")
+    rows, risk = F.count("*"), F.sum("risk_score")
+    parts = [
+        made("points", sink("points"), rows, F.sum("value")), made("risk", sink("risk"), rows, risk),
+        made("alerts", sink("alerts"), rows, risk), made("audit", audit_log(spark, root), rows, risk),
+        made("metrics", sink("metrics"), F.sum(F.col("messages_processed") + F.col("messages_failed")), F.sum("messages_processed")),
+        made("dispatched", sink("dispatched").dropDuplicates(["alert_id", "channel"]), rows, F.sum(F.when(F.col("channel") == "dashboard", F.col("alert_id")))),
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+@query(
+    "monitoring_accounting",
+    """SELECT 'received' AS outcome, count(*) + count(*) FILTER (WHERE event_id % 10 = 5) AS messages FROM events
+UNION ALL SELECT 'malformed message', count(*) FROM events WHERE event_id % 10 = 0
+UNION ALL SELECT 'no usable vital', count(*) FROM events WHERE event_id % 10 = 1
+UNION ALL SELECT 'duplicate message', count(*) FROM events WHERE event_id % 10 = 5
+UNION ALL SELECT 'no plausible vital', count(*) FROM events WHERE event_id % 10 = 6
+UNION ALL SELECT 'scored', count(*) FROM events WHERE event_id % 10 NOT IN (0, 1, 6)""",
+)
+def monitoring_accounting(spark, sf_dir):
+    """Malformed, empty, untimed, badly timed, oddly named, repeated and implausible messages: none is lost."""
+    kind = F.col("event_id") % 10
+    time = F.when(kind == 2, F.lit("")).when(kind == 3, F.lit(', "timestamp": "yesterday"')).otherwise(
+        F.concat(F.lit(', "timestamp": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('"')))
+    vitals = (
+        F.when(kind == 1, "").when(kind == 4, '"heart_rate": 80, "risk_score": 3').when(kind == 6, '"heart_rate": 900')
+        .otherwise('"heart_rate": 80'))
+    # Everyone's series starts afresh, so that implausible values have nothing to fall back on.
+    text = F.concat(F.lit('{"patient_id": "p'), "event_id", F.lit('"'), time, F.lit(', "vital_signs": {'), vitals, F.lit("}}"))
+    events = event_stream(spark, sf_dir).withColumn("value", F.when(kind == 0, F.lit("{oops")).otherwise(text))
+    again = F.explode(F.when(kind == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    messages = events.select("event_id", "ts", "value", again.alias("copy")).drop("copy")
+    return accounting(spark, _monitored(spark, messages))

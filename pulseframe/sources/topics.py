@@ -15,17 +15,21 @@ MALFORMED = "malformed message"
 NO_VITALS = "no usable vital"
 
 
-def subscribe(spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options) -> DataFrame:
+def subscribe(
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest", most_per_batch: int = 1_000_000, **options
+) -> DataFrame:
     """Streaming frame of a Kafka topic; offsets live in the query's checkpoint.
 
-    Needs the Kafka connector on the class path. File streams go through the
-    same decoder.
+    A micro-batch takes ``most_per_batch`` messages at most; the rest wait for the next
+    one. Needs the Kafka connector on the class path. File streams, whose counterpart is
+    ``maxFilesPerTrigger``, go through the same decoder.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
+        .option("maxOffsetsPerTrigger", most_per_batch)
     )
     return reader.options(**options).load()
 

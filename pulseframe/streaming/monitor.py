@@ -1,9 +1,10 @@
 """The monitoring query: messages in; points, scores, risk updates, alerts, audit and metrics out.
 
-Two streaming queries read the messages. One keeps what cannot be scored. The
-other cleans (keyed state), scores and writes every micro-batch to one folder per
-sink and batch, so that a repeated batch replaces its own output. A third query
-follows the alert folder and applies the cooldown.
+A first query decodes every message once into a staged table, with the reason if it
+cannot be scored; that table is also the quarantine. A second one reads it, cleans
+(keyed state), scores and writes every micro-batch to one folder per sink and batch, so
+that a repeated batch replaces its own output. A third one follows the alert folder and
+applies the cooldown. Every message is accounted for: it is scored or has a reason.
 """
 
 from __future__ import annotations
@@ -21,27 +22,37 @@ from pulseframe.operators.maintain import latest_risk, update_risk
 from pulseframe.operators.timeseries import latest_per_key
 from pulseframe.schemas import VITALS
 from pulseframe.sources.points import PARTITION, to_points
-from pulseframe.sources.tables import audit_alerts, audit_readings, audit_trail
-from pulseframe.sources.topics import decode, split_valid
+from pulseframe.sources.tables import audit_alerts, audit_errors, audit_readings, audit_trail
+from pulseframe.sources.topics import decode, rejection
+from pulseframe.streaming.progress import FAILED, ProgressTable
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
-SINKS = ("scored", "points", "risk", "alerts", "audit", "metrics")
+# Fixed value: reason of a reading whose vitals are all implausible.
+IMPLAUSIBLE = "no plausible vital"
+_STAGED = (
+    "patient_id STRING, timestamp STRING, ts TIMESTAMP, reading_id BIGINT, device_id STRING, "
+    "vitals MAP<STRING, DOUBLE>, value STRING, reason STRING, accepted BOOLEAN"
+)
+_ALERTS = (
+    "patient_id STRING, patient_name STRING, alert_type STRING, alert_reason STRING, risk_level STRING, "
+    "risk_score DOUBLE, reading_id BIGINT, ts TIMESTAMP, batch_id BIGINT"
+)
 
 
-def rejected_messages(messages: DataFrame) -> DataFrame:
-    """Messages for the quarantine sink with their reason."""
-    _, rejected = split_valid(decode(messages))
-    return rejected.select("patient_id", "timestamp", F.col("value").cast("string").alias("value"), "reason")
+def staged_messages(messages: DataFrame, reading_id: Column, received: Column | None = None) -> DataFrame:
+    """Every message decoded, with ``reason`` and ``accepted``.
 
-
-def cleaned_messages(messages: DataFrame, reading_id: Column, delay: str, idle_days: float | None = None) -> DataFrame:
-    """Decoded and cleaned readings of a message stream; messages without a time are left out.
-
-    Readings without a usable vital pass through as empty ones: testing for them
-    here would make Spark compute the vitals twice, once for the pushed-down filter.
+    A message without a readable time takes the time of its arrival, ``received``
+    (default: now). Only rejected messages keep their text.
     """
-    timed = decode(messages.withColumn("reading_id", reading_id)).filter(F.col("ts").isNotNull())
-    return clean_readings_stream(timed, delay, idle_days)
+    received = F.current_timestamp() if received is None else received
+    decoded = decode(messages.withColumns({"reading_id": reading_id.cast("bigint"), "received": received}))
+    told = decoded.withColumn("reason", rejection(decoded))
+    return told.observe("decoded", F.count_if(F.col("reason").isNotNull()).alias(FAILED)).select(
+        "patient_id", "timestamp", F.coalesce("ts", "received").alias("ts"), "reading_id", "device_id", "vitals",
+        F.when(F.col("reason").isNotNull(), F.col("value").cast("string")).alias("value"), "reason",
+        F.col("reason").isNull().alias("accepted"),
+    )
 
 
 def score_batch(cleaned: DataFrame, mode: str = "parity") -> DataFrame:
@@ -50,11 +61,13 @@ def score_batch(cleaned: DataFrame, mode: str = "parity") -> DataFrame:
     return score_readings(wide.withColumn("timestamp", F.col("ts")), mode)
 
 
-def _replace(df: DataFrame, root: str, sink: str, batch_id: int, *partitions: str) -> None:
-    writer = df.write.mode("overwrite")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{root}/{sink}/batch_id={batch_id}")
+def _replace(df: DataFrame, root: str, sink: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{root}/{sink}/batch_id={batch_id}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def write_batch(
@@ -64,6 +77,7 @@ def write_batch(
 
     def run(cleaned: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
+        spark = cleaned.sparkSession
         scored = score_batch(cleaned, mode)
         if hook is not None:
             scored = scored.transform(hook)
@@ -78,19 +92,27 @@ def write_batch(
             summary = counts.first()
             if not summary["messages_processed"] + summary["messages_failed"]:
                 return
-            kept = scored.filter(usable)
+            kept = scored.filter(usable).drop("reason")
             record = kept.drop("vitals")
             _replace(record, root, "scored", batch_id)
-            with_risk = kept.withColumn(
-                "vitals", F.map_concat("vitals", F.create_map(F.lit("risk_score"), F.col("risk_score")))
-            )
-            # A live batch spans a day or two, and adaptive rebalancing is off in streams.
-            points = to_points(with_risk, F.current_timestamp()).withColumn(PARTITION, F.to_date("ts"))
-            _replace(points, root, "points", batch_id, PARTITION)
+            unusable = scored.filter(~usable).select(
+                "patient_id", "timestamp", "ts", "reading_id", F.coalesce("reason", F.lit(IMPLAUSIBLE)).alias("reason"))
+            _replace(unusable, root, "unusable", batch_id)
+            # A vital that is called like the score must not meet it in the map.
+            others = F.map_filter("vitals", lambda k, _: k != "risk_score")
+            with_risk = kept.withColumn("vitals", F.map_concat(others, F.create_map(F.lit("risk_score"), F.col("risk_score"))))
+            points = to_points(with_risk, F.current_timestamp()).withColumns(
+                {PARTITION: F.to_date("ts"), "batch_id": F.lit(batch_id).cast("bigint")})
+            # Days first, so that a time range prunes folders; a day's batch has one file.
+            points.repartition(PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy(PARTITION, "batch_id").parquet(f"{root}/points")
             _replace(latest_risk(kept, ["ts", "reading_id"]), root, "risk", batch_id)
             alerts = build_alerts(kept, keep=("reading_id", "ts"))
-            _replace(alerts, root, "alerts", batch_id)
-            _replace(audit_trail(audit_readings(record), audit_alerts(alerts)), root, "audit", batch_id)
+            # A stream follows this folder, so what is written once stays as it is.
+            if not _exists(spark, f"{root}/alerts/batch_id={batch_id}/_SUCCESS"):
+                _replace(alerts, root, "alerts", batch_id)
+            trail = audit_trail(audit_readings(record), audit_alerts(alerts), audit_errors(unusable))
+            _replace(trail, root, "audit", batch_id)
             elapsed = F.lit((time.monotonic() - started) * 1000.0)
             _replace(counts.withColumn("processing_time_ms", elapsed), root, "metrics", batch_id)
         finally:
@@ -103,34 +125,65 @@ def start_monitoring(
     messages: DataFrame,
     root: str,
     reading_id: Column,
-    delay: str = "10 minutes",
+    received: Column | None = None,
     idle_days: float | None = None,
     hook: Callable[[DataFrame], DataFrame] | None = None,
+    files_per_batch: int = 1000,
+    watch: bool = True,
     **trigger,
 ):
-    """Start both message queries; returns (scoring query, quarantine query).
+    """Start decoding and scoring; returns both queries, decoding first.
 
-    ``trigger`` goes to the writers, e.g. ``availableNow=True`` or
-    ``processingTime="10 seconds"``.
+    ``trigger`` goes to the writers, e.g. ``processingTime="10 seconds"``. With
+    ``availableNow=True`` decoding ends before scoring starts. The source's rate limit
+    bounds the first query's batches, ``files_per_batch`` the second one's. ``watch``
+    appends every progress report to the consumer metrics table.
     """
-    trigger = trigger or {"processingTime": "10 seconds"}
-    quarantine = (
-        rejected_messages(messages).writeStream.format("parquet").outputMode("append")
-        .option("path", f"{root}/quarantine").option("checkpointLocation", f"{root}/_checkpoints/quarantine")
-        .trigger(**trigger).start()
+    spark, trigger = messages.sparkSession, trigger or {"processingTime": "10 seconds"}
+    if watch:
+        spark.streams.addListener(ProgressTable(spark, f"{root}/consumer_metrics"))
+    decoding = (
+        staged_messages(messages, reading_id, received).writeStream.format("parquet").outputMode("append")
+        .partitionBy("accepted").option("path", f"{root}/staged")
+        .option("checkpointLocation", f"{root}/_checkpoints/decoding").trigger(**trigger).start()
     )
+    if trigger.get("availableNow"):
+        decoding.awaitTermination()
+    staged = spark.readStream.schema(_STAGED).option("maxFilesPerTrigger", files_per_batch).parquet(f"{root}/staged")
     scoring = (
-        cleaned_messages(messages, reading_id, delay, idle_days).writeStream.outputMode("append")
+        clean_readings_stream(staged.filter("accepted"), idle_days).writeStream.outputMode("append")
         .foreachBatch(write_batch(root, hook=hook))
         .option("checkpointLocation", f"{root}/_checkpoints/scoring").trigger(**trigger).start()
     )
-    return scoring, quarantine
+    return decoding, scoring
+
 
+def quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Messages that were not scored, with their reason."""
+    rejected = spark.read.schema(_STAGED).parquet(f"{root}/staged").filter("NOT accepted")
+    unusable = spark.read.parquet(f"{root}/unusable")
+    return rejected.select("patient_id", "ts", "reading_id", "value", "reason").unionByName(
+        unusable.select("patient_id", "ts", "reading_id", F.lit(None).cast("string").alias("value"), "reason"))
 
-def alert_stream(spark: SparkSession, root: str) -> DataFrame:
-    """Stream of the alert folder. A batch written twice shows the same alerts again; the cooldown mutes them."""
-    schema = spark.read.parquet(f"{root}/alerts").schema
-    alerts = spark.readStream.schema(schema).parquet(f"{root}/alerts")
+
+def accounting(spark: SparkSession, root: str) -> DataFrame:
+    """(outcome, messages): ``received``, ``scored``, and each reason for not scoring."""
+    received = spark.read.schema(_STAGED).parquet(f"{root}/staged").select(F.lit("received").alias("outcome"))
+    scored = spark.read.parquet(f"{root}/scored").select(F.lit("scored").alias("outcome"))
+    reasons = quarantine(spark, root).select(F.col("reason").alias("outcome"))
+    return received.union(scored).union(reasons).groupBy("outcome").agg(F.count("*").alias("messages"))
+
+
+def audit_log(spark: SparkSession, root: str) -> DataFrame:
+    """The whole audit trail: readings, alerts and unusable readings of all batches, and rejected messages."""
+    rejected = spark.read.schema(_STAGED).parquet(f"{root}/staged").filter("NOT accepted")
+    errors = audit_errors(rejected.withColumn("timestamp", F.col("ts")), data="value")
+    return spark.read.parquet(f"{root}/audit").drop("batch_id").unionByName(errors)
+
+
+def alert_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """Stream of the alert folder."""
+    alerts = spark.readStream.schema(_ALERTS).option("maxFilesPerTrigger", files_per_batch).parquet(f"{root}/alerts")
     return alerts.select(
         "patient_id", "alert_type", "ts", F.col("reading_id").alias("alert_id"),
         F.to_json(F.struct("patient_name", "alert_reason", "risk_level", "risk_score")).alias("body"),
@@ -143,12 +196,10 @@ def dispatched(marked: DataFrame) -> DataFrame:
     return route_alerts(sent)
 
 
-def start_dispatch(
-    spark: SparkSession, root: str, delay: str = "10 minutes", seconds: float = COOLDOWN_SECONDS, **trigger
-):
+def start_dispatch(spark: SparkSession, root: str, seconds: float = COOLDOWN_SECONDS, **trigger):
     """Cool the alert folder down and append the channel rows."""
     trigger = trigger or {"processingTime": "10 seconds"}
-    rows = dispatched(cool_down_stream(alert_stream(spark, root), delay, seconds))
+    rows = dispatched(cool_down_stream(alert_stream(spark, root), seconds))
     return (
         rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/dispatched")
         .option("checkpointLocation", f"{root}/_checkpoints/dispatch").trigger(**trigger).start()
@@ -156,9 +207,17 @@ def start_dispatch(
 
 
 def apply_risk(
-    spark: SparkSession, root: str, patients: DataFrame, admissions: DataFrame, ref: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Fold all risk updates written so far into the patient and admission tables."""
-    updates = spark.read.parquet(f"{root}/risk")
+    spark: SparkSession, root: str, patients: DataFrame, admissions: DataFrame, ref: Column, after: int = -1
+) -> tuple[DataFrame, DataFrame, int]:
+    """Fold the risk updates of batches later than ``after`` into the patient and admission tables.
+
+    Returns both tables and the last batch that is in them, to be stored with them and
+    passed next time: each reading acts once, and a patient discharged since is not
+    admitted again because of old readings. Older batches' folders are not read.
+    """
+    updates = spark.read.parquet(f"{root}/risk").filter(F.col("batch_id") > after)
+    last = updates.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return patients, admissions, after
     latest = latest_per_key(updates, ["patient_id"], ["ts", "reading_id"])
-    return update_risk(patients, admissions, latest, ref)
+    return (*update_risk(patients, admissions, latest, ref), last)

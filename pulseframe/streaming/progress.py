@@ -11,6 +11,10 @@ from pyspark.sql.streaming import StreamingQueryListener
 from pulseframe.schemas import CONSUMER_METRICS
 
 
+# Name of the observed count of messages that cannot be scored.
+FAILED = "messages_failed"
+
+
 def _topic_offsets(value) -> dict[int, int]:
     """Offsets by partition of a topic source; other sources have none."""
     value = json.loads(value) if isinstance(value, str) else value
@@ -31,7 +35,7 @@ def consumer_rows(progress: dict) -> list[dict]:
         "id": None,
         "timestamp": dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")),
         "messages_processed": progress["numInputRows"],
-        "messages_failed": 0,
+        "messages_failed": sum(m.get(FAILED) or 0 for m in progress.get("observedMetrics", {}).values()),
         "processing_time_ms": float(progress["durationMs"].get("triggerExecution", 0)),
     }
     if not ends:

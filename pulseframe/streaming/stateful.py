@@ -1,14 +1,14 @@
 """Cleanup and cooldown as stateful streaming operators.
 
-Rows inside a micro-batch come in no order, so each key keeps its rows until the
-watermark has passed them, then walks them in (time, id) order with the same step
-functions as the batch folds. Later rows are dropped by the watermark. One timer
-per key and micro-batch is enough: it fires once everything buffered is complete.
+Rows are handled in the order of their arrival: those of one micro-batch by (time, id),
+and micro-batches one after another, with the same step functions as the batch folds.
+So nothing is buffered, nothing waits for a watermark, and late rows are not lost: they
+are compared with the state as it is when they come. State is one small row per key; a
+task holds the rows of one key and one micro-batch, which the source's rate limit bounds.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StatefulProcessor
 from pulseframe.operators.folds import COOLDOWN_SECONDS, Cleanup, Cooldown
 from pulseframe.session import ROCKSDB_PROVIDER, STATE_PROVIDER_KEY
 
-_MS = 1000  # microseconds
+# Fixed value: reason of a reading that came twice.
+DUPLICATE = "duplicate message"
 
 
 def require_rocksdb(spark: SparkSession) -> None:
@@ -28,166 +29,135 @@ def require_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
 
 
-class _OrderedProcessor(StatefulProcessor):
-    """Buffers rows per key and hands complete ones, in order, to ``walk``.
+class _ArrivalProcessor(StatefulProcessor):
+    """Hands the rows of a key and micro-batch, in order, to ``walk``."""
 
-    Each Arrow batch of a key is one buffer entry (JSON text): a state call costs
-    far more than reading a few rows, and no entry grows without limit.
-    """
-
-    buffer_schema = "rows STRING"
     state_schema: str
+    order: list[str]
 
     def __init__(self, idle_days: float | None = None):
-        self.idle_us = None if idle_days is None else int(idle_days * 86_400_000_000)
+        self.idle_ms = None if idle_days is None else max(1, int(idle_days * 86_400_000))
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", self.buffer_schema)
-        self.state = handle.getValueState("state", self.state_schema)
+        self.state = handle.getValueState("state", self.state_schema, self.idle_ms)
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = None
-        for frame in rows:
-            arrived = self.pack(frame)
-            if arrived:
-                self.buffer.appendValue((json.dumps(arrived),))
-                top = max(row[0] for row in arrived)
-                last = top if last is None else max(last, top)
-        if last is not None:
-            self.handle.registerTimer(-(-last // _MS))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        complete = timerValues.getCurrentWatermarkInMs() * _MS
-        waiting = [row for (rows,) in self.buffer.get() for row in json.loads(rows)]
-        ready = sorted((r for r in waiting if r[0] <= complete), key=lambda r: (r[0], r[1]))
-        if ready:
-            rest = [r for r in waiting if r[0] > complete]
-            if rest:
-                self.buffer.put([(json.dumps(rest),)])
-            else:
-                self.buffer.clear()
-            yield self.walk(key, ready)
-            if self.idle_us is not None:
-                self.handle.registerTimer(-(-(ready[-1][0] + self.idle_us) // _MS))
-        elif self.idle_us is not None and not waiting and self.state.exists():
-            if self.last_seen() + self.idle_us <= complete:
-                self.state.clear()
-
-
-class CleanupProcessor(_OrderedProcessor):
-    """Cleans whole readings of one patient; the state is the last value per vital."""
-
-    state_schema = "seen_us BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
-    output_schema = (
-        "patient_id STRING, ts_us BIGINT, reading_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
-    )
+        frame = pd.concat(list(rows)).sort_values(self.order, kind="stable", ignore_index=True)
+        if len(frame):
+            yield self.walk(key, frame)
 
-    def pack(self, frame):
-        return [
-            (int(t), int(i), [str(n) for n in names], [float(v) for v in vals])
-            for t, i, names, vals in zip(frame["ts_us"], frame["reading_id"], frame["names"], frame["vals"])
-        ]
 
-    def last_seen(self):
-        return self.state.get()[0]
+class CleanupProcessor(_ArrivalProcessor):
+    """Cleans whole readings of one patient; the state is the last value per vital and the last reading."""
+
+    state_schema = "seen_us BIGINT, seen_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
+    output_schema = (
+        "patient_id STRING, ts_us BIGINT, reading_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>, reason STRING"
+    )
+    order = ["ts_us", "reading_id"]
 
-    def walk(self, key, ready):
-        fold = Cleanup()
-        last = {}
+    def walk(self, key, frame):
+        fold, seen, last = Cleanup(), None, {}
         if self.state.exists():
-            _, names, vals = self.state.get()
-            last = dict(zip(names, vals))
+            seen_us, seen_id, names, vals = self.state.get()
+            seen, last = (seen_us, seen_id), dict(zip(names, vals))
         out = []
-        for ts, reading_id, names, vals in ready:
+        for ts, reading_id, names, vals in zip(frame["ts_us"], frame["reading_id"], frame["names"], frame["vals"]):
+            ts, reading_id = int(ts), int(reading_id)
+            if (ts, reading_id) == seen:
+                out.append((key[0], ts, reading_id, [], [], DUPLICATE))
+                continue
+            seen = (ts, reading_id)
             kept_names, kept_vals = [], []
             for name, value in zip(names, vals):
-                result, state = fold.step(last.get(name), name, value)
+                result, state = fold.step(last.get(name), name, float(value))
                 if state is not None:
                     last[name] = state
                 if result is not None:
                     kept_names.append(name)
                     kept_vals.append(result)
-            out.append((key[0], ts, reading_id, kept_names, kept_vals))
-        self.state.update((ready[-1][0], list(last), list(last.values())))
-        return pd.DataFrame(out, columns=["patient_id", "ts_us", "reading_id", "names", "vals"])
+            out.append((key[0], ts, reading_id, kept_names, kept_vals, None))
+        self.state.update((*seen, list(last), list(last.values())))
+        return pd.DataFrame(out, columns=["patient_id", "ts_us", "reading_id", "names", "vals", "reason"])
 
 
-class CooldownProcessor(_OrderedProcessor):
+class CooldownProcessor(_ArrivalProcessor):
     """Marks each alert of one patient and kind as sent or muted."""
 
     state_schema = "sent_us BIGINT"
     output_schema = (
         "patient_id STRING, alert_type STRING, ts_us BIGINT, alert_id BIGINT, body STRING, passed BOOLEAN"
     )
+    order = ["ts_us", "alert_id"]
 
-    def __init__(self, seconds: float = COOLDOWN_SECONDS):
-        # A state older than the cooldown has no effect, so it is dropped then.
-        super().__init__(idle_days=seconds / 86_400)
+    def __init__(self, seconds: float = COOLDOWN_SECONDS, idle_days: float | None = None):
+        super().__init__(idle_days)
         self.fold = Cooldown(seconds=seconds)
 
-    def pack(self, frame):
-        return [
-            (int(t), int(i), None if b is None else str(b))
-            for t, i, b in zip(frame["ts_us"], frame["alert_id"], frame["body"])
-        ]
-
-    def last_seen(self):
-        return self.state.get()[0]
-
-    def walk(self, key, ready):
+    def walk(self, key, frame):
         sent = self.state.get()[0] if self.state.exists() else None
-        passed, sent = self.fold.walk(sent, ([r[0] for r in ready],), 0, len(ready))
+        times = frame["ts_us"].tolist()
+        passed, sent = self.fold.walk(sent, (times,), 0, len(times))
         self.state.update((sent,))
-        return pd.DataFrame(
-            [(key[0], key[1], *row, ok) for row, ok in zip(ready, passed)],
-            columns=["patient_id", "alert_type", "ts_us", "alert_id", "body", "passed"],
-        )
+        return pd.DataFrame({
+            "patient_id": key[0], "alert_type": key[1], "ts_us": times, "alert_id": frame["alert_id"],
+            "body": frame["body"], "passed": passed,
+        })
+
+
+def _time_mode(idle_days: float | None) -> str:
+    """State that expires needs processing time, with which a query also runs batches without data.
+
+    So a query with ``idle_days`` and ``availableNow`` ends only if
+    spark.sql.streaming.noDataMicroBatches.enabled is false.
+    """
+    return "None" if idle_days is None else "ProcessingTime"
 
 
-def clean_readings_stream(readings: DataFrame, delay: str, idle_days: float | None = None) -> DataFrame:
-    """Cleaned readings (patient_id, ts, reading_id, vitals) of a reading stream.
+def clean_readings_stream(readings: DataFrame, idle_days: float | None = None) -> DataFrame:
+    """Cleaned readings (patient_id, ts, reading_id, vitals, reason) of a reading stream.
 
     ``readings`` hold patient_id, ts TIMESTAMP, reading_id BIGINT and the vitals map.
-    A reading whose vitals all drop comes out with an empty map. Patients silent
-    for ``idle_days`` lose their state.
+    A reading whose vitals all drop comes out with an empty map; one that repeats the
+    patient's reading before it also, with a reason. Patients silent for ``idle_days`` of
+    processing time lose their state.
     """
     require_rocksdb(readings.sparkSession)
-    prepared = readings.withWatermark("ts", delay).select(
+    prepared = readings.select(
         F.col("patient_id").cast("string").alias("patient_id"),
-        "ts",
         F.unix_micros("ts").alias("ts_us"),
         "reading_id",
         F.map_keys("vitals").alias("names"),
         F.map_values("vitals").alias("vals"),
     )
     cleaned = prepared.groupBy("patient_id").transformWithStateInPandas(
-        CleanupProcessor(idle_days), CleanupProcessor.output_schema, "Append", "EventTime"
+        CleanupProcessor(idle_days), CleanupProcessor.output_schema, "Append", _time_mode(idle_days)
     )
     return cleaned.select(
         "patient_id",
         F.timestamp_micros("ts_us").alias("ts"),
         "reading_id",
         F.map_from_arrays("names", "vals").alias("vitals"),
+        "reason",
     )
 
 
-def cool_down_stream(alerts: DataFrame, delay: str, seconds: float = COOLDOWN_SECONDS) -> DataFrame:
+def cool_down_stream(
+    alerts: DataFrame, seconds: float = COOLDOWN_SECONDS, idle_days: float | None = None
+) -> DataFrame:
     """Alerts (patient_id, alert_type, ts, alert_id, body) with ``passed``."""
     require_rocksdb(alerts.sparkSession)
-    prepared = alerts.withWatermark("ts", delay).select(
+    prepared = alerts.select(
         F.col("patient_id").cast("string").alias("patient_id"),
         "alert_type",
-        "ts",
         F.unix_micros("ts").alias("ts_us"),
         "alert_id",
         "body",
     )
     marked = prepared.groupBy("patient_id", "alert_type").transformWithStateInPandas(
-        CooldownProcessor(seconds), CooldownProcessor.output_schema, "Append", "EventTime"
+        CooldownProcessor(seconds, idle_days), CooldownProcessor.output_schema, "Append", _time_mode(idle_days)
     )
     return marked.withColumn("ts", F.timestamp_micros("ts_us")).drop("ts_us")

@@ -2,17 +2,17 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators.folds import clean_points, clean_readings, cool_down
 from pulseframe.sources.topics import decode
-from pulseframe.streaming.monitor import apply_risk, score_batch, start_dispatch, start_monitoring, write_batch
+from pulseframe.streaming.monitor import (
+    accounting, apply_risk, audit_log, quarantine, score_batch, start_dispatch, start_monitoring, write_batch)
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
-CLOSING = 4_000_000_000
-
 
 def reading_rows(n=300, seed=4):
     rng = random.Random(seed)
@@ -57,46 +57,43 @@ def test_cleanup_over_restarts_equals_batch(spark, tmp_path):
     rows = reading_rows()
     source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
     write_files(spark, source, [rows[:100]])
-    run(clean_readings_stream(stream_of(spark, source), "5 seconds"), sink)
+    run(clean_readings_stream(stream_of(spark, source)), sink)
     # Shuffled inside the file: the order of rows within a batch must not matter.
     rest = rows[100:]
     random.Random(1).shuffle(rest)
     write_files(spark, source, [rest])
-    run(clean_readings_stream(stream_of(spark, source), "5 seconds"), sink)
-    write_files(spark, source, [[("end", CLOSING, -1, {"heart_rate": 70.0})]])
-    run(clean_readings_stream(stream_of(spark, source), "5 seconds"), sink)
-    out = [r for r in spark.read.parquet(f"{sink}/out").collect() if r["patient_id"] != "end"]
+    run(clean_readings_stream(stream_of(spark, source)), sink)
+    out = spark.read.parquet(f"{sink}/out").collect()
     assert sorted(r["reading_id"] for r in out) == list(range(len(rows)))
     got = {(r["reading_id"], f): v for r in out for f, v in r["vitals"].items()}
     assert got == batch_cleaned(spark, rows)
 
 
-def test_late_rows_do_not_touch_the_state(spark, tmp_path):
+def test_late_and_repeated_rows_in_order_of_arrival(spark, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
-    write_files(spark, source, [[("p", 1000, 0, {"heart_rate": 70.0}), ("p", 2000, 1, {"heart_rate": 75.0})]])
-    run(clean_readings_stream(stream_of(spark, source), "0 seconds"), sink)
+    one = ("p", 2000, 1, {"heart_rate": 75.0})
+    write_files(spark, source, [[("p", 1000, 0, {"heart_rate": 70.0}), one, one]])
+    run(clean_readings_stream(stream_of(spark, source)), sink)
+    write_files(spark, source, [[one]])
+    run(clean_readings_stream(stream_of(spark, source)), sink)
     write_files(spark, source, [[("p", 500, 2, {"heart_rate": 190.0}), ("p", 3000, 3, {"heart_rate": 80.0})]])
-    run(clean_readings_stream(stream_of(spark, source), "0 seconds"), sink)
-    write_files(spark, source, [[("end", CLOSING, -1, {"heart_rate": 70.0})]])
-    run(clean_readings_stream(stream_of(spark, source), "0 seconds"), sink)
-    out = {r["reading_id"]: r["vitals"]["heart_rate"] for r in spark.read.parquet(f"{sink}/out").collect()}
-    out.pop(-1, None)
-    assert out == {0: 70.0, 1: 75.0, 3: 80.0}
+    run(clean_readings_stream(stream_of(spark, source)), sink)
+    out = spark.read.parquet(f"{sink}/out").collect()
+    got = {r["reading_id"]: r["vitals"]["heart_rate"] for r in out if r["reason"] is None}
+    assert got == pytest.approx({0: 70.0, 1: 75.0, 2: 75 * 0.7 + 190 * 0.3, 3: 109.5 * 0.7 + 80 * 0.3})
+    assert [(r["reading_id"], r["vitals"], r["reason"]) for r in out if r["reason"]] == [(1, {}, "duplicate message")] * 2
 
 
 def test_idle_patients_lose_their_state(spark, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
-    day = 86_400
-    steps = [
-        [("p", 0, 0, {"heart_rate": 70.0})],
-        [("tick", 5 * day, 1, {"heart_rate": 70.0})],
-        [("tick", 6 * day, 2, {"heart_rate": 70.0})],
-        [("p", 7 * day, 3, {"heart_rate": 170.0})],
-        [("end", CLOSING, -1, {"heart_rate": 70.0})],
-    ]
-    for step in steps:
-        write_files(spark, source, [step])
-        run(clean_readings_stream(stream_of(spark, source), "0 seconds", idle_days=2), sink)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        for step in ([("p", 0, 0, {"heart_rate": 70.0})], [("p", 7, 3, {"heart_rate": 170.0})]):
+            write_files(spark, source, [step])
+            run(clean_readings_stream(stream_of(spark, source), idle_days=1e-6), sink)
+            time.sleep(0.5)
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     out = {r["reading_id"]: r["vitals"]["heart_rate"] for r in spark.read.parquet(f"{sink}/out").collect()}
     assert out[3] == 170.0
 
@@ -104,13 +101,14 @@ def test_idle_patients_lose_their_state(spark, tmp_path):
 def test_cooldown_equals_batch(spark, tmp_path):
     rng = random.Random(8)
     rows = [(f"p{rng.randrange(3)}", rng.choice(["a", "b"]), rng.randrange(5000), i, "x") for i in range(400)]
+    rows.sort(key=lambda r: (r[2], r[3]))
     schema = "patient_id STRING, alert_type STRING, sec BIGINT, alert_id BIGINT, body STRING"
     source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
-    for part in (sorted(rows, key=lambda r: r[2])[:200], sorted(rows, key=lambda r: r[2])[200:], [("end", "a", CLOSING, -1, "x")]):
+    for part in (rows[:200], rows[200:]):
         spark.createDataFrame(part, schema).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source).withColumn("ts", F.timestamp_seconds("sec"))
-        run(cool_down_stream(stream, "1 second"), sink)
-    got = {r["alert_id"]: r["passed"] for r in spark.read.parquet(f"{sink}/out").collect() if r["alert_id"] >= 0}
+        run(cool_down_stream(stream), sink)
+    got = {r["alert_id"]: r["passed"] for r in spark.read.parquet(f"{sink}/out").collect()}
     frame = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("sec")).withColumnRenamed("alert_id", "event_id")
     assert got == {r["event_id"]: r["passed"] for r in cool_down(frame).collect()}
 
@@ -125,36 +123,56 @@ def monitored(spark, tmp_path_factory):
         at = f"2024-03-01T{10 + i // 60}:{i % 60:02d}:00Z"
         messages.append(json.dumps({"patient_id": f"ICU-00000{i % 4}", "timestamp": at, "vital_signs": vitals}))
     messages += ["{oops", json.dumps({"patient_id": "ICU-000001", "timestamp": "2024-03-01T10:00:00Z", "vital_signs": {}})]
-    messages.append(json.dumps({"patient_id": "end", "timestamp": "2090-01-01T00:00:00Z", "vital_signs": {"heart_rate": 70}}))
-    rows = list(enumerate(messages))
+    # Without a time, with a vital called like the score, with nothing plausible, and one message twice.
+    messages.append(json.dumps({"patient_id": "late-1", "vital_signs": {"heart_rate": 80, "risk_score": 2}}))
+    messages.append(json.dumps({"patient_id": "late-2", "timestamp": "yesterday", "vital_signs": {"heart_rate": 999}}))
+    rows = [*enumerate(messages), (5, messages[5])]
     spark.createDataFrame(rows, "offset BIGINT, value STRING").write.parquet(str(root / "in"))
     stream = spark.readStream.schema("offset BIGINT, value STRING").parquet(str(root / "in"))
-    for q in start_monitoring(stream, str(root / "out"), F.col("offset"), "1 minute", availableNow=True):
+    arrived = F.lit("2024-03-02 00:00:00").cast("timestamp")
+    for q in start_monitoring(stream, str(root / "out"), F.col("offset"), arrived, availableNow=True):
         q.awaitTermination()
     return str(root / "out"), rows
 
 
 def test_monitoring_sinks_agree(spark, monitored):
     root, rows = monitored
-    scored = spark.read.parquet(f"{root}/scored").filter("reading_id < 120")
-    assert scored.count() == 120
-    points = spark.read.parquet(f"{root}/points").filter("patient_id <> 'end'")
+    scored = spark.read.parquet(f"{root}/scored")
+    assert sorted(r["reading_id"] for r in scored.collect()) == [*range(120), 122]
+    points = spark.read.parquet(f"{root}/points")
     by_field = {r["field"]: r["count"] for r in points.groupBy("field").count().collect()}
-    assert by_field["risk_score"] == by_field["heart_rate"] == by_field["blood_pressure_systolic"] == 120
+    assert by_field["risk_score"] == by_field["heart_rate"] == by_field["blood_pressure_systolic"] + 1 == 121
     assert points.filter("risk_level IS NULL").count() == 0
+    assert {str(r["ts"]) for r in points.filter("patient_id = 'late-1'").collect()} == {"2024-03-02 00:00:00"}
     alerts = spark.read.parquet(f"{root}/alerts")
     assert alerts.count() == scored.filter("risk_level IN ('MODERATE', 'HIGH', 'CRITICAL')").count()
-    quarantine = spark.read.parquet(f"{root}/quarantine")
-    assert {r["reason"] for r in quarantine.collect()} == {"malformed message", "no usable vital"}
-    audit = {r["event_type"]: r["count"] for r in spark.read.parquet(f"{root}/audit").filter("patient_id <> 'end'").groupBy("event_type").count().collect()}
-    assert audit == {"reading": 120, "alert": alerts.count()}
+    reasons = {r["reason"]: r["count"] for r in quarantine(spark, root).groupBy("reason").count().collect()}
+    assert reasons == {"malformed message": 1, "no usable vital": 1, "no plausible vital": 1, "duplicate message": 1}
+    counts = {r["outcome"]: r["messages"] for r in accounting(spark, root).collect()}
+    assert counts == {"received": len(rows), "scored": 121, **reasons}
+    audit = {r["event_type"]: r["count"] for r in audit_log(spark, root).groupBy("event_type").count().collect()}
+    assert audit == {"reading": 121, "alert": alerts.count(), "error": 4}
     metrics = spark.read.parquet(f"{root}/metrics").agg(F.sum("messages_processed"), F.sum("messages_failed")).first()
-    assert metrics[0] >= 120 and metrics[1] >= 1
+    assert tuple(metrics) == (121, 2)
+
+
+def test_progress_reaches_the_metrics_table(spark, monitored):
+    root, rows = monitored
+    for _ in range(40):  # reports come from another thread
+        try:
+            table = spark.read.parquet(f"{root}/consumer_metrics").agg(F.max("messages_processed"), F.max("messages_failed")).first()
+            if table[0] == len(rows) and table[1] == 2:
+                return
+        except Exception:  # not yet written
+            pass
+        time.sleep(0.5)
+    raise AssertionError("no progress of the decoding query in the metrics table")
 
 
 def test_monitoring_matches_batch(spark, monitored):
     root, rows = monitored
     decoded = decode(spark.createDataFrame(rows, "event_id BIGINT, value STRING")).filter("event_id < 120")
+    assert decoded.count() == 121  # one came twice
     cleaned = clean_readings(decoded.withColumnRenamed("event_id", "reading_id"))
     expected = {r["reading_id"]: (r["mews_score"], r["risk_score"], r["risk_level"]) for r in score_batch(cleaned).collect()}
     got = {r["reading_id"]: (r["mews_score"], r["risk_score"], r["risk_level"]) for r in spark.read.parquet(f"{root}/scored").filter("reading_id < 120").collect()}
@@ -163,6 +181,7 @@ def test_monitoring_matches_batch(spark, monitored):
 
 def test_repeated_batch_replaces_its_output(spark, tmp_path):
     df = spark.createDataFrame([("p", 10, 1, {"heart_rate": 150.0}), ("p", 20, 2, {})], SCHEMA).withColumn("ts", F.timestamp_seconds("sec")).drop("sec")
+    df = df.withColumn("reason", F.lit(None).cast("string"))
     write = write_batch(str(tmp_path), hook=lambda scored: scored.withColumn("ward", F.lit("A")))
     for _ in range(2):
         write(df, 7)
@@ -172,16 +191,22 @@ def test_repeated_batch_replaces_its_output(spark, tmp_path):
 
 def test_dispatch_and_risk_updates(spark, monitored):
     root, _ = monitored
-    query = start_dispatch(spark, root, "1 minute", seconds=600, availableNow=True)
+    query = start_dispatch(spark, root, seconds=600, availableNow=True)
     query.awaitTermination()
     sent = spark.read.parquet(f"{root}/dispatched")
     per_alert = {r["alert_id"]: {x["channel"] for x in sent.filter(F.col("alert_id") == r["alert_id"]).collect()} for r in sent.select("alert_id").distinct().limit(3).collect()}
     assert per_alert and all("dashboard" in v for v in per_alert.values())
     none = spark.createDataFrame([], "patient_id STRING, full_name STRING, date_of_birth DATE, gender STRING, active_monitoring BOOLEAN")
     no_adm = spark.createDataFrame([], "admission_id BIGINT, patient_id STRING, admission_time TIMESTAMP, discharge_time TIMESTAMP, department STRING, initial_diagnosis STRING, risk_level STRING, current_risk_score DOUBLE, updated_at TIMESTAMP")
-    patients, admissions = apply_risk(spark, root, none, no_adm, F.lit("2024-03-02").cast("timestamp"))
+    at = F.lit("2024-03-02").cast("timestamp")
+    patients, admissions, last = apply_risk(spark, root, none, no_adm, at)
     assert {r["patient_id"] for r in patients.collect()} >= {f"ICU-00000{i}" for i in range(4)}
     assert {r["department"] for r in admissions.collect()} == {"ICU-Emergency"}
+    # Everyone is discharged after the last reading: the same readings don't admit them again.
+    discharged = admissions.withColumn("discharge_time", at)
+    again = apply_risk(spark, root, patients, discharged, at, after=last)
+    assert again[1].count() == admissions.count() and again[2] == last
+    assert again[1].filter("discharge_time IS NULL").count() == 0
 
 
 def test_progress_rows():
@@ -190,8 +215,9 @@ def test_progress_rows():
     progress = {
         "timestamp": "2024-03-01T10:00:00.000Z", "numInputRows": 30, "durationMs": {"triggerExecution": 1500},
         "sources": [{"endOffset": '{"vitals": {"0": 100, "1": 40}}', "latestOffset": '{"vitals": {"0": 110, "1": 40}}'}],
-        "observedMetrics": {},
+        "observedMetrics": {"decoded": {"messages_failed": 4}},
     }
+    assert {r["messages_failed"] for r in consumer_rows(progress)} == {4}
     rows = {r["partition"]: r for r in consumer_rows(progress)}
     assert rows[0]["offset"] == 100 and rows[0]["lag"] == 10 and rows[1]["lag"] == 0
     assert rows[0]["messages_processed"] == 30 and rows[0]["processing_time_ms"] == 1500.0
