@@ -9,37 +9,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pulseframe.llm import exact_dedup, mixing, near_dedup, packing, quality
-from pulseframe.llm.common import saved, table
-from pulseframe.session import ship_package
+from pulseframe.llm.common import prepared, saved, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what importance resampling against the labelled target text rejects."""
-    ship_package(spark)
+    prepared(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group with equal text."""
-    ship_package(spark)
+    prepared(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each SimHash component (three-word shingles, two bits)."""
-    ship_package(spark)
+    prepared(spark)
     return near_dedup.drop_near_duplicates(docs, shingle=3, bits=2)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or thins documents so that sources reach their target weights."""
-    ship_package(spark)
+    prepared(spark)
     return mixing.mix(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the mixture into sequences of 2048 tokens."""
-    ship_package(spark)
+    prepared(spark)
     return packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN, length=2048,

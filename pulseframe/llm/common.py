@@ -8,13 +8,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.session import scratch_path
+from pulseframe.session import scratch_path, ship_package
 
 #: One white space character and one word, as byte or character classes.
 SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+#: Bytes of an Arrow batch, about: Python tasks hold a few of them, as lists, besides their own state.
+BATCH_BYTES = "8m"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """Ships the package to the workers and bounds the batches that they get."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, substrings, tokens, topk
-from pulseframe.llm.common import table
-from pulseframe.session import ship_package
+from pulseframe.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +20,7 @@ _SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
-            return fn(spark, sf_dir)
+            return fn(prepared(spark), sf_dir)
 
         _QUERIES[name] = run
         if sql is not None:

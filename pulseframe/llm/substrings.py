@@ -16,6 +16,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ GROUP_ROWS = 50_000
 PARTS = 4
 #: Bytes of a text whose anchors are found at once.
 CHUNK = 1 << 20
+#: Rows with bytes that are handed on together.
+ROWS_AT_ONCE = 2048
 #: Documents that the most frequent k-grams are looked for in, about; those with a larger
 #: share of the anchors than HEAVY_SHARE, less than 1 / HEAVY_SHARE in number, are dealt out further.
 SAMPLE_DOCS = 10_000
@@ -320,13 +323,11 @@ def _blocks(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataF
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for doc_id, h, packed, places in zip(*(c.to_pylist() for c in batch.columns)):
-                data, out = unpack(packed), []
-                for p in places:
-                    parts = _block(data, p, 0, reach, window)
-                    # At the first level the core is the k-gram alone.
-                    out.append((doc_id, h, p, 0, reach, *_hashes(0, reach, *parts), *parts))
-                for start in range(0, len(out), 4096):
-                    part = out[start:start + 4096]
+                data = unpack(packed)
+                # The core is the k-gram alone.
+                made = ((p, _block(data, p, 0, reach, window)) for p in places)
+                rows = ((doc_id, h, p, 0, reach, *_hashes(0, reach, *parts), *parts) for p, parts in made)
+                for part in batched(rows, ROWS_AT_ONCE):
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), arrow)], schema=arrow)
 
     return joined.select("doc_id", "h", "packed", "places").mapInArrow(run, _BLOCK)
@@ -336,19 +337,20 @@ def _split(blocks: DataFrame, window: int) -> DataFrame:
     """The same windows in narrower classes, so that their cores, and thus keys, say more."""
     arrow = pa_schema(blocks.sparkSession, _BLOCK)
 
+    def made(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for doc_id, h, p, lo, hi, _, _, back, core, ahead in rows:
+            text = back[::-1] + core + ahead
+            at = len(back) + lo  # where p is in this text
+            for a, b in _ranges(lo, hi):
+                # Without a window at these places within the document there is no block.
+                if at >= a and at - b + window <= len(text):
+                    parts = _block(text, at, a, b, window)
+                    yield doc_id, h, p, a, b, *_hashes(a, b, *parts), *parts
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, h, p, lo, hi, _, _, back, core, ahead in zip(*(c.to_pylist() for c in batch.columns)):
-                text = back[::-1] + core + ahead
-                at = len(back) + lo  # where p is in this text
-                for a, b in _ranges(lo, hi):
-                    if at - a < 0 or at - b + window > len(text):
-                        continue  # no window at these places lies within the document
-                    parts = _block(text, at, a, b, window)
-                    out.append((doc_id, h, p, a, b, *_hashes(a, b, *parts), *parts))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow) \
-                if out else pa.RecordBatch.from_pylist([], schema=arrow)
+            for part in batched(made(zip(*(c.to_pylist() for c in batch.columns))), ROWS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), arrow)], schema=arrow)
 
     return blocks.select(*_BLOCK_COLUMNS).mapInArrow(run, _BLOCK)
 
