@@ -129,6 +129,10 @@ def history(alerts: DataFrame, n: int = HISTORY_LENGTH, order: Sequence[str] = (
     return alerts.orderBy(*(F.col(c).desc() for c in order)).limit(n)
 
 
-def history_stats(alerts: DataFrame, kept: int = HISTORY_LENGTH) -> DataFrame:
-    """Number of alerts in the kept history."""
-    return history(alerts, kept).agg(F.count(F.lit(1)).alias("total_alerts"))
+def history_stats(
+    alerts: DataFrame, kept: int = HISTORY_LENGTH, recent: int = RECENT_IN_STATS, order: Sequence[str] = ("ts", "alert_id")
+) -> DataFrame:
+    """Number of alerts in the kept history, and the last few of them, newest first."""
+    last = F.struct(*order, *(c for c in alerts.columns if c not in order))
+    newest = F.slice(F.sort_array(F.collect_list(last), asc=False), 1, recent)
+    return history(alerts, kept, order).agg(F.count(F.lit(1)).alias("total_alerts"), newest.alias("recent_alerts"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.scoring import score_readings
 from pulseframe.operators import alerts as a
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query, steady, steady_sql
+from pulseframe.plans.registry import query
 from pulseframe.plans.vitals import SCORED_SQL
 
 AT = "2024-01-20 12:00:00"
@@ -25,11 +25,11 @@ def _built(spark, sf_dir):
     return a.build_alerts(score_readings(t.readings(spark, sf_dir)))
 
 
-@query("alerts_built", f"SELECT patient_id, patient_name, alert_type, alert_reason, risk_level AS severity, {steady_sql('risk_score')} AS risk_score, timestamp, has_rate, n_warnings FROM ({BUILT_SQL})")
+@query("alerts_built", f"SELECT patient_id, patient_name, alert_type, alert_reason, risk_level AS severity, risk_score, timestamp, has_rate, n_warnings FROM ({BUILT_SQL})")
 def alerts_built(spark, sf_dir):
     return _built(spark, sf_dir).select(
         "patient_id", "patient_name", "alert_type", "alert_reason", "severity",
-        steady(F.col("risk_score")).alias("risk_score"), "timestamp",
+        "risk_score", "timestamp",
         F.col("vital_signs.heart_rate").isNotNull().alias("has_rate"), F.size("warnings").alias("n_warnings"),
     )
 
@@ -75,9 +75,20 @@ def alert_history(spark, sf_dir):
     return a.history(t.alert_events(spark, sf_dir))
 
 
-@query("alert_history_stats", f"SELECT least(count(*), 100) AS total_alerts FROM ({t.ALERTS_SQL})")
+@query(
+    "alert_history_stats",
+    f"""SELECT (SELECT least(count(*), 100) FROM ({t.ALERTS_SQL})) AS total_alerts, string_agg(CAST(alert_id AS VARCHAR), ',' ORDER BY ts DESC, alert_id DESC) AS recent
+FROM (SELECT * FROM ({t.ALERTS_SQL}) ORDER BY ts DESC, alert_id DESC LIMIT 5)""",
+)
 def alert_history_stats(spark, sf_dir):
-    return a.history_stats(t.alert_events(spark, sf_dir))
+    stats = a.history_stats(t.alert_events(spark, sf_dir))
+    ids = F.transform("recent_alerts.alert_id", lambda i: i.cast("string"))
+    return stats.select("total_alerts", F.array_join(ids, ",").alias("recent"))
+
+
+@query("alert_short_history", f"SELECT * FROM ({t.ALERTS_SQL}) ORDER BY ts DESC, alert_id DESC LIMIT 50")
+def alert_short_history(spark, sf_dir):
+    return a.history(t.alert_events(spark, sf_dir), a.SHORT_HISTORY_LENGTH)
 
 
 @query("alerts_on_connect", f"SELECT * FROM ({t.ALERTS_SQL}) ORDER BY ts DESC, alert_id DESC LIMIT 10")

@@ -11,7 +11,7 @@ from pulseframe.sources import tables as tb
 from pulseframe.sources import topics, tracks
 from pulseframe.sources.points import to_points
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query, steady, steady_sql
+from pulseframe.plans.registry import query
 from pulseframe.plans.alerting import BUILT_SQL
 from pulseframe.plans.vitals import SCORED_SQL
 
@@ -259,8 +259,8 @@ def event_rows(spark, sf_dir):
 
 @query(
     "audit_rows",
-    f"""SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'reading' AS event_type, {steady_sql('risk_score')} AS risk_score, NULL AS error_message, risk_level AS logged_level FROM ({SCORED_SQL})
-UNION ALL SELECT CAST(patient_id AS VARCHAR), 'alert', {steady_sql('risk_score')}, NULL, risk_level FROM ({BUILT_SQL})
+    f"""SELECT CAST(patient_id AS VARCHAR) AS patient_id, 'reading' AS event_type, risk_score, NULL AS error_message, risk_level AS logged_level FROM ({SCORED_SQL})
+UNION ALL SELECT CAST(patient_id AS VARCHAR), 'alert', risk_score, NULL, risk_level FROM ({BUILT_SQL})
 UNION ALL SELECT CASE WHEN value < 10 AND event_id % {_N} <> {_N - 1} THEN 'Unknown' WHEN event_id % {_N} = {_N - 1} THEN 'Unknown' ELSE 'ICU-' || lpad(CAST(user_id AS VARCHAR), 6, '0') END, 'error', NULL,
   CASE WHEN event_id % {_N} = {_N - 1} THEN 'malformed message' ELSE 'no usable vital' END, NULL FROM events WHERE event_id % {_N} >= {_N - 3}""",
 )
@@ -272,7 +272,7 @@ def audit_rows(spark, sf_dir):
         tb.audit_readings(scored.drop("day")), tb.audit_alerts(build_alerts(scored)), tb.audit_errors(late, data="value")
     )
     return trail.select(
-        "patient_id", "event_type", steady(F.col("risk_score")).alias("risk_score"), "error_message",
+        "patient_id", "event_type", "risk_score", "error_message",
         F.get_json_object("event_data", "$.risk_level").alias("logged_level"),
     )
 

@@ -9,7 +9,7 @@ from pulseframe.operators import aggregates as agg
 from pulseframe.operators import filters, relate
 from pulseframe.operators.timeseries import latest_per_key
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query, steady, steady_sql
+from pulseframe.plans.registry import query
 from pulseframe.schemas import VITALS
 
 _AGE_SQL = f"CAST(floor(date_diff('day', date_of_birth, DATE '{t.ADMISSION_REF[:10]}') / 365.0) AS INTEGER)"
@@ -21,7 +21,7 @@ _SHOWN = [
     "patient_id", "full_name", "age", "gender", "admission_id", "admission_time", "department",
     "admission_type", "risk_level", "risk_score", "diagnosis", "physician",
 ]
-_SHOWN_SQL = ", ".join(steady_sql(c) + f" AS {c}" if c == "risk_score" else c for c in _SHOWN)
+_SHOWN_SQL = ", ".join(_SHOWN)
 
 
 def _ref():
@@ -33,7 +33,7 @@ def _tables(spark, sf_dir):
 
 
 def _shown(df):
-    return df.select(*(steady(F.col(c)).alias(c) if c == "risk_score" else c for c in _SHOWN))
+    return df.select(*_SHOWN)
 
 
 @query("active_patients", f"SELECT {_SHOWN_SQL} FROM ({ACTIVE_SQL})")
@@ -47,7 +47,7 @@ def active_patients(spark, sf_dir):
   CASE WHEN a.patient_id IS NULL THEN 'N/A' ELSE department END AS department,
   CASE WHEN a.patient_id IS NULL THEN 'N/A' ELSE admission_type END AS admission_type,
   CASE WHEN a.patient_id IS NULL THEN 'STABLE' ELSE risk_level END AS risk_level,
-  {steady_sql('CASE WHEN a.patient_id IS NULL THEN 0 ELSE current_risk_score END')} AS risk_score,
+  CASE WHEN a.patient_id IS NULL THEN 0 ELSE current_risk_score END AS risk_score,
   CASE WHEN a.patient_id IS NULL THEN 'N/A' ELSE initial_diagnosis END AS diagnosis,
   CASE WHEN a.patient_id IS NULL THEN 'N/A' ELSE attending_physician END AS physician
 FROM ({t.PATIENTS_SQL}) p LEFT JOIN ({t.ADMISSIONS_SQL}) a ON p.patient_id = a.patient_id WHERE discharge_time IS NULL""",
@@ -58,15 +58,15 @@ def patient_status_left(spark, sf_dir):
 
 @query(
     "critical_patients",
-    f"""SELECT patient_id, full_name, admission_id, risk_level, {steady_sql('risk_score')} AS risk_score,
-  {steady_sql(f"date_diff('second', admission_time, TIMESTAMP '{t.ADMISSION_REF}') / 3600.0::DOUBLE")} AS hours_admitted
+    f"""SELECT patient_id, full_name, admission_id, risk_level, risk_score,
+  date_diff('second', admission_time, TIMESTAMP '{t.ADMISSION_REF}') / 3600.0::DOUBLE AS hours_admitted
 FROM ({ACTIVE_SQL}) WHERE risk_level IN ('CRITICAL', 'HIGH') ORDER BY risk_score DESC, patient_id, admission_id""",
 )
 def critical_patients(spark, sf_dir):
     listed = relate.critical_patients(*_tables(spark, sf_dir), _ref())
     return listed.select(
         "patient_id", "full_name", "admission_id", "risk_level",
-        steady(F.col("risk_score")).alias("risk_score"), steady(F.col("hours_admitted")).alias("hours_admitted"),
+        "risk_score", "hours_admitted",
     )
 
 
@@ -127,10 +127,10 @@ def alert_counts(spark, sf_dir):
 
 @query(
     "active_alert_list",
-    f"SELECT patient_id, full_name, admission_id, risk_level, diagnosis, {steady_sql('risk_score')} AS risk_score FROM ({ACTIVE_SQL}) WHERE risk_level IN ('CRITICAL', 'HIGH')",
+    f"SELECT patient_id, full_name, admission_id, risk_level, diagnosis, risk_score FROM ({ACTIVE_SQL}) WHERE risk_level IN ('CRITICAL', 'HIGH')",
 )
 def active_alert_list(spark, sf_dir):
-    return relate.alert_list(*_tables(spark, sf_dir), _ref()).withColumn("risk_score", steady(F.col("risk_score")))
+    return relate.alert_list(*_tables(spark, sf_dir), _ref())
 
 
 _RANK_SQL = "CASE risk_level WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MODERATE' THEN 2 WHEN 'STABLE' THEN 3 ELSE 4 END"
@@ -189,3 +189,15 @@ def birth_dates(spark, sf_dir):
     age = F.when(F.col("p_size") <= 45, F.col("p_size"))
     born = birth_date_from_age(age, F.lit("2024-06-01").cast("date"))
     return parts.select("p_partkey", born.cast("string").alias("date_of_birth"))
+
+
+def _sorted_row(by: str, order: str) -> None:
+    # The first rows of the list tell its order.
+    @query(f"patients_by_{by}", f"SELECT {_SHOWN_SQL} FROM ({ACTIVE_SQL}) ORDER BY {order}, patient_id, admission_id LIMIT 40")
+    def sorted_patients(spark, sf_dir):
+        return _shown(relate.sort_patients(relate.active_patients(*_tables(spark, sf_dir), _ref()), by)).limit(40)
+
+
+_sorted_row("name", "encode(full_name)")
+_sorted_row("id", "patient_id")
+_sorted_row("admission", "admission_time DESC NULLS LAST")

@@ -44,7 +44,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def steady(value: Column, digits: int = 4) -> Column:
-    """Rounded for comparison; the nudge keeps exact ties off the rounding edge in both engines."""
+    """Rounded, as sums of floating point numbers depend on their order; only for such results."""
     return F.round(value + F.lit(1e-9), digits)
 
 

@@ -25,10 +25,10 @@ def latest_vitals(spark, sf_dir):
 @query(
     "last_n_vitals",
     f"""SELECT patient_id, field, ts, event_id, value, CAST(row_number() OVER (PARTITION BY patient_id, field ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank
-FROM ({t.POINTS_SQL}) QUALIFY row_number() OVER (PARTITION BY patient_id, field ORDER BY ts DESC, event_id DESC) <= 50""",
+FROM ({t.POINTS_SQL}) QUALIFY row_number() OVER (PARTITION BY patient_id, field ORDER BY ts DESC, event_id DESC) <= 2""",
 )
 def last_n_vitals(spark, sf_dir):
-    return ts.last_per_key(t.points(spark, sf_dir), SERIES, ["ts", "event_id"], 50)
+    return ts.last_per_key(t.points(spark, sf_dir), SERIES, ["ts", "event_id"], 2)
 
 
 @query("recent_points", f"SELECT * FROM ({t.POINTS_SQL}) ORDER BY ts DESC, event_id DESC LIMIT 1000")
@@ -40,13 +40,13 @@ def recent_points(spark, sf_dir):
     "recent_points_by_series",
     f"""SELECT *, CAST(row_number() OVER (PARTITION BY patient_id, field ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank FROM ({t.POINTS_SQL})
 WHERE ts >= TIMESTAMP '{t.REF_TIME}' - INTERVAL 240 HOURS AND ts < TIMESTAMP '{t.REF_TIME}'
-QUALIFY row_number() OVER (PARTITION BY patient_id, field ORDER BY ts DESC, event_id DESC) <= 1000""",
+QUALIFY row_number() OVER (PARTITION BY patient_id, field ORDER BY ts DESC, event_id DESC) <= 2""",
 )
 def recent_points_by_series(spark, sf_dir):
     from pulseframe.operators.filters import last_hours
 
     recent = last_hours(t.points(spark, sf_dir), t.ntz(t.REF_TIME), 240)
-    return ts.last_per_key(recent, SERIES, ["ts", "event_id"], 1000)
+    return ts.last_per_key(recent, SERIES, ["ts", "event_id"], 2)
 
 
 @query(
@@ -97,14 +97,11 @@ def partition_lag(spark, sf_dir):
 @query(
     "success_rate",
     f"""SELECT count(*) FILTER (WHERE NOT failed) AS messages_processed, count(*) FILTER (WHERE failed) AS errors,
-  {steady_sql('count(*) FILTER (WHERE NOT failed) * 100.0::DOUBLE / count(*)')} AS success_rate,
-  {steady_sql('count(*) FILTER (WHERE NOT failed) / 2592000.0::DOUBLE', 6)} AS messages_per_sec FROM ({t.METRICS_SQL})""",
+  count(*) FILTER (WHERE NOT failed) * 100.0::DOUBLE / count(*) AS success_rate,
+  count(*) FILTER (WHERE NOT failed) / 2592000.0::DOUBLE AS messages_per_sec FROM ({t.METRICS_SQL})""",
 )
 def success_rate(spark, sf_dir):
-    rates = m.throughput(t.consumer_metrics(spark, sf_dir), F.lit(2592000.0))
-    return rates.withColumns(
-        {"success_rate": steady(F.col("success_rate")), "messages_per_sec": steady(F.col("messages_per_sec"), 6)}
-    )
+    return m.throughput(t.consumer_metrics(spark, sf_dir), F.lit(2592000.0))
 
 
 @query(

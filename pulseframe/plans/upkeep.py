@@ -10,7 +10,7 @@ from pulseframe.operators import maintain as m
 from pulseframe.operators.relate import lookup_case
 from pulseframe.plans import tables as t
 from pulseframe.plans.people import CURRENT_SQL
-from pulseframe.plans.registry import query, steady, steady_sql
+from pulseframe.plans.registry import query
 from pulseframe.plans.vitals import SCORED_SQL
 
 NOW = "2024-02-01 08:00:00"
@@ -40,11 +40,11 @@ _CURRENT_IDS = f"SELECT patient_id, admission_id FROM ({CURRENT_SQL})"
     f"""WITH latest AS ({LATEST_SQL}), current_adm AS ({_CURRENT_IDS}), adm AS ({t.ADMISSIONS_SQL})
 SELECT a.patient_id, a.department, a.initial_diagnosis,
   CASE WHEN l.patient_id IS NULL THEN a.risk_level ELSE l.risk_level END AS risk_level,
-  {steady_sql('CASE WHEN l.patient_id IS NULL THEN a.current_risk_score ELSE l.risk_score END')} AS current_risk_score,
+  CASE WHEN l.patient_id IS NULL THEN a.current_risk_score ELSE l.risk_score END AS current_risk_score,
   CASE WHEN l.patient_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE a.updated_at END AS updated_at, a.admission_time
 FROM adm a LEFT JOIN current_adm c ON a.admission_id = c.admission_id LEFT JOIN latest l ON c.patient_id = l.patient_id
 UNION ALL
-SELECT patient_id, 'ICU-Emergency', 'Auto-admitted from Stream', risk_level, {steady_sql('risk_score')}, NULL, TIMESTAMP '{NOW}'
+SELECT patient_id, 'ICU-Emergency', 'Auto-admitted from Stream', risk_level, risk_score, NULL, TIMESTAMP '{NOW}'
 FROM latest WHERE patient_id NOT IN (SELECT patient_id FROM current_adm)""",
 )
 def risk_upsert_admissions(spark, sf_dir):
@@ -53,7 +53,7 @@ def risk_upsert_admissions(spark, sf_dir):
     )
     return admissions.select(
         "patient_id", "department", "initial_diagnosis", "risk_level",
-        steady(F.col("current_risk_score")).alias("current_risk_score"), "updated_at", "admission_time",
+        "current_risk_score", "updated_at", "admission_time",
     )
 
 

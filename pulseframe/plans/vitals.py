@@ -150,13 +150,13 @@ WEIGHTED_SQL = f"SELECT *, {_weighted_sql()} AS score FROM ({t.READINGS_SQL})"
 
 @query(
     "weighted_risk",
-    f"SELECT patient_id, day, {steady_sql('score')} AS weighted_score, {_weighted_level_sql('score')} AS weighted_level FROM ({WEIGHTED_SQL})",
+    f"SELECT patient_id, day, score AS weighted_score, {_weighted_level_sql('score')} AS weighted_level FROM ({WEIGHTED_SQL})",
 )
 def weighted_risk(spark, sf_dir):
     df = t.readings(spark, sf_dir)
     scored = df.withColumn("score", weighted.weighted_risk({v: F.col(v) for v in VITALS}))
     return scored.select(
-        *KEYS, steady(F.col("score")).alias("weighted_score"),
+        *KEYS, F.col("score").alias("weighted_score"),
         weighted.weighted_level(F.col("score")).alias("weighted_level"),
     )
 
@@ -172,7 +172,7 @@ _EVENT_RULES = (
 
 @query(
     "event_boosted_risk",
-    f"""SELECT patient_id, day, critical_event, {steady_sql('boosted', 3)} AS risk_score, {_weighted_level_sql('boosted')} AS risk_level
+    f"""SELECT patient_id, day, critical_event, boosted AS risk_score, {_weighted_level_sql('boosted')} AS risk_level
 FROM (SELECT *, least(1.0::DOUBLE, score * CASE critical_event WHEN 'cardiac_arrest' THEN 2.0::DOUBLE WHEN 'respiratory_failure' THEN 1.8::DOUBLE
                          WHEN 'shock' THEN 1.8::DOUBLE WHEN 'sepsis' THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END) AS boosted
   FROM (SELECT *, CASE {' '.join(f"WHEN {c} {op} {x} THEN '{e}'" for e, c, op, x in _EVENT_RULES)} ELSE 'none' END AS critical_event FROM ({WEIGHTED_SQL})))""",
@@ -186,7 +186,7 @@ def event_boosted_risk(spark, sf_dir):
         weighted.weighted_risk({v: F.col(v) for v in VITALS}), F.col("critical_event")
     )
     return df.withColumn("boosted", boosted).select(
-        *KEYS, "critical_event", steady(F.col("boosted"), 3).alias("risk_score"),
+        *KEYS, "critical_event", F.col("boosted").alias("risk_score"),
         weighted.weighted_level(F.col("boosted")).alias("risk_level"),
     )
 
