@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+_scratch: list[str] = []
 
 
 def get_spark(app: str = "pulseframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,7 +53,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="pulseframe-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch() -> None:
+    """Delete what this application wrote to scratch paths; results that read it end here.
+
+    Runs by itself when the driver's Python ends; a long session may call it between jobs.
+    """
+    if SparkContext._gateway is None:
+        return
+    jvm, context = SparkContext._gateway.jvm, SparkContext._active_spark_context
+    conf = context._jsc.hadoopConfiguration() if context else jvm.org.apache.hadoop.conf.Configuration()
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def _drop_scratch_at_exit() -> None:
+    try:
+        drop_scratch()
+    except Exception:  # the JVM may be gone already
+        pass
 
 
 def ship_package(spark: SparkSession) -> None:
