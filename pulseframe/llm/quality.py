@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +14,14 @@ from pyspark.sql import functions as F
 from pulseframe.llm.common import by_batch, pa_schema, saved, whole_text
 from pulseframe.llm.mixing import unit_draw
 
-#: Buckets that n-grams are hashed to.
-BUCKETS = 1 << 18
+#: Buckets that n-grams are hashed to: two tables for single tokens and two for pairs.
+BUCKETS = 1 << 19
 #: Labelled rows that the target model is fitted on, at most.
 LABELLED_ROWS = 50_000
 #: Standard errors by which a bucket's share among target rows must differ from that among all labelled rows.
-LEAST_Z = 3.5
+LEAST_Z = 5.5
+#: Share of the labelled target rows that the cut keeps at least.
+LEAST_KEPT = 0.98
 #: Scale of the Gumbel noise: weights are raised to one over it before sampling.
 TEMPERATURE = 0.1
 SEED = "quality-1"
@@ -32,10 +33,11 @@ _COUNTS = "bucket INT, raw LONG, labelled LONG, target LONG"
 
 
 class Features:
-    """The distinct hashed n-grams of a text.
+    """The hashed n-grams of a text.
 
     One and two tokens in a row; a token is a run of word characters or of marks, in lower
-    case unless it is all capitals; and how large a share of the tokens repeats the one before.
+    case unless it is all capitals; and whether a quarter of the tokens repeat the one before.
+    Each n-gram has a bucket in two tables, so that two that share one seldom share both.
     """
 
     def __init__(self) -> None:
@@ -50,21 +52,29 @@ class Features:
         return value
 
     def __call__(self, text: str) -> np.ndarray:
+        """Two rows of buckets, a column for each n-gram, repeats included."""
         known, new = self._hashes.get, self._hash
         one = np.array([known(t) or new(t) for t in _TOKEN.findall(text)], np.uint64)
         if not len(one):
-            return np.zeros(0, np.int64)
+            return np.zeros((2, 0), np.int64)
         two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xD6E8FEB86659FD93)
-        share = int(8 * np.count_nonzero(one[1:] == one[:-1]) / len(one))
-        extra = np.full(int(share > 0), 0xABCDEF0123 + share * 7919, np.uint64)
-        return np.unique(np.concatenate([one, two >> np.uint64(40), extra]) % np.uint64(BUCKETS)).astype(np.int64)
+        repeats = 4 * np.count_nonzero(one[1:] == one[:-1]) >= len(one)
+        single = np.append(one, np.uint64(0xABCDEF0123456789)) if repeats else one
+        table = np.uint64(BUCKETS // 4)
+        grams = [(g * np.uint64(k)) >> np.uint64(36) for g in (single, two) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+        singles, singles_too, pairs, pairs_too = (g % table + table * np.uint64(i) for i, g in enumerate(grams))
+        return np.array([np.concatenate([singles, pairs]), np.concatenate([singles_too, pairs_too])]).astype(np.int64)
 
 
-class Model(NamedTuple):
-    """log of target share over raw share by bucket (0: alike), and the least weight that is kept."""
-
-    ratio: np.ndarray
-    cut: float
+def _weight(ratio: np.ndarray, grams: np.ndarray) -> float:
+    """Each different n-gram counts with the ratio of its two buckets that is nearer to 0, if they agree."""
+    a, b = ratio[grams]
+    telling = np.nonzero(a * b > 0)[0]
+    if not len(telling):
+        return 0.0
+    _, once = np.unique(grams[0, telling] * BUCKETS + grams[1, telling], return_index=True)
+    a, b = a[telling[once]], b[telling[once]]
+    return float(np.where(np.abs(a) < np.abs(b), a, b).sum())
 
 
 def labelled_rows(labels: DataFrame, most: int = LABELLED_ROWS) -> dict[int, bool]:
@@ -87,9 +97,13 @@ def ngram_counts(docs: DataFrame, labelled: dict[int, bool]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, known = Features(), shared.value
         counts = np.zeros((3, BUCKETS + 1), np.int64)
+        last = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found, target = np.append(features(text), BUCKETS), known.get(doc_id)
+                # Of equal buckets the one that was written last counts, so each counts once.
+                found, target = features(text).ravel(), known.get(doc_id)
+                last[found] = place = np.arange(len(found))
+                found = np.append(found[last[found] == place], BUCKETS)
                 counts[0, found] += 1
                 if target is not None:
                     counts[1, found] += 1
@@ -103,21 +117,19 @@ def ngram_counts(docs: DataFrame, labelled: dict[int, bool]) -> DataFrame:
 
 
 def log_ratios(counts: DataFrame) -> np.ndarray:
-    """The ratio of the two models by bucket, from at most BUCKETS rows of counts.
+    """The ratio of the two models by bucket, 0 where they are alike.
 
     A bucket counts only where the labelled rows alone show that target text differs in
-    it; others would add the noise of rare words.
+    it; others would add the noise of rare words. There are BUCKETS of them at most.
     """
-    table = np.array([tuple(r) for r in counts.collect()], np.int64).reshape(-1, 4)
-    ratio, whole = np.zeros(BUCKETS), table[table[:, 0] < 0]
-    if not len(whole) or not whole[0, 3]:
+    counts = saved(counts, "counts")
+    ratio, whole = np.zeros(BUCKETS), counts.filter("bucket < 0").first()
+    if whole is None or not whole["target"]:
         return ratio
-    _, all_raw, all_labelled, all_target = whole[0].tolist()
-    bucket, raw, labelled, target = table[table[:, 0] >= 0].T
-    expected = labelled * (all_target / all_labelled)
-    differs = np.abs(target - expected) >= LEAST_Z * np.sqrt(np.maximum(expected, 1))
-    value = np.log((target + 1) / (all_target + 1)) - np.log((raw + 1) / (all_raw + 1))
-    ratio[bucket] = np.where(differs, value, 0)
+    expected = F.col("labelled") * F.lit(whole["target"] / whole["labelled"])
+    differs = F.abs(F.col("target") - expected) >= LEAST_Z * F.sqrt(F.greatest(expected, F.lit(1.0)))
+    for r in counts.filter("bucket >= 0").filter(differs).collect():
+        ratio[r["bucket"]] = np.log((r["target"] + 1) / (whole["target"] + 1)) - np.log((r["raw"] + 1) / (whole["raw"] + 1))
     return ratio
 
 
@@ -129,7 +141,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         features = Features()
 
         def step(doc_id, text):
-            return {"doc_id": doc_id, "log_weight": [float(shared.value[features(t)].sum()) for t in text]}
+            return {"doc_id": doc_id, "log_weight": [_weight(shared.value, features(t)) for t in text]}
 
         return step
 
@@ -138,16 +150,17 @@ def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
 
 
 def best_cut(weights: np.ndarray, target: np.ndarray) -> float:
-    """The weight that parts target rows from the others best; the lowest within half a percent."""
+    """The weight that parts target rows from the others best and keeps LEAST_KEPT of the target rows."""
     if not target.any() or target.all():
         return -np.inf
     order = np.argsort(weights, kind="stable")
     weights, target = weights[order], target[order]
     good, bad = target.sum(), (~target).sum()
     below = lambda kind: np.concatenate([[0], np.cumsum(kind)])
-    gain = below(~target) / bad - below(target) / good
+    lost = below(target) / good
+    gain = np.where(lost <= 1 - LEAST_KEPT, below(~target) / bad - lost, -np.inf)
     edges = np.concatenate([[True], weights[1:] > weights[:-1], [False]])
-    place = np.nonzero(edges & (gain >= gain[edges].max() - 0.005))[0][0]
+    place = np.nonzero(edges & (gain >= gain[edges].max()))[0][0]
     return float(weights[place]) if place else -np.inf
 
 
