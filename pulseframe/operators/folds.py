@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import math
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator, Sequence
 
@@ -69,7 +70,8 @@ class Cleanup:
 
     def prepare(self, batch: pa.RecordBatch) -> list:
         field, value = (batch.column(batch.schema.get_field_index(c)) for c in self.inputs)
-        return [field, value.to_numpy(zero_copy_only=False).tolist()]
+        values = value.to_numpy(zero_copy_only=False)
+        return [field, values.tolist(), values]
 
     def rules(self, field: str) -> tuple[float, float, float]:
         """(low, high, jump limit); an unlisted vital has no range, only infinities are useless."""
@@ -99,9 +101,26 @@ class Cleanup:
         return out[0], state
 
     def walk(self, state, columns, start, stop):
-        """Outputs of rows start..stop of one series and the state after them."""
-        fields, values = columns
-        return self.fold(state, values[start:stop], *self.rules(fields[start].as_py()))
+        """Outputs of rows start..stop of one series and the state after them.
+
+        Once the state is the value just seen, calm values, which are plausible and no jump
+        from their plausible neighbour, come out as they are; only the others are stepped.
+        """
+        fields, values, array = columns
+        low, high, jump = self.rules(fields[start].as_py())
+        here = array[start:stop]
+        usable = np.isfinite(here) if low is None else (here >= low) & (here <= high)
+        calm = usable[1:] & usable[:-1] & (np.abs(np.diff(here)) <= jump)
+        out, at = [], 0
+        for rough in [*(np.flatnonzero(~calm) + 1).tolist(), len(here)]:
+            while at < rough:
+                (made,), state = self.fold(state, (values[start + at],), low, high, jump)
+                out.append(made)
+                at += 1
+                if state == values[start + at - 1]:
+                    out.extend(values[start + at : start + rough])
+                    at, state = rough, values[start + rough - 1]
+        return out, state
 
     def unknown(self, columns, start):
         field = columns[0][start].as_py()
@@ -141,14 +160,11 @@ class Cooldown:
 
     def walk(self, state, columns, start, stop):
         (times,) = columns
-        out = []
-        for i in range(start, stop):
-            now = times[i]
-            if state is None or now - state >= self.wait:
-                state = now
-                out.append(True)
-            else:
-                out.append(False)
+        out = [False] * (stop - start)
+        i = start if state is None else bisect_left(times, state + self.wait, start, stop)
+        while i < stop:
+            out[i - start], state = True, times[i]
+            i = bisect_left(times, state + self.wait, i + 1, stop)
         return out, state
 
     def unknown(self, columns, start):
