@@ -18,8 +18,14 @@ from pulseframe.llm.mixing import unit_draw
 BUCKETS = 1 << 19
 #: Labelled rows that the target model is fitted on, at most.
 LABELLED_ROWS = 50_000
-#: Standard errors by which a bucket's share among target rows must differ from that among all labelled rows.
-LEAST_Z = 5.5
+#: Above 0, only buckets whose share among target rows differs by so many standard errors count, unshrunk.
+LEAST_Z = 0.0
+#: Documents that are added to the target count and to the expected count of each bucket.
+PRIOR = 0.5
+#: Standard errors of difference at which half of a bucket's log ratio counts.
+HALF_Z = 4.0
+#: Characters of the word beginnings that count besides whole words.
+BEGINNINGS = (4, 6)
 #: Share of the labelled target rows that the cut keeps at least.
 LEAST_KEPT = 0.98
 #: Scale of the Gumbel noise: weights are raised to one over it before sampling.
@@ -36,30 +42,40 @@ class Features:
     """The hashed n-grams of a text.
 
     One and two tokens in a row; a token is a run of word characters or of marks, in lower
-    case unless it is all capitals; and whether a quarter of the tokens repeat the one before.
+    case unless it is all capitals; the beginnings of longer words, which inflected and
+    compound words share; and whether a quarter of the tokens repeat the one before.
     Each n-gram has a bucket in two tables, so that two that share one seldom share both.
     """
 
     def __init__(self) -> None:
-        self._hashes: dict[str, int] = {}
-
-    def _hash(self, token: str) -> int:
-        if len(self._hashes) >= REMEMBERED:
-            self._hashes.clear()
-        plain = token if len(token) > 1 and token.isupper() else token.lower()
-        data = plain.encode("utf-8", "surrogatepass")
-        value = self._hashes[token] = zlib.crc32(data) << 32 | zlib.crc32(data, 0x9E3779B9)
-        return value
+        self._places: dict[str, int] = {}
+        self._hashes = np.zeros((1024, 1 + len(BEGINNINGS)), np.uint64)
+
+    def _place(self, token: str) -> int:
+        """The row of ``_hashes`` with the hashes of a new token and its beginnings, 0 for none."""
+        place = self._places[token] = len(self._places)
+        if place == len(self._hashes):
+            self._hashes = np.concatenate([self._hashes, np.zeros_like(self._hashes)])
+        lower = token.lower()
+        plain = token if len(token) > 1 and token.isupper() else lower
+        parts = [plain, *("^" + lower[:n] if len(lower) > n else "" for n in BEGINNINGS)]
+        for i, data in enumerate(p.encode("utf-8", "surrogatepass") for p in parts):
+            self._hashes[place, i] = zlib.crc32(data) << 32 | zlib.crc32(data, 0x9E3779B9) if data else 0
+        return place
 
     def __call__(self, text: str) -> np.ndarray:
-        """Two rows of buckets, a column for each n-gram, repeats included."""
-        known, new = self._hashes.get, self._hash
-        one = np.array([known(t) or new(t) for t in _TOKEN.findall(text)], np.uint64)
-        if not len(one):
+        """Two rows of buckets, a column for each n-gram, repeats of pairs and beginnings included."""
+        if len(self._places) >= REMEMBERED:
+            self._places.clear()
+        known, new = self._places.get, self._place
+        places = np.array([p if (p := known(t)) is not None else new(t) for t in _TOKEN.findall(text)], np.int64)
+        if not len(places):
             return np.zeros((2, 0), np.int64)
+        one = self._hashes[places, 0]
+        distinct = self._hashes[np.unique(places)].ravel()
         two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xD6E8FEB86659FD93)
         repeats = 4 * np.count_nonzero(one[1:] == one[:-1]) >= len(one)
-        single = np.append(one, np.uint64(0xABCDEF0123456789)) if repeats else one
+        single = np.append(distinct[distinct > 0], np.uint64(0xABCDEF0123456789 if repeats else one[0]))
         table = np.uint64(BUCKETS // 4)
         grams = [(g * np.uint64(k)) >> np.uint64(36) for g in (single, two) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
         singles, singles_too, pairs, pairs_too = (g % table + table * np.uint64(i) for i, g in enumerate(grams))
@@ -116,37 +132,71 @@ def ngram_counts(docs: DataFrame, labelled: dict[int, bool]) -> DataFrame:
     return parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", "labelled", "target")))
 
 
+def _shrunk(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, whole: tuple[int, int, int]) -> np.ndarray:
+    """The smoothed log ratio of the two models by bucket, drawn towards 0 by what is not known.
+
+    Both counts get PRIOR documents more. A log ratio counts in full only where the
+    labelled rows show the difference; the less they do, the less of it is left. Nothing
+    is cut: a word of three labelled rows counts, one of no labelled row is unknown.
+    """
+    n, n_labelled, n_target = whole
+    if not n_target or n_target == n_labelled:
+        return np.zeros(len(raw))
+    share = n_target / n_labelled
+    z = (target - labelled * share) / np.sqrt(np.maximum(labelled * share * (1 - share), 0.3))
+    return np.log((target + PRIOR) / (raw * (n_target / n) + PRIOR)) * (z**4 / (z**4 + HALF_Z**4))
+
+
 def log_ratios(counts: DataFrame) -> np.ndarray:
-    """The ratio of the two models by bucket, 0 where they are alike.
+    """Three rows of ratios of the two models by bucket, 0 where they are alike.
 
-    A bucket counts only where the labelled rows alone show that target text differs in
-    it; others would add the noise of rare words. There are BUCKETS of them at most.
+    The first holds for any document; the second for a labelled target document, as if it
+    had not been counted; the third for a labelled other one. There are BUCKETS of them at most.
     """
     counts = saved(counts, "counts")
-    ratio, whole = np.zeros(BUCKETS), counts.filter("bucket < 0").first()
+    ratio, whole = np.zeros((3, BUCKETS)), counts.filter("bucket < 0").first()
     if whole is None or not whole["target"]:
         return ratio
-    expected = F.col("labelled") * F.lit(whole["target"] / whole["labelled"])
-    differs = F.abs(F.col("target") - expected) >= LEAST_Z * F.sqrt(F.greatest(expected, F.lit(1.0)))
-    for r in counts.filter("bucket >= 0").filter(differs).collect():
-        ratio[r["bucket"]] = np.log((r["target"] + 1) / (whole["target"] + 1)) - np.log((r["raw"] + 1) / (whole["raw"] + 1))
+    n = tuple(whole[c] for c in ("raw", "labelled", "target"))
+    told = counts.filter("bucket >= 0 AND labelled > 0").toArrow()
+    bucket, *seen = (told[c].to_numpy() for c in ("bucket", "raw", "labelled", "target"))
+    if LEAST_Z:
+        raw, labelled, target = seen
+        expected = labelled * (n[2] / n[1])
+        differs = np.abs(target - expected) >= LEAST_Z * np.sqrt(np.maximum(expected, 1))
+        ratio[:, bucket] = np.where(differs, np.log((target + 1) / (n[2] + 1)) - np.log((raw + 1) / (n[0] + 1)), 0)
+        return ratio
+    for row, own in enumerate(((0, 0, 0), (1, 1, 1), (1, 1, 0))):
+        # Buckets that no such document has go below 0, and are not looked up for one.
+        left = [np.maximum(a - b, 0) for a, b in zip(seen, own)]
+        if n[1] > own[1]:
+            ratio[row, bucket] = _shrunk(*left, tuple(a - b for a, b in zip(n, own)))
     return ratio
 
 
-def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """(doc_id, log_weight): the sum of the ratios of a document's distinct n-grams."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+def log_weights(docs: DataFrame, ratio: np.ndarray, labelled: dict[int, bool]) -> DataFrame:
+    """(doc_id, log_weight, held_out): sums of the ratios of a document's distinct n-grams.
+
+    ``held_out`` is the weight of a labelled document as if it had not been counted, null for others.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((ratio, labelled))
 
     def make():
         features = Features()
 
         def step(doc_id, text):
-            return {"doc_id": doc_id, "log_weight": [_weight(shared.value, features(t)) for t in text]}
+            (plain, target, other), known = shared.value
+            weights, held_out = [], []
+            for i, t in zip(doc_id, text):
+                grams, kind = features(t), known.get(i)
+                weights.append(_weight(plain, grams))
+                held_out.append(None if kind is None else _weight(target if kind else other, grams))
+            return {"doc_id": doc_id, "log_weight": weights, "held_out": held_out}
 
         return step
 
     return by_batch(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), make,
-                    "doc_id LONG, log_weight DOUBLE")
+                    "doc_id LONG, log_weight DOUBLE, held_out DOUBLE")
 
 
 def best_cut(weights: np.ndarray, target: np.ndarray) -> float:
@@ -195,7 +245,7 @@ def resample(docs: DataFrame, labels: DataFrame, temperature: float = TEMPERATUR
 
     Weights are the ratio of hashed n-gram models of target and raw text. The target
     model and the cut come from at most LABELLED_ROWS labelled rows, raw counts from all
-    documents. As many documents are sampled as have weights of at least the cut, by
+    documents; for the cut, each labelled row is weighed without its own counts. As many documents are sampled as have weights of at least the cut, by
     Gumbel top-k: those with the largest log weight plus noise. Documents that tie at the
     last place all stay. Null and empty texts weigh 0, like text without telling n-grams;
     rows that repeat a doc_id share the noise; without labels of both kinds all stay.
@@ -203,13 +253,12 @@ def resample(docs: DataFrame, labels: DataFrame, temperature: float = TEMPERATUR
     labelled = labelled_rows(labels)
     ratio = log_ratios(ngram_counts(docs, labelled))
     weighed = saved(
-        log_weights(docs, ratio).withColumn("sample_key", F.col("log_weight") + F.lit(temperature) * gumbel(F.col("doc_id"), seed)),
+        log_weights(docs, ratio, labelled).withColumn("sample_key", F.col("log_weight") + F.lit(temperature) * gumbel(F.col("doc_id"), seed)),
         "weights",
     )
-    ids = docs.sparkSession.createDataFrame([(i, t) for i, t in labelled.items()], "doc_id LONG, target BOOLEAN")
-    pairs = weighed.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
-        F.min("log_weight").alias("w"), F.first("target").alias("t")).collect()
-    cut = best_cut(np.array([r["w"] for r in pairs]), np.array([r["t"] for r in pairs], bool))
+    held_out = weighed.filter("held_out IS NOT NULL").groupBy("doc_id").agg(F.min("held_out").alias("w")).collect()
+    cut = best_cut(np.array([r["w"] for r in held_out]), np.array([labelled[r["doc_id"]] for r in held_out], bool))
+    weighed = weighed.drop("held_out")
     k = weighed.filter(F.col("log_weight") >= F.lit(float(cut))).count()
     if not k:
         return weighed.limit(0)

@@ -92,3 +92,58 @@ def test_best_cut():
     assert quality.best_cut(w, np.ones(8, bool)) == -np.inf
     # A cut that would lose too many target rows is not taken.
     assert quality.best_cut(np.array([-3, -2, -2, -1, 0, 0]), np.array([0, 1, 0, 0, 1, 1], bool)) == -2
+
+
+def tongues(seed, n):
+    """Four languages, each with stems of toxic words that are inflected, so that most forms are rare."""
+    r = random.Random(seed)
+    parts = ["".join(p) for p in zip("bdfglmnprst" * 3, "aeiou" * 7)]
+    stems = {"k": ("vukro", "zhimpa"), "w": ("qoltra", "hyxene"), "y": ("jubrok", "xandri"), "v": ("whobla", "zygmor")}
+    docs, labels = [], []
+    for i in range(n):
+        tongue, toxic = r.choice("kwyv"), r.random() < 0.15
+        words = [tongue + "".join(r.choice(parts) for _ in range(r.randint(1, 2))) for _ in range(r.randint(30, 120))]
+        for _ in range(6 if toxic else 0):
+            words.insert(r.randrange(len(words)), r.choice(stems[tongue]) + r.choice(parts) + r.choice(parts))
+        docs.append((i, " ".join(words), tongue, toxic))
+        labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def test_rare_inflected_words_of_each_language(spark):
+    docs, labels = tongues(1, 600)
+    frame = spark.createDataFrame([d[:2] for d in docs], DOCS)
+    ids = {r["doc_id"] for r in quality.keep_good(frame, spark.createDataFrame(labels, LABELS)).collect()}
+    assert np.mean([d[0] in ids for d in docs if not d[3]]) > 0.95
+    for tongue in "kwyv":
+        assert np.mean([d[0] in ids for d in docs if d[3] and d[2] == tongue]) < 0.3, tongue
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_labelled_toxic_rows_of_the_given_tables_go(spark, size):
+    read = lambda name: spark.read.parquet(f"/root/testdata/{size}/{name}.parquet")
+    kept = quality.keep_good(read("documents"), read("labels")).join(read("labels"), "doc_id").collect()
+    rows = read("documents").join(read("labels"), "doc_id").collect()
+    count = lambda some, toxic: sum(r["quality"] == 1 and r["toxic"] == toxic for r in some)
+    assert count(kept, 0) > 0.97 * count(rows, 0) and count(kept, 1) < 0.4 * count(rows, 1)
+
+
+def test_held_out_weights_are_those_without_the_document(spark):
+    docs, labels = tongues(2, 60)
+    frame, known = spark.createDataFrame([d[:2] for d in docs], DOCS), {i: not t for i, _, t in labels if i % 3}
+    ratio = quality.log_ratios(quality.ngram_counts(frame, known))
+    got = {r["doc_id"]: r for r in quality.log_weights(frame, ratio, known).collect()}
+    features = quality.Features()
+    for i in (0, 1, 4, next(d[0] for d in docs if d[3] and d[0] in known)):
+        rest = [d for d in docs if d[0] != i or i not in known]
+        counts = np.zeros((3, quality.BUCKETS))
+        for j, text, *_ in rest:
+            counts[:, np.unique(features(text))] += np.array([[1], [j in known], [known.get(j, False)]])
+        n = len(rest), sum(j != i for j in known), sum(t and j != i for j, t in known.items())
+        share = n[2] / n[1]
+        z = (counts[2] - counts[1] * share) / np.sqrt(np.maximum(counts[1] * share * (1 - share), 0.3))
+        plain = np.log((counts[2] + quality.PRIOR) / (counts[0] * n[2] / n[0] + quality.PRIOR)) * z**4 / (z**4 + quality.HALF_Z**4)
+        pairs = [plain[list(p)] for p in set(map(tuple, features(docs[i][1]).T.tolist()))]
+        want = sum(min(p, key=abs) for p in pairs if p[0] * p[1] > 0)
+        assert got[i]["held_out" if i in known else "log_weight"] == pytest.approx(want)
+        assert (got[i]["held_out"] is None) == (i not in known)
