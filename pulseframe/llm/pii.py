@@ -13,6 +13,11 @@ KEY = "surrogate-1"
 #: Rounds of collision checks after which surrogates get longer.
 LENGTHEN_AFTER = 8
 
+# Titles, and a part of a name.
+_WOMEN = r"\b(?:Mrs|Ms|Mme|Sra|Frau|Miss|Señora|Madame|г-жа)\b"
+_MEN = r"\b(?:Mr|Herr|Sr|Señor|Monsieur|г-н)\b"
+_TITLES = f"{_WOMEN}|{_MEN}"
+_PART = r"\p{Lu}(?:['’]\p{Lu})?\p{Ll}+(?:\p{Lu}\p{Ll}+)*(?![\p{L}])"
 # Patterns of the entities, the most specific first.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
@@ -21,8 +26,8 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}])\d{4}(?:[ \-]?\d{4}){3}(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
-    "woman": r"(?<=\b(?:Mrs|Ms|Mme|Sra|Frau|Miss|Señora|Madame|г-жа)\.? )\p{Lu}\p{Ll}+(?:[ \-]\p{Lu}\p{Ll}+)?",
-    "man": r"(?<=\b(?:Mr|Herr|Sr|Señor|Monsieur|г-н)\.? )\p{Lu}\p{Ll}+(?:[ \-]\p{Lu}\p{Ll}+)?",
+    "woman": rf"(?<={_WOMEN}\.? ){_PART}(?:[ \-](?!{_WOMEN}|{_MEN}){_PART})?",
+    "man": rf"(?<={_MEN}\.? ){_PART}(?:[ \-](?!{_WOMEN}|{_MEN}){_PART})?",
 }
 # Syllables that surrogate names are made of, by script, and their endings.
 SYLLABLES = {"latin": ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "ze", "ka", "li", "mo", "pe"),
@@ -44,17 +49,58 @@ def _canonical(kind: Column, value: Column) -> Column:
     return F.when(kind.isin("card", "phone", "ssn"), F.regexp_replace(value, r"\D", "")).otherwise(F.lower(value))
 
 
-def entities(text: Column) -> Column:
-    """Array of (kind, key, value) of all entities of a text, in order."""
-    found = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
-    women = F.regexp_extract_all(text, F.lit(PATTERNS["woman"]), F.lit(0))
+def _pattern(text: Column) -> Column:
+    """The pattern of a text's entities: the fixed ones, and every mention of a name that has a title somewhere."""
+    titled = F.regexp_extract_all(text, F.lit(f"{PATTERNS['woman']}|{PATTERNS['man']}"), F.lit(0))
+    names = F.array_distinct(F.concat(titled, F.transform(titled, lambda n: F.substring_index(n, " ", -1))))
+    # Longer names first, so that a surname does not take its full name's place.
+    names = F.transform(F.sort_array(F.transform(names, lambda n: F.struct(F.length(n).alias("size"), n.alias("name"))), asc=False), lambda n: n["name"])
+    bare = F.concat(F.lit(f"{_ANY}|(?<![\\p{{L}}\\p{{N}}])(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    return F.when(text.rlike(_TITLES) & (F.size(names) > 0), bare).otherwise(F.lit(_ANY))
 
-    def described(value: Column) -> Column:
+
+def _last(some: Column) -> Column:
+    return F.element_at(some, -1)
+
+
+def entities(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, h, text) with ``entities``, the array of (kind, key, value, surname) of each text, in order.
+
+    The gender of a name is that of the title before it. A surname stands for the only
+    full name of its gender that ends in it; its key is the full name's then, and
+    ``surname`` is true. A name without a title is the person last mentioned by it, or else the first.
+    """
+    found, between, people = F.col("found"), F.col("between"), F.col("people")
+
+    def gender(value: Column, i: Column) -> Column:
+        before = F.concat(F.coalesce(F.get(found, i - 1), F.lit("")), F.get(between, i))
+        return (F.when(_kind(value) != "name", F.lit(None).cast("string"))
+                .when(before.rlike(rf"{_WOMEN}\.? $"), F.lit("woman")).when(before.rlike(rf"{_MEN}\.? $"), F.lit("man")))
+
+    titled = F.filter(F.transform(found, lambda v, i: F.struct(gender(v, i).alias("kind"), F.lower(v).alias("key"), i.alias("i"))),
+                      lambda p: p["kind"].isNotNull())
+
+    def person(value: Column, i: Column) -> Column:
+        """(kind, key, surname) of the name at place i."""
+        low, own = F.lower(value), gender(value, i)
+        full = lambda p: p["key"].endswith(F.concat(F.lit(" "), low))
+        same = F.filter(people, lambda p: (p["key"] == low) | full(p))
+        kind = F.coalesce(own, _last(F.filter(same, lambda p: p["i"] < i))["kind"], F.get(same, F.lit(0))["kind"])
+        named = F.array_distinct(F.transform(F.filter(people, lambda p: (p["kind"] == kind) & full(p)), lambda p: p["key"]))
+        return F.when(F.size(named) == 1, F.struct(kind.alias("kind"), F.get(named, F.lit(0)).alias("key"), F.lit(True).alias("surname"))) \
+            .otherwise(F.struct(kind.alias("kind"), F.when(F.exists(people, lambda p: p["key"] == low) | (F.size(named) == 0), low)
+                                .otherwise(_last(named)).alias("key"), (~F.exists(people, lambda p: p["key"] == low) & (F.size(named) > 0)).alias("surname")))
+
+    def described(value: Column, i: Column) -> Column:
         kind = _kind(value)
-        kind = F.when(kind != "name", kind).when(F.array_contains(women, value), F.lit("woman")).otherwise(F.lit("man"))
-        return F.struct(kind.alias("kind"), _canonical(kind, value).alias("key"), value.alias("value"))
+        who = person(value, i)
+        return F.when(kind != "name", F.struct(kind.alias("kind"), _canonical(kind, value).alias("key"), value.alias("value"), F.lit(False).alias("surname"))) \
+            .otherwise(F.struct(who["kind"].alias("kind"), who["key"].alias("key"), value.alias("value"), who["surname"].alias("surname")))
 
-    return F.transform(found, described)
+    # Columns of their own, so that a lambda does not search the text again for each entity.
+    searched = rows.withColumn("pattern", _pattern(F.col("text"))).withColumns(
+        {"found": F.regexp_extract_all("text", F.col("pattern"), F.lit(0)), "between": F.split("text", F.col("pattern"), -1)})
+    return searched.withColumn("people", titled).select("doc_id", "h", F.transform(found, described).alias("entities"))
 
 
 def _digit(digest: Column, i: Column) -> Column:
@@ -142,15 +188,15 @@ def surrogate_table(mentions: DataFrame, key: str = KEY) -> DataFrame:
         open_ = lost.select("kind", "key", (F.col("attempt") + 1).alias("attempt"))
 
 
-def _dressed(kind: Column, value: Column, surrogate: Column) -> Column:
-    """The surrogate in the format of this mention: its separators, or its case."""
+def _dressed(kind: Column, value: Column, surrogate: Column, surname: Column) -> Column:
+    """The surrogate in the format of this mention: its separators, or its case; of a surname, the last part."""
     digits = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"\D", "")))
     formatted = F.concat_ws("", F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c, i: F.when(
         c.rlike(r"^\d$"), F.substring(surrogate, F.element_at(digits, i + 1), F.lit(1))).otherwise(c)))
     rest = F.expr("substring(surrogate, 1 + length(regexp_replace(value, '[^0-9]', '')))")
     return (
         F.when(kind.isin("card", "phone", "ssn"), F.concat(formatted, rest))
-        .when(kind.isin(*_NAMES), F.initcap(surrogate))
+        .when(kind.isin(*_NAMES), F.initcap(F.when(surname, F.substring_index(surrogate, " ", -1)).otherwise(surrogate)))
         .when((value == F.upper(value)) & (value != F.lower(value)), F.upper(surrogate))
         .otherwise(surrogate)
     )
@@ -160,7 +206,8 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """One row per document: doc_id, text with surrogates, n_entities.
 
     Emails, long hex secrets, IPv4 addresses, card, phone and social security numbers and
-    names behind a title are replaced; equal entities get equal surrogates across the
+    names behind a title are replaced, as is every other mention of such a full name or
+    surname in the same text; equal entities get equal surrogates across the
     whole table, different ones different surrogates of the same type, script, gender and
     format. Texts without entities, empty and null ones stay as they are. Rows that repeat
     are treated each; a null doc_id stays null.
@@ -168,15 +215,15 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     has = F.coalesce(F.col("text"), F.lit("")).rlike("[@0-9]|\\b(?:Mr|Mrs|Ms|Mme|Miss|Herr|Frau|Sra?|Señora?|Madame|Monsieur|г-н|г-жа)\\b")
-    found = rows.filter(has).select("doc_id", "h", F.posexplode(entities(F.col("text"))).alias("place", "e"))
+    found = entities(rows.filter(has)).select("doc_id", "h", F.posexplode("entities").alias("place", "e"))
     found = saved(found.select("doc_id", "h", "place", "e.*"), "mentions")
     table = surrogate_table(found, key)
     dressed = found.join(table, ["kind", "key"]).select(
         F.col("doc_id").alias("d"), F.col("h").alias("g"), "place",
-        _dressed(F.col("kind"), F.col("value"), F.col("surrogate")).alias("surrogate"))
+        _dressed(F.col("kind"), F.col("value"), F.col("surrogate"), F.col("surname")).alias("surrogate"))
     # Rows that repeat a text under one doc_id tell the same entities.
     by_doc = dressed.groupBy("d", "g").agg(F.sort_array(F.collect_set(F.struct("place", "surrogate"))).alias("new"))
-    between = F.split(F.col("text"), _ANY, -1)
+    between = F.split(F.col("text"), _pattern(F.col("text")), -1)
     rebuilt = F.concat_ws("", F.transform(between, lambda part, i: F.concat(
         part, F.coalesce(F.get(F.col("new"), i)["surrogate"], F.lit("")))))
     return rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left").select(

@@ -58,3 +58,17 @@ def test_rows_that_repeat_and_none(spark):
     assert len(got) == 4 and sorted(r["n_entities"] for r in got) == [1, 1, 1, 500]
     assert len({a for r in got for a in re.findall(r"[\d.]{7,}", r["text"])}) == 1
     assert pii.replace_entities(docs.limit(0)).count() == 0
+
+
+def test_people_of_one_surname_and_mentions_without_title(spark):
+    rows = [(1, "Mr. Smith and Mrs. Smith met. Mr. Smith left."), (2, "Mrs. Anna Smith came. Then Anna Smith spoke; Mrs. Smith left, Smith too. Blacksmith Smithson stays."),
+            (3, "Mrs. Anna Smith, Mrs. Eva Smith and Smith"), (4, "Mr. O'Brien and Mr. McDonald. McDonald slept."), (5, "Anna Smith without a title")]
+    got = replaced(spark, rows)
+    one = re.fullmatch(r"Mr\. (\w+ron) and Mrs\. (\w+na) met\. Mr\. (\w+ron) left\.", got[1]["text"])
+    assert one and one[1] == one[3]
+    two = re.fullmatch(r"Mrs\. (\w+na) (\w+) came\. Then (\w+) (\w+) spoke; Mrs\. (\w+) left, (\w+) too\. Blacksmith Smithson stays\.", got[2]["text"])
+    assert two and two[1] == two[3] and two[2] == two[4] == two[5] == two[6] and got[2]["n_entities"] == 4
+    three = re.fullmatch(r"Mrs\. (\w+na \w+), Mrs\. (\w+na (\w+)) and (\w+)", got[3]["text"])
+    assert three and three[1] != three[2] and three[3] == three[4]
+    four = re.fullmatch(r"Mr\. (\w+ron) and Mr\. (\w+ron)\. (\w+ron) slept\.", got[4]["text"])
+    assert four and four[2] == four[3] and got[5]["text"] == rows[4][1]
