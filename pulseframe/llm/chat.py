@@ -88,23 +88,54 @@ def _registry() -> tuple[dict[int, Mapping], set[str]]:
 BY_FINGERPRINT, KNOWN_PATHS = _registry()
 
 
+#: Whole conversations first, then the layouts of more fields, so that a record of two layouts has one.
+RANKED = sorted(MAPPINGS, key=lambda m: (not m.each, m.name == "turn row", -len(_paths_of(m)[0])))
+
+
+def _parts(value: Any) -> bool:
+    """Whether it is a list of content parts: texts, or objects."""
+    return isinstance(value, list) and all(isinstance(part, (str, dict)) for part in value)
+
+
+def _items(mapping: Mapping, record: dict) -> list:
+    """The objects that turns are taken from; none if there is anything else among them."""
+    items = record.get(mapping.each) if mapping.each else [record]
+    return items if isinstance(items, list) and all(isinstance(item, dict) for item in items) else []
+
+
+def _fits(mapping: Mapping, record: dict) -> bool:
+    """Whether each path that the layout needs is there, whatever else is."""
+    items, inside = _items(mapping, record), f"{mapping.each}[]."
+    plain = lambda value: not isinstance(value, (dict, list)) or _parts(value)
+    needed = [p.removeprefix(inside) if mapping.each else p for p in _paths_of(mapping)[0]]
+    return all(any(p in item for item in items) and all(plain(item.get(p)) for item in items) for p in needed)
+
+
 def _text(value: Any) -> str:
+    if _parts(value):
+        # Parts that are no text stay as JSON.
+        return "".join(part["text"] if isinstance(part, dict) and isinstance(part.get("text"), str) else _text(part) for part in value)
     return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
 
 
 def turns_of(record: Any) -> tuple[str, list[tuple[str, str]]]:
     """(layout, [(role, text)]) of a parsed record.
 
-    The paths that some layout knows are hashed; others are ignored, so extra fields do
-    no harm. A record of no known layout has layout "unknown" and no turns. Null texts
+    The paths that some layout knows are hashed; if no layout has just these, the first of
+    RANKED whose needed paths are there is taken, so extra fields do no harm, those of
+    other layouts included. A text may be a list of content parts. A record of no known layout has layout "unknown" and no turns. Null texts
     and roles are empty; an optional field that is missing makes no turn, nor does an
     empty ``input``.
     """
+    if not isinstance(record, dict):
+        return "unknown", []
     mapping = BY_FINGERPRINT.get(schema_fingerprint(set(field_paths(record)) & KNOWN_PATHS))
-    if mapping is None or not isinstance(record, dict):
+    if mapping is None or not _fits(mapping, record):
+        mapping = next((m for m in RANKED if _fits(m, record)), None)
+    if mapping is None:
         return "unknown", []
     found = [(role, _text(record[path])) for role, path in mapping.before if path in record]
-    for item in record[mapping.each] if mapping.each else [record]:
+    for item in _items(mapping, record):
         for role, path in mapping.turns:
             if path not in item or path in mapping.optional and not item[path]:
                 continue
@@ -157,14 +188,19 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
     Spans are code points within ``formatted`` and empty unless the role is trained. A
     conversation is its turns' pieces one after another; pieces stay rows, so one very
-    long conversation is no one task's work.
+    long conversation is no one task's work. Records of unknown layout are rows without
+    ``formatted`` and span.
     """
     schema = "conv_id LONG, turn LONG, part INT, formatted STRING, loss_start LONG, loss_end LONG"
 
     def make():
-        def step(conv_id, turn, part, role, text):
+        def step(conv_id, turn, part, role, text, layout):
             pieces, starts, ends = [], [], []
-            for r, t in zip(role, text):
+            for r, t, known in zip(role, text, layout):
+                if known == "unknown":
+                    for column in (pieces, starts, ends):
+                        column.append(None)
+                    continue
                 head, body = HEAD + escaped_role(r or "") + MIDDLE, escaped(t or "")
                 pieces.append(head + body + END)
                 starts.append(len(head))
@@ -173,8 +209,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
         return step
 
-    known = turns.filter("layout <> 'unknown'").select("conv_id", "turn", "part", "role", "text")
-    return by_batch(known, make, schema)
+    return by_batch(turns.select("conv_id", "turn", "part", "role", "text", "layout"), make, schema)
 
 
 #: An escaped character stands for itself, so marks count only where no backslash escapes them.
@@ -207,7 +242,8 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
     conv_id, n_turns, turns_sha256 (role, newline, text, newline per turn), loss_chars and
     loss_sha256 (the unescaped text under the loss spans), formatted_chars. The turns of a
     conversation are sorted and hashed as they stream by; a hash is sequential, but a task
-    holds no more than one batch. Turns of equal number are ordered by their text.
+    holds no more than one batch. Rows without formatted text add nothing, but a
+    conversation of such rows alone has a row with no turns. Turns of equal number are ordered by their text.
     """
     schema = "conv_id LONG, n_turns LONG, turns_sha256 STRING, loss_chars LONG, loss_sha256 STRING, formatted_chars LONG"
     arrow = pa_schema(formatted.sparkSession, schema)
@@ -226,6 +262,8 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
                     if current is not None:
                         done.append(row(current))
                     current = [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                if piece is None:
+                    continue
                 for role, text in read_pieces(piece):
                     current[1] += 1
                     current[2].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))

@@ -58,3 +58,21 @@ def test_digests_read_back(spark):
     bad = spark.createDataFrame([(9, 1, "{"), (9, 2, None), (9, 3, json.dumps({"prompt": "p", "completion": "c"}))], "conv_id LONG, turn LONG, record STRING")
     assert sorted((r["turn"], r["layout"]) for r in chat.canonical_turns(bad).collect()) == [(1, "unknown"), (2, "unknown"), (3, "prompt"), (3, "prompt")]
     assert chat.conversation_digests(chat.format_turns(turns.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("record, layout, turns", [
+    ({"instruction": "i", "input": "x", "output": "o", "text": "i x o"}, "instruction", [("user", "i"), ("user", "x"), ("assistant", "o")]),
+    ({"prompt": "q", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}, "messages", [("user", "q"), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}, {"type": "image", "url": "u"}]}, {"role": "assistant", "content": "a"}]},
+     "messages", [("user", 'q{"type": "image", "url": "u"}'), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": "q"}, 3]}, "unknown", []),
+])
+def test_fields_of_other_layouts_do_no_harm(record, layout, turns):
+    assert chat.turns_of(record) == (layout, turns)
+
+
+def test_unknown_records_are_rows(spark):
+    rows = [(1, 1, json.dumps({"prompt": "p", "completion": "c"})), (1, 2, "{"), (2, 1, json.dumps({"x": 1}))]
+    formatted = chat.format_turns(chat.canonical_turns(spark.createDataFrame(rows, "conv_id LONG, turn LONG, record STRING")))
+    assert sorted((r["conv_id"], r["turn"], r["formatted"] is None) for r in formatted.collect()) == [(1, 1, False), (1, 1, False), (1, 2, True), (2, 1, True)]
+    assert sorted((r["conv_id"], r["n_turns"]) for r in chat.conversation_digests(formatted).collect()) == [(1, 2), (2, 0)]
