@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,26 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _COUNTS = "bucket INT, raw LONG, labelled LONG, target LONG"
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]])]
+
+
+def _hash(text: str) -> int:
+    data = text.encode("utf-8", "surrogatepass")
+    return zlib.crc32(data) << 32 | zlib.crc32(data, 0x9E3779B9)
+
+
+class _Known(dict):
+    """A dict that has ``new`` make the values of missing keys."""
+
+    def __init__(self, new: Callable[[str], int]) -> None:
+        self._new = new
+
+    def __missing__(self, key: str) -> int:
+        return self._new(key)
+
+
 class Features:
     """The hashed n-grams of a text.
 
@@ -48,49 +69,52 @@ class Features:
     """
 
     def __init__(self) -> None:
-        self._places: dict[str, int] = {}
-        self._hashes = np.zeros((1024, 1 + len(BEGINNINGS)), np.uint64)
+        self._places, self._beginnings = _Known(self._place), _Known(self._beginning)
+        self._hashes = array("Q")
 
     def _place(self, token: str) -> int:
         """The row of ``_hashes`` with the hashes of a new token and its beginnings, 0 for none."""
         place = self._places[token] = len(self._places)
-        if place == len(self._hashes):
-            self._hashes = np.concatenate([self._hashes, np.zeros_like(self._hashes)])
         lower = token.lower()
         plain = token if len(token) > 1 and token.isupper() else lower
-        parts = [plain, *("^" + lower[:n] if len(lower) > n else "" for n in BEGINNINGS)]
-        for i, data in enumerate(p.encode("utf-8", "surrogatepass") for p in parts):
-            self._hashes[place, i] = zlib.crc32(data) << 32 | zlib.crc32(data, 0x9E3779B9) if data else 0
+        self._hashes.extend([_hash(plain), *[self._beginnings["^" + lower[:n]] if len(lower) > n else 0 for n in BEGINNINGS]])
         return place
 
+    def _beginning(self, marked: str) -> int:
+        value = self._beginnings[marked] = _hash(marked)
+        return value
+
     def __call__(self, text: str) -> np.ndarray:
         """Two rows of buckets, a column for each n-gram, repeats of pairs and beginnings included."""
         if len(self._places) >= REMEMBERED:
             self._places.clear()
-        known, new = self._places.get, self._place
-        places = np.array([p if (p := known(t)) is not None else new(t) for t in _TOKEN.findall(text)], np.int64)
+            self._beginnings.clear()
+            self._hashes = array("Q")
+        places = np.array(list(map(self._places.__getitem__, _TOKEN.findall(text))), np.int64)
         if not len(places):
             return np.zeros((2, 0), np.int64)
-        one = self._hashes[places, 0]
-        distinct = self._hashes[np.unique(places)].ravel()
+        hashes = np.frombuffer(self._hashes, np.uint64).reshape(-1, 1 + len(BEGINNINGS))
+        one = hashes[places, 0]
+        distinct = hashes[_distinct(places)].ravel()
         two = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xD6E8FEB86659FD93)
         repeats = 4 * np.count_nonzero(one[1:] == one[:-1]) >= len(one)
         single = np.append(distinct[distinct > 0], np.uint64(0xABCDEF0123456789 if repeats else one[0]))
         table = np.uint64(BUCKETS // 4)
         grams = [(g * np.uint64(k)) >> np.uint64(36) for g in (single, two) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-        singles, singles_too, pairs, pairs_too = (g % table + table * np.uint64(i) for i, g in enumerate(grams))
+        singles, singles_too, pairs, pairs_too = ((g & (table - np.uint64(1))) + table * np.uint64(i) for i, g in enumerate(grams))
         return np.array([np.concatenate([singles, pairs]), np.concatenate([singles_too, pairs_too])]).astype(np.int64)
 
 
-def _weight(ratio: np.ndarray, grams: np.ndarray) -> float:
-    """Each different n-gram counts with the ratio of its two buckets that is nearer to 0, if they agree."""
-    a, b = ratio[grams]
-    telling = np.nonzero(a * b > 0)[0]
-    if not len(telling):
-        return 0.0
-    _, once = np.unique(grams[0, telling] * BUCKETS + grams[1, telling], return_index=True)
-    a, b = a[telling[once]], b[telling[once]]
-    return float(np.where(np.abs(a) < np.abs(b), a, b).sum())
+def _weights(ratios: list[np.ndarray], grams: np.ndarray) -> list[float]:
+    """For each of ``ratios``: each different n-gram counts with that of its two buckets that is nearer to 0, if they agree."""
+    both = _distinct(grams[0] * BUCKETS + grams[1])
+    first = both // BUCKETS
+    second = both - first * BUCKETS
+    out = []
+    for ratio in ratios:
+        a, b = ratio[first], ratio[second]
+        out.append(float(np.where(a * b > 0, np.where(np.abs(a) < np.abs(b), a, b), 0.0).sum()))
+    return out
 
 
 def labelled_rows(labels: DataFrame, most: int = LABELLED_ROWS) -> dict[int, bool]:
@@ -188,9 +212,10 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, labelled: dict[int, bool]) -
             (plain, target, other), known = shared.value
             weights, held_out = [], []
             for i, t in zip(doc_id, text):
-                grams, kind = features(t), known.get(i)
-                weights.append(_weight(plain, grams))
-                held_out.append(None if kind is None else _weight(target if kind else other, grams))
+                kind = known.get(i)
+                found = _weights([plain] if kind is None else [plain, target if kind else other], features(t))
+                weights.append(found[0])
+                held_out.append(None if kind is None else found[1])
             return {"doc_id": doc_id, "log_weight": weights, "held_out": held_out}
 
         return step
