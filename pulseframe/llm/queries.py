@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, substrings, tokens, topk
+from pulseframe.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, spelling, substrings, tokens, topk
 from pulseframe.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +145,48 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_repeated_substrings")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), window=400)
+
+
+@query("op13_spelling_variants", r"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), runs AS (
+  SELECT own_id, run, count(*) AS k
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS own_id,
+          unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents)
+  WHERE length(run) >= 6 GROUP BY own_id, run
+), coded AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(own_id || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END))),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS h
+  FROM runs, crc_table
+), words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n
+  FROM (SELECT k, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM coded)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), holes AS (
+  SELECT word, n, i, left(word, i) || '_' || substr(word, i + 2) AS masked, left(word, i) || substr(word, i + 2) AS less
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), replaced AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.masked = b.masked AND a.i = b.i AND a.word <> b.word
+), deleted AS (
+  SELECT DISTINCT h.word, h.n, w.word AS near, w.n AS near_n FROM holes h JOIN words w ON h.less = w.word
+), near AS (
+  SELECT word, near, near_n FROM replaced UNION ALL SELECT word, near, near_n FROM deleted UNION ALL SELECT near, word, n FROM deleted
+), best AS (
+  SELECT word, count(*) AS n_near, list(near ORDER BY near_n DESC, encode(near))[1] AS form, max(near_n) AS form_n FROM near GROUP BY word
+), forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), paths AS (
+  WITH RECURSIVE p(word, root, steps) AS (
+    SELECT word, word, 0 FROM forms UNION ALL SELECT p.word, f.form, steps + 1 FROM p JOIN forms f ON p.root = f.word AND f.form IS NOT NULL)
+  SELECT word, arg_max(root, steps) AS root FROM p GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN paths USING (word)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
