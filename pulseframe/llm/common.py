@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,21 @@ def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def table_of(columns: list, schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of the schema's names and types."""
+    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def vector_matrix(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, matrix) for each length of vector in a batch: those without null or non-finite entries."""
+    lengths = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    for dims in np.unique(lengths[lengths >= 0]):
+        rows = np.nonzero(lengths == dims)[0]
+        # A null entry becomes NaN, so it counts as not finite.
+        values = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False)
+        values = np.asarray(values, np.float64).reshape(len(rows), dims)
+        usable = np.isfinite(values).all(axis=1)
+        if usable.any():
+            yield rows[usable], values[usable]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, spelling, substrings, tokens, topk
+from pulseframe.llm import chat, exact_dedup, mixing, near_dedup, packing, pii, quality, spelling, substrings, tokens, topk, vantage, whitening
 from pulseframe.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,13 @@ SELECT word, form, root, n, n_near, form_n FROM forms JOIN paths USING (word)
 """)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), scale=256, components=4)
+
+
+@query("op11_vantage_neighbours")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(table(spark, sf_dir, "embeddings"), k=10, query_every=100, factor=vantage.FACTOR)
