@@ -160,3 +160,34 @@ def monitoring_accounting(spark, sf_dir):
     again = F.explode(F.when(kind == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
     messages = events.select("event_id", "ts", "value", again.alias("copy")).drop("copy")
     return accounting(spark, _monitored(spark, messages))
+
+
+_AGAIN = "event_id % 7 < 3"
+_ONCE_SQL = f"(SELECT * FROM ({_SCORED_STREAM_SQL}))"
+
+
+def _delivered(spark, sf_dir):
+    """Messages of all events, then a part of them delivered again, in two files of their own and in reverse."""
+    root = scratch_path(spark, "delivered")
+    messages = _messages(t.load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return root, messages, spark.readStream.schema(messages.schema).parquet(f"{root}/*")
+
+
+@query(
+    "redelivered_accounting",
+    f"""SELECT 'received' AS outcome, count(*) + 2 * count(*) FILTER (WHERE {_AGAIN}) AS messages, NULL AS total FROM ({t.POINTS_SQL})
+UNION ALL SELECT 'duplicate message', 2 * count(*) FILTER (WHERE {_AGAIN}), NULL FROM ({t.POINTS_SQL})
+UNION ALL SELECT 'scored', count(*), CAST(round(sum(risk_score)) AS BIGINT) FROM {_ONCE_SQL}
+UNION ALL SELECT 'no plausible vital', (SELECT count(*) FROM ({t.POINTS_SQL})) - (SELECT count(*) FROM {_ONCE_SQL}), NULL""",
+)
+def redelivered_accounting(spark, sf_dir):
+    """A restarted consumer delivers a range of messages again, twice: each is scored once, with the scores of a single delivery."""
+    folder, messages, stream = _delivered(spark, sf_dir)
+    root = scratch_path(spark, "monitoring")
+    for name, part in (("first", messages), ("again", messages.filter(_AGAIN)), ("once_more", messages.filter(_AGAIN).orderBy(F.desc("event_id")))):
+        part.write.parquet(f"{folder}/{name}")
+        for running in start_monitoring(stream, root, F.col("event_id"), F.col("ts"), watch=False, availableNow=True):
+            running.awaitTermination()
+    total = spark.read.parquet(f"{root}/scored").agg(F.round(F.sum("risk_score")).cast("bigint").alias("total"))
+    counts = accounting(spark, root)
+    return counts.join(total.withColumn("outcome", F.lit("scored")), "outcome", "left").select("outcome", "messages", "total")

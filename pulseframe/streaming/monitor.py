@@ -127,6 +127,7 @@ def start_monitoring(
     reading_id: Column,
     received: Column | None = None,
     idle_days: float | None = None,
+    remember_days: float | None = None,
     hook: Callable[[DataFrame], DataFrame] | None = None,
     files_per_batch: int = 1000,
     watch: bool = True,
@@ -137,7 +138,8 @@ def start_monitoring(
     ``trigger`` goes to the writers, e.g. ``processingTime="10 seconds"``. With
     ``availableNow=True`` decoding ends before scoring starts. The source's rate limit
     bounds the first query's batches, ``files_per_batch`` the second one's. ``watch``
-    appends every progress report to the consumer metrics table.
+    appends every progress report to the consumer metrics table. Messages delivered again
+    within ``remember_days`` (None: ever) are known by their ``reading_id``.
     """
     spark, trigger = messages.sparkSession, trigger or {"processingTime": "10 seconds"}
     if watch:
@@ -151,7 +153,7 @@ def start_monitoring(
         decoding.awaitTermination()
     staged = spark.readStream.schema(_STAGED).option("maxFilesPerTrigger", files_per_batch).parquet(f"{root}/staged")
     scoring = (
-        clean_readings_stream(staged.filter("accepted"), idle_days).writeStream.outputMode("append")
+        clean_readings_stream(staged.filter("accepted"), idle_days, remember_days).writeStream.outputMode("append")
         .foreachBatch(write_batch(root, hook=hook))
         .option("checkpointLocation", f"{root}/_checkpoints/scoring").trigger(**trigger).start()
     )

@@ -3,16 +3,22 @@
 Rows are handled in the order of their arrival: those of one micro-batch by (time, id),
 and micro-batches one after another, with the same step functions as the batch folds.
 So nothing is buffered, nothing waits for a watermark, and late rows are not lost: they
-are compared with the state as it is when they come. State is one small row per key; a
-task holds the rows of one key and one micro-batch, which the source's rate limit bounds.
+are compared with the state as it is when they come.
+
+Patients are dealt to buckets by hash, and a bucket is the key of the state operator: one
+call handles all patients of a bucket in a micro-batch, each patient's state being an
+entry of a map state. So many patients with few rows each do not cost a call each, and
+only the entries of patients that appear are read and written. A task holds the rows of
+one bucket and one micro-batch, which the source's rate limit bounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -21,6 +27,10 @@ from pulseframe.session import ROCKSDB_PROVIDER, STATE_PROVIDER_KEY
 
 # Fixed value: reason of a reading that came twice.
 DUPLICATE = "duplicate message"
+#: Buckets of keys; a running query must keep the number it was started with.
+BUCKETS = 256
+#: Consecutive reading ids of a patient that share one entry of the ids seen.
+SEEN_BLOCK = 4_096
 
 
 def require_rocksdb(spark: SparkSession) -> None:
@@ -29,17 +39,18 @@ def require_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
 
 
-class _ArrivalProcessor(StatefulProcessor):
-    """Hands the rows of a key and micro-batch, in order, to ``walk``."""
+def bucket_of(*keys: str, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
 
-    state_schema: str
-    order: list[str]
 
-    def __init__(self, idle_days: float | None = None):
-        self.idle_ms = None if idle_days is None else max(1, int(idle_days * 86_400_000))
+def in_ms(days: float | None) -> int | None:
+    return None if days is None else max(1, int(days * 86_400_000))
 
-    def init(self, handle) -> None:
-        self.state = handle.getValueState("state", self.state_schema, self.idle_ms)
+
+class BucketProcessor(StatefulProcessor):
+    """Hands the rows of a bucket and micro-batch, in order, to ``walk``, as one list per column."""
+
+    order: list[str]
 
     def close(self) -> None:
         pass
@@ -47,95 +58,143 @@ class _ArrivalProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows)).sort_values(self.order, kind="stable", ignore_index=True)
         if len(frame):
-            yield self.walk(key, frame)
+            yield self.walk({c: frame[c].tolist() for c in frame.columns}, timerValues)
+
+
+class Seen:
+    """Ids that a patient's messages had, in blocks of sorted 16-bit offsets, read when first asked for."""
+
+    def __init__(self, state) -> None:
+        self._state, self._blocks, self._new = state, {}, set()
+
+    def add(self, patient: str, message: int) -> bool:
+        """Whether the id is new; it is remembered."""
+        block, offset = divmod(message, SEEN_BLOCK)
+        key = patient, block
+        if key not in self._blocks:
+            stored = self._state.getValue(key) if self._state.containsKey(key) else None
+            self._blocks[key] = set() if stored is None else set(np.frombuffer(bytes(stored[0]), "<u2").tolist())
+        if offset in self._blocks[key]:
+            return False
+        self._blocks[key].add(offset)
+        self._new.add(key)
+        return True
 
+    def store(self) -> None:
+        for key in self._new:
+            self._state.updateValue(key, (np.array(sorted(self._blocks[key]), "<u2").tobytes(),))
 
-class CleanupProcessor(_ArrivalProcessor):
-    """Cleans whole readings of one patient; the state is the last value per vital and the last reading."""
 
-    state_schema = "seen_us BIGINT, seen_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>"
+class CleanupProcessor(BucketProcessor):
+    """Cleans whole readings; a patient's state is the last value per vital, and the ids seen."""
+
     output_schema = (
         "patient_id STRING, ts_us BIGINT, reading_id BIGINT, names ARRAY<STRING>, vals ARRAY<DOUBLE>, reason STRING"
     )
     order = ["ts_us", "reading_id"]
 
-    def walk(self, key, frame):
-        fold, seen, last = Cleanup(), None, {}
-        if self.state.exists():
-            seen_us, seen_id, names, vals = self.state.get()
-            seen, last = (seen_us, seen_id), dict(zip(names, vals))
-        out = []
-        for ts, reading_id, names, vals in zip(frame["ts_us"], frame["reading_id"], frame["names"], frame["vals"]):
-            ts, reading_id = int(ts), int(reading_id)
-            if (ts, reading_id) == seen:
-                out.append((key[0], ts, reading_id, [], [], DUPLICATE))
+    def __init__(self, idle_days: float | None = None, remember_days: float | None = None):
+        self.idle_ms, self.remember_ms = in_ms(idle_days), in_ms(remember_days)
+
+    def init(self, handle) -> None:
+        self.last = handle.getMapState(
+            "last", "patient_id STRING", "names ARRAY<STRING>, vals ARRAY<DOUBLE>", self.idle_ms)
+        self.seen = handle.getMapState("seen", "patient_id STRING, block BIGINT", "offsets BINARY", self.remember_ms)
+
+    def walk(self, rows, timerValues):
+        fold, seen, states, changed, out = Cleanup(), Seen(self.seen), {}, set(), []
+        for patient, ts, reading_id, names, vals in zip(*(rows[c] for c in ("patient_id", "ts_us", "reading_id", "names", "vals"))):
+            # A message without an id cannot be told from another one.
+            known = not pd.isna(reading_id)
+            reading_id = int(reading_id) if known else None
+            if known and not seen.add(patient, reading_id):
+                out.append((patient, ts, reading_id, [], [], DUPLICATE))
                 continue
-            seen = (ts, reading_id)
-            kept_names, kept_vals = [], []
+            if patient not in states:
+                stored = self.last.getValue((patient,)) if self.last.containsKey((patient,)) else None
+                states[patient] = {} if stored is None else dict(zip(*stored))
+            last, kept_names, kept_vals = states[patient], [], []
             for name, value in zip(names, vals):
                 result, state = fold.step(last.get(name), name, float(value))
-                if state is not None:
+                if state is not None and state != last.get(name):
                     last[name] = state
+                    changed.add(patient)
                 if result is not None:
                     kept_names.append(name)
                     kept_vals.append(result)
-            out.append((key[0], ts, reading_id, kept_names, kept_vals, None))
-        self.state.update((*seen, list(last), list(last.values())))
-        return pd.DataFrame(out, columns=["patient_id", "ts_us", "reading_id", "names", "vals", "reason"])
+            if self.idle_ms is not None:
+                changed.add(patient)  # being heard of keeps a state alive
+            out.append((patient, ts, reading_id, kept_names, kept_vals, None))
+        for patient in changed:
+            self.last.updateValue((patient,), (list(states[patient]), list(states[patient].values())))
+        seen.store()
+        made = pd.DataFrame(out, columns=["patient_id", "ts_us", "reading_id", "names", "vals", "reason"])
+        return made.astype({"reading_id": "Int64"})
 
 
-class CooldownProcessor(_ArrivalProcessor):
-    """Marks each alert of one patient and kind as sent or muted."""
+class CooldownProcessor(BucketProcessor):
+    """Marks each alert as sent or muted; the state of a patient and kind is when one was sent."""
 
-    state_schema = "sent_us BIGINT"
     output_schema = (
         "patient_id STRING, alert_type STRING, ts_us BIGINT, alert_id BIGINT, body STRING, passed BOOLEAN"
     )
     order = ["ts_us", "alert_id"]
 
     def __init__(self, seconds: float = COOLDOWN_SECONDS, idle_days: float | None = None):
-        super().__init__(idle_days)
-        self.fold = Cooldown(seconds=seconds)
-
-    def walk(self, key, frame):
-        sent = self.state.get()[0] if self.state.exists() else None
-        times = frame["ts_us"].tolist()
-        passed, sent = self.fold.walk(sent, (times,), 0, len(times))
-        self.state.update((sent,))
-        return pd.DataFrame({
-            "patient_id": key[0], "alert_type": key[1], "ts_us": times, "alert_id": frame["alert_id"],
-            "body": frame["body"], "passed": passed,
-        })
-
+        self.fold, self.idle_ms = Cooldown(seconds=seconds), in_ms(idle_days)
 
-def _time_mode(idle_days: float | None) -> str:
+    def init(self, handle) -> None:
+        self.sent = handle.getMapState("sent", "patient_id STRING, alert_type STRING", "sent_us BIGINT", self.idle_ms)
+
+    def walk(self, rows, timerValues):
+        places: dict[tuple, list[int]] = {}
+        for i, key in enumerate(zip(rows["patient_id"], rows["alert_type"])):
+            places.setdefault(key, []).append(i)
+        passed = [False] * len(rows["ts_us"])
+        for key, own in places.items():
+            sent = self.sent.getValue(key)[0] if self.sent.containsKey(key) else None
+            times = [rows["ts_us"][i] for i in own]
+            marks, sent = self.fold.walk(sent, (times,), 0, len(times))
+            self.sent.updateValue(key, (sent,))
+            for i, mark in zip(own, marks):
+                passed[i] = mark
+        columns = ("patient_id", "alert_type", "ts_us", "alert_id", "body")
+        return pd.DataFrame({**{c: rows[c] for c in columns}, "passed": passed})
+
+
+def time_mode(*days: float | None) -> str:
     """State that expires needs processing time, with which a query also runs batches without data.
 
-    So a query with ``idle_days`` and ``availableNow`` ends only if
+    So a query with expiring state and ``availableNow`` ends only if
     spark.sql.streaming.noDataMicroBatches.enabled is false.
     """
-    return "None" if idle_days is None else "ProcessingTime"
+    return "None" if all(d is None for d in days) else "ProcessingTime"
 
 
-def clean_readings_stream(readings: DataFrame, idle_days: float | None = None) -> DataFrame:
+def clean_readings_stream(
+    readings: DataFrame, idle_days: float | None = None, remember_days: float | None = None, buckets: int = BUCKETS
+) -> DataFrame:
     """Cleaned readings (patient_id, ts, reading_id, vitals, reason) of a reading stream.
 
     ``readings`` hold patient_id, ts TIMESTAMP, reading_id BIGINT and the vitals map.
-    A reading whose vitals all drop comes out with an empty map; one that repeats the
-    patient's reading before it also, with a reason. Patients silent for ``idle_days`` of
-    processing time lose their state.
+    A reading whose vitals all drop comes out with an empty map. Delivery may repeat any
+    range of messages at any later time: a reading whose id its patient had before comes
+    out empty with a reason and changes nothing, as in the batch operator. Ids are
+    remembered for ``remember_days`` of processing time (None: for good), about two bytes
+    each. Patients silent for ``idle_days`` lose their last values.
     """
     require_rocksdb(readings.sparkSession)
     prepared = readings.select(
+        bucket_of("patient_id", buckets=buckets),
         F.col("patient_id").cast("string").alias("patient_id"),
         F.unix_micros("ts").alias("ts_us"),
         "reading_id",
         F.map_keys("vitals").alias("names"),
         F.map_values("vitals").alias("vals"),
     )
-    cleaned = prepared.groupBy("patient_id").transformWithStateInPandas(
-        CleanupProcessor(idle_days), CleanupProcessor.output_schema, "Append", _time_mode(idle_days)
-    )
+    cleaned = prepared.groupBy("bucket").transformWithStateInPandas(
+        CleanupProcessor(idle_days, remember_days), CleanupProcessor.output_schema, "Append",
+        time_mode(idle_days, remember_days))
     return cleaned.select(
         "patient_id",
         F.timestamp_micros("ts_us").alias("ts"),
@@ -146,18 +205,18 @@ def clean_readings_stream(readings: DataFrame, idle_days: float | None = None) -
 
 
 def cool_down_stream(
-    alerts: DataFrame, seconds: float = COOLDOWN_SECONDS, idle_days: float | None = None
+    alerts: DataFrame, seconds: float = COOLDOWN_SECONDS, idle_days: float | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
     """Alerts (patient_id, alert_type, ts, alert_id, body) with ``passed``."""
     require_rocksdb(alerts.sparkSession)
     prepared = alerts.select(
+        bucket_of("patient_id", "alert_type", buckets=buckets),
         F.col("patient_id").cast("string").alias("patient_id"),
         "alert_type",
         F.unix_micros("ts").alias("ts_us"),
         "alert_id",
         "body",
     )
-    marked = prepared.groupBy("patient_id", "alert_type").transformWithStateInPandas(
-        CooldownProcessor(seconds, idle_days), CooldownProcessor.output_schema, "Append", _time_mode(idle_days)
-    )
+    marked = prepared.groupBy("bucket").transformWithStateInPandas(
+        CooldownProcessor(seconds, idle_days), CooldownProcessor.output_schema, "Append", time_mode(idle_days))
     return marked.withColumn("ts", F.timestamp_micros("ts_us")).drop("ts_us")

@@ -84,6 +84,34 @@ def test_late_and_repeated_rows_in_order_of_arrival(spark, tmp_path):
     assert [(r["reading_id"], r["vitals"], r["reason"]) for r in out if r["reason"]] == [(1, {}, "duplicate message")] * 2
 
 
+def test_ranges_delivered_again_change_nothing(spark, tmp_path):
+    """After restarts, in any order, with ids far apart and a patient's ids not in order of time: stream = batch."""
+    rows = [(p, sec, i * 977 if i % 2 else 500_000 - i, vitals) for p, sec, i, vitals in reading_rows(240, 5)]
+    source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
+    for part in (rows[:150], rows[40:160][::-1], rows[160:] + rows[:5], rows):
+        write_files(spark, source, [part])
+        run(clean_readings_stream(stream_of(spark, source), buckets=3), sink)
+    out = spark.read.parquet(f"{sink}/out").collect()
+    assert len([r for r in out if r["reason"] == "duplicate message"]) == len(out) - len(rows) == 110 + 5 + 240
+    batch = spark.createDataFrame(rows + rows[40:160] + rows, SCHEMA).withColumn("ts", F.timestamp_seconds("sec"))
+    want = {(r["patient_id"], r["reading_id"]): r["vitals"] for r in clean_readings(batch).collect()}
+    assert {(r["patient_id"], r["reading_id"]): r["vitals"] for r in out if r["vitals"]} == want
+
+
+def test_ids_are_forgotten_and_missing_ones_never_repeat(spark, tmp_path):
+    source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        for _ in range(2):
+            write_files(spark, source, [[("p", 0, 3, {"heart_rate": 70.0}), ("p", 1, None, {"spo2": 90.0})]])
+            run(clean_readings_stream(stream_of(spark, source), remember_days=1e-6), sink)
+            time.sleep(0.5)
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    out = spark.read.parquet(f"{sink}/out").collect()
+    assert sorted(str(r["reading_id"]) for r in out if r["reason"] is None) == ["3", "3", "None", "None"]
+
+
 def test_idle_patients_lose_their_state(spark, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
