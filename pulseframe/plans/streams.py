@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.plans import alerting
 from pulseframe.plans import tables as t
 from pulseframe.plans.registry import query
 from pulseframe.plans.states import CLEANED_SQL, COOLDOWN_SQL, TWO_DAYS
 from pulseframe.plans.vitals import _BANDS_SQL, _bands_sql
 from pulseframe.session import scratch_path
+from pulseframe.streaming.board import board_alerts, board_changes, on_board
 from pulseframe.streaming.monitor import accounting, audit_log, start_dispatch, start_monitoring
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
@@ -191,3 +193,46 @@ def redelivered_accounting(spark, sf_dir):
     total = spark.read.parquet(f"{root}/scored").agg(F.round(F.sum("risk_score")).cast("bigint").alias("total"))
     counts = accounting(spark, root)
     return counts.join(total.withColumn("outcome", F.lit("scored")), "outcome", "left").select("outcome", "messages", "total")
+
+
+def _arriving(rows: DataFrame, label: str) -> DataFrame:
+    """A stream of ``rows``, ten days of arrivals a micro-batch; a third arrives a day late, a third two days."""
+    root = scratch_path(rows.sparkSession, label)
+    late = F.pmod(F.xxhash64(*rows.columns), F.lit(3)).cast("int")
+    timed = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    arrival = F.floor((F.unix_seconds("ts") + late * 86_400 - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))) / (10 * 86_400))
+    placed = timed.withColumn("arrival", F.greatest(F.lit(0), F.least(F.lit(3), arrival)))
+    for part in range(4):
+        placed.filter(F.col("arrival") == part).drop("arrival").coalesce(1).write.parquet(f"{root}/part={part}")
+    stream = rows.sparkSession.readStream.schema(timed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/part=*")
+    return stream.drop("part")
+
+
+def _board(spark, sf_dir):
+    """One row per alert after alerts and acknowledgements went through the board, out of order and late."""
+    alerts = t.alert_events(spark, sf_dir).withColumnRenamed("alert_type", "body")
+    rows = alerts.withColumn("acknowledged_by", F.lit(None).cast("string")).unionByName(
+        t.ack_events(spark, sf_dir), allowMissingColumns=True)
+    stream = _arriving(rows, "board")
+    changes = board_changes(
+        stream.filter("alert_id IS NOT NULL"), stream.filter("alert_id IS NULL").select("patient_id", "ts", "acknowledged_by"),
+        delay="3 days", display_seconds=alerting.WEEK, tick_seconds=3600)
+    return board_alerts(run_available(changes, "board_changes")).withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("ts", "acknowledged_at", "expired_at")})
+
+
+@query("alerts_acked_stream", f"SELECT CAST(patient_id AS VARCHAR) AS patient_id, * EXCLUDE (patient_id) FROM ({alerting.ACKED_SQL})")
+def alerts_acked_stream(spark, sf_dir):
+    return _board(spark, sf_dir).withColumnRenamed("body", "alert_type").select(
+        "patient_id", "ts", "alert_id", "alert_type", "severity", "acknowledged", "acknowledged_at", "acknowledged_by")
+
+
+@query(
+    "active_alerts_stream",
+    f"""SELECT CAST(patient_id AS VARCHAR) AS patient_id, alert_id, severity, ts FROM ({alerting.ACKED_SQL})
+WHERE ts <= TIMESTAMP '{alerting.AT}' AND NOT coalesce(acknowledged_at <= TIMESTAMP '{alerting.AT}', FALSE)
+  AND (severity = 'CRITICAL' OR ts > TIMESTAMP '{alerting.AT}' - INTERVAL {alerting.WEEK} SECONDS)""",
+)
+def active_alerts_stream(spark, sf_dir):
+    """The board at a moment, from its changes alone: nothing is computed from ages afterwards."""
+    return on_board(_board(spark, sf_dir), t.ntz(alerting.AT)).select("patient_id", "alert_id", "severity", "ts")
