@@ -4,6 +4,7 @@ from pulseframe.plans import (  # noqa: F401
     alerting,
     cases,
     ingest,
+    kept,
     people,
     series,
     states,

@@ -92,10 +92,10 @@ def _messages(events):
     return events.select("event_id", "ts", F.to_json(body).alias("value"))
 
 
-def _monitored(spark, messages) -> str:
+def _monitored(spark, messages, **options) -> str:
     """Folder of the sinks after all messages went through decode, cleanup, scoring and the batch sinks."""
     root = scratch_path(spark, "monitoring")
-    started = start_monitoring(messages, root, F.col("event_id"), F.col("ts"), watch=False, availableNow=True)
+    started = start_monitoring(messages, root, F.col("event_id"), F.col("ts"), watch=False, availableNow=True, **options)
     for running in started:
         running.awaitTermination()
     return root
@@ -195,10 +195,10 @@ def redelivered_accounting(spark, sf_dir):
     return counts.join(total.withColumn("outcome", F.lit("scored")), "outcome", "left").select("outcome", "messages", "total")
 
 
-def _arriving(rows: DataFrame, label: str) -> DataFrame:
+def _arriving(rows: DataFrame, label: str, late: bool = True) -> DataFrame:
     """A stream of ``rows``, ten days of arrivals a micro-batch; a third arrives a day late, a third two days."""
     root = scratch_path(rows.sparkSession, label)
-    late = F.pmod(F.xxhash64(*rows.columns), F.lit(3)).cast("int")
+    late = F.pmod(F.xxhash64(*rows.columns), F.lit(3)).cast("int") if late else F.lit(0)
     timed = rows.withColumn("ts", F.col("ts").cast("timestamp"))
     arrival = F.floor((F.unix_seconds("ts") + late * 86_400 - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))) / (10 * 86_400))
     placed = timed.withColumn("arrival", F.greatest(F.lit(0), F.least(F.lit(3), arrival)))

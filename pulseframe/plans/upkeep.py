@@ -120,21 +120,24 @@ def insert_admissions(spark, sf_dir):
 _LAST_EVENT_SQL = "SELECT * FROM (SELECT user_id * 11 AS patient_id, event_type AS profile, props AS extra_data, ts, event_id FROM events) QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY ts DESC, event_id DESC) = 1"
 
 
-@query(
-    "upsert_profiles",
-    f"""SELECT coalesce(p.patient_id, c.patient_id) AS patient_id, p.full_name,
+upsert_profiles_sql = f"""SELECT coalesce(p.patient_id, c.patient_id) AS patient_id, p.full_name,
   CASE WHEN c.patient_id IS NOT NULL THEN c.profile ELSE p.profile END AS profile,
   CASE WHEN c.patient_id IS NOT NULL THEN c.extra_data ELSE p.extra_data END AS extra_data,
   CASE WHEN p.patient_id IS NOT NULL THEN p.created_at ELSE TIMESTAMP '{NOW}' END AS created_at,
   CASE WHEN c.patient_id IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE p.updated_at END AS updated_at
-FROM ({t.PATIENTS_SQL}) p FULL JOIN ({_LAST_EVENT_SQL}) c ON p.patient_id = c.patient_id""",
-)
-def upsert_profiles(spark, sf_dir):
-    changes = t.load(spark, sf_dir, "events").select(
+FROM ({t.PATIENTS_SQL}) p FULL JOIN ({_LAST_EVENT_SQL}) c ON p.patient_id = c.patient_id"""
+
+
+def _profile_changes(spark, sf_dir):
+    return t.load(spark, sf_dir, "events").select(
         (F.col("user_id") * 11).alias("patient_id"), F.col("event_type").alias("profile"),
         F.col("props").alias("extra_data"), "ts", "event_id",
     )
-    new = m.upsert_profiles(t.patients(spark, sf_dir), changes, ["ts", "event_id"], _now())
+
+
+@query("upsert_profiles", upsert_profiles_sql)
+def upsert_profiles(spark, sf_dir):
+    new = m.upsert_profiles(t.patients(spark, sf_dir), _profile_changes(spark, sf_dir), ["ts", "event_id"], _now())
     return new.select("patient_id", "full_name", "profile", "extra_data", "created_at", "updated_at")
 
 

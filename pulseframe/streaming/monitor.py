@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.scoring import score_readings
 from pulseframe.operators.alerts import build_alerts, route_alerts
 from pulseframe.operators.folds import COOLDOWN_SECONDS
-from pulseframe.operators.maintain import latest_risk, update_risk
-from pulseframe.operators.timeseries import latest_per_key
+from pulseframe.operators.maintain import latest_risk
 from pulseframe.schemas import VITALS
 from pulseframe.sources.points import PARTITION, to_points
 from pulseframe.sources.tables import audit_alerts, audit_errors, audit_readings, audit_trail
@@ -207,19 +206,3 @@ def start_dispatch(spark: SparkSession, root: str, seconds: float = COOLDOWN_SEC
         .option("checkpointLocation", f"{root}/_checkpoints/dispatch").trigger(**trigger).start()
     )
 
-
-def apply_risk(
-    spark: SparkSession, root: str, patients: DataFrame, admissions: DataFrame, ref: Column, after: int = -1
-) -> tuple[DataFrame, DataFrame, int]:
-    """Fold the risk updates of batches later than ``after`` into the patient and admission tables.
-
-    Returns both tables and the last batch that is in them, to be stored with them and
-    passed next time: each reading acts once, and a patient discharged since is not
-    admitted again because of old readings. Older batches' folders are not read.
-    """
-    updates = spark.read.parquet(f"{root}/risk").filter(F.col("batch_id") > after)
-    last = updates.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return patients, admissions, after
-    latest = latest_per_key(updates, ["patient_id"], ["ts", "reading_id"])
-    return (*update_risk(patients, admissions, latest, ref), last)

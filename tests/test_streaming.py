@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.operators.folds import clean_points, clean_readings, cool_down
 from pulseframe.sources.topics import decode
 from pulseframe.streaming.monitor import (
-    accounting, apply_risk, audit_log, quarantine, score_batch, start_dispatch, start_monitoring, write_batch)
+    accounting, audit_log, quarantine, score_batch, start_dispatch, start_monitoring, write_batch)
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
 
@@ -217,24 +217,13 @@ def test_repeated_batch_replaces_its_output(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/risk").count() == 1
 
 
-def test_dispatch_and_risk_updates(spark, monitored):
+def test_dispatch(spark, monitored):
     root, _ = monitored
     query = start_dispatch(spark, root, seconds=600, availableNow=True)
     query.awaitTermination()
     sent = spark.read.parquet(f"{root}/dispatched")
     per_alert = {r["alert_id"]: {x["channel"] for x in sent.filter(F.col("alert_id") == r["alert_id"]).collect()} for r in sent.select("alert_id").distinct().limit(3).collect()}
     assert per_alert and all("dashboard" in v for v in per_alert.values())
-    none = spark.createDataFrame([], "patient_id STRING, full_name STRING, date_of_birth DATE, gender STRING, active_monitoring BOOLEAN")
-    no_adm = spark.createDataFrame([], "admission_id BIGINT, patient_id STRING, admission_time TIMESTAMP, discharge_time TIMESTAMP, department STRING, initial_diagnosis STRING, risk_level STRING, current_risk_score DOUBLE, updated_at TIMESTAMP")
-    at = F.lit("2024-03-02").cast("timestamp")
-    patients, admissions, last = apply_risk(spark, root, none, no_adm, at)
-    assert {r["patient_id"] for r in patients.collect()} >= {f"ICU-00000{i}" for i in range(4)}
-    assert {r["department"] for r in admissions.collect()} == {"ICU-Emergency"}
-    # Everyone is discharged after the last reading: the same readings don't admit them again.
-    discharged = admissions.withColumn("discharge_time", at)
-    again = apply_risk(spark, root, patients, discharged, at, after=last)
-    assert again[1].count() == admissions.count() and again[2] == last
-    assert again[1].filter("discharge_time IS NULL").count() == 0
 
 
 def test_progress_rows():
