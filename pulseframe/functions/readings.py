@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.numbers import general_float, let, plain_decimal
-from pulseframe.schemas import VITAL_ALIASES
+from pulseframe.functions.numbers import general_float, plain_decimal
+from pulseframe.schemas import VITAL_ALIASES, VITALS
 
 UNKNOWN_PATIENT = "Unknown"
 PRESSURE = "blood_pressure"
@@ -26,21 +24,13 @@ def patient_or_unknown(patient_id: Column) -> Column:
     return F.coalesce(patient_id, F.lit(UNKNOWN_PATIENT))
 
 
-def vital_texts(vitals: Column) -> Column:
-    """MAP<STRING, STRING>: each entry of a VARIANT object as JSON text, so its kind stays visible."""
-    entries = F.try_variant_get(vitals, "$", "map<string,variant>")
-    return F.transform_values(entries, lambda _, v: F.to_json(v))
-
-
 def _unquoted(text: Column) -> Column:
     return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
 def _loose_number(text: Column) -> Column:
     """A number or boolean taken out of an object, or general float text."""
-    return let(
-        text, lambda t: F.when(t == "true", 1.0).when(t == "false", 0.0).otherwise(general_float(t))
-    )
+    return F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(general_float(text))
 
 
 def _entry_number(text: Column, text_rule: Callable[[Column], Column]) -> Column:
@@ -54,64 +44,71 @@ def _entry_number(text: Column, text_rule: Callable[[Column], Column]) -> Column
     )
 
 
-def split_pressure(text: Column) -> Column:
-    """STRUCT<systolic, diastolic> from JSON text: ``"120/80"`` or a systolic/diastolic object."""
+_SIDES = ("systolic", "diastolic")
 
-    def pick(t: Column, i: int, name: str) -> Column:
-        parts = F.split(_unquoted(t), "/")
-        return F.when(t.startswith('"'), F.when(F.size(parts) == 2, general_float(F.get(parts, i)))).when(
-            t.startswith("{"), _loose_number(F.get_json_object(t, f"$.{name}"))
-        )
 
-    return let(
-        text,
-        lambda t: F.struct(
-            pick(t, 0, "systolic").alias("systolic"), pick(t, 1, "diastolic").alias("diastolic")
-        ),
-    )
+def _pressure_texts(text: Column) -> list[Column]:
+    """Both numbers of a pressure's JSON text, as text."""
+    parts = F.split(_unquoted(text), "/")
+    return [
+        F.when(text.startswith('"'), F.when(F.size(parts) == 2, F.get(parts, i)))
+        .when(text.startswith("{"), F.get_json_object(text, f"$.{name}"))
+        for i, name in enumerate(_SIDES)
+    ]
+
 
+def _pressure_number(text: Column, side: Column) -> Column:
+    """A boolean is a number inside an object only."""
+    return F.when(text.startswith("{"), _loose_number(side)).otherwise(general_float(side))
 
-def flatten_vitals(vitals: Column, for_cleaning: bool = False) -> Column:
-    """MAP<STRING, DOUBLE> of the vitals in a VARIANT object.
+
+def split_pressure(df: DataFrame, text: Column) -> DataFrame:
+    """``df`` with systolic and diastolic from JSON text: ``"120/80"`` or an object with both."""
+    both = df.withColumn("_text", text)
+    both = both.withColumns(dict(zip(("_s", "_d"), _pressure_texts(F.col("_text")))))
+    sides = zip(("_s", "_d"), _SIDES)
+    return both.select(*df.columns, *(_pressure_number(F.col("_text"), F.col(c)).alias(n) for c, n in sides))
+
+
+def with_vitals(df: DataFrame, vitals: Column, for_cleaning: bool = False, name: str = "vitals") -> DataFrame:
+    """``df`` with MAP<STRING, DOUBLE> of the vitals in a VARIANT object.
 
     Nested blood pressure becomes its two canonical fields, short aliases are
     renamed, entries without a number are dropped. On a clash the canonical entry
     wins over the alias and both over the nested one. ``for_cleaning`` reads text
     by the cleaner's wider rule.
+
+    Every known vital is taken out by its path, in steps, so that it is generated code and
+    nothing is computed twice. Only readings that hold other names go through a map of
+    variants. That map's function keeps the step with the numbers out of the one large
+    method of a whole stage, which the JVM would not compile.
     """
     text_rule = general_float if for_cleaning else plain_decimal
     short_of = {canonical: short for short, canonical in VITAL_ALIASES.items()}
-    rename = F.create_map(*(F.lit(x) for pair in VITAL_ALIASES.items() for x in pair))
+    known = (*VITALS, *VITAL_ALIASES, PRESSURE)
     empty = F.create_map().cast(_VITAL_MAP)
-    is_short = lambda k: k.isin(*VITAL_ALIASES)
-
-    def number(key: Column, text: Column) -> Column:
-        return F.when(key != PRESSURE, _entry_number(text, text_rule))
-
-    def merged(scalars: Column, pressure: Column) -> Column:
-        def unless_given(field: str, value: Column) -> Column:
-            given = F.map_contains_key(scalars, field) | F.map_contains_key(scalars, short_of[field])
-            entry = F.map_from_arrays(F.array(F.lit(field)), F.array(value))
-            return F.when(value.isNotNull() & ~given, entry).otherwise(empty)
-
-        renamed = F.transform_keys(
-            F.map_filter(scalars, lambda k, _: is_short(k)), lambda k, _: F.element_at(rename, k)
-        )
-        return F.map_concat(
-            F.map_filter(scalars, lambda k, _: ~is_short(k)),
-            F.map_filter(renamed, lambda k, _: ~F.map_contains_key(scalars, k)),
-            unless_given("blood_pressure_systolic", pressure["systolic"]),
-            unless_given("blood_pressure_diastolic", pressure["diastolic"]),
-        )
-
-    def from_texts(texts: Column) -> Column:
-        scalars = F.map_filter(F.transform_values(texts, number), lambda _, v: v.isNotNull())
-        pair = F.struct(
-            scalars.alias("scalars"),
-            split_pressure(F.try_element_at(texts, F.lit(PRESSURE))).alias("pressure"),
-        )
-        # Most readings use canonical flat names and need no merging.
-        odd = [F.map_contains_key(texts, k) for k in (PRESSURE, *VITAL_ALIASES)]
-        return F.when(reduce(or_, odd), let(pair, lambda p: merged(p["scalars"], p["pressure"]))).otherwise(scalars)
-
-    return F.coalesce(let(vital_texts(vitals), from_texts), empty)
+    text = {n: F.col(f"_text_{i}") for i, n in enumerate(known)}
+    number = {n: F.col(f"_number_{i}") for i, n in enumerate(VITALS)}
+    # JSON text keeps the kind of a value visible; JSON null is the text null.
+    texts = df.withColumn("_vitals", vitals).withColumns(
+        {f"_text_{i}": F.to_json(F.try_variant_get("_vitals", f"$.{n}", "variant")) for i, n in enumerate(known)}
+        | {"_entries": F.try_variant_get("_vitals", "$", "map<string,variant>")})
+    texts = texts.withColumns({f"_{n}": side for n, side in zip(_SIDES, _pressure_texts(text[PRESSURE]))})
+
+    def value_of(vital: str) -> Column:
+        found = [_entry_number(text[vital], text_rule)]
+        if vital in short_of:
+            side = F.col("_" + vital.removeprefix(f"{PRESSURE}_"))
+            found += [_entry_number(text[short_of[vital]], text_rule), _pressure_number(text[PRESSURE], side)]
+        return F.coalesce(*found)
+
+    present = sum((t.isNotNull().cast("int") for t in text.values()), F.lit(0))
+    rest = F.map_filter("_entries", lambda k, _: ~k.isin(*known))
+    others = F.map_filter(
+        F.transform_values(F.transform_values(rest, lambda _, v: F.to_json(v)), lambda _, t: _entry_number(t, text_rule)),
+        lambda _, v: v.isNotNull())
+    numbers = texts.withColumns(
+        {f"_number_{i}": value_of(n) for i, n in enumerate(VITALS)}
+        | {"_others": F.when(F.size("_entries") > present, others).otherwise(empty)})
+    single = lambda n: F.when(number[n].isNotNull(), F.create_map(F.lit(n), number[n])).otherwise(empty)
+    return numbers.select(*df.columns, F.map_concat(*(single(n) for n in VITALS), "_others").alias(name))

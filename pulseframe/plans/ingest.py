@@ -120,8 +120,7 @@ def pressure_split(spark, sf_dir):
         .when(kind == "view", F.concat(F.lit('{"systolic":'), high, F.lit(',"diastolic":'), low, F.lit("}")))
         .otherwise(F.concat(F.lit('"'), high, F.lit("/"), low, F.lit('"')))
     )
-    both = t.load(spark, sf_dir, "events").select("event_id", split_pressure(text).alias("bp"))
-    return both.select("event_id", "bp.systolic", "bp.diastolic")
+    return split_pressure(t.load(spark, sf_dir, "events"), text).select("event_id", "systolic", "diastolic")
 
 
 @query(

@@ -26,8 +26,9 @@ def to_points(readings: DataFrame, default_time: Column) -> DataFrame:
         device.alias("device_id"),
         level.alias("risk_level"),
         F.coalesce(F.col("ts"), default_time).alias("ts"),
-        F.explode("vitals").alias("field", "value"),
-    ).select("measurement", "patient_id", "device_id", "risk_level", "field", "value", "ts")
+        # Not a plain explode, for which Spark adds a filter on the map's size and so computes the map twice.
+        F.explode_outer("vitals").alias("field", "value"),
+    ).filter(F.col("field").isNotNull()).select("measurement", "patient_id", "device_id", "risk_level", "field", "value", "ts")
 
 
 def by_day(points: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.functions.readings import flatten_vitals, parse_time, patient_or_unknown
+from pulseframe.functions.readings import parse_time, patient_or_unknown, with_vitals
 
 # Message key of a reading without patient, reasons for quarantine.
 UNKNOWN_KEY = "unknown"
@@ -44,16 +44,9 @@ def decode(messages: DataFrame, value: str = "value", for_cleaning: bool = True)
         "body", F.when(F.ltrim(message).startswith("{"), F.try_parse_json(message))
     )
     text = lambda path: F.try_variant_get("body", path, "string")
-    vitals = flatten_vitals(F.try_variant_get("body", "$.vital_signs", "variant"), for_cleaning)
-    return parsed.withColumns(
-        {
-            "patient_id": patient_or_unknown(text("$.patient_id")),
-            "timestamp": text("$.timestamp"),
-            "ts": parse_time(text("$.timestamp")),
-            "device_id": text("$.device_id"),
-            "vitals": vitals,
-        }
-    )
+    told = parsed.withColumns({"patient_id": patient_or_unknown(text("$.patient_id")), "timestamp": text("$.timestamp")})
+    timed = told.withColumns({"ts": parse_time(F.col("timestamp")), "device_id": text("$.device_id")})
+    return with_vitals(timed, F.try_variant_get("body", "$.vital_signs", "variant"), for_cleaning)
 
 
 def rejection(decoded: DataFrame) -> Column:
