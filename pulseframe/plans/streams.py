@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from pulseframe.plans import alerting
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query
+from pulseframe.plans.registry import query, steady, steady_sql
 from pulseframe.plans.states import CLEANED_SQL, COOLDOWN_SQL, TWO_DAYS
+from pulseframe.plans.upkeep import _with_text_ids
 from pulseframe.plans.vitals import _BANDS_SQL, _bands_sql
 from pulseframe.session import scratch_path
+from pulseframe.sources.snapshots import Snapshots
 from pulseframe.streaming.board import board_alerts, board_changes, on_board
 from pulseframe.streaming.monitor import accounting, audit_log, start_dispatch, start_monitoring
+from pulseframe.streaming.progress import consumer_metrics
+from pulseframe.streaming.rolling import rolling_times_stream
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +154,10 @@ UNION ALL SELECT 'scored', count(*) FROM events WHERE event_id % 10 NOT IN (0, 1
 )
 def monitoring_accounting(spark, sf_dir):
     """Malformed, empty, untimed, badly timed, oddly named, repeated and implausible messages: none is lost."""
+    return accounting(spark, _monitored(spark, _odd_messages(event_stream(spark, sf_dir))))
+
+
+def _odd_messages(events):
     kind = F.col("event_id") % 10
     time = F.when(kind == 2, F.lit("")).when(kind == 3, F.lit(', "timestamp": "yesterday"')).otherwise(
         F.concat(F.lit(', "timestamp": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('"')))
@@ -158,10 +166,73 @@ def monitoring_accounting(spark, sf_dir):
         .otherwise('"heart_rate": 80'))
     # Everyone's series starts afresh, so that implausible values have nothing to fall back on.
     text = F.concat(F.lit('{"patient_id": "p'), "event_id", F.lit('"'), time, F.lit(', "vital_signs": {'), vitals, F.lit("}}"))
-    events = event_stream(spark, sf_dir).withColumn("value", F.when(kind == 0, F.lit("{oops")).otherwise(text))
+    events = events.withColumn("value", F.when(kind == 0, F.lit("{oops")).otherwise(text))
     again = F.explode(F.when(kind == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
-    messages = events.select("event_id", "ts", "value", again.alias("copy")).drop("copy")
-    return accounting(spark, _monitored(spark, messages))
+    return events.select("event_id", "ts", "value", again.alias("copy")).drop("copy")
+
+
+@query(
+    "consumer_metrics_filled",
+    """SELECT count(*) AS messages_processed, count(*) FILTER (WHERE event_id % 10 IN (0, 1)) AS messages_failed,
+  count(DISTINCT least(3, (day(ts) - 1) // 10)) AS reports FROM events""",
+)
+def consumer_metrics_filled(spark, sf_dir):
+    """The consumer metrics table as the listener wrote it while a stream ran in several micro-batches."""
+    root = scratch_path(spark, "watched")
+    stream = _arriving(t.load(spark, sf_dir, "events"), "watched_events", late=False)
+    decoding, scoring = start_monitoring(
+        _odd_messages(stream), root, F.col("event_id"), F.col("ts"), availableNow=True)
+    scoring.awaitTermination()
+    decoding.progress.wait(decoding.runId)
+    spark.streams.removeListener(decoding.progress)
+    reports = consumer_metrics(spark, f"{root}/consumer_metrics").filter("messages_processed > 0")
+    return reports.agg(
+        F.sum("messages_processed").alias("messages_processed"), F.sum("messages_failed").alias("messages_failed"),
+        F.count("*").alias("reports"))
+
+
+@query(
+    "rolling_metrics_stream",
+    f"""SELECT consumer, event_id, {steady_sql('avg(processing_time_ms) OVER w')} AS avg_ms, min(processing_time_ms) OVER w AS min_ms, max(processing_time_ms) OVER w AS max_ms
+FROM ({t.METRICS_SQL}) WINDOW w AS (PARTITION BY consumer ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
+)
+def rolling_metrics_stream(spark, sf_dir):
+    """Each consumer's last hundred times, across micro-batches."""
+    times = t.consumer_metrics(spark, sf_dir).select("consumer", "ts", "event_id", "processing_time_ms")
+    rolled = run_available(rolling_times_stream(_arriving(times, "times", late=False)), "rolled")
+    return rolled.select("consumer", "event_id", steady(F.col("avg_ms")).alias("avg_ms"), "min_ms", "max_ms")
+
+
+_RENAMED = "2024-01-16"
+
+
+@query(
+    "alerts_named_stream",
+    f"""SELECT s.patient_id, s.event_id, s.risk_level, CASE WHEN p.full_name IS NULL THEN 'Patient ' || s.patient_id
+  WHEN s.ts >= TIMESTAMP '{_RENAMED}' AND p.patient_id % 2 = 0 THEN 'Renamed ' || p.full_name ELSE p.full_name END AS patient_name
+FROM ({_SCORED_STREAM_SQL}) s LEFT JOIN ({t.PATIENTS_SQL}) p
+  ON p.patient_id >= 0 AND s.patient_id = 'ICU-' || lpad(CAST(p.patient_id AS VARCHAR), 6, '0')
+WHERE s.risk_level IN ('MODERATE', 'HIGH', 'CRITICAL')""",
+)
+def alerts_named_stream(spark, sf_dir):
+    """Alerts carry the names of the patient table as it is when their batch runs; half of the names change in between."""
+    root, folder = scratch_path(spark, "named"), scratch_path(spark, "named_messages")
+    store = Snapshots(spark, scratch_path(spark, "people"))
+    people = _with_text_ids(t.patients(spark, sf_dir))
+    store.create("patients", people, "patient_id")
+    messages = _messages(t.load(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    stream = spark.readStream.schema(messages.schema).parquet(f"{folder}/*")
+    early = F.col("ts") < F.lit(_RENAMED).cast("timestamp")
+    for name, part in (("early", messages.filter(early)), ("later", messages.filter(~early))):
+        part.write.parquet(f"{folder}/{name}")
+        for running in start_monitoring(stream, root, F.col("event_id"), F.col("ts"), watch=False, people=store, availableNow=True):
+            running.awaitTermination()
+        even = people.filter("patient_id LIKE 'ICU-%' AND CAST(substr(patient_id, 5) AS BIGINT) % 2 = 0").select("patient_id")
+        renamed = lambda old, new: old.join(new.withColumn("hit", F.lit(True)), "patient_id", "left").withColumn(
+            "full_name", F.when(F.col("hit"), F.concat(F.lit("Renamed "), "full_name")).otherwise(F.col("full_name"))).drop("hit")
+        store.change("patients", even, renamed)
+    alerts = spark.read.parquet(f"{root}/alerts")
+    return alerts.select("patient_id", F.col("reading_id").alias("event_id"), "risk_level", "patient_name")
 
 
 _AGAIN = "event_id % 7 < 3"

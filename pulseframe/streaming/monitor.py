@@ -10,6 +10,7 @@ applies the cooldown. Every message is accounted for: it is scored or has a reas
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pulseframe.operators.folds import COOLDOWN_SECONDS
 from pulseframe.operators.maintain import latest_risk
 from pulseframe.schemas import VITALS
 from pulseframe.sources.points import PARTITION, to_points
+from pulseframe.sources.snapshots import Snapshots
 from pulseframe.sources.tables import audit_alerts, audit_errors, audit_readings, audit_trail
 from pulseframe.sources.topics import decode, rejection
 from pulseframe.streaming.progress import FAILED, ProgressTable
@@ -69,10 +71,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def with_names(alerts: DataFrame, people: Snapshots) -> DataFrame:
+    """Alerts with the names that patients have now; unknown ones keep theirs. Reads only the parts with such patients."""
+    known = people.read("patients", people.touched("patients", alerts))
+    names = known.select(F.col("patient_id").cast("string").alias("patient_id"), F.col("full_name").alias("_name"))
+    named = alerts.join(names, "patient_id", "left").withColumn("patient_name", F.coalesce("_name", "patient_name"))
+    return named.select(*alerts.columns)
+
+
 def write_batch(
-    root: str, mode: str = "parity", hook: Callable[[DataFrame], DataFrame] | None = None
+    root: str, mode: str = "parity", hook: Callable[[DataFrame], DataFrame] | None = None, people: Snapshots | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Micro-batch function; ``hook`` may transform the scored readings before they are written."""
+    """Micro-batch function; ``hook`` may transform the scored readings before they are written.
+
+    Alerts take the names that the table ``patients`` of ``people`` has when the batch runs.
+    """
 
     def run(cleaned: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
@@ -107,6 +120,8 @@ def write_batch(
                 .partitionBy(PARTITION, "batch_id").parquet(f"{root}/points")
             _replace(latest_risk(kept, ["ts", "reading_id"]), root, "risk", batch_id)
             alerts = build_alerts(kept, keep=("reading_id", "ts"))
+            if people is not None:
+                alerts = with_names(alerts, people)
             # A stream follows this folder, so what is written once stays as it is.
             if not _exists(spark, f"{root}/alerts/batch_id={batch_id}/_SUCCESS"):
                 _replace(alerts, root, "alerts", batch_id)
@@ -130,6 +145,7 @@ def start_monitoring(
     hook: Callable[[DataFrame], DataFrame] | None = None,
     files_per_batch: int = 1000,
     watch: bool = True,
+    people: Snapshots | None = None,
     **trigger,
 ):
     """Start decoding and scoring; returns both queries, decoding first.
@@ -137,23 +153,28 @@ def start_monitoring(
     ``trigger`` goes to the writers, e.g. ``processingTime="10 seconds"``. With
     ``availableNow=True`` decoding ends before scoring starts. The source's rate limit
     bounds the first query's batches, ``files_per_batch`` the second one's. ``watch``
-    appends every progress report to the consumer metrics table. Messages delivered again
+    writes the first query's progress reports to the consumer metrics table; the listener
+    is the attribute ``progress`` of that query. ``people`` hold the patients' names.
+    Messages delivered again
     within ``remember_days`` (None: ever) are known by their ``reading_id``.
     """
     spark, trigger = messages.sparkSession, trigger or {"processingTime": "10 seconds"}
+    name, progress = f"decoding {uuid.uuid4().hex}", None
     if watch:
-        spark.streams.addListener(ProgressTable(spark, f"{root}/consumer_metrics"))
+        progress = ProgressTable(spark, f"{root}/consumer_metrics", [name])
+        spark.streams.addListener(progress)
     decoding = (
-        staged_messages(messages, reading_id, received).writeStream.format("parquet").outputMode("append")
+        staged_messages(messages, reading_id, received).writeStream.queryName(name).format("parquet").outputMode("append")
         .partitionBy("accepted").option("path", f"{root}/staged")
         .option("checkpointLocation", f"{root}/_checkpoints/decoding").trigger(**trigger).start()
     )
+    decoding.progress = progress
     if trigger.get("availableNow"):
         decoding.awaitTermination()
     staged = spark.readStream.schema(_STAGED).option("maxFilesPerTrigger", files_per_batch).parquet(f"{root}/staged")
     scoring = (
         clean_readings_stream(staged.filter("accepted"), idle_days, remember_days).writeStream.outputMode("append")
-        .foreachBatch(write_batch(root, hook=hook))
+        .foreachBatch(write_batch(root, hook=hook, people=people))
         .option("checkpointLocation", f"{root}/_checkpoints/scoring").trigger(**trigger).start()
     )
     return decoding, scoring

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
+from collections.abc import Collection
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from pulseframe.schemas import CONSUMER_METRICS
@@ -46,20 +48,43 @@ def consumer_rows(progress: dict) -> list[dict]:
 
 
 class ProgressTable(StreamingQueryListener):
-    """Appends every progress report, a few rows each, to the consumer metrics table."""
+    """Writes the progress reports of some queries, by name, to the consumer metrics table.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    A report is a small file of JSON lines named after its run and batch: no Spark job is
+    started for it, and a report that comes twice replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, names: Collection[str]):
+        self._spark, self._path, self._names = spark, path.rstrip("/"), set(names)
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        rows = consumer_rows(json.loads(event.progress.json))
-        self.spark.createDataFrame(rows, CONSUMER_METRICS).coalesce(1).write.mode("append").parquet(self.path)
+        if event.progress.name not in self._names:
+            return
+        report = json.loads(event.progress.json)
+        rows = [dict(r, timestamp=r["timestamp"].isoformat()) for r in consumer_rows(report)]
+        context = self._spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{report['runId']}-{report['batchId']:012d}.json")
+        stream = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place, True)
+        stream.write("".join(json.dumps(r) + "\n" for r in rows).encode())
+        stream.close()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self._end(str(event.runId)).set()
+
+    def wait(self, run_id: str, seconds: float = 60) -> bool:
+        """Whether all reports of an ended run are written; they come after the run's end, in order."""
+        return self._end(str(run_id)).wait(seconds)
+
+
+def consumer_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CONSUMER_METRICS).json(path)

@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators.folds import clean_points, clean_readings, cool_down
+from pulseframe.operators.rolling import rolling_times
 from pulseframe.sources.topics import decode
 from pulseframe.streaming.monitor import (
     accounting, audit_log, quarantine, score_batch, start_dispatch, start_monitoring, write_batch)
+from pulseframe.streaming.progress import consumer_metrics
+from pulseframe.streaming.rolling import rolling_times_stream
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
 
 
@@ -141,6 +144,21 @@ def test_cooldown_equals_batch(spark, tmp_path):
     assert got == {r["event_id"]: r["passed"] for r in cool_down(frame).collect()}
 
 
+def test_rolling_times_over_restarts_equal_batch(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(f"c{min(rng.randrange(9), 3)}", i // 3, i, rng.choice([None, 1.0, rng.uniform(0, 50)])) for i in range(300)]
+    schema = "consumer STRING, sec BIGINT, event_id BIGINT, processing_time_ms DOUBLE"
+    source, sink = str(tmp_path / "in"), str(tmp_path / "sink")
+    for part in (rows[:7], rows[7:200], rows[200:]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source).withColumn("ts", F.timestamp_seconds("sec"))
+        run(rolling_times_stream(stream, rows=20, buckets=2), sink)
+    got = {r["event_id"]: (r["avg_ms"], r["min_ms"], r["max_ms"]) for r in spark.read.parquet(f"{sink}/out").collect()}
+    frame = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("sec")).filter("processing_time_ms IS NOT NULL")
+    want = {r["event_id"]: (r["avg_ms"], r["min_ms"], r["max_ms"]) for r in rolling_times(frame, rows=20).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 @pytest.fixture(scope="module")
 def monitored(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("monitor")
@@ -158,13 +176,14 @@ def monitored(spark, tmp_path_factory):
     spark.createDataFrame(rows, "offset BIGINT, value STRING").write.parquet(str(root / "in"))
     stream = spark.readStream.schema("offset BIGINT, value STRING").parquet(str(root / "in"))
     arrived = F.lit("2024-03-02 00:00:00").cast("timestamp")
-    for q in start_monitoring(stream, str(root / "out"), F.col("offset"), arrived, availableNow=True):
+    started = start_monitoring(stream, str(root / "out"), F.col("offset"), arrived, availableNow=True)
+    for q in started:
         q.awaitTermination()
-    return str(root / "out"), rows
+    return str(root / "out"), rows, started[0].progress, started[0].runId
 
 
 def test_monitoring_sinks_agree(spark, monitored):
-    root, rows = monitored
+    root, rows, *_ = monitored
     scored = spark.read.parquet(f"{root}/scored")
     assert sorted(r["reading_id"] for r in scored.collect()) == [*range(120), 122]
     points = spark.read.parquet(f"{root}/points")
@@ -185,20 +204,14 @@ def test_monitoring_sinks_agree(spark, monitored):
 
 
 def test_progress_reaches_the_metrics_table(spark, monitored):
-    root, rows = monitored
-    for _ in range(40):  # reports come from another thread
-        try:
-            table = spark.read.parquet(f"{root}/consumer_metrics").agg(F.max("messages_processed"), F.max("messages_failed")).first()
-            if table[0] == len(rows) and table[1] == 2:
-                return
-        except Exception:  # not yet written
-            pass
-        time.sleep(0.5)
-    raise AssertionError("no progress of the decoding query in the metrics table")
+    root, rows, progress, run_id = monitored
+    assert progress.wait(run_id)
+    table = consumer_metrics(spark, f"{root}/consumer_metrics").agg(F.sum("messages_processed"), F.sum("messages_failed")).first()
+    assert tuple(table) == (len(rows), 2)
 
 
 def test_monitoring_matches_batch(spark, monitored):
-    root, rows = monitored
+    root, rows, *_ = monitored
     decoded = decode(spark.createDataFrame(rows, "event_id BIGINT, value STRING")).filter("event_id < 120")
     assert decoded.count() == 121  # one came twice
     cleaned = clean_readings(decoded.withColumnRenamed("event_id", "reading_id"))
@@ -218,7 +231,7 @@ def test_repeated_batch_replaces_its_output(spark, tmp_path):
 
 
 def test_dispatch(spark, monitored):
-    root, _ = monitored
+    root = monitored[0]
     query = start_dispatch(spark, root, seconds=600, availableNow=True)
     query.awaitTermination()
     sent = spark.read.parquet(f"{root}/dispatched")
