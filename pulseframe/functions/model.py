@@ -23,6 +23,9 @@ FEATURE_ORDER = (
 MODEL_LEVELS = (("CRITICAL", 0.8), ("HIGH", 0.6), ("MEDIUM", 0.4))
 FAILED_SCORE = 0.5
 FAILED_LEVEL = "UNKNOWN"
+# Reasons of messages that the threshold rule cannot judge.
+MALFORMED = "malformed message"
+NO_NUMBER = "vital is no number"
 
 
 def feature_vector(df: DataFrame) -> Column:
@@ -54,3 +57,29 @@ def threshold_alert(heart_rate: Column, spo2: Column) -> Column:
     """
     hr, ox = F.coalesce(heart_rate, F.lit(0.0)), F.coalesce(spo2, F.lit(100.0))
     return (hr > 120) | (hr < 50) | (ox < 90)
+
+
+def threshold_outcome(body: Column) -> Column:
+    """``alert``, ``ok`` or the reason why the threshold rule cannot be applied to a message's VARIANT.
+
+    Only an absent vital has a default. JSON null, text or an object in its place cannot be
+    compared, so such a message goes to quarantine unless the heart rate, looked at first,
+    fires already. Booleans are 0 and 1.
+    """
+    kind = lambda path: F.schema_of_variant(F.try_variant_get(body, path, "variant"))
+
+    def odd(path: str) -> Column:
+        return F.coalesce(~kind(path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|BOOLEAN)$"), F.lit(False))
+
+    def number(path: str) -> Column:
+        return F.coalesce(
+            F.when(kind(path) == "BOOLEAN", F.try_variant_get(body, path, "boolean").cast("double")),
+            F.try_variant_get(body, path, "double"))
+
+    rate, oxygen = "$.vital_signs.heart_rate", "$.vital_signs.spo2"
+    hr, ox = F.coalesce(number(rate), F.lit(0.0)), F.coalesce(number(oxygen), F.lit(100.0))
+    return (
+        F.when(body.isNull(), MALFORMED)
+        .when(F.coalesce(~F.startswith(kind("$.vital_signs"), F.lit("OBJECT")), F.lit(False)) | odd(rate), NO_NUMBER)
+        .when((hr > 120) | (hr < 50), "alert").when(odd(oxygen), NO_NUMBER).when(ox < 90, "alert").otherwise("ok")
+    )

@@ -24,16 +24,6 @@ ELDERLY_AGE = 70
 SEVERE_ASA = (4, 5)
 CRITICAL_ASA = 4
 HEAD_COLUMNS = ("caseid", "age", "asa", "opname", "icu_days", "icu_risk_score")
-# Tracks recommended for monitoring.
-MONITORING_TRACKS = (
-    "Solar8000/HR",
-    "Solar8000/PLETH_SPO2",
-    "Solar8000/ART_SBP",
-    "Solar8000/ART_DBP",
-    "Solar8000/ART_MBP",
-    "Solar8000/BT",
-    "Solar8000/RR",
-)
 
 
 def coerce_cases(cases: DataFrame) -> DataFrame:

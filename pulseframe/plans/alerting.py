@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.scoring import score_readings
 from pulseframe.operators import alerts as a
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query
+from pulseframe.plans.registry import query, runs
 from pulseframe.plans.vitals import SCORED_SQL
 
 AT = "2024-01-20 12:00:00"
@@ -50,7 +50,7 @@ FROM ({t.ALERTS_SQL}) a ASOF LEFT JOIN ({t.ACKS_SQL}) k ON a.patient_id = k.pati
 
 
 def _acked(spark, sf_dir):
-    return a.acknowledge(t.alert_events(spark, sf_dir), t.ack_events(spark, sf_dir))
+    return a.acknowledge(t.alert_events(spark, sf_dir), t.ack_events(spark, sf_dir), runs=runs(spark))
 
 
 @query("alerts_acked", ACKED_SQL)

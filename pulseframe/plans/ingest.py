@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pulseframe.functions.model import threshold_outcome
 from pulseframe.functions.readings import parse_time, split_pressure
 from pulseframe.functions.scoring import score_readings, scored_records
 from pulseframe.operators.alerts import build_alerts
@@ -141,18 +142,16 @@ def iso_times(spark, sf_dir):
 
 
 # Event types as track pairs; small values come from the preferred track, tiny ones are absent samples.
-_PAIRS = {
-    "click": tracks.TRACK_CANDIDATES["heart_rate"],
-    "view": tracks.TRACK_CANDIDATES["spo2"],
-    "purchase": tracks.TRACK_CANDIDATES["temperature"],
-    "signup": tracks.TRACK_CANDIDATES["respiratory_rate"],
-    "error": tracks.TRACK_CANDIDATES["blood_pressure_systolic"],
+_KINDS = {
+    "click": "heart_rate", "view": "spo2", "purchase": "temperature", "signup": "respiratory_rate",
+    "error": "blood_pressure_systolic",
 }
 
 
 def _candidate_track():
     track = F
-    for kind, (first, second) in _PAIRS.items():
+    for kind, vital in _KINDS.items():
+        first, second = tracks.TRACK_CANDIDATES[vital]
         mine = F.col("event_type") == kind
         track = track.when(mine & (F.col("value") < 40), F.lit(first)).when(mine, F.lit(second))
     return track
@@ -169,20 +168,27 @@ def samples(spark, sf_dir, track):
     )
 
 
-_TRACK_SQL = "CASE " + " ".join(
-    f"WHEN event_type = '{k}' AND value < 40 THEN '{a}' WHEN event_type = '{k}' THEN '{b}'" for k, (a, b) in _PAIRS.items()
-) + " END"
-_SAMPLES_SQL = f"""SELECT user_id AS case_id, epoch_us(ts) / 86400000000.0::DOUBLE AS t, {_TRACK_SQL} AS track,
+# The SQL names tracks, their order and their vitals anew, so that a wrong mapping in the code shows.
+_SAMPLES_SQL = """SELECT user_id AS case_id, epoch_us(ts) / 86400000000.0::DOUBLE AS t,
+  CASE WHEN event_type = 'click' AND value < 40 THEN 'SNUADC/HR' WHEN event_type = 'click' THEN 'Solar8000/HR'
+       WHEN event_type = 'view' AND value < 40 THEN 'SNUADC/SPO2' WHEN event_type = 'view' THEN 'Solar8000/PLETH_SPO2'
+       WHEN event_type = 'error' AND value < 40 THEN 'SNUADC/ART_SBP' WHEN event_type = 'error' THEN 'Solar8000/ART_SBP'
+       WHEN event_type = 'purchase' AND value < 40 THEN 'Solar8000/BT' WHEN event_type = 'purchase' THEN 'Primus/TEMP_BLD'
+       WHEN event_type = 'signup' AND value < 40 THEN 'Solar8000/RR' WHEN event_type = 'signup' THEN 'Primus/RR_CO2' END AS track,
   CASE WHEN value < 4 THEN 'NaN'::DOUBLE ELSE value END AS value FROM events"""
+_GRID_TRACKS = (
+    "SNUADC/HR", "Solar8000/HR", "SNUADC/SPO2", "Solar8000/PLETH_SPO2", "SNUADC/ART_SBP", "Solar8000/ART_SBP",
+    "SNUADC/ART_DBP", "Solar8000/ART_DBP", "Solar8000/BT", "Primus/TEMP_BLD", "Solar8000/RR", "Primus/RR_CO2",
+)
 _GRID_SQL = f"""SELECT case_id, CAST(floor(t) AS BIGINT) AS second,
-  {', '.join(f'''arg_max(value, t) FILTER (WHERE track = '{k}') AS "{k}"''' for k in tracks.all_tracks())}
+  {', '.join(f"nullif(arg_max(value, t) FILTER (WHERE track = '{k}'), 'NaN'::DOUBLE) AS c{i}" for i, k in enumerate(_GRID_TRACKS))}
 FROM ({_SAMPLES_SQL}) GROUP BY 1, 2"""
-_COALESCED_SQL = f"""SELECT case_id, second, {', '.join(
-    "coalesce(" + ", ".join(f'CASE WHEN NOT isnan("{k}") THEN "{k}" END' for k in ks) + f") AS {v}" for v, ks in tracks.TRACK_CANDIDATES.items())}
-FROM ({_GRID_SQL})"""
+_COALESCED_SQL = f"""SELECT case_id, second, coalesce(c0, c1) AS heart_rate, coalesce(c2, c3) AS spo2,
+  coalesce(c4, c5) AS blood_pressure_systolic, coalesce(c6, c7) AS blood_pressure_diastolic,
+  coalesce(c8, c9) AS temperature, coalesce(c10, c11) AS respiratory_rate FROM ({_GRID_SQL})"""
 
 
-@query("track_grid", f"""SELECT case_id, second, {', '.join(f'CASE WHEN NOT isnan("{k}") THEN "{k}" END AS c{i}' for i, k in enumerate(tracks.all_tracks()))} FROM ({_GRID_SQL})""")
+@query("track_grid", _GRID_SQL)
 def track_grid(spark, sf_dir):
     grid = tracks.to_grid(samples(spark, sf_dir, _candidate_track()), tracks.all_tracks())
     cols = [F.when(~F.isnan(F.col(f"`{k}`")), F.col(f"`{k}`")).alias(f"c{i}") for i, k in enumerate(tracks.all_tracks())]
@@ -287,3 +293,20 @@ def published_readings(spark, sf_dir):
         "key", get("$.heart_rate").cast("double").alias("heart_rate"), get("$.spo2").cast("double").alias("spo2"),
         get("$.producer_metadata.topic").alias("topic"), get("$.producer_metadata.sent_at").alias("sent_at"),
     )
+
+
+@query(
+    "threshold_outcomes",
+    f"""SELECT event_id, CASE WHEN event_id % {_N} = 11 THEN 'malformed message' WHEN event_id % {_N} IN (1, 2, 5, 6, 7) THEN 'vital is no number'
+  WHEN event_id % {_N} IN (3, 4, 8, 9, 10) THEN 'alert' WHEN value > 120 OR value < 50 THEN 'alert' ELSE 'ok' END AS outcome FROM events""",
+)
+def threshold_outcomes(spark, sf_dir):
+    """The simple alert rule on whole messages: absent vitals take defaults, null ones go to quarantine."""
+    bodies = topics.parsed(messages(spark, sf_dir))
+    return bodies.select("event_id", threshold_outcome(F.col("body")).alias("outcome"))
+
+
+@query("patient_by_key", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey = 42")
+def patient_by_key(spark, sf_dir):
+    """One row of a table by its key: the filter and the three columns reach the scan."""
+    return tb.find(tb.read_table(spark, f"{sf_dir}/customer.parquet"), "c_custkey", 42).select("c_custkey", "c_name", "c_mktsegment")

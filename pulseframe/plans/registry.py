@@ -43,6 +43,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+def runs(spark: SparkSession) -> int:
+    """Pieces for ordered work, so that no key is one task's work, however many rows it has."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def steady(value: Column, digits: int = 4) -> Column:
     """Rounded, as sums of floating point numbers depend on their order; only for such results."""
     return F.round(value + F.lit(1e-9), digits)

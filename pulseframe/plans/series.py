@@ -8,7 +8,7 @@ from pulseframe.operators import metrics as m
 from pulseframe.operators import timeseries as ts
 from pulseframe.operators.rolling import rolling_times
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query, steady, steady_sql
+from pulseframe.plans.registry import query, runs, steady, steady_sql
 from pulseframe.schemas import VITALS
 
 SERIES = ["patient_id", "field"]
@@ -74,7 +74,8 @@ def first_messages(spark, sf_dir):
 FROM ({t.METRICS_SQL}) WINDOW w AS (PARTITION BY consumer ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_metrics(spark, sf_dir):
-    rolled = rolling_times(t.consumer_metrics(spark, sf_dir).select("consumer", "ts", "event_id", "processing_time_ms"))
+    times = t.consumer_metrics(spark, sf_dir).select("consumer", "ts", "event_id", "processing_time_ms")
+    rolled = rolling_times(times, runs=runs(spark))
     return rolled.select("consumer", "event_id", steady(F.col("avg_ms")).alias("avg_ms"), "min_ms", "max_ms")
 
 

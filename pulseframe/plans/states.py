@@ -8,7 +8,7 @@ from pulseframe.functions.scoring import score_readings
 from pulseframe.operators.folds import clean_points, cool_down, plausible
 from pulseframe.operators.rolling import rolling_times
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query
+from pulseframe.plans.registry import query, runs
 from pulseframe.plans.vitals import _mews_sql
 from pulseframe.schemas import VITALS
 
@@ -52,12 +52,12 @@ def _alerts(spark, sf_dir):
 
 @query("cleaned_vitals", CLEANED_SQL)
 def cleaned_vitals(spark, sf_dir):
-    return clean_points(t.points(spark, sf_dir)).select("patient_id", "field", "ts", "event_id", "value", "cleaned")
+    return clean_points(t.points(spark, sf_dir), runs=runs(spark)).select("patient_id", "field", "ts", "event_id", "value", "cleaned")
 
 
 @query("alert_cooldown", COOLDOWN_SQL)
 def alert_cooldown(spark, sf_dir):
-    return cool_down(_alerts(spark, sf_dir), seconds=TWO_DAYS).select(
+    return cool_down(_alerts(spark, sf_dir), seconds=TWO_DAYS, runs=runs(spark)).select(
         "patient_id", "alert_type", "ts", "event_id", "passed"
     )
 
@@ -81,7 +81,7 @@ _FIVE = [v for v in VITALS if v != "blood_pressure_diastolic"]
   SELECT patient_id, event_id, {t.carried_sql(_FIVE)} FROM (SELECT * REPLACE (cleaned AS value) FROM ({CLEANED_SQL})) {t.SO_FAR_SQL})""",
 )
 def cleaned_and_scored(spark, sf_dir):
-    cleaned = clean_points(t.points(spark, sf_dir)).withColumn("value", F.col("cleaned"))
+    cleaned = clean_points(t.points(spark, sf_dir), runs=runs(spark)).withColumn("value", F.col("cleaned"))
     return score_readings(t.carried(cleaned, _FIVE)).select("patient_id", "event_id", "mews_score")
 
 

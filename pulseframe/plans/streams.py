@@ -14,7 +14,7 @@ from pulseframe.plans.vitals import _BANDS_SQL, _bands_sql
 from pulseframe.session import scratch_path
 from pulseframe.sources.snapshots import Snapshots
 from pulseframe.streaming.board import board_alerts, board_changes, on_board
-from pulseframe.streaming.monitor import accounting, audit_log, start_dispatch, start_monitoring
+from pulseframe.streaming.monitor import accounting, audit_log, consume_first, start_dispatch, start_monitoring
 from pulseframe.streaming.progress import consumer_metrics
 from pulseframe.streaming.rolling import rolling_times_stream
 from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
@@ -307,3 +307,24 @@ WHERE ts <= TIMESTAMP '{alerting.AT}' AND NOT coalesce(acknowledged_at <= TIMEST
 def active_alerts_stream(spark, sf_dir):
     """The board at a moment, from its changes alone: nothing is computed from ages afterwards."""
     return on_board(_board(spark, sf_dir), t.ntz(alerting.AT)).select("patient_id", "alert_id", "severity", "ts")
+
+
+@query("first_messages_stream", f"SELECT * FROM ({t.POINTS_SQL}) ORDER BY ts, event_id LIMIT 250")
+def first_messages_stream(spark, sf_dir):
+    """The consumer stops after so many messages; most of the stream is never read."""
+    stream = _arriving(t.points(spark, sf_dir), "first_points", late=False)
+    first = consume_first(stream, scratch_path(spark, "first"), 250, ["ts", "event_id"])
+    return first.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(
+    "monitoring_hook",
+    f"""SELECT patient_id, event_id, risk_score, CASE WHEN risk_score >= 20 THEN 'look' ELSE 'leave' END AS advice
+FROM ({_SCORED_STREAM_SQL}) WHERE patient_id NOT LIKE '%7'""",
+)
+def monitoring_hook(spark, sf_dir):
+    """A caller's function on every scored micro-batch: it adds a column and leaves patients out, in all sinks."""
+    advise = lambda scored: scored.filter("patient_id NOT LIKE '%7'").withColumn(
+        "advice", F.when(F.col("risk_score") >= 20, "look").otherwise("leave"))
+    root = _monitored(spark, _messages(event_stream(spark, sf_dir)), hook=advise)
+    return spark.read.parquet(f"{root}/scored").select("patient_id", F.col("reading_id").alias("event_id"), "risk_score", "advice")

@@ -11,7 +11,7 @@ from pulseframe.operators.inference import score_model
 from pulseframe.operators.rolling import rolling_features
 from pulseframe.operators.timeseries import to_tall, to_wide
 from pulseframe.plans import tables as t
-from pulseframe.plans.registry import query, steady, steady_sql
+from pulseframe.plans.registry import query, runs, steady, steady_sql
 from pulseframe.schemas import VITALS
 
 KEYS = ["patient_id", "day"]
@@ -254,7 +254,7 @@ FROM ({t.READINGS_SQL}) WINDOW w AS (PARTITION BY patient_id ORDER BY timestamp
 
 
 def _rolled(spark, sf_dir):
-    return rolling_features(t.readings(spark, sf_dir), order=("timestamp",))
+    return rolling_features(t.readings(spark, sf_dir), order=("timestamp",), runs=runs(spark))
 
 
 @query(

@@ -72,11 +72,6 @@ VITAL_SIGNS = _struct(
     "respiratory_rate DOUBLE, spo2 DOUBLE, created_at TIMESTAMP"
 )
 
-DOCTORS = _struct(
-    "doctor_id STRING, full_name STRING, specialization STRING, department STRING, "
-    "contact_number STRING, email STRING, created_at TIMESTAMP"
-)
-
 PATIENT_REGISTER = _struct(
     "patient_id STRING, age INT, gender STRING, admission_type STRING, diagnosis STRING, "
     "apache_score DOUBLE, heart_rate DOUBLE, blood_pressure_systolic DOUBLE, "

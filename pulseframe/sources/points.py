@@ -45,14 +45,6 @@ def append_points(points: DataFrame, path: str) -> None:
     by_day(points).write.mode("append").partitionBy(PARTITION).parquet(path)
 
 
-def append_points_stream(points: DataFrame, path: str, checkpoint: str):
-    """Writer of a points stream; the file sink's log makes it exactly-once."""
-    return (
-        points.withColumn(PARTITION, F.to_date("ts")).writeStream.format("parquet").outputMode("append")
-        .partitionBy(PARTITION).option("path", path).option("checkpointLocation", checkpoint)
-    )
-
-
 def points_between(points: DataFrame, start: Column, end: Column) -> DataFrame:
     """Points of a half-open time range; the day filter prunes folders before the scan."""
     return points.filter(

@@ -34,17 +34,20 @@ def subscribe(
     return reader.options(**options).load()
 
 
+def parsed(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Messages with ``body``, a VARIANT; NULL where the message is not a JSON object."""
+    message = F.col(value).cast("string")
+    return messages.withColumn("body", F.when(F.ltrim(message).startswith("{"), F.try_parse_json(message)))
+
+
 def decode(messages: DataFrame, value: str = "value", for_cleaning: bool = True) -> DataFrame:
     """Readings from JSON messages; ``body`` is NULL where the message is not a JSON object.
 
     Other message columns (offset, partition, ...) are kept.
     """
-    message = F.col(value).cast("string")
-    parsed = messages.withColumn(
-        "body", F.when(F.ltrim(message).startswith("{"), F.try_parse_json(message))
-    )
+    bodies = parsed(messages, value)
     text = lambda path: F.try_variant_get("body", path, "string")
-    told = parsed.withColumns({"patient_id": patient_or_unknown(text("$.patient_id")), "timestamp": text("$.timestamp")})
+    told = bodies.withColumns({"patient_id": patient_or_unknown(text("$.patient_id")), "timestamp": text("$.timestamp")})
     timed = told.withColumns({"ts": parse_time(F.col("timestamp")), "device_id": text("$.device_id")})
     return with_vitals(timed, F.try_variant_get("body", "$.vital_signs", "variant"), for_cleaning)
 
@@ -100,10 +103,3 @@ def publish(messages: DataFrame, servers: str, topic: str) -> dict[str, int]:
         .write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
     )
     return seen.get
-
-
-def publish_stream(messages: DataFrame, servers: str, topic: str, checkpoint: str):
-    return (
-        messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
-        .option("topic", topic).option("checkpointLocation", checkpoint)
-    )

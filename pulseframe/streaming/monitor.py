@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -227,3 +227,43 @@ def start_dispatch(spark: SparkSession, root: str, seconds: float = COOLDOWN_SEC
         .option("checkpointLocation", f"{root}/_checkpoints/dispatch").trigger(**trigger).start()
     )
 
+
+
+def first_messages_sink(path: str, n: int, order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Micro-batch function that keeps the first ``n`` messages of a stream, each batch's by ``order``.
+
+    How many came before is read from the earlier batches' folders, so a batch that is
+    repeated after a restart gives the same again. When ``full`` is set the query may stop.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = 0
+        if _exists(spark, path):
+            # The batch itself, if it is repeated, does not count.
+            before = spark.read.parquet(path).filter(F.col("batch_id") < batch_id).count()
+        if before < n:
+            batch.orderBy(*order).limit(n - before).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            before += spark.read.parquet(f"{path}/batch_id={batch_id}").count()
+        run.full = before >= n
+
+    run.full = False
+    return run
+
+
+def consume_first(messages: DataFrame, path: str, n: int, order: Sequence[str], **trigger) -> DataFrame:
+    """The first ``n`` messages of a stream; the query is stopped as soon as they are there, whatever else there is.
+
+    The source's rate limit bounds what a batch reads beyond them. ``n`` is meant to be small.
+    """
+    sink = first_messages_sink(f"{path}/first", n, order)
+    query = (
+        messages.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(**(trigger or {"processingTime": "1 second"})).start()
+    )
+    while query.isActive and not sink.full:
+        query.awaitTermination(0.2)
+    query.stop()
+    if query.exception() is not None and not sink.full:
+        raise query.exception()
+    return messages.sparkSession.read.parquet(f"{path}/first").select(*messages.columns)
