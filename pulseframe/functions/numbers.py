@@ -10,9 +10,9 @@ PLAIN_DECIMAL = r"^(\d+\.?\d*|\.\d+)$"
 
 # Fixed pattern: what a general-purpose float parser reads (sign, underscores, exponent).
 _DIGITS = r"\d+(_\d+)*"
-GENERAL_FLOAT = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
-NAN_TEXT = r"(?i)^[+-]?nan$"
-INFINITE_TEXT = r"(?i)^[+-]?inf(inity)?$"
+GENERAL_FLOAT = (
+    rf"(?i)^[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?|nan|inf(inity)?)$"
+)
 
 
 def finite_or_null(value: Column) -> Column:
@@ -29,9 +29,6 @@ def general_float(text: Column) -> Column:
     """Text as double by the wider float syntax; rejects suffixes such as ``12d``."""
 
     trimmed = F.trim(text)
-    infinite = F.when(trimmed.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return (
-        F.when(trimmed.rlike(GENERAL_FLOAT), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(trimmed.rlike(NAN_TEXT), F.lit(float("nan")))
-        .when(trimmed.rlike(INFINITE_TEXT), infinite)
-    )
+    # The cast knows all of these words but a NaN with a sign.
+    read = F.coalesce(F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"), F.lit(float("nan")))
+    return F.when(trimmed.rlike(GENERAL_FLOAT), read)

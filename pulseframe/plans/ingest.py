@@ -84,7 +84,7 @@ def _flat_columns(vitals):
     _DECODED_SQL + ", ".join(_expected(_FLAT, i) for i in range(6)) + f" FROM events WHERE event_id % {_N} < {_N - 1}",
 )
 def flatten_json_vitals(spark, sf_dir):
-    decoded = topics.decode(messages(spark, sf_dir), for_cleaning=False).filter(F.col("body").isNotNull())
+    decoded = topics.only(topics.decode(messages(spark, sf_dir), for_cleaning=False), F.col("body").isNotNull())
     return decoded.select("event_id", "patient_id", F.col("ts").cast("timestamp_ntz").alias("ts"), *_flat_columns(F.col("vitals")))
 
 

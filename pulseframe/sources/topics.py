@@ -57,16 +57,20 @@ def rejection(decoded: DataFrame) -> Column:
     return F.when(F.col("body").isNull(), MALFORMED).when(F.size("vitals") == 0, NO_VITALS)
 
 
-def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readings with at least one vital, quarantined messages with a reason).
+def only(decoded: DataFrame, condition: Column) -> DataFrame:
+    """The rows for which a condition on decoded columns holds.
 
-    The tests are generators rather than filters: Spark would push a filter below
-    the decoding and so decode every message twice.
+    It is a generator rather than a filter: Spark would push a filter below the decoding
+    and so decode every message twice.
     """
+    return decoded.withColumn("_passed", F.explode(F.when(condition, F.array(F.lit(True))))).drop("_passed")
+
+
+def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readings with at least one vital, quarantined messages with a reason)."""
     reason = rejection(decoded)
-    passed = F.explode(F.when(reason.isNull(), F.array(F.lit(True))))
     return (
-        decoded.withColumn("_passed", passed).drop("_passed"),
+        only(decoded, reason.isNull()),
         decoded.withColumn("reason", F.explode(F.array_compact(F.array(reason)))),
     )
 
