@@ -23,7 +23,8 @@ PATTERNS = {
     "email": r"[\p{L}\p{N}._%+\-]+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
     "secret": r"(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,}(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{N}]|\.\d)",
-    "card": r"(?<![\p{L}\p{N}])\d{4}(?:[ \-]?\d{4}){3}(?![\p{L}\p{N}])",
+    "iban": r"(?<![\p{L}\p{N}])(?=[A-Z]{2}(?: ?[A-Z]{0,4} ?\d){10})[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}])(?<!\d{4}[ \-])\d{4}(?:[ \-]?\d{4}){3}(?![\p{L}\p{N}]|[ \-]\d{4}(?!\d))",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
     "woman": rf"(?<={_WOMEN}\.? ){_PART}(?:[ \-](?!{_WOMEN}|{_MEN}){_PART})?",
@@ -45,8 +46,9 @@ def _kind(value: Column) -> Column:
 
 
 def _canonical(kind: Column, value: Column) -> Column:
-    """What mentions of one entity have in common: digits of numbers, otherwise lower case."""
-    return F.when(kind.isin("card", "phone", "ssn"), F.regexp_replace(value, r"\D", "")).otherwise(F.lower(value))
+    """What mentions of one entity have in common: digits of numbers, an account without spaces, otherwise lower case."""
+    return F.when(kind.isin("card", "phone", "ssn"), F.regexp_replace(value, r"\D", "")) \
+        .when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(F.lower(value))
 
 
 def _pattern(text: Column) -> Column:
@@ -128,7 +130,8 @@ def _name(kind: Column, key: Column, digest: Column, length: Column) -> Column:
     syllables = lambda script: F.array(*map(F.lit, SYLLABLES[script]))
 
     def part(_: Column, p: Column) -> Column:
-        picked = F.concat_ws("", F.transform(F.sequence(F.lit(1), length), lambda i: F.element_at(
+        # Surnames are told apart across all people, so they have one more syllable to choose.
+        picked = F.concat_ws("", F.transform(F.sequence(F.lit(1), length + F.when(p > 0, 1).otherwise(0)), lambda i: F.element_at(
             F.when(cyrillic, syllables("cyrillic")).otherwise(syllables("latin")), _digit(digest, i + p * 11) + 1)))
         ending = F.when(p > 0, F.lit("")).when(kind == "woman", F.when(cyrillic, ENDINGS["woman"][1]).otherwise(ENDINGS["woman"][0])) \
             .otherwise(F.when(cyrillic, ENDINGS["man"][1]).otherwise(ENDINGS["man"][0]))
@@ -153,33 +156,42 @@ def _surrogate(key: str) -> Column:
         F.when(F.col("kind") == "email", F.concat(_like(local, digest), tail, F.lit("@"), host))
         .when(F.col("kind") == "ip", F.concat(octets, F.when(more > 0, F.concat(F.lit("."), tail)).otherwise("")))
         .when(F.col("kind") == "secret", F.substring(F.repeat(F.concat(digest, F.sha2(digest, 256)), 8), F.lit(1), F.length("key") + more))
+        .when(F.col("kind") == "iban", F.concat(F.substring("key", 1, 2), _like(F.expr("substring(key, 3)"), digest), tail))
         .when(F.col("kind").isin("card", "ssn"), F.concat(_like(F.col("key"), digest), tail))
         .when(F.col("kind") == "phone", F.concat(F.substring(phone, 1, 1), _like(F.expr("substring(key, 2)"), digest), tail))
         .otherwise(_name(F.col("kind"), F.col("key"), digest, F.lit(3) + more))
     )
 
 
+def _claims(kind: Column, value: Column) -> Column:
+    """The texts that may stand for an entity: all of it, and of a name of several parts its last part too."""
+    return F.array_distinct(F.array(value, F.when(kind.isin(*_NAMES), F.element_at(F.split(value, "[ \\-]"), -1)).otherwise(value)))
+
+
 def surrogate_table(mentions: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, key, surrogate) of each distinct entity of ``mentions`` (kind, key).
 
     A surrogate depends on ``key``, kind and entity, so mentions agree wherever they
     stand. Surrogates that meet another one, or a real entity, are checked out by joins
-    and drawn again until all are distinct.
+    and drawn again until all are distinct; a surname, by which a text may call a person,
+    meets no other surname or name either.
     """
     real = saved(mentions.select("kind", "key").distinct(), "entities")
+    known = real.select(F.explode(_claims(F.col("kind"), F.col("key"))).alias("claim"))
     settled, open_ = None, real.withColumn("attempt", F.lit(0))
     while True:
         drawn = open_.withColumn("surrogate", _surrogate(key))
+        claimed = drawn.withColumn("claim", F.explode(_claims(F.col("kind"), F.col("surrogate"))))
         # Of entities with one surrogate the first has it, unless it is taken or real.
-        owner = drawn.groupBy("surrogate").agg(F.min(F.struct("kind", "key")).alias("owner"))
-        taken = real.select(F.col("key").alias("surrogate"))
+        owner = claimed.groupBy("claim").agg(F.min(F.struct("kind", "key")).alias("owner"))
+        taken = known
         if settled is not None:
-            taken = taken.union(settled.select("surrogate"))
-        owner = owner.join(taken, "surrogate", "left_anti").withColumn("mine", F.lit(True))
+            taken = taken.union(settled.select(F.explode(_claims(F.col("kind"), F.col("surrogate")))))
+        owner = owner.join(taken, "claim", "left_anti").withColumn("mine", F.lit(True))
+        mine = F.coalesce(F.col("mine") & (F.col("owner") == F.struct("kind", "key")), F.lit(False))
         checked = saved(
-            drawn.join(owner, "surrogate", "left")
-            .withColumn("mine", F.coalesce(F.col("mine") & (F.col("owner") == F.struct("kind", "key")), F.lit(False)))
-            .drop("owner"), "surrogates")
+            claimed.join(owner, "claim", "left").withColumn("mine", mine)
+            .groupBy("kind", "key", "attempt", "surrogate").agg(F.min("mine").alias("mine")), "surrogates")
         won = checked.filter("mine").select("kind", "key", "surrogate")
         settled = won if settled is None else settled.union(won)
         lost = checked.filter("NOT mine")
@@ -190,12 +202,17 @@ def surrogate_table(mentions: DataFrame, key: str = KEY) -> DataFrame:
 
 def _dressed(kind: Column, value: Column, surrogate: Column, surname: Column) -> Column:
     """The surrogate in the format of this mention: its separators, or its case; of a surname, the last part."""
-    digits = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.length(F.regexp_replace(F.substring(value, F.lit(1), i), r"\D", "")))
-    formatted = F.concat_ws("", F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c, i: F.when(
-        c.rlike(r"^\d$"), F.substring(surrogate, F.element_at(digits, i + 1), F.lit(1))).otherwise(c)))
-    rest = F.expr("substring(surrogate, 1 + length(regexp_replace(value, '[^0-9]', '')))")
+    def formatted(kept: str, own: str) -> Column:
+        """The surrogate's characters in place of the mention's own ones, and what is longer after them."""
+        count = lambda text: F.length(F.regexp_replace(text, own, ""))
+        before = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: count(F.substring(value, F.lit(1), i)))
+        chars = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c, i: F.when(
+            c.rlike(kept), F.substring(surrogate, F.element_at(before, i + 1), F.lit(1))).otherwise(c))
+        return F.concat(F.concat_ws("", chars), F.substring(surrogate, count(value) + 1, F.length(surrogate)))
+
     return (
-        F.when(kind.isin("card", "phone", "ssn"), F.concat(formatted, rest))
+        F.when(kind.isin("card", "phone", "ssn"), formatted(r"^\d$", r"\D"))
+        .when(kind == "iban", formatted("^[^ ]$", " "))
         .when(kind.isin(*_NAMES), F.initcap(F.when(surname, F.substring_index(surrogate, " ", -1)).otherwise(surrogate)))
         .when((value == F.upper(value)) & (value != F.lower(value)), F.upper(surrogate))
         .otherwise(surrogate)
@@ -205,12 +222,14 @@ def _dressed(kind: Column, value: Column, surrogate: Column, surname: Column) ->
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     """One row per document: doc_id, text with surrogates, n_entities.
 
-    Emails, long hex secrets, IPv4 addresses, card, phone and social security numbers and
-    names behind a title are replaced, as is every other mention of such a full name or
+    Emails, long hex secrets, IPv4 addresses, account (IBAN), card, phone and social
+    security numbers and names behind a title are replaced, as is every other mention of such a full name or
     surname in the same text; equal entities get equal surrogates across the
     whole table, different ones different surrogates of the same type, script, gender and
-    format. Texts without entities, empty and null ones stay as they are. Rows that repeat
-    are treated each; a null doc_id stays null.
+    format; people are told apart by their surnames alone too. An account keeps its country
+    and its grouping. Texts without entities, empty and null ones stay as they are, an empty
+    table gives an empty result, and texts of any length are searched whole. Rows that repeat
+    are treated each; a null doc_id stays null; other columns do not matter.
     """
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))

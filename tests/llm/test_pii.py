@@ -72,3 +72,33 @@ def test_people_of_one_surname_and_mentions_without_title(spark):
     assert three and three[1] != three[2] and three[3] == three[4]
     four = re.fullmatch(r"Mr\. (\w+ron) and Mr\. (\w+ron)\. (\w+ron) slept\.", got[4]["text"])
     assert four and four[2] == four[3] and got[5]["text"] == rows[4][1]
+
+
+def test_surnames_alone_are_distinct(spark):
+    """600 people of 600 surnames, also called by the surname alone."""
+    letters = "abcdefghij"
+    names = [f"S{letters[i // 100]}{letters[i // 10 % 10]}{letters[i % 10]}or" for i in range(600)]
+    rows = [(i, f"Mrs. Anna {n} came. {n} left.") for i, n in enumerate(names)] + [(900, "Mr. Basil Brown, Mrs. Basila Brown-Smith.")]
+    got = replaced(spark, rows)
+    last = []
+    for i, _ in enumerate(names):
+        m = re.fullmatch(r"Mrs\. (\w+na) (\w+) came\. (\w+) left\.", got[i]["text"])
+        assert m and m[2] == m[3]
+        last.append(m[2])
+    assert len(set(last)) == 600 and not set(last) & set(names)
+
+
+def test_accounts_and_cards(spark):
+    rows = [
+        (1, "IBAN DE89 3704 0044 0532 0130 00, again DE89370400440532013000."),
+        (2, "GB82 WEST 1234 5698 7654 32 and card 9807 9157 6280 4490, valid 12 27; 9807-9157-6280-4490"),
+        (3, "AB12 CDEF GHIJ is no account, 1234 5678 9012 3456 7890 no card."),
+        (4, "card 9807 9157 6280 4490 12/27 on 2024-01-02"),
+    ]
+    got = replaced(spark, rows)
+    one = re.fullmatch(r"IBAN (DE\d\d(?: \d{4}){4} \d\d), again (DE\d{20})\.", got[1]["text"])
+    assert one and one[1].replace(" ", "") == one[2] != "DE89370400440532013000"
+    two = re.fullmatch(r"(GB\d\d [A-Z]{4}(?: \d{4}){3} \d\d) and card ((?:\d{4} ){3}\d{4}), valid 12 27; (\d{4}(?:-\d{4}){3})", got[2]["text"])
+    assert two and "WEST" not in two[1] and two[2].replace(" ", "-") == two[3] != "9807-9157-6280-4490"
+    assert got[3]["text"] == rows[2][1] and got[3]["n_entities"] == 0
+    assert re.fullmatch(r"card ((?:\d{4} ){3}\d{4}) 12/27 on 2024-01-02", got[4]["text"]) and got[4]["n_entities"] == 1
