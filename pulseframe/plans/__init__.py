@@ -6,6 +6,7 @@ from pulseframe.plans import (  # noqa: F401
     ingest,
     kept,
     people,
+    replay,
     series,
     states,
     streams,
