@@ -21,6 +21,8 @@ SEED_ROWS = 4_096
 COORDINATE_COSINE = 0.5
 #: Coordinates, the largest of the query, whose feasible ranges are looked at.
 COORDINATES = 3
+#: Queries that are multiplied with a block at once.
+QUERIES_AT_ONCE = 256
 
 _VECTORS = "row LONG, vec_id LONG, dims INT, norm DOUBLE, query BOOLEAN, v BINARY"
 
@@ -89,8 +91,15 @@ def _searched(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> Iterator[tu
     # A little slack: lengths are rounded, and pruning must never drop a candidate.
     reach = np.where(bound > 0, bound / np.maximum(q_length, 1e-300) * (1 - 1e-9), 0.0)
     cosine = reach / max(length[0], 1e-300)
+    q_rows, q_ids = queries["row"].to_numpy(np.int64), queries["vec_id"].to_numpy(np.int64)
+
+    def best(i: int, place: np.ndarray, score: np.ndarray) -> Iterator[tuple]:
+        other = rows[place] != q_rows[i]
+        place, score = place[other], score[other]
+        for j in _best(score, ids[place], k, bound[i]):
+            yield int(q_rows[i]), int(q_ids[i]), int(ids[place[j]]), int(score[j])
+
     unit = by_coordinate = None
-    results: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     by_length = []
     for i in np.nonzero(cosine <= 1)[0]:
         if cosine[i] < COORDINATE_COSINE or length[-1] <= 0:
@@ -116,74 +125,120 @@ def _searched(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> Iterator[tu
             left, right = np.searchsorted(values, low, "left"), np.searchsorted(values, high, "right")
             if chosen is None or right - left < len(chosen):
                 chosen = order[left:right]
-        results[i] = chosen, _products(q[i:i + 1], p[chosen])[0]
+        yield from best(i, chosen, _products(q[i:i + 1], p[chosen])[0])
     if by_length:
         # Candidates are sorted by length, so those too short for the bound are a tail.
         ends = np.searchsorted(-length, -reach[by_length], "right")
         order = np.argsort(ends, kind="stable")
-        for part in np.array_split(order, max(1, len(order) // 256)):
+        for start in range(0, len(order), QUERIES_AT_ONCE):
+            part = order[start:start + QUERIES_AT_ONCE]
             own, end = np.array(by_length)[part], int(ends[part].max())
             for i, score in zip(own, _products(q[own], p[:end])):
-                results[i] = np.arange(end), score
-    q_rows, q_ids = queries["row"].to_numpy(np.int64), queries["vec_id"].to_numpy(np.int64)
-    for i, (place, score) in results.items():
-        other = rows[place] != q_rows[i]
-        place, score = place[other], score[other]
-        for j in _best(score, ids[place], k, bound[i]):
-            yield int(q_rows[i]), int(q_ids[i]), int(ids[place[j]]), int(score[j])
+                yield from best(i, np.arange(end), score)
 
 
-def top_k(vectors: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score) of each query row of ``vectors`` (rows of _VECTORS).
+def _seeds(vectors: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By number of components: a bounded number of vectors and their rows, half the longest, half any."""
+    longest = vectors.orderBy(F.col("norm").desc(), "row").limit(SEED_ROWS // 2).toPandas()
+    others = vectors.orderBy(F.xxhash64("row")).limit(SEED_ROWS // 2).toPandas()
+    seeds = pd.concat([longest, others]).drop_duplicates("row")
+    return {dims: (_matrix(own["v"], dims), own["row"].to_numpy(np.int64)) for dims, own in seeds.groupby("dims")}
 
-    The k highest integer inner products with every other row, or all if there are fewer;
-    ties go to the smaller vec_id. Rows that repeat a vec_id are rows of their own, and a
-    repeated query is answered each time; vectors are compared with those of as many
-    components only. Products beyond 64 bits wrap. An empty table gives an empty result.
 
-    Candidates lie in buckets of like length, large ones dealt to several blocks; queries
-    lie in groups. A bounded number of seed rows gives each query a bound, and every group
-    meets every block once.
+def _edges(df: DataFrame, column: str, pieces: int) -> np.ndarray:
+    """Ascending values that cut a column into so many pieces of about equal size."""
+    return np.array(df.approxQuantile(column, [i / pieces for i in range(1, pieces)], 0.001) if pieces > 1 else [])
+
+
+def _numbered(classes: list, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of classes (number, rows, edge) in order: number, pieces of about ``most`` rows, edge, and where their pieces begin, and the end."""
+    classes = sorted(classes)
+    parts = np.array([-(-n // most) for _, n, _ in classes], np.int64)
+    ends = np.concatenate([[0], np.cumsum(parts)]).astype(np.int64)
+    return np.array([c[0] for c in classes], np.int64), parts, np.array([c[2] for c in classes], np.float64), ends
+
+
+def cells(vectors: DataFrame, k: int, block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(queries, candidates), each row once for every (block, group) in which a query may find a result.
+
+    Candidates lie in buckets of like length, longest first; queries in levels of like
+    reach, the length that a candidate must have to beat the query's bound, least first.
+    Large buckets and levels are dealt to several blocks and groups. A group meets the
+    blocks whose longest vector is within its least reach, and these are the first ones;
+    a block meets the first groups. What cannot win is not shuffled.
     """
     spark = vectors.sparkSession
     vectors = saved(vectors, "vectors")
     total, queries = vectors.agg(F.count("*"), F.count_if("query")).first()
-    buckets = -(-total // block_rows)
-    edges = np.array(vectors.approxQuantile("norm", [i / buckets for i in range(1, buckets)], 0.001) if buckets > 1 else [])
-    seeds = vectors.orderBy(F.xxhash64("row")).limit(SEED_ROWS).toPandas()
-    seeds = {dims: (_matrix(own["v"], dims), own["row"].to_numpy(np.int64)) for dims, own in seeds.groupby("dims")}
-
-    placed = f"{_VECTORS}, bucket INT, bound DOUBLE"
+    edges = _edges(vectors, "norm", -(-total // block_rows))
+    seeds = _seeds(vectors)
+    placed = f"{_VECTORS}, bucket INT, bound DOUBLE, reach DOUBLE"
     arrow = pa_schema(spark, placed)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, dims, query = (batch.column(i).to_pylist() for i in (0, 2, 4))
-            norms = batch.column(3).to_numpy(zero_copy_only=False)
+            rows, dims, norms = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            query = batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
             bounds = np.full(len(rows), -np.inf)
-            for i in np.nonzero(query)[0]:
-                p, seed_rows = seeds.get(dims[i], (None, None))
-                if p is None:
+            for d in np.unique(dims[query]):
+                if d not in seeds:
                     continue
-                score = _products(np.frombuffer(batch.column(5)[i].as_py(), "<i8")[None, :], p)[0][seed_rows != rows[i]]
-                if len(score) >= k:
-                    bounds[i] = np.partition(score, len(score) - k)[len(score) - k]
+                p, seed_rows = seeds[d]
+                mine = np.nonzero(query & (dims == d))[0]
+                for start in range(0, len(mine), QUERIES_AT_ONCE):
+                    own = mine[start:start + QUERIES_AT_ONCE]
+                    score = _products(_matrix(batch.column(5).take(pa.array(own)).to_pylist(), d), p)
+                    for i, found in zip(own, score):
+                        found = found[seed_rows != rows[i]]
+                        if len(found) >= k:
+                            bounds[i] = np.partition(found, len(found) - k)[len(found) - k]
+            # A little slack: lengths are rounded, and pruning must never drop a candidate.
+            reach = np.where(bounds > 0, bounds / np.maximum(norms, 1e-300) * (1 - 1e-9), 0.0)
             bucket = (len(edges) - np.searchsorted(edges, norms, "left")).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket), pa.array(bounds)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket), pa.array(bounds), pa.array(reach)], schema=arrow)
 
     vectors = saved(vectors.mapInArrow(place, placed), "bucketed")
-    sizes = {r["bucket"]: r["count"] for r in vectors.groupBy("bucket").count().collect()}
-    parts = {b: -(-n // block_rows) for b, n in sizes.items()}
-    first = {b: sum(parts[x] for x in parts if x < b) for b in parts}
-    blocks, groups = max(1, sum(parts.values())), max(1, -(-queries // group_rows))
-    table = spark.createDataFrame([(b, parts[b], first[b]) for b in parts], "bucket INT, parts INT, first INT")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    cells = vectors.join(F.broadcast(table), "bucket").select(
-        "row", "vec_id", "dims", "norm", "v",
-        (F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts"))).cast("int").alias("block"), every(groups).alias("group"))
-    asked = vectors.filter("query").select(
-        "row", "vec_id", "dims", "norm", "v", "bound",
-        F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("group"), every(blocks).alias("block"))
+    asked = vectors.filter("query")
+    levels = _edges(asked, "reach", -(-queries // group_rows))
+
+    @F.pandas_udf("int")
+    def level_of(reach: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(levels, reach.to_numpy(), "left").astype(np.int32))
+
+    asked = asked.withColumn("level", level_of("reach"))
+    # Numbers of the few buckets and levels: their rows, greatest length and least need.
+    buckets = vectors.groupBy("bucket").agg(F.count("*"), F.max("norm")).collect()
+    needs = asked.groupBy("level").agg(F.count("*"), F.min("reach")).collect()
+    bucket, block_parts, longest, block_ends = _numbered(buckets, block_rows)
+    level, group_parts, least, group_ends = _numbered(needs, group_rows)
+    # Lengths fall with the bucket and needs rise with the level, so what can meet is a beginning on both sides.
+    groups_met = group_ends[np.searchsorted(least, longest, "right")]
+    blocks_met = block_ends[np.searchsorted(-longest, -least, "right")]
+    to_blocks = np.stack([bucket, block_parts, block_ends[:-1], groups_met], axis=1).tolist()
+    to_groups = np.stack([level, group_parts, group_ends[:-1], blocks_met], axis=1).tolist()
+    dealt = lambda own, key, numbers: own.join(
+        F.broadcast(spark.createDataFrame(numbers, f"{key} INT, parts INT, first INT, met INT")), key).filter("met > 0")
+    number = (F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts"))).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("met") - 1))
+    candidates = dealt(vectors, "bucket", to_blocks).select(
+        "row", "vec_id", "dims", "norm", "v", number.alias("block"), every.alias("group"))
+    asked = dealt(asked, "level", to_groups).select(
+        "row", "vec_id", "dims", "norm", "v", "bound", number.alias("group"), every.alias("block"))
+    return asked, candidates
+
+
+def top_k(vectors: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score) of each query row of ``vectors`` (rows of _VECTORS).
+
+    The k highest integer inner products with every other row, or all if there are fewer;
+    ties go to the smaller vec_id. Rows that repeat a vec_id are rows of their own, and a
+    repeated query is answered each time; vectors are compared with those of as many
+    components only. Products beyond 64 bits wrap. An empty table gives an empty result.
+
+    A bounded number of seed rows gives each query a bound; only blocks of candidates and
+    groups of queries that can meet it are brought together (``cells``).
+    """
+    asked, candidates = cells(vectors, k, block_rows, group_rows)
     asked = asked.select(*(F.col(c).alias(f"q_{c}") for c in asked.columns))
 
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -195,7 +250,7 @@ def top_k(vectors: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS, group_r
                 found.extend(_searched(own, there, k))
         return pd.DataFrame(found, columns=["row", "query_id", "vec_id", "score"])
 
-    found = asked.groupBy("q_block", "q_group").cogroup(cells.groupBy("block", "group")).applyInPandas(
+    found = asked.groupBy("q_block", "q_group").cogroup(candidates.groupBy("block", "group")).applyInPandas(
         search, "row LONG, query_id LONG, vec_id LONG, score LONG")
     best = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(

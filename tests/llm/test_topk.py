@@ -45,3 +45,28 @@ def test_few_and_none(spark):
     assert sorted(map(tuple, got.collect())) == sorted(wanted(rows, 20))
     assert topk.top_k(topk.integer_vectors(spark.createDataFrame([], SCHEMA)), 20).count() == 0
     assert topk.top_k(topk.integer_vectors(spark.createDataFrame([(1, [1.0])], SCHEMA)), 20).count() == 0
+
+
+def test_cells_that_cannot_win_are_not_formed(spark):
+    # Few long vectors hold all results, so the blocks of short ones meet only queries without a bound.
+    rows = made(7, 2000, 6, 1.5)
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, SCHEMA))
+    asked, candidates = topk.cells(vectors, 5, 100, 10)
+    sizes = lambda df: {(r["block"], r["group"]): r["count"] for r in df.groupBy("block", "group").count().collect()}
+    blocks, groups = sizes(candidates), sizes(asked)
+    all_blocks, all_groups = ({c[i] for c in blocks} for i in (0, 1))
+    assert len(all_blocks) >= 20 and len(all_groups) >= 10
+    assert set(groups) == set(blocks) and len(blocks) < 0.6 * len(all_blocks) * len(all_groups)
+    assert max(blocks.values()) <= 200 and max(groups.values()) <= 40
+    got = [tuple(r) for r in topk.top_k(vectors, 5, 100, 10).collect()]
+    assert sorted(got) == sorted(wanted(rows, 5))
+
+
+def test_one_length_and_one_need(spark):
+    # Everything ties: one bucket and one level are still dealt to several blocks and groups.
+    rows = [(i, [1.0, 1.0]) for i in range(500)]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, SCHEMA))
+    asked, candidates = topk.cells(vectors, 3, 100, 5)
+    assert asked.select("group").distinct().count() > 1 and candidates.select("block").distinct().count() > 1
+    got = [tuple(r) for r in topk.top_k(vectors, 3, 100, 5).collect()]
+    assert sorted(got) == sorted(wanted(rows, 3))
