@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pulseframe.llm.common import SPACE, pa_schema, saved, whole_text
 from pulseframe.llm.cuckoo import CuckooIndex
 
-#: Live digests that a map task holds before it hands them on.
+#: Live digests that a map task holds before it hands them on, and that a shard has, at most about.
 LIVE_PER_TASK = 200_000
+#: Rows for which a shard of its own is worth while, up to the session's number of shuffle partitions.
+SHARD_ROWS = 20_000
 
 _INDEX = "digest BINARY, keep_id LONG, keep_row LONG, group_size LONG"
 
@@ -65,11 +67,17 @@ def build_index(rows: DataFrame) -> DataFrame:
     """(digest, keep_id, keep_row, group_size) of (doc_id, row, digest).
 
     Each map task folds its rows through its own cuckoo index first, so a digest of any
-    number of rows reaches its shard with one row for each task.
+    number of rows reaches its shard with one row for each task. There are so many shards
+    that none has more than about LIVE_PER_TASK digests, at any number of rows.
     """
     ones = rows.select("digest", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"),
                        F.lit(1).cast("long").alias("group_size"))
-    return _merged(_merged(ones, LIVE_PER_TASK).repartition("digest"), None)
+    return _merged(_merged(ones, LIVE_PER_TASK).repartition(_shards(rows), "digest"), None)
+
+
+def _shards(rows: DataFrame) -> int:
+    count, usual = rows.count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-count // LIVE_PER_TASK), min(usual, -(-count // SHARD_ROWS)))
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -118,7 +126,7 @@ def update_index(index: DataFrame, added: DataFrame, removed: DataFrame) -> Data
     kind = lambda df, order, size: df.select("digest", "keep_id", F.col(size).cast("long").alias("n"), F.lit(order).alias("turn"))
     schema = "digest BINARY, keep_id LONG, group_size LONG"
     arrow = pa_schema(index.sparkSession, schema)
-    changes = kind(index, 0, "group_size").union(kind(removed, 1, "n")).union(kind(added, 2, "n"))
+    changes = saved(kind(index, 0, "group_size").union(kind(removed, 1, "n")).union(kind(added, 2, "n")), "changes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         live = CuckooIndex()
@@ -138,4 +146,4 @@ def update_index(index: DataFrame, added: DataFrame, removed: DataFrame) -> Data
             {"digest": [e[0] for e in entries], "keep_id": [e[1][0] for e in entries],
              "group_size": [e[1][1] for e in entries]}, schema=arrow)
 
-    return changes.repartition("digest").sortWithinPartitions("turn").mapInArrow(run, schema)
+    return changes.repartition(_shards(changes), "digest").sortWithinPartitions("turn").mapInArrow(run, schema)

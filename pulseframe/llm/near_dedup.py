@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.common import by_batch, pa_schema, saved, whole_text
@@ -44,18 +44,19 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(values), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) of whole texts; null counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_key: bool = False) -> DataFrame:
+    """(doc_id, fingerprint as a signed long) of whole texts, and a ``text_key`` if asked for; null counts as empty."""
+    key = ["text_key"] if text_key else []
 
     def make():
-        def step(doc_id, text):
+        def step(doc_id, text, *keys):
             values = np.array([fingerprint(t, shingle) for t in text], np.uint64).view(np.int64)
-            return {"doc_id": doc_id, "fingerprint": values.tolist()}
+            return {"doc_id": doc_id, "fingerprint": values.tolist(), **dict(zip(key, keys))}
 
         return step
 
-    return by_batch(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), make,
-                    "doc_id LONG, fingerprint LONG")
+    columns = [F.col("doc_id").cast("long"), whole_text().alias("text"), *(F.xxhash64(whole_text()).alias(k) for k in key)]
+    return by_batch(docs.select(*columns), make, ", ".join(f"{c} LONG" for c in ("doc_id", "fingerprint", *key)))
 
 
 def _distance(values: np.ndarray, point: np.uint64) -> np.ndarray:
@@ -221,6 +222,13 @@ def near_links(values: DataFrame, bits: int = MOST_BITS, shard_rows: int = SHARD
     return placed.groupBy("shard").applyInPandas(link, "a LONG, b LONG")
 
 
+def _grouped(rows: DataFrame, first: Column, bits: int) -> DataFrame:
+    """(fingerprint, first, group): the least ``first`` of its rows, and the component it is in."""
+    nodes = saved(rows.groupBy("fingerprint").agg(F.min(first).alias("first")), "nodes")
+    found = components(near_links(nodes, bits)).withColumnRenamed("node", "fingerprint")
+    return nodes.join(found, "fingerprint", "left").withColumn("group", F.coalesce("component", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -231,23 +239,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BI
     there is another. An empty table gives an empty result.
     """
     rows = saved(fingerprints(docs, shingle), "fingerprints")
-    nodes = saved(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "nodes")
-    found = components(near_links(nodes, bits)).withColumnRenamed("node", "fingerprint")
-    named = nodes.join(found, "fingerprint", "left").withColumn("group", F.coalesce("component", "fingerprint"))
-    first = named.groupBy("group").agg(F.min("first_id").alias("component_id"))
+    named = _grouped(rows, F.col("doc_id"), bits)
+    first = named.groupBy("group").agg(F.min("first").alias("component_id"))
     named = named.join(first, "group").select("fingerprint", "component_id")
     return rows.join(named, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS) -> DataFrame:
-    """The document with the smallest doc_id of each component, with all its columns.
+    """One row of each component, with all its columns: the one with the smallest doc_id (null ids last).
 
-    Rows that share a doc_id are one document and stay or go together.
+    Rows that share a doc_id are documents of their own; of one component's, that whose text
+    has the least hash stays, and of rows that agree in doc_id and text just one. Null texts
+    count as empty, and texts without words are one component. An empty table gives an
+    empty result.
     """
-    stay = near_duplicates(docs, shingle, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = stay.select(F.col("doc_id").alias("stay")).distinct()
+    rows = saved(fingerprints(docs, shingle, text_key=True), "fingerprints")
+    nameless, named_id = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
+    first = F.struct(nameless.alias("nameless"), named_id.alias("id"), "text_key")
+    stay = _grouped(rows, first, bits).groupBy("group").agg(F.min("first").alias("first")).select("first.*")
     columns = [f"c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*columns)
-    own = F.col(columns[docs.columns.index("doc_id")]).cast("long")
-    return plain.join(stay, own.eqNullSafe(F.col("stay")), "left_semi").toDF(*docs.columns)
+    doc_id, text = (columns[docs.columns.index(name)] for name in ("doc_id", "text"))
+    own = F.col(doc_id).cast("long")
+    # Keys without nulls, so that the join's partitions serve the last step too.
+    keyed = plain.withColumns(
+        {"nameless": own.isNull(), "id": F.coalesce(own, F.lit(0)), "text_key": F.xxhash64(whole_text(text))})
+    kept = keyed.hint("merge").join(stay, stay.columns, "left_semi")
+    return kept.dropDuplicates(stay.columns).select(*columns).toDF(*docs.columns)

@@ -85,3 +85,17 @@ def test_index_update(spark):
     removed = spark.createDataFrame([(5, d(2)), (1, d(1)), (6, d(3)), (99, d(77))], "doc_id LONG, digest BINARY")
     got = {bytes(r["digest"]): (r["keep_id"], r["group_size"]) for r in exact_dedup.update_index(index, added, removed).collect()}
     assert got == {d(1): (1, 2), d(2): (12, 1), d(3): (6, 2), d(4): (10, 2)}
+
+
+def test_shards_grow_with_the_rows(spark, monkeypatch):
+    rows = spark.range(1000)
+    assert exact_dedup._shards(rows.limit(0)) == exact_dedup._shards(rows) == 1
+    monkeypatch.setattr(exact_dedup, "SHARD_ROWS", 100)
+    assert exact_dedup._shards(rows) == 4
+    monkeypatch.setattr(exact_dedup, "LIVE_PER_TASK", 50)
+    assert exact_dedup._shards(rows) == 20
+    docs = spark.createDataFrame([(i, f"text {i % 700}") for i in range(1000)], "doc_id LONG, text STRING")
+    keyed = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), exact_dedup.content_digest(F.col("text")).alias("digest"))
+    index = exact_dedup.build_index(keyed)
+    by_shard = [r["n"] for r in index.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(by_shard) == 700 and max(by_shard) <= 2.5 * 50

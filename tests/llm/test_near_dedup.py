@@ -46,6 +46,12 @@ def wanted(rows):
     return [(doc_id, f"{p:016x}", least.get(root[p])) for (doc_id, _), p in zip(rows, prints)]
 
 
+def component_of(rows):
+    prints = [plain_fingerprint(t) for _, t in rows]
+    root = roots(set(prints), 2)
+    return [root[p] for p in prints]
+
+
 def made(seed, n):
     r = random.Random(seed)
     words = ["Alpha", "beta", "GAMMA", "délta", "eps.", "ÉTA", "x"]
@@ -66,8 +72,9 @@ def test_components_of_texts(spark, monkeypatch):
     assert sorted(got, key=order) == sorted(wanted(rows), key=order)
     stay = near_dedup.drop_near_duplicates(docs)
     assert stay.columns == docs.columns
-    kept = {i for i, _, c in wanted(rows) if i == c}
-    assert sorted(map(str, (r["doc_id"] for r in stay.collect()))) == sorted(str(i) for i, _ in rows if i in kept)
+    # One row of each component; one that has no other ids keeps a row without.
+    kept = [c for c in {root: c for (_, p, c), root in zip(wanted(rows), component_of(rows))}.values()]
+    assert sorted(map(str, (r["doc_id"] for r in stay.collect()))) == sorted(map(str, kept))
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -100,3 +107,17 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a LONG, b LONG")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}, 200: 200, 201: 200}
     assert graph.components(spark.createDataFrame([], "a LONG, b LONG")).count() == 0
+
+
+def test_one_row_of_each_group_stays_when_ids_repeat(spark):
+    long = "the quick brown fox jumps over the lazy dog and runs far away"
+    other = "nothing here is like the text that stands beside it in the table"
+    rows = [(3, long, 1), (5, long, 2), (5, other, 3), (None, "lone words of no id at all", 4), (None, long, 5),
+            (None, "lone words of no id at all", 6), (8, None, 7), (8, "", 8), (9, " ", 9)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, id INT").withColumns({"text_key": F.lit(1), "nameless": F.lit(2)})
+    stay = near_dedup.drop_near_duplicates(docs.repartition(3))
+    assert stay.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in stay.collect()), key=str)
+    assert [g[0] for g in got] == [3, 5, 8, None]
+    assert [g[1] for g in got][:2] == [long, other] and got[2][1] in (None, "") and got[3][1].startswith("lone")
+    assert near_dedup.drop_near_duplicates(docs.limit(0)).count() == 0
