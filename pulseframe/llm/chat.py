@@ -26,7 +26,8 @@ class Mapping(NamedTuple):
 
     ``turns`` lists (role, path) in order; a role that starts with ``$`` is read from that
     path. ``each`` is the array that they are taken from, if any. ``optional`` paths may
-    be missing.
+    be missing. ``names`` are the layout's own names of the canonical roles; other roles
+    stay as they are.
     """
 
     name: str
@@ -34,19 +35,20 @@ class Mapping(NamedTuple):
     each: str = ""
     optional: tuple[str, ...] = ()
     before: tuple[tuple[str, str], ...] = ()
+    names: dict[str, str] = {}
 
 
+#: Names that records with a list of turns use for the canonical roles; the role of a turn row stands as it is.
+ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 MAPPINGS = (
     Mapping("turn row", (("$role", "text"),), optional=("turn",)),
-    Mapping("messages", (("$role", "content"),), each="messages"),
-    Mapping("conversations", (("$from", "value"),), each="conversations", before=(("system", "system"),), optional=("system",)),
+    Mapping("messages", (("$role", "content"),), each="messages", names=ROLES),
+    Mapping("conversations", (("$from", "value"),), each="conversations", before=(("system", "system"),), optional=("system",), names=ROLES),
     Mapping("prompt", (("user", "prompt"), ("assistant", "completion")), optional=("system",), before=(("system", "system"),)),
     Mapping("response", (("user", "prompt"), ("assistant", "response")), optional=("system",), before=(("system", "system"),)),
     Mapping("instruction", (("user", "instruction"), ("user", "input"), ("assistant", "output")), optional=("input", "system"), before=(("system", "system"),)),
     Mapping("question", (("user", "question"), ("assistant", "answer")), optional=("system",), before=(("system", "system"),)),
 )
-#: Names that records use for the canonical roles.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
 def field_paths(value: Any, path: str = "") -> Iterator[str]:
@@ -140,7 +142,7 @@ def turns_of(record: Any) -> tuple[str, list[tuple[str, str]]]:
             if path not in item or path in mapping.optional and not item[path]:
                 continue
             role = _text(item.get(role[1:])) if role[0] == "$" else role
-            found.append((ROLES.get(role, role), _text(item[path])))
+            found.append((mapping.names.get(role, role), _text(item[path])))
     return mapping.name, found
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,22 +20,34 @@ from pulseframe.llm.mixing import unit_draw
 BUCKETS = 1 << 19
 #: Labelled rows that the target model is fitted on, at most.
 LABELLED_ROWS = 50_000
-#: Above 0, only buckets whose share among target rows differs by so many standard errors count, unshrunk.
-LEAST_Z = 0.0
 #: Documents that are added to the target count and to the expected count of each bucket.
 PRIOR = 0.5
-#: Standard errors of difference at which half of a bucket's log ratio counts.
-HALF_Z = 4.0
 #: Characters of the word beginnings that count besides whole words.
 BEGINNINGS = (4, 6)
 #: Share of the labelled target rows that the cut keeps at least.
 LEAST_KEPT = 0.98
-#: Scale of the Gumbel noise: weights are raised to one over it before sampling.
-TEMPERATURE = 0.1
 SEED = "quality-1"
 #: Tokens whose hashes a worker remembers; when they are this many, it starts anew.
 REMEMBERED = 300_000
 
+
+class Weighing(NamedTuple):
+    """How counts become weights and weights a sample; the default is plain importance resampling.
+
+    ``half_z``: standard errors of difference among labelled rows at which half of an
+    n-gram's log ratio counts; with 0 every log ratio counts in full. ``both_tables``: an
+    n-gram counts with that of its two buckets that is nearer to 0, else with its first.
+    ``temperature``: scale of the Gumbel noise; weights are raised to one over it.
+    """
+
+    half_z: float = 0.0
+    both_tables: bool = False
+    temperature: float = 1.0
+
+
+#: For filters of whole documents: only what labels show counts, and the sample is close to a cut.
+SHARPENED = Weighing(half_z=4.0, both_tables=True, temperature=0.1)
+
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _COUNTS = "bucket INT, raw LONG, labelled LONG, target LONG"
 
@@ -105,10 +118,12 @@ class Features:
         return np.array([np.concatenate([singles, pairs]), np.concatenate([singles_too, pairs_too])]).astype(np.int64)
 
 
-def _weights(ratios: list[np.ndarray], grams: np.ndarray) -> list[float]:
-    """For each of ``ratios``: each different n-gram counts with that of its two buckets that is nearer to 0, if they agree."""
+def _weights(ratios: list[np.ndarray], grams: np.ndarray, both_tables: bool) -> list[float]:
+    """For each of ``ratios``: the sum over the different n-grams (with both tables 0 for one whose buckets disagree)."""
     both = _distinct(grams[0] * BUCKETS + grams[1])
     first = both // BUCKETS
+    if not both_tables:
+        return [float(ratio[first].sum()) for ratio in ratios]
     second = both - first * BUCKETS
     out = []
     for ratio in ratios:
@@ -156,22 +171,24 @@ def ngram_counts(docs: DataFrame, labelled: dict[int, bool]) -> DataFrame:
     return parts.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("raw", "labelled", "target")))
 
 
-def _shrunk(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, whole: tuple[int, int, int]) -> np.ndarray:
-    """The smoothed log ratio of the two models by bucket, drawn towards 0 by what is not known.
+def _ratio(raw: np.ndarray, labelled: np.ndarray, target: np.ndarray, whole: tuple[int, int, int], half_z: float) -> np.ndarray:
+    """The smoothed log ratio of the target and the raw model by bucket.
 
-    Both counts get PRIOR documents more. A log ratio counts in full only where the
-    labelled rows show the difference; the less they do, the less of it is left. Nothing
-    is cut: a word of three labelled rows counts, one of no labelled row is unknown.
+    Both counts get PRIOR documents more. With ``half_z`` a log ratio counts in full only
+    where the labelled rows show the difference; the less they do, the less of it is left.
     """
     n, n_labelled, n_target = whole
     if not n_target or n_target == n_labelled:
         return np.zeros(len(raw))
+    plain = np.log((target + PRIOR) / (raw * (n_target / n) + PRIOR))
+    if not half_z:
+        return plain
     share = n_target / n_labelled
     z = (target - labelled * share) / np.sqrt(np.maximum(labelled * share * (1 - share), 0.3))
-    return np.log((target + PRIOR) / (raw * (n_target / n) + PRIOR)) * (z**4 / (z**4 + HALF_Z**4))
+    return plain * (z**4 / (z**4 + half_z**4))
 
 
-def log_ratios(counts: DataFrame) -> np.ndarray:
+def log_ratios(counts: DataFrame, half_z: float = 0.0) -> np.ndarray:
     """Three rows of ratios of the two models by bucket, 0 where they are alike.
 
     The first holds for any document; the second for a labelled target document, as if it
@@ -182,23 +199,18 @@ def log_ratios(counts: DataFrame) -> np.ndarray:
     if whole is None or not whole["target"]:
         return ratio
     n = tuple(whole[c] for c in ("raw", "labelled", "target"))
-    told = counts.filter("bucket >= 0 AND labelled > 0").toArrow()
+    # What no labelled row has is shrunk to 0 and need not be fetched.
+    told = counts.filter("bucket >= 0 AND labelled > 0" if half_z else "bucket >= 0").toArrow()
     bucket, *seen = (told[c].to_numpy() for c in ("bucket", "raw", "labelled", "target"))
-    if LEAST_Z:
-        raw, labelled, target = seen
-        expected = labelled * (n[2] / n[1])
-        differs = np.abs(target - expected) >= LEAST_Z * np.sqrt(np.maximum(expected, 1))
-        ratio[:, bucket] = np.where(differs, np.log((target + 1) / (n[2] + 1)) - np.log((raw + 1) / (n[0] + 1)), 0)
-        return ratio
     for row, own in enumerate(((0, 0, 0), (1, 1, 1), (1, 1, 0))):
         # Buckets that no such document has go below 0, and are not looked up for one.
         left = [np.maximum(a - b, 0) for a, b in zip(seen, own)]
         if n[1] > own[1]:
-            ratio[row, bucket] = _shrunk(*left, tuple(a - b for a, b in zip(n, own)))
+            ratio[row, bucket] = _ratio(*left, tuple(a - b for a, b in zip(n, own)), half_z)
     return ratio
 
 
-def log_weights(docs: DataFrame, ratio: np.ndarray, labelled: dict[int, bool]) -> DataFrame:
+def log_weights(docs: DataFrame, ratio: np.ndarray, labelled: dict[int, bool], both_tables: bool = False) -> DataFrame:
     """(doc_id, log_weight, held_out): sums of the ratios of a document's distinct n-grams.
 
     ``held_out`` is the weight of a labelled document as if it had not been counted, null for others.
@@ -213,7 +225,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray, labelled: dict[int, bool]) -
             weights, held_out = [], []
             for i, t in zip(doc_id, text):
                 kind = known.get(i)
-                found = _weights([plain] if kind is None else [plain, target if kind else other], features(t))
+                found = _weights([plain] if kind is None else [plain, target if kind else other], features(t), both_tables)
                 weights.append(found[0])
                 held_out.append(None if kind is None else found[1])
             return {"doc_id": doc_id, "log_weight": weights, "held_out": held_out}
@@ -265,34 +277,41 @@ def gumbel(key: Column, seed: str) -> Column:
     return -F.log(-F.log(unit_draw(key, seed) + F.lit(2.0**-54)))
 
 
-def resample(docs: DataFrame, labels: DataFrame, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
+def resample(
+    docs: DataFrame, labels: DataFrame, weighing: Weighing = Weighing(), size: int | None = None, seed: str = SEED
+) -> DataFrame:
     """The sampled documents: doc_id, log_weight, sample_key.
 
     Weights are the ratio of hashed n-gram models of target and raw text. The target
-    model and the cut come from at most LABELLED_ROWS labelled rows, raw counts from all
-    documents; for the cut, each labelled row is weighed without its own counts. As many documents are sampled as have weights of at least the cut, by
-    Gumbel top-k: those with the largest log weight plus noise. Documents that tie at the
-    last place all stay. Null and empty texts weigh 0, like text without telling n-grams;
-    rows that repeat a doc_id share the noise; without labels of both kinds all stay.
+    model comes from at most LABELLED_ROWS labelled rows, raw counts from all documents.
+    ``size`` documents are sampled by Gumbel top-k: those with the largest log weight plus
+    noise. Without ``size``, as many as have weights of at least the cut that parts the
+    labelled rows best, each weighed without its own counts. Documents that tie at the
+    last place all stay. Null and empty texts weigh 0; rows that repeat a doc_id share the
+    noise; without labels of both kinds all weigh 0, and without ``size`` all stay. Texts
+    of any length are read whole, other columns may have any names, and an empty table of
+    documents gives an empty result.
     """
     labelled = labelled_rows(labels)
-    ratio = log_ratios(ngram_counts(docs, labelled))
+    ratio = log_ratios(ngram_counts(docs, labelled), weighing.half_z)
+    noise = F.lit(weighing.temperature) * gumbel(F.col("doc_id"), seed)
     weighed = saved(
-        log_weights(docs, ratio, labelled).withColumn("sample_key", F.col("log_weight") + F.lit(temperature) * gumbel(F.col("doc_id"), seed)),
-        "weights",
-    )
-    held_out = weighed.filter("held_out IS NOT NULL").groupBy("doc_id").agg(F.min("held_out").alias("w")).collect()
-    cut = best_cut(np.array([r["w"] for r in held_out]), np.array([labelled[r["doc_id"]] for r in held_out], bool))
+        log_weights(docs, ratio, labelled, weighing.both_tables).withColumn("sample_key", F.col("log_weight") + noise), "weights")
+    if size is None:
+        held_out = weighed.filter("held_out IS NOT NULL").groupBy("doc_id").agg(F.min("held_out").alias("w")).collect()
+        cut = best_cut(np.array([r["w"] for r in held_out]), np.array([labelled[r["doc_id"]] for r in held_out], bool))
+        size = weighed.filter(F.col("log_weight") >= F.lit(float(cut))).count()
+    else:
+        size = min(size, weighed.count())
     weighed = weighed.drop("held_out")
-    k = weighed.filter(F.col("log_weight") >= F.lit(float(cut))).count()
-    if not k:
+    if not size:
         return weighed.limit(0)
-    return weighed.filter(F.col("sample_key") >= F.lit(kth_largest(weighed, "sample_key", k)))
+    return weighed.filter(F.col("sample_key") >= F.lit(kth_largest(weighed, "sample_key", size)))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, weighing: Weighing = SHARPENED) -> DataFrame:
     """The sampled documents with all their columns; rows that share a doc_id stay if one does."""
-    stay = resample(docs, labels).select(F.col("doc_id").alias("stay")).distinct()
+    stay = resample(docs, labels, weighing).select(F.col("doc_id").alias("stay")).distinct()
     columns = [f"c{i}" for i in range(len(docs.columns))]
     own = F.col(columns[docs.columns.index("doc_id")]).cast("long")
     return docs.toDF(*columns).join(stay, own.eqNullSafe(F.col("stay")), "left_semi").toDF(*docs.columns)

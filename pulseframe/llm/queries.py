@@ -59,7 +59,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_importance_resampling")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality.SHARPENED)
 
 
 @query("op7_source_mix", r"""

@@ -26,7 +26,9 @@ def test_escapes_round_trip(turns):
     ({"instruction": "i", "input": "", "output": "o"}, "instruction", [("user", "i"), ("assistant", "o")]),
     ({"instruction": "i", "input": "x", "output": "o"}, "instruction", [("user", "i"), ("user", "x"), ("assistant", "o")]),
     ({"question": "q", "answer": "a"}, "question", [("user", "q"), ("assistant", "a")]),
-    ({"turn": 4, "role": "bot", "text": "t"}, "turn row", [("assistant", "t")]),
+    # A turn row's role is the contract's role and stands as it is; only lists of turns have names of their own.
+    ({"turn": 4, "role": "bot", "text": "t"}, "turn row", [("bot", "t")]),
+    ({"messages": [{"role": "model", "content": "a"}, {"role": "tool", "content": "b"}]}, "messages", [("assistant", "a"), ("tool", "b")]),
     ({"nothing": 1}, "unknown", []), ([], "unknown", []), (None, "unknown", []), ({"messages": []}, "unknown", []),
 ])
 def test_layouts(record, layout, turns):

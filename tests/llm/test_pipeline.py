@@ -23,7 +23,7 @@ def test_stages(spark):
             assert set(after) <= set(before)
         ids = sorted(r["doc_id"] for r in after)
         if number == 0:
-            ratio_kept = quality.resample(table(spark, SF, "documents"), table(spark, SF, "labels"))
+            ratio_kept = quality.resample(table(spark, SF, "documents"), table(spark, SF, "labels"), quality.SHARPENED)
             assert ids == sorted(r["doc_id"] for r in ratio_kept.collect()) and 0.5 * len(before) < len(ids) <= len(before)
         elif number == 1:
             first = {}

@@ -40,33 +40,59 @@ def test_good_stays_and_the_rest_goes(spark):
     assert share["good"] > 0.98 and max(share["junk"], share["toxic"], share["loop"]) < 0.05, share
 
 
-def test_same_as_plain_computation(spark, monkeypatch):
-    monkeypatch.setattr(quality, "LEAST_Z", 2.5)
-    docs, labels = corpus(5, 600)
+def noise_of(spark, ids, seed=quality.SEED):
+    frame = spark.createDataFrame([(i,) for i in ids], "doc_id LONG")
+    return {r["doc_id"]: r["g"] for r in frame.select("doc_id", quality.gumbel(F.col("doc_id"), seed).alias("g")).collect()}
+
+
+@pytest.mark.parametrize("weighing", [quality.Weighing(), quality.SHARPENED])
+def test_sample_is_that_of_a_plain_computation(spark, weighing):
+    docs, labels = corpus(5, 400)
     docs += [(1000, None, ""), (1001, "", ""), (1001, "", ""), (None, "x y", "")]
     target = {i: q == 1 and t == 0 for i, q, t in labels}
     features = quality.Features()
     grams = [(i, set(map(tuple, features(t or "").T.tolist()))) for i, t, _ in docs]
-    found = [(i, {b for pair in g for b in pair}) for i, g in grams]
-    ratio = {}
-    n_labelled, n_target = len(target), sum(target.values())
-    for b in set().union(*(f for _, f in found)):
-        raw = sum(b in f for _, f in found)
-        all_l = sum(b in f for i, f in found if i in target)
-        good = sum(b in f for i, f in found if target.get(i))
-        expected = all_l * n_target / n_labelled
-        if abs(good - expected) >= quality.LEAST_Z * max(expected, 1) ** 0.5:
-            ratio[b] = np.log((good + 1) / (n_target + 1)) - np.log((raw + 1) / (len(docs) + 1))
-    def nearer(a, b):
-        a, b = ratio.get(a, 0), ratio.get(b, 0)
-        return min(a, b, key=abs) if a * b > 0 else 0
-
-    want = {i: sum(nearer(*pair) for pair in g) for i, g in grams}
+    counts = {}
+    for i, g in grams:
+        for b in {b for pair in g for b in pair}:
+            old = counts.get(b, (0, 0, 0))
+            counts[b] = old[0] + 1, old[1] + (i in target), old[2] + target.get(i, False)
+    share, n_target = sum(target.values()) / len(target), sum(target.values())
+
+    def ratio(bucket):
+        raw, known, good = counts[bucket]
+        value = np.log((good + quality.PRIOR) / (raw * n_target / len(docs) + quality.PRIOR))
+        if weighing.half_z:
+            z = abs(good - known * share) / max(known * share * (1 - share), 0.3) ** 0.5
+            value *= z**4 / (z**4 + weighing.half_z**4)
+        return value
+
+    def counted(pair):
+        a, b = map(ratio, pair)
+        return a if not weighing.both_tables else min(a, b, key=abs) if a * b > 0 else 0
+
+    want = {i: sum(map(counted, g)) for i, g in grams}
+    noise = noise_of(spark, want)
+    keys = [want[i] + weighing.temperature * noise[i] for i, _ in grams]
     frame = spark.createDataFrame([d[:2] for d in docs], DOCS)
-    got = quality.resample(frame, spark.createDataFrame(labels, LABELS), temperature=1e-9).collect()
-    assert all(r["log_weight"] == pytest.approx(want[r["doc_id"]]) for r in got)
-    least = min(r["log_weight"] for r in got)
-    assert len(got) == sum(want[i] >= least - 1e-6 for i, _ in found)
+    known = spark.createDataFrame(labels, LABELS)
+    for size in (1, 40, 399):
+        got = quality.resample(frame, known, weighing, size).collect()
+        assert all(r["log_weight"] == pytest.approx(want[r["doc_id"]]) for r in got)
+        least = sorted(keys, reverse=True)[size - 1]
+        assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(str(i) for (i, _), k in zip(grams, keys) if k >= least - 1e-9)
+    assert quality.resample(frame, known, weighing, 10_000).count() == len(docs)
+    assert quality.resample(frame, known, weighing, 0).count() == 0
+
+
+@pytest.mark.parametrize("temperature", [1.0, 0.5])
+def test_gumbel_draws_in_proportion_to_weights(spark, temperature):
+    weights = np.array([0.0, 0.5, 1.0, -1.0])
+    noise = noise_of(spark, range(4 * 10_000))
+    keys = np.array([noise[i] for i in range(4 * 10_000)]).reshape(-1, 4) * temperature + weights
+    share = np.bincount(keys.argmax(axis=1), minlength=4) / len(keys)
+    wanted = np.exp(weights / temperature)
+    assert np.abs(share - wanted / wanted.sum()).max() < 0.02
 
 
 def test_kth_largest(spark):
@@ -131,8 +157,8 @@ def test_labelled_toxic_rows_of_the_given_tables_go(spark, size):
 def test_held_out_weights_are_those_without_the_document(spark):
     docs, labels = tongues(2, 60)
     frame, known = spark.createDataFrame([d[:2] for d in docs], DOCS), {i: not t for i, _, t in labels if i % 3}
-    ratio = quality.log_ratios(quality.ngram_counts(frame, known))
-    got = {r["doc_id"]: r for r in quality.log_weights(frame, ratio, known).collect()}
+    ratio = quality.log_ratios(quality.ngram_counts(frame, known), quality.SHARPENED.half_z)
+    got = {r["doc_id"]: r for r in quality.log_weights(frame, ratio, known, both_tables=True).collect()}
     features = quality.Features()
     for i in (0, 1, 4, next(d[0] for d in docs if d[3] and d[0] in known)):
         rest = [d for d in docs if d[0] != i or i not in known]
@@ -142,7 +168,7 @@ def test_held_out_weights_are_those_without_the_document(spark):
         n = len(rest), sum(j != i for j in known), sum(t and j != i for j, t in known.items())
         share = n[2] / n[1]
         z = (counts[2] - counts[1] * share) / np.sqrt(np.maximum(counts[1] * share * (1 - share), 0.3))
-        plain = np.log((counts[2] + quality.PRIOR) / (counts[0] * n[2] / n[0] + quality.PRIOR)) * z**4 / (z**4 + quality.HALF_Z**4)
+        plain = np.log((counts[2] + quality.PRIOR) / (counts[0] * n[2] / n[0] + quality.PRIOR)) * z**4 / (z**4 + quality.SHARPENED.half_z**4)
         pairs = [plain[list(p)] for p in set(map(tuple, features(docs[i][1]).T.tolist()))]
         want = sum(min(p, key=abs) for p in pairs if p[0] * p[1] > 0)
         assert got[i]["held_out" if i in known else "log_weight"] == pytest.approx(want)
