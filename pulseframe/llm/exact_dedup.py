@@ -105,13 +105,16 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     plain = docs.toDF(*columns)
     digest = content_digest(whole_text(columns[docs.columns.index("text")]))
     doc_id = columns[docs.columns.index("doc_id")]
-    keyed = plain.withColumns({"digest": digest, "id": F.col(doc_id).cast("long")})
-    rows = saved(keyed.select(F.col("id").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "digest"), "digests")
-    stay = build_index(rows).select("digest", F.col("keep_id").alias("id"))
-    kept = keyed.hint("merge").join(
-        stay, keyed["digest"].eqNullSafe(stay["digest"]) & keyed["id"].eqNullSafe(stay["id"]), "left_semi"
-    )
-    return kept.dropDuplicates(["digest", "id"]).select(*columns).toDF(*docs.columns)
+    own = F.col(doc_id).cast("long")
+    # A digest is never null; where Spark knows, it need not compute it once more to test that.
+    digest = F.coalesce(digest, F.lit(b""))
+    keyed = plain.withColumns({"digest": digest, "nameless": own.isNull(), "id": F.coalesce(own, F.lit(0))})
+    rows = saved(keyed.select(own.alias("doc_id"), F.monotonically_increasing_id().alias("row"), "digest"), "digests")
+    # Keys without nulls, so that the join's partitions serve the last step too.
+    stay = build_index(rows).select(
+        "digest", F.col("keep_id").isNull().alias("nameless"), F.coalesce("keep_id", F.lit(0)).alias("id"))
+    kept = keyed.hint("merge").join(stay, stay.columns, "left_semi")
+    return kept.dropDuplicates(stay.columns).select(*columns).toDF(*docs.columns)
 
 
 def update_index(index: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
