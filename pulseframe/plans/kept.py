@@ -10,7 +10,7 @@ from pulseframe.plans import upkeep as u
 from pulseframe.plans.people import CURRENT_SQL
 from pulseframe.plans.registry import query
 from pulseframe.plans.series import SERIES
-from pulseframe.plans.streams import _SCORED_STREAM_SQL, _arriving, _messages, _monitored
+from pulseframe.plans.streams import _SCORED_STREAM_SQL, _arrivals, _arriving, _messages, _monitor, _monitored
 from pulseframe.session import scratch_path
 from pulseframe.sources.snapshots import Snapshots
 from pulseframe.streaming.tables import compact, compacted, drop_compacted, fold_risk, keep_latest
@@ -99,7 +99,9 @@ SELECT patient_id, field, ts, cleaned AS value, risk_level FROM s UNION ALL SELE
 )
 def compacted_points(spark, sf_dir):
     """Some days of the points of a stream: part of them compacted into day files, their batch folders deleted, part still in batches."""
-    root = _monitored(spark, _messages(_arriving(t.load(spark, sf_dir, "events"), "point_events", late=False)), files_per_batch=1)
+    root = scratch_path(spark, "monitoring")
+    for stream in _arrivals(t.load(spark, sf_dir, "events"), "point_events", late=False):
+        _monitor(_messages(stream), root)
     store = Snapshots(spark, f"{root}/store")
     compact(spark, root, store, "points", ["patient_id", "ts"], upto=1)
     drop_compacted(spark, root, store, "points")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,10 +101,17 @@ def _messages(events):
 def _monitored(spark, messages, **options) -> str:
     """Folder of the sinks after all messages went through decode, cleanup, scoring and the batch sinks."""
     root = scratch_path(spark, "monitoring")
-    started = start_monitoring(messages, root, F.col("event_id"), F.col("ts"), watch=False, availableNow=True, **options)
+    _monitor(messages, root, **options)
+    return root
+
+
+def _monitor(messages, root: str, **options) -> None:
+    """Everything available through decoding on all cores, whatever the input's files and row groups, and scoring."""
+    tasks = messages.sparkSession.sparkContext.defaultParallelism
+    started = start_monitoring(
+        messages, root, F.col("event_id"), F.col("ts"), watch=False, tasks=tasks, availableNow=True, **options)
     for running in started:
         running.awaitTermination()
-    return root
 
 
 @query("monitoring_stream", f"SELECT patient_id, event_id, mews_score, risk_score, risk_level FROM ({_SCORED_STREAM_SQL})")
@@ -181,7 +190,8 @@ def consumer_metrics_filled(spark, sf_dir):
     root = scratch_path(spark, "watched")
     stream = _arriving(t.load(spark, sf_dir, "events"), "watched_events", late=False)
     decoding, scoring = start_monitoring(
-        _odd_messages(stream), root, F.col("event_id"), F.col("ts"), availableNow=True)
+        _odd_messages(stream), root, F.col("event_id"), F.col("ts"),
+        tasks=spark.sparkContext.defaultParallelism, availableNow=True)
     scoring.awaitTermination()
     decoding.progress.wait(decoding.runId)
     spark.streams.removeListener(decoding.progress)
@@ -225,8 +235,7 @@ def alerts_named_stream(spark, sf_dir):
     early = F.col("ts") < F.lit(_RENAMED).cast("timestamp")
     for name, part in (("early", messages.filter(early)), ("later", messages.filter(~early))):
         part.write.parquet(f"{folder}/{name}")
-        for running in start_monitoring(stream, root, F.col("event_id"), F.col("ts"), watch=False, people=store, availableNow=True):
-            running.awaitTermination()
+        _monitor(stream, root, people=store)
         even = people.filter("patient_id LIKE 'ICU-%' AND CAST(substr(patient_id, 5) AS BIGINT) % 2 = 0").select("patient_id")
         renamed = lambda old, new: old.join(new.withColumn("hit", F.lit(True)), "patient_id", "left").withColumn(
             "full_name", F.when(F.col("hit"), F.concat(F.lit("Renamed "), "full_name")).otherwise(F.col("full_name"))).drop("hit")
@@ -259,24 +268,37 @@ def redelivered_accounting(spark, sf_dir):
     root = scratch_path(spark, "monitoring")
     for name, part in (("first", messages), ("again", messages.filter(_AGAIN)), ("once_more", messages.filter(_AGAIN).orderBy(F.desc("event_id")))):
         part.write.parquet(f"{folder}/{name}")
-        for running in start_monitoring(stream, root, F.col("event_id"), F.col("ts"), watch=False, availableNow=True):
-            running.awaitTermination()
+        _monitor(stream, root)
     total = spark.read.parquet(f"{root}/scored").agg(F.round(F.sum("risk_score")).cast("bigint").alias("total"))
     counts = accounting(spark, root)
     return counts.join(total.withColumn("outcome", F.lit("scored")), "outcome", "left").select("outcome", "messages", "total")
 
 
-def _arriving(rows: DataFrame, label: str, late: bool = True) -> DataFrame:
-    """A stream of ``rows``, ten days of arrivals a micro-batch; a third arrives a day late, a third two days."""
-    root = scratch_path(rows.sparkSession, label)
+def _arrivals(rows: DataFrame, label: str, late: bool = True) -> Iterator[DataFrame]:
+    """A stream of ``rows``, given each time that ten days of arrivals more are there; a third arrives a day late, a third two days.
+
+    Each ten days are written by all cores, and are a micro-batch.
+    """
+    spark, root = rows.sparkSession, scratch_path(rows.sparkSession, label)
     late = F.pmod(F.xxhash64(*rows.columns), F.lit(3)).cast("int") if late else F.lit(0)
     timed = rows.withColumn("ts", F.col("ts").cast("timestamp"))
     arrival = F.floor((F.unix_seconds("ts") + late * 86_400 - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))) / (10 * 86_400))
     placed = timed.withColumn("arrival", F.greatest(F.lit(0), F.least(F.lit(3), arrival)))
+    files = spark.sparkContext.defaultParallelism
     for part in range(4):
-        placed.filter(F.col("arrival") == part).drop("arrival").coalesce(1).write.parquet(f"{root}/part={part}")
-    stream = rows.sparkSession.readStream.schema(timed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/part=*")
-    return stream.drop("part")
+        folder = f"{root}/part={part}"
+        placed.filter(F.col("arrival") == part).drop("arrival").repartition(files).write.parquet(folder)
+        # A task without rows writes no file, and micro-batches are told apart by their number of files.
+        for _ in range(len(spark.read.schema(timed.schema).parquet(folder).inputFiles()), files):
+            spark.createDataFrame([], timed.schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/part=*")
+        yield stream.drop("part")
+
+
+def _arriving(rows: DataFrame, label: str, late: bool = True) -> DataFrame:
+    """The stream of ``_arrivals`` with all of them there."""
+    *_, stream = _arrivals(rows, label, late)
+    return stream
 
 
 def _board(spark, sf_dir):

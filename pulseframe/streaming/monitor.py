@@ -146,6 +146,7 @@ def start_monitoring(
     files_per_batch: int = 1000,
     watch: bool = True,
     people: Snapshots | None = None,
+    tasks: int | None = None,
     **trigger,
 ):
     """Start decoding and scoring; returns both queries, decoding first.
@@ -155,6 +156,8 @@ def start_monitoring(
     bounds the first query's batches, ``files_per_batch`` the second one's. ``watch``
     writes the first query's progress reports to the consumer metrics table; the listener
     is the attribute ``progress`` of that query. ``people`` hold the patients' names.
+    ``tasks`` deals the messages of a source with few partitions out before they are decoded,
+    which is most of the first query's work.
     Messages delivered again
     within ``remember_days`` (None: ever) are known by their ``reading_id``.
     """
@@ -163,6 +166,8 @@ def start_monitoring(
     if watch:
         progress = ProgressTable(spark, f"{root}/consumer_metrics", [name])
         spark.streams.addListener(progress)
+    if tasks:
+        messages = messages.repartition(tasks)
     decoding = (
         staged_messages(messages, reading_id, received).writeStream.queryName(name).format("parquet").outputMode("append")
         .partitionBy("accepted").option("path", f"{root}/staged")

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.operators.rolling import METRIC_WINDOW
-from pulseframe.streaming.stateful import BUCKETS, BucketProcessor, bucket_of, require_rocksdb
+from pulseframe.streaming.stateful import BUCKETS, BucketProcessor, Entries, bucket_of, require_rocksdb
+
+#: Messages whose windows are held at once.
+CHUNK = 10_000
 
 
 class RollingProcessor(BucketProcessor):
@@ -23,21 +26,21 @@ class RollingProcessor(BucketProcessor):
     def init(self, handle) -> None:
         self.ring = handle.getMapState("ring", "consumer STRING", "times ARRAY<DOUBLE>")
 
-    def walk(self, rows, timerValues):
-        frame = pd.DataFrame(rows)
-        made = []
+    def handleInputRows(self, key, rows, timerValues):
+        frame = pd.concat(list(rows)).sort_values(self.order, kind="stable", ignore_index=True)
+        rings = Entries(self.ring)
         for consumer, own in frame.groupby("consumer", sort=False):
-            key = (consumer,)
-            before = np.array(self.ring.getValue(key)[0] if self.ring.containsKey(key) else [], float)
+            before = np.array((rings.get((consumer,)) or ([],))[0], float)
             times = np.concatenate([before, own["processing_time_ms"].to_numpy(float)])
-            self.ring.updateValue(key, (times[-self.rows:].tolist(),))
+            self.ring.updateValue((consumer,), (times[-self.rows:].tolist(),))
             # Windows that are not full yet are filled up with values that do not count.
             padded = np.concatenate([np.full(self.rows - 1, np.nan), times])
             windows = np.lib.stride_tricks.sliding_window_view(padded, self.rows)[len(before):]
-            made.append(pd.DataFrame({
-                "consumer": consumer, "ts_us": own["ts_us"], "event_id": own["event_id"],
-                "avg_ms": np.nanmean(windows, axis=1), "min_ms": np.nanmin(windows, axis=1), "max_ms": np.nanmax(windows, axis=1)}))
-        return pd.concat(made)
+            for i in range(0, len(own), CHUNK):
+                part, some = own.iloc[i:i + CHUNK], windows[i:i + CHUNK]
+                yield pd.DataFrame({
+                    "consumer": consumer, "ts_us": part["ts_us"], "event_id": part["event_id"],
+                    "avg_ms": np.nanmean(some, axis=1), "min_ms": np.nanmin(some, axis=1), "max_ms": np.nanmax(some, axis=1)})
 
 
 def rolling_times_stream(metrics: DataFrame, rows: int = METRIC_WINDOW, buckets: int = BUCKETS) -> DataFrame:

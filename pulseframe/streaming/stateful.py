@@ -29,8 +29,8 @@ from pulseframe.session import ROCKSDB_PROVIDER, STATE_PROVIDER_KEY
 DUPLICATE = "duplicate message"
 #: Buckets of keys; a running query must keep the number it was started with.
 BUCKETS = 256
-#: Consecutive reading ids of a patient that share one entry of the ids seen.
-SEEN_BLOCK = 4_096
+#: Consecutive reading ids of a bucket that share one entry of the ids seen.
+SEEN_BLOCK = 16_384
 
 
 def require_rocksdb(spark: SparkSession) -> None:
@@ -61,28 +61,46 @@ class BucketProcessor(StatefulProcessor):
             yield self.walk({c: frame[c].tolist() for c in frame.columns}, timerValues)
 
 
+class Entries:
+    """Entries of a map state; one that holds nothing yet is asked only once."""
+
+    def __init__(self, state) -> None:
+        self._state, self._any = state, state.exists()
+
+    def get(self, key: tuple):
+        return self._state.getValue(key) if self._any and self._state.containsKey(key) else None
+
+
 class Seen:
-    """Ids that a patient's messages had, in blocks of sorted 16-bit offsets, read when first asked for."""
+    """Ids that a bucket's messages had, in blocks: sorted 16-bit offsets by patient, read when first asked for.
+
+    Ids that follow one another belong to many patients, so a block has one entry for all of a bucket's.
+    """
 
     def __init__(self, state) -> None:
-        self._state, self._blocks, self._new = state, {}, set()
+        self._state, self._stored, self._blocks, self._new = state, Entries(state), {}, {}
 
     def add(self, patient: str, message: int) -> bool:
         """Whether the id is new; it is remembered."""
         block, offset = divmod(message, SEEN_BLOCK)
-        key = patient, block
-        if key not in self._blocks:
-            stored = self._state.getValue(key) if self._state.containsKey(key) else None
-            self._blocks[key] = set() if stored is None else set(np.frombuffer(bytes(stored[0]), "<u2").tolist())
-        if offset in self._blocks[key]:
+        if block not in self._blocks:
+            self._blocks[block] = dict(zip(*(self._stored.get((block,)) or ((), ()))))
+            self._new[block] = {}
+        known, new = self._blocks[block], self._new[block]
+        if patient not in new:
+            new[patient] = set(), set(np.frombuffer(bytes(known.get(patient, b"")), "<u2").tolist())
+        added, before = new[patient]
+        if offset in before or offset in added:
             return False
-        self._blocks[key].add(offset)
-        self._new.add(key)
+        added.add(offset)
         return True
 
     def store(self) -> None:
-        for key in self._new:
-            self._state.updateValue(key, (np.array(sorted(self._blocks[key]), "<u2").tobytes(),))
+        for block, new in self._new.items():
+            changed = {p: np.array(sorted(before | added), "<u2").tobytes() for p, (added, before) in new.items() if added}
+            if changed:
+                offsets = self._blocks[block] | changed
+                self._state.updateValue((block,), (list(offsets), list(offsets.values())))
 
 
 class CleanupProcessor(BucketProcessor):
@@ -99,10 +117,11 @@ class CleanupProcessor(BucketProcessor):
     def init(self, handle) -> None:
         self.last = handle.getMapState(
             "last", "patient_id STRING", "names ARRAY<STRING>, vals ARRAY<DOUBLE>", self.idle_ms)
-        self.seen = handle.getMapState("seen", "patient_id STRING, block BIGINT", "offsets BINARY", self.remember_ms)
+        self.seen = handle.getMapState(
+            "seen", "block BIGINT", "patients ARRAY<STRING>, offsets ARRAY<BINARY>", self.remember_ms)
 
     def walk(self, rows, timerValues):
-        fold, seen, states, changed, out = Cleanup(), Seen(self.seen), {}, set(), []
+        fold, seen, entries, states, changed, out = Cleanup(), Seen(self.seen), Entries(self.last), {}, set(), []
         for patient, ts, reading_id, names, vals in zip(*(rows[c] for c in ("patient_id", "ts_us", "reading_id", "names", "vals"))):
             # A message without an id cannot be told from another one.
             known = not pd.isna(reading_id)
@@ -111,7 +130,7 @@ class CleanupProcessor(BucketProcessor):
                 out.append((patient, ts, reading_id, [], [], DUPLICATE))
                 continue
             if patient not in states:
-                stored = self.last.getValue((patient,)) if self.last.containsKey((patient,)) else None
+                stored = entries.get((patient,))
                 states[patient] = {} if stored is None else dict(zip(*stored))
             last, kept_names, kept_vals = states[patient], [], []
             for name, value in zip(names, vals):
@@ -148,11 +167,12 @@ class CooldownProcessor(BucketProcessor):
 
     def walk(self, rows, timerValues):
         places: dict[tuple, list[int]] = {}
+        entries = Entries(self.sent)
         for i, key in enumerate(zip(rows["patient_id"], rows["alert_type"])):
             places.setdefault(key, []).append(i)
         passed = [False] * len(rows["ts_us"])
         for key, own in places.items():
-            sent = self.sent.getValue(key)[0] if self.sent.containsKey(key) else None
+            sent = (entries.get(key) or (None,))[0]
             times = [rows["ts_us"][i] for i in own]
             marks, sent = self.fold.walk(sent, (times,), 0, len(times))
             self.sent.updateValue(key, (sent,))

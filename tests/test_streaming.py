@@ -4,17 +4,20 @@ import json
 import random
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators.folds import clean_points, clean_readings, cool_down
 from pulseframe.operators.rolling import rolling_times
+from pulseframe.plans.streams import _arriving
 from pulseframe.sources.topics import decode
 from pulseframe.streaming.monitor import (
     accounting, audit_log, quarantine, score_batch, start_dispatch, start_monitoring, write_batch)
 from pulseframe.streaming.progress import consumer_metrics
 from pulseframe.streaming.rolling import rolling_times_stream
-from pulseframe.streaming.stateful import clean_readings_stream, cool_down_stream
+from pulseframe.streaming.stateful import Seen, clean_readings_stream, cool_down_stream
 
 
 def reading_rows(n=300, seed=4):
@@ -253,3 +256,77 @@ def test_progress_rows():
     assert rows[0]["messages_processed"] == 30 and rows[0]["processing_time_ms"] == 1500.0
     files = dict(progress, sources=[{"endOffset": {"logOffset": 3}, "latestOffset": None}])
     assert [(r["partition"], r["offset"]) for r in consumer_rows(files)] == [(None, None)]
+
+
+class Counted:
+    """A map state that counts the calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def exists(self):
+        return bool(self.held)
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.held
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+
+def test_ids_of_many_patients_share_entries():
+    state = Counted()
+    for repeated in (False, True):
+        seen = Seen(state)
+        assert [seen.add(f"p{i % 500}", i) for i in range(2_000)] == [not repeated] * 2_000
+        seen.store()
+    assert state.calls <= 4
+    seen = Seen(state)
+    assert seen.add("p1", 0) and not seen.add("p0", 0) and seen.add(None, 0) and not seen.add(None, 0)
+    seen.store()
+    seen = Seen(state)
+    assert not any(seen.add(p, i) for p, i in (("p1", 0), (None, 0), ("p499", 1_999)))
+
+
+def test_messages_of_one_file_are_decoded_by_several_tasks(spark, tmp_path):
+    text = '{"patient_id": "p%d", "timestamp": "2024-01-01T00:00:00Z", "vital_signs": {"heart_rate": 80}}'
+    rows = [(i, text % i) for i in range(200)]
+    spark.createDataFrame(rows, "id BIGINT, value STRING").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id BIGINT, value STRING").parquet(str(tmp_path / "in"))
+    for running in start_monitoring(stream, str(tmp_path / "out"), F.col("id"), watch=False, tasks=4, availableNow=True):
+        running.awaitTermination()
+    assert len(spark.read.parquet(str(tmp_path / "out/staged")).inputFiles()) == 4
+    assert {r["outcome"]: r["messages"] for r in accounting(spark, str(tmp_path / "out")).collect()} == {"received": 200, "scored": 200}
+
+
+def test_arrivals_are_written_by_all_tasks_and_stay_micro_batches(spark, tmp_path):
+    """Also where ten days have one row or none: each is a batch of its own."""
+    rows = [(i, f"2024-01-0{1 + i % 9} 00:00:00") for i in range(400)] + [(500, "2024-01-25 00:00:00"), (501, None)]
+    table = spark.createDataFrame(rows, "id BIGINT, ts STRING").withColumn("ts", F.col("ts").cast("timestamp"))
+    batches = []
+    _arriving(table, "few", late=False).writeStream.foreachBatch(
+        lambda batch, _: batches.append((sorted(r["id"] for r in batch.collect()), batch.select(F.input_file_name()).distinct().count()))
+    ).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [b for b, _ in batches] == [list(range(400)), [], [500], [501]]
+    assert batches[0][1] > 1
+
+
+def test_rolling_times_are_handed_on_in_pieces():
+    from pulseframe.streaming import rolling
+
+    n = 2 * rolling.CHUNK + 5
+    processor = rolling.RollingProcessor(3)
+    processor.ring = Counted()
+    frame = pd.DataFrame({"consumer": "c", "ts_us": range(n), "event_id": range(n), "processing_time_ms": np.arange(n, dtype=float)})
+    made = list(processor.handleInputRows((0,), iter([frame[::-1]]), None))
+    assert max(map(len, made)) <= rolling.CHUNK
+    whole = pd.concat(made)
+    assert whole["event_id"].tolist() == list(range(n))
+    assert whole["avg_ms"].tolist() == [0.0, 0.5] + [float(i - 1) for i in range(2, n)]
+    assert whole["min_ms"].tolist() == [0.0, 0.0] + [float(i - 2) for i in range(2, n)] and processor.ring.held[("c",)] == ([n - 3.0, n - 2.0, n - 1.0],)
