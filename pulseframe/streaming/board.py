@@ -17,11 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.operators.alerts import DISPLAY_SECONDS
-from pulseframe.streaming.stateful import BUCKETS, BucketProcessor, bucket_of, require_rocksdb
+from pulseframe.streaming.stateful import BUCKETS, BucketProcessor, Entries, bucket_of, require_rocksdb
 
 # Fixed value: the level that stays on the board until someone acknowledges it.
 STAYS = "CRITICAL"
 SHOWN, ACKNOWLEDGED, EXPIRED = "shown", "acknowledged", "expired"
+#: Changes by timers that are handed on at once.
+CHANGES = 10_000
 
 
 class _Ward:
@@ -73,10 +75,8 @@ class BoardProcessor(BucketProcessor):
         self.handle = handle
         self.wards = handle.getMapState("wards", "patient_id STRING", _Ward.schema)
         self.due = handle.getMapState("due", "tick BIGINT", "patients ARRAY<STRING>, ids ARRAY<BIGINT>")
-
-    def _ward(self, patient: str) -> _Ward:
-        key = (patient,)
-        return _Ward(self.wards.getValue(key) if self.wards.containsKey(key) else None)
+        #: The watermark whose timers are being handled, and the (bucket, time) of those that are done.
+        self.handled = None, set()
 
     def _store(self, wards: dict[str, _Ward], watermark: int) -> None:
         for patient, ward in wards.items():
@@ -94,10 +94,11 @@ class BoardProcessor(BucketProcessor):
         wards: dict[str, _Ward] = {}
         due: dict[int, list[tuple[str, int]]] = {}
         out: list[tuple] = []
+        stored, ticks = Entries(self.wards), Entries(self.due)
         columns = ("patient_id", "ts_us", "side", "alert_id", "acknowledged_by", "severity", "body")
         for patient, ts, side, alert_id, by, severity, body in zip(*(rows[c] for c in columns)):
             if patient not in wards:
-                wards[patient] = self._ward(patient)
+                wards[patient] = _Ward(stored.get((patient,)))
             ward = wards[patient]
             if side:
                 insort(ward.acks, (ts, by), key=lambda a: a[0])
@@ -118,7 +119,7 @@ class BoardProcessor(BucketProcessor):
             if expiry is not None:
                 due.setdefault(-(-expiry // self.tick_us), []).append((patient, alert_id))
         for tick, more in due.items():
-            known = self.due.getValue((tick,)) if self.due.containsKey((tick,)) else None
+            known = ticks.get((tick,))
             patients, ids = ([], []) if known is None else map(list, known)
             if known is None:
                 self.handle.registerTimer(tick * self.tick_us // 1000)
@@ -127,22 +128,34 @@ class BoardProcessor(BucketProcessor):
         return self._made(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        tick = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.tick_us
-        patients, ids = self.due.getValue((tick,))
-        self.due.removeKey((tick,))
-        wards: dict[str, _Ward] = {}
-        out: list[tuple] = []
-        for patient, alert_id in zip(patients, ids):
-            if patient not in wards:
-                wards[patient] = self._ward(patient)
-            alert = wards[patient].alerts.get(alert_id)
-            if alert is None or alert[2] is None:
-                continue
-            shown, end, expiry = alert
-            alert[2] = None
-            if end is None or end > expiry:
-                out.append((patient, alert_id, shown, EXPIRED, expiry, None, None, None))
-        self._store(wards, timerValues.getCurrentWatermarkInMs() * 1000)
+        at, watermark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        if self.handled[0] != watermark:
+            self.handled = watermark, set()
+        handled = self.handled[1]
+        if (key, at) in handled:
+            return
+        # All timers before the watermark fire in this batch, so the first of them handles the others' alerts too:
+        # a patient is read and written once, and changes do not come out timer by timer.
+        fires = lambda us: -(-us // self.tick_us) * self.tick_us // 1000
+        ticks = [(tick, patients) for (tick,), (patients, _) in self.due.iterator()
+                 if tick * self.tick_us // 1000 == at or at < watermark and tick * self.tick_us // 1000 < watermark]
+        stored, out = Entries(self.wards), []
+        for patient in dict.fromkeys(p for _, patients in ticks for p in patients):
+            ward = _Ward(stored.get((patient,)))
+            for alert_id, alert in ward.alerts.items():
+                shown, end, expiry = alert
+                if expiry is None or not (fires(expiry) == at or at < watermark and fires(expiry) < watermark):
+                    continue
+                alert[2] = None
+                if end is None or end > expiry:
+                    out.append((patient, alert_id, shown, EXPIRED, expiry, None, None, None))
+            self._store({patient: ward}, watermark * 1000)
+            if len(out) >= CHANGES:
+                yield self._made(out)
+                out = []
+        for tick, _ in ticks:
+            self.due.removeKey((tick,))
+            handled.add((key, tick * self.tick_us // 1000))
         if out:
             yield self._made(out)
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from pulseframe.operators.alerts import acknowledge, active_at
-from pulseframe.streaming.board import board_alerts, board_changes, on_board
+from pulseframe.streaming.board import BoardProcessor, board_alerts, board_changes, on_board
 
 SCHEMA = "patient_id STRING, sec BIGINT, alert_id BIGINT, severity STRING, acknowledged_by STRING"
 
@@ -71,3 +71,67 @@ def test_old_alerts_leave_the_state(spark, tmp_path):
     parts = [[("p", 100, 1, "HIGH", None)], [("z", 5000, 9, "CRITICAL", None)], [("p", 5001, None, None, "n")], [("z", 9000, 8, "CRITICAL", None)]]
     got = changes(spark, str(tmp_path), parts, delay="100 seconds", display_seconds=60, keep_seconds=1000)
     assert (1, "expired", 160, None) in listed(got) and not [r for r in listed(got) if r[1] == "acknowledged"]
+
+
+class Held(dict):
+    """A map state."""
+
+    def exists(self):
+        return bool(self)
+
+    def containsKey(self, key):
+        return key in self
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        self.pop(key, None)
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+class Timers:
+    """Timers of a bucket, a watermark, or a timer that fires, in milliseconds."""
+
+    def __init__(self, ms=0):
+        self.ms, self.set = ms, []
+
+    def registerTimer(self, ms):
+        self.set.append(ms)
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_timers_of_a_batch_are_handled_together():
+    """Two buckets in turn, timer by timer: the first timer of each hands on all changes up to the watermark."""
+    makers = {}
+    for key in ((0,), (1,)):
+        made = BoardProcessor(60, None, 1.0)
+        made.handle, made.wards, made.due = Timers(), Held(), Held()
+        n = 50
+        made.walk({"patient_id": [f"p{i % 5}" for i in range(n)], "ts_us": [i * 1_000_000 for i in range(n)], "side": [0] * n,
+                   "alert_id": list(range(n)), "acknowledged_by": [None] * n, "severity": ["HIGH"] * n, "body": ["b"] * n}, Timers(0))
+        makers[key] = made
+    processor = BoardProcessor(60, None, 1.0)
+    out, frames, watermark = {(0,): [], (1,): []}, 0, Timers(80_000)
+    for at in (ms for ms in makers[(0,)].handle.set if ms <= 80_000):
+        for key, made in makers.items():
+            processor.wards, processor.due = made.wards, made.due
+            if not hasattr(processor, "handled"):
+                processor.init(type("Handle", (), {"getMapState": lambda *_: None})())
+                processor.wards, processor.due = made.wards, made.due
+            for frame in processor.handleExpiredTimer(key, watermark, Timers(at)):
+                out[key] += list(zip(frame["alert_id"], frame["at_us"]))
+                frames += 1
+    # Alert i expires at second i + 60; the timer of the watermark itself comes by itself.
+    assert {k: sorted(v) for k, v in out.items()} == {k: [(i, (i + 60) * 1_000_000) for i in range(21)] for k in out}
+    assert frames == 4
+    assert all(sorted(t for t, in made.due) == list(range(81, 110)) for made in makers.values())
