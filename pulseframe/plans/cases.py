@@ -151,7 +151,7 @@ def _case_files(spark, sf_dir) -> str:
     }
     path = scratch_path(spark, "cases")
     columns = [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CLINICAL_CASE.fields]
-    clinical.write_cases(t.load(spark, sf_dir, "lineitem").select(*columns), path)
+    clinical.write_cases(t.load(spark, sf_dir, "lineitem").select(*columns), path, "gzip")
     return path
 
 
@@ -176,6 +176,6 @@ def cohort_files(spark, sf_dir):
     """One folder of files per cohort, read back."""
     path = scratch_path(spark, "cohorts")
     rules = c.cohort_rules("biopsy, f", 'say "r')
-    clinical.write_cohorts(clinical.read_cases(spark, _case_files(spark, sf_dir)), rules, path)
+    clinical.write_cohorts(clinical.read_cases(spark, _case_files(spark, sf_dir)), rules, path, "gzip")
     schema = StructType([*CLINICAL_CASE.fields, StructField("cohort", StringType())])
     return spark.read.schema(schema).option("header", True).csv(path).select("cohort", "caseid", "asa", "age")

@@ -58,6 +58,18 @@ def test_cohorts_in_one_pass(spark, cases, tmp_path):
     }
 
 
+def test_packed_case_files(spark, cases, tmp_path, monkeypatch):
+    """Packed files hold the same cases, and only so many each that they can be read in parallel."""
+    monkeypatch.setattr(clinical, "MOST_PACKED", 2)
+    clinical.write_cases(cases.coalesce(1), str(tmp_path / "cases"), "gzip")
+    clinical.write_cohorts(cases, c.cohort_rules(), str(tmp_path / "cohorts"), "gzip")
+    files = sorted((tmp_path / "cases").glob("part-*"))
+    assert len(files) == -(-cases.count() // 2) and all(f.name.endswith(".csv.gz") for f in files)
+    plain = spark.read.option("header", True).csv(str(tmp_path / "cohorts"))
+    assert {(r["cohort"], r["caseid"]) for r in plain.collect()} == {
+        ("critical", "1"), ("critical", "3"), ("transplant", "3"), ("cardio", "1"), ("long_surgery", "1")}
+
+
 TEXTS = ["98.5", "-5", "1e3", "12d", "abc", ".5", "5.", "1_000", "", " 7 ", "nan", "-inf", "1__0", "."]
 
 
