@@ -54,7 +54,15 @@ def half_even(value: Column, digits: int = 0) -> Column:
 
 
 def rounded_text(value: Column, digits: int = 0, unit: str = "", missing: str = "--") -> Column:
-    text = F.format_string(f"%.{digits}f{unit.replace('%', '%%')}", half_even(value, digits))
+    """Numbers from 1 to a thousand million are put together from whole numbers, several times faster than by a format."""
+    scale, whole = 10**digits, F.floor(value)
+    scaled = whole * scale + F.rint((value - whole) * scale).cast("bigint") if digits else F.rint(value).cast("bigint")
+    if digits:
+        parts = [F.floor(scaled / scale).cast("string"), F.lit("."), F.lpad((scaled % scale).cast("string"), digits, "0")]
+    else:
+        parts = [scaled.cast("string")]
+    formatted = F.format_string(f"%.{digits}f{unit.replace('%', '%%')}", half_even(value, digits))
+    text = F.when((value >= 1) & (value < 1e9), F.concat(*parts, F.lit(unit))).otherwise(formatted)
     return F.when(value.isNull(), F.lit(missing)).otherwise(text)
 
 

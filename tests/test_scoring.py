@@ -127,6 +127,18 @@ def test_texts_round_like_correct_printing(spark):
     assert [r["b"] for r in rows] == [f"{v:.1f}°C" for v in values] + ["--"]
 
 
+def test_texts_of_any_number(spark):
+    """Ordinary numbers go without a format; both ways print alike."""
+    values = [0.0, -0.0, -0.3, 0.4, 0.96, 1.0, 1.5, 9.96, 99.95, 99.5, 100.25, -1.5, -37.25, 999_999_999.5, 999_999_998.96, 1e9, 1e12 + 0.5]
+    values += [1 + i * 0.37 for i in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    rows = df.select(display.rounded_text(F.col("v"), unit="%").alias("a"), display.rounded_text(F.col("v"), 1).alias("b"),
+                     F.format_string("%.0f%%", display.half_even(F.col("v"))).alias("c"), F.format_string("%.1f", display.half_even(F.col("v"), 1)).alias("d")).collect()
+    assert [(r["a"], r["b"]) for r in rows] == [(r["c"], r["d"]) for r in rows]
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e300,)], "v DOUBLE")
+    assert [r[0] for r in odd.select(display.rounded_text(F.col("v"))).collect()][:2] == ["NaN", "Infinity"]
+
+
 def test_flags(spark):
     df = spark.createDataFrame([(97.0, 0.0), (92.0, 49.0), (80.0, 60.0), (None, None)], "o DOUBLE, h DOUBLE")
     rows = df.select(display.status_flag("spo2", F.col("o")), display.danger_flag("heart_rate", F.col("h")), display.status_flag("heart_rate", F.col("h"))).collect()
