@@ -74,35 +74,47 @@ def entities(rows: DataFrame) -> DataFrame:
     """
     found, between, people = F.col("found"), F.col("between"), F.col("people")
 
-    def gender(value: Column, i: Column) -> Column:
+    def gender(kind: Column, i: Column) -> Column:
         before = F.concat(F.coalesce(F.get(found, i - 1), F.lit("")), F.get(between, i))
-        return (F.when(_kind(value) != "name", F.lit(None).cast("string"))
+        return (F.when(kind != "name", F.lit(None).cast("string"))
                 .when(before.rlike(rf"{_WOMEN}\.? $"), F.lit("woman")).when(before.rlike(rf"{_MEN}\.? $"), F.lit("man")))
 
-    titled = F.filter(F.transform(found, lambda v, i: F.struct(gender(v, i).alias("kind"), F.lower(v).alias("key"), i.alias("i"))),
-                      lambda p: p["kind"].isNotNull())
-
-    def person(value: Column, i: Column) -> Column:
-        """(kind, key, surname) of the name at place i."""
-        low, own = F.lower(value), gender(value, i)
-        full = lambda p: p["key"].endswith(F.concat(F.lit(" "), low))
-        same = F.filter(people, lambda p: (p["key"] == low) | full(p))
-        kind = F.coalesce(own, _last(F.filter(same, lambda p: p["i"] < i))["kind"], F.get(same, F.lit(0))["kind"])
-        named = F.array_distinct(F.transform(F.filter(people, lambda p: (p["kind"] == kind) & full(p)), lambda p: p["key"]))
-        return F.when(F.size(named) == 1, F.struct(kind.alias("kind"), F.get(named, F.lit(0)).alias("key"), F.lit(True).alias("surname"))) \
-            .otherwise(F.struct(kind.alias("kind"), F.when(F.exists(people, lambda p: p["key"] == low) | (F.size(named) == 0), low)
-                                .otherwise(_last(named)).alias("key"), (~F.exists(people, lambda p: p["key"] == low) & (F.size(named) > 0)).alias("surname")))
-
-    def described(value: Column, i: Column) -> Column:
-        kind = _kind(value)
-        who = person(value, i)
-        return F.when(kind != "name", F.struct(kind.alias("kind"), _canonical(kind, value).alias("key"), value.alias("value"), F.lit(False).alias("surname"))) \
-            .otherwise(F.struct(who["kind"].alias("kind"), who["key"].alias("key"), value.alias("value"), who["surname"].alias("surname")))
-
-    # Columns of their own, so that a lambda does not search the text again for each entity.
+    def full(p: Column, low: Column) -> Column:
+        return p["key"].endswith(F.concat(F.lit(" "), low))
+
+    def marked(m: Column, i: Column) -> Column:
+        return F.struct(m["found"].alias("value"), m["kinds"].alias("kind"), F.lower(m["found"]).alias("low"), gender(m["kinds"], i).alias("own"))
+
+    def titled(m: Column, i: Column) -> Column:
+        return F.struct(m["own"].alias("kind"), m["low"].alias("key"), i.alias("i"))
+
+    def addressed(m: Column, i: Column) -> Column:
+        """With ``own`` the gender of the person that the name at place i stands for."""
+        same = F.filter(people, lambda p: (p["key"] == m["low"]) | full(p, m["low"]))
+        kind = F.coalesce(m["own"], _last(F.filter(same, lambda p: p["i"] < i))["kind"], F.get(same, F.lit(0))["kind"])
+        return F.struct(m["value"].alias("value"), m["kind"].alias("kind"), m["low"].alias("low"), F.when(m["kind"] == "name", kind).alias("own"))
+
+    def named(m: Column) -> Column:
+        """With the full names that end in the name, and whether it is one itself."""
+        ends = F.transform(F.filter(people, lambda p: (p["kind"] == m["own"]) & full(p, m["low"])), lambda p: p["key"])
+        return F.struct(*(m[c].alias(c) for c in ("value", "kind", "low", "own")), F.array_distinct(ends).alias("ends"),
+                        F.exists(people, lambda p: p["key"] == m["low"]).alias("whole"))
+
+    def described(m: Column) -> Column:
+        made = lambda kind, key, surname: F.struct(kind.alias("kind"), key.alias("key"), m["value"].alias("value"), surname.alias("surname"))
+        n = F.size(m["ends"])
+        return F.when(m["kind"] != "name", made(m["kind"], _canonical(m["kind"], m["value"]), F.lit(False))) \
+            .when(n == 1, made(m["own"], F.get(m["ends"], F.lit(0)), F.lit(True))) \
+            .otherwise(made(m["own"], F.when(m["whole"] | (n == 0), m["low"]).otherwise(_last(m["ends"])), ~m["whole"] & (n > 0)))
+
+    # Columns of their own, so that a lambda does not search the text again for each entity. Arrays are built in
+    # steps, as each use of a name would otherwise repeat the expression that found it, in the plan too.
     searched = rows.withColumn("pattern", _pattern(F.col("text"))).withColumns(
         {"found": F.regexp_extract_all("text", F.col("pattern"), F.lit(0)), "between": F.split("text", F.col("pattern"), -1)})
-    return searched.withColumn("people", titled).select("doc_id", "h", F.transform(found, described).alias("entities"))
+    marks = searched.withColumn("kinds", F.transform(found, _kind)).withColumn("marks", F.transform(F.arrays_zip("found", "kinds"), marked))
+    known = marks.withColumn("people", F.filter(F.transform("marks", titled), lambda p: p["kind"].isNotNull()))
+    who = known.withColumn("marks", F.transform("marks", addressed)).withColumn("marks", F.transform("marks", named))
+    return who.select("doc_id", "h", F.transform("marks", described).alias("entities"))
 
 
 def _digit(digest: Column, i: Column) -> Column:
@@ -140,9 +152,14 @@ def _name(kind: Column, key: Column, digest: Column, length: Column) -> Column:
     return F.concat_ws(" ", F.transform(F.split(key, "[ \\-]"), part))
 
 
-def _surrogate(key: str) -> Column:
-    """The surrogate, in canonical form, of the columns kind, key and attempt."""
-    digest = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "key", F.col("attempt").cast("string")), 256)
+def _digest(key: str) -> Column:
+    """What the surrogate of the columns kind, key and attempt is drawn with."""
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "key", F.col("attempt").cast("string")), 256)
+
+
+def _surrogate() -> Column:
+    """The surrogate, in canonical form, of the columns kind, key, attempt and digest."""
+    digest = F.col("digest")
     # Past LENGTHEN_AFTER rounds a format may be full: longer surrogates always find room.
     more = F.greatest(F.col("attempt") - LENGTHEN_AFTER, F.lit(0))
     tail = F.when(more > 0, F.regexp_replace(F.substring(digest, F.lit(1), F.least(more, F.lit(60)).cast("int")), "[a-f]", "7")).otherwise("")
@@ -180,7 +197,7 @@ def surrogate_table(mentions: DataFrame, key: str = KEY) -> DataFrame:
     known = real.select(F.explode(_claims(F.col("kind"), F.col("key"))).alias("claim"))
     settled, open_ = None, real.withColumn("attempt", F.lit(0))
     while True:
-        drawn = open_.withColumn("surrogate", _surrogate(key))
+        drawn = open_.withColumn("digest", _digest(key)).withColumn("surrogate", _surrogate())
         claimed = drawn.withColumn("claim", F.explode(_claims(F.col("kind"), F.col("surrogate"))))
         # Of entities with one surrogate the first has it, unless it is taken or real.
         owner = claimed.groupBy("claim").agg(F.min(F.struct("kind", "key")).alias("owner"))
@@ -234,8 +251,9 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     has = F.coalesce(F.col("text"), F.lit("")).rlike("[@0-9]|\\b(?:Mr|Mrs|Ms|Mme|Miss|Herr|Frau|Sra?|Señora?|Madame|Monsieur|г-н|г-жа)\\b")
-    found = entities(rows.filter(has)).select("doc_id", "h", F.posexplode("entities").alias("place", "e"))
-    found = saved(found.select("doc_id", "h", "place", "e.*"), "mentions")
+    # An inner generator makes Spark ask first, below, whether there are entities, and so search the text twice.
+    found = entities(rows.filter(has)).select("doc_id", "h", F.posexplode_outer("entities").alias("place", "e"))
+    found = saved(found.filter("place IS NOT NULL").select("doc_id", "h", "place", "e.*"), "mentions")
     table = surrogate_table(found, key)
     dressed = found.join(table, ["kind", "key"]).select(
         F.col("doc_id").alias("d"), F.col("h").alias("g"), "place",

@@ -102,3 +102,10 @@ def test_accounts_and_cards(spark):
     assert two and "WEST" not in two[1] and two[2].replace(" ", "-") == two[3] != "9807-9157-6280-4490"
     assert got[3]["text"] == rows[2][1] and got[3]["n_entities"] == 0
     assert re.fullmatch(r"card ((?:\d{4} ){3}\d{4}) 12/27 on 2024-01-02", got[4]["text"]) and got[4]["n_entities"] == 1
+
+
+def test_the_search_for_names_is_planned_once(spark):
+    """Each use of a name must not repeat the expression that found it: the driver holds the plan several times over."""
+    rows = spark.createDataFrame([(1, 2, "Mr. Doe, then Doe")], "doc_id BIGINT, h BIGINT, text STRING").repartition(2)
+    plan = pii.entities(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000
