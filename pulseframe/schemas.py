@@ -100,10 +100,10 @@ AUDIT_LOGS = _struct(
     "risk_score DOUBLE, processing_time_ms DOUBLE, error_message STRING"
 )
 
-# The 74 columns of a clinical case file. Column types follow the sample file;
+# The 74 columns of a clinical case file. Column types follow the sample file, case numbers are longs;
 # `age` stays text because the files sort it as text.
 _CLINICAL_COLUMNS = """
-caseid:int subjectid:int casestart:int caseend:int anestart:int aneend:double opstart:int
+caseid:bigint subjectid:int casestart:int caseend:int anestart:int aneend:double opstart:int
 opend:int adm:int dis:int icu_days:int death_inhosp:int age:string sex:string height:double
 weight:double bmi:double asa:double emop:int department:string optype:string dx:string
 opname:string approach:string position:string ane_type:string preop_htn:int preop_dm:int

@@ -9,6 +9,7 @@ from pulseframe import schemas
 from pulseframe.functions.numbers import general_float, plain_decimal
 from pulseframe.functions.patients import case_key, name_from_id, patient_key
 from pulseframe.operators import cohorts as c
+from pulseframe.plans import queries
 from pulseframe.sources import clinical, points, tables, topics, tracks
 
 
@@ -70,6 +71,28 @@ def test_packed_case_files(spark, cases, tmp_path, monkeypatch):
         ("critical", "1"), ("critical", "3"), ("transplant", "3"), ("cardio", "1"), ("long_surgery", "1")}
 
 
+def test_case_numbers_beyond_int(spark, tmp_path):
+    """Case numbers are longs: made, written, read and filed whole on tables with many order keys."""
+    rows = [(54_000_000 + i, 7, i % 7 + 1, float(i % 50 + 1), 1.5 * i, "R" if i % 3 else "N", "F" if i % 2 else "O") for i in range(40)]
+    spark.createDataFrame(
+        rows, "l_orderkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    cases = {o * 100 + n * 10 + 7: (n % 6 + 1, str(int(q) + 40), q * 600, flag, status) for o, _, n, q, _, flag, status in rows}
+    filed = queries()["clinical_files"](spark, str(tmp_path)).collect()
+    assert sorted((r["caseid"], r["asa"], r["age"], r["caseend"]) for r in filed) == sorted((k, *v[:3]) for k, v in cases.items())
+    wanted = [
+        (cohort, k, asa, age)
+        for k, (asa, age, end, flag, status) in cases.items()
+        for cohort, is_in in {"critical": asa >= 4, "transplant": status == "F", "cardio": flag == "R", "long_surgery": end >= 21600}.items()
+        if is_in
+    ]
+    assert sorted(map(tuple, queries()["cohort_files"](spark, str(tmp_path)).collect())) == sorted(wanted)
+    numbers = spark.createDataFrame([(2**31 + 5,)], "caseid BIGINT").select(
+        *(F.col("caseid") if f.name == "caseid" else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.CLINICAL_CASE.fields))
+    clinical.write_cases(numbers, str(tmp_path / "cases"))
+    assert clinical.read_cases(spark, str(tmp_path / "cases")).first()["caseid"] == 2**31 + 5
+
+
 TEXTS = ["98.5", "-5", "1e3", "12d", "abc", ".5", "5.", "1_000", "", " 7 ", "nan", "-inf", "1__0", "."]
 
 
